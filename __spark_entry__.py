@@ -9,11 +9,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallywatch import schema
 from tallywatch.config import RiskConfig
 from tallywatch.functions import rules
 from tallywatch.functions.parse import parse_transactions
@@ -94,16 +96,16 @@ def _upsert_alerts(tx: DataFrame) -> DataFrame:
     one replaces those and adds the rest."""
     cut = F.lit(CUT).cast("timestamp")
     batches = [
-        (0, "2024-02-01 00:00:00", tx.where(F.col("timestamp") < cut)),
-        (1, "2024-02-02 00:00:00", tx.where(F.col("timestamp") >= F.date_trunc("day", cut))),
+        ("2024-02-01 00:00:00", tx.where(F.col("timestamp") < cut)),
+        ("2024-02-02 00:00:00", tx.where(F.col("timestamp") >= F.date_trunc("day", cut))),
     ]
-    log = None
-    for batch_id, created, seen in batches:
-        batch = profile.alerts(seen, DAILY).withColumns(
-            {"created_at": F.lit(created).cast("timestamp"), "batch_id": F.lit(batch_id)}
+    versions = [
+        profile.alerts(seen, DAILY).withColumns(
+            {name: F.lit(written).cast("timestamp") for name in ("created_at", "updated_at")}
         )
-        log = batch if log is None else log.unionByName(batch)
-    return tables.current_alerts(log)
+        for written, seen in batches
+    ]
+    return tables.current_alerts(reduce(DataFrame.unionByName, versions))
 
 
 def _constraint_report(tx: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -197,20 +199,20 @@ def _stream(spark: SparkSession, sf_dir: str, start: Callable, name: str, **opti
 
 def _streaming_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stream(spark, sf_dir, jobs.start_transactions_query, "transactions")
-    return _plain(stored.stored_transactions(spark, path).drop("ingested_at", "event_date"))
+    return _plain(stored.stored_transactions(spark, path).select(*schema.TRANSACTION_COLUMNS))
 
 
 def _streaming_alerts(mode: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = _stream(spark, sf_dir, jobs.start_alerts_query, f"alerts-{mode}", cfg=DAILY, mode=mode)
-        return _plain(stored.stored_alerts(spark, path).drop("created_at", "batch_id", "alert_date"))
+        return _plain(stored.stored_alerts(spark, path).select(*schema.ALERT_COLUMNS))
 
     return run
 
 
 def _streaming_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stream(spark, sf_dir, jobs.start_enriched_query, "enriched", cfg=DAILY)
-    return _plain(spark.read.parquet(path).drop("event_date"))
+    return _plain(spark.read.parquet(path).select(*schema.ENRICHED_COLUMNS))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -229,7 +231,7 @@ def queries() -> dict[str, Query]:
         "alert_feed": _on_alerts(rules.alert_feed),
         "enriched_transactions": _on_transactions(lambda tx: profile.enrich(tx, DAILY)),
         "insert_ignore": _on_transactions(_insert_ignore),
-        "upsert_alerts": _on_transactions(lambda tx: _upsert_alerts(tx).drop("batch_id")),
+        "upsert_alerts": _on_transactions(lambda tx: _upsert_alerts(tx).drop("updated_at")),
         "flagged_transactions": _on_both(
             lambda tx, alerts: interval_join.flagged_transactions(
                 tx, alerts.where("is_fraud = 1").select("user_id", "window_start", "window_end"), DAILY.window

@@ -1,7 +1,8 @@
-"""The streaming job: ``spark-submit --packages <kafka connector> -m tallywatch``.
+"""The streaming job. Reads the topic and keeps the transactions, alerts and
+quarantine tables up to date until stopped.
 
-Reads the topic and keeps the transactions, alerts and quarantine tables under
-OUTPUT_ROOT up to date until stopped."""
+Start it with ``spark-submit``, with the Kafka connector among the packages
+(and the database's JDBC driver when TABLE_SINK is ``jdbc``)."""
 
 from __future__ import annotations
 
@@ -11,19 +12,35 @@ from tallywatch.config import JobConfig, RiskConfig
 from tallywatch.session import configure, shared_folder
 from tallywatch.sources.messages import kafka_messages
 from tallywatch.streaming import jobs
+from tallywatch.streaming.sinks import jdbc_merge
 
 
-def main() -> None:
-    spark = configure(SparkSession.builder.appName("tallywatch").getOrCreate(), streaming=True)
-    job, cfg = JobConfig.from_env(), RiskConfig()
-    output = job.output_root or f"{shared_folder(spark)}/tallywatch/tables"
+def start(spark: SparkSession, job: JobConfig, cfg: RiskConfig) -> None:
+    """Starts the job's queries; each reads the topic on its own and keeps its
+    own checkpoint, so one can fall behind or restart without the others."""
+    tables = job.output_root or f"{shared_folder(spark)}/tallywatch/tables"
     checkpoints = job.checkpoint_root or f"{shared_folder(spark)}/tallywatch/checkpoints"
     trigger = {"processingTime": job.trigger_interval}
-
     messages = kafka_messages(spark, job)
-    jobs.start_transactions_query(messages, f"{output}/transactions", f"{checkpoints}/transactions", cfg, trigger)
-    jobs.start_alerts_query(messages, f"{output}/fraud_alerts", f"{checkpoints}/fraud_alerts", cfg, trigger, mode="update")
-    jobs.start_quarantine_query(messages, f"{output}/quarantine", f"{checkpoints}/quarantine", trigger)
+
+    def place(name: str) -> tuple[str, str]:
+        return f"{tables}/{name}", f"{checkpoints}/{name}"
+
+    def writer(name: str):
+        return jdbc_merge(job, name) if job.sink == "jdbc" else None
+
+    jobs.start_transactions_query(
+        messages, *place("transactions"), cfg, trigger, writer=writer("transactions")
+    )
+    jobs.start_alerts_query(
+        messages, *place("fraud_alerts"), cfg, trigger, mode="update", writer=writer("fraud_alerts")
+    )
+    jobs.start_quarantine_query(messages, *place("quarantine"), trigger)
+
+
+def main() -> None:
+    spark = configure(SparkSession.builder.appName("tallywatch").getOrCreate(), streaming=True)
+    start(spark, JobConfig.from_env(), RiskConfig())
     spark.streams.awaitAnyTermination()
 
 

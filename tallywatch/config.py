@@ -51,6 +51,11 @@ class JobConfig:
     output_root: str | None = None
     checkpoint_root: str | None = None
     trigger_interval: str = "60 seconds"
+    sink: str = "files"  # or "jdbc"
+
+    def __post_init__(self):
+        if self.sink not in ("files", "jdbc"):
+            raise ValueError(f"sink must be 'files' or 'jdbc', got {self.sink!r}")
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> JobConfig:
@@ -67,4 +72,5 @@ class JobConfig:
             output_root=env.get("OUTPUT_ROOT"),
             checkpoint_root=env.get("CHECKPOINT_ROOT"),
             trigger_interval=env.get("TRIGGER_INTERVAL", cls.trigger_interval),
+            sink=env.get("TABLE_SINK", cls.sink),
         )

@@ -35,20 +35,24 @@ def insert_ignore(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def current_alerts(log: DataFrame) -> DataFrame:
-    """State of the alerts table after applying an append log in batch order.
+    """State of the alerts table after applying a log of alert versions.
 
-    Per (user_id, window_end) the last batch gives the values, while
-    ``window_start`` and ``created_at`` stay those of the first. Filters on the
-    keys, including the date partition, reach the scan."""
+    Per (user_id, window_end) the version with the last ``updated_at`` gives
+    the values, while ``window_start`` and ``created_at`` stay those of the
+    first. Versions of one alert collapse before the shuffle, and filters on
+    the keys, including the date partition, reach the scan."""
     keys = ["user_id", "window_end", *(["alert_date"] if "alert_date" in log.columns else [])]
-    kept = [name for name in ("window_start", "created_at") if name in log.columns]
     replaced = ["transaction_count", "total_amount", "is_fraud", "alert_reason"]
     folded = log.groupBy(*keys).agg(
-        *(F.min_by(name, "batch_id").alias(name) for name in kept),
-        F.max_by(F.struct(*replaced), "batch_id").alias("last"),
-        F.max("batch_id").alias("batch_id"),
+        F.min_by("window_start", "updated_at").alias("window_start"),
+        F.max_by(F.struct(*replaced), "updated_at").alias("last"),
+        F.min("created_at").alias("created_at"),
+        F.max("updated_at").alias("updated_at"),
+    )
+    dates = keys[2:]
+    return folded.select(
+        "user_id", "window_start", "window_end", "last.*", "created_at", "updated_at", *dates
     )
-    return folded.select(*keys, *kept, "last.*", "batch_id").select(*log.columns)
 
 
 def retained(rows: DataFrame, column: str, as_of: AsOf = None, days: int = 30) -> DataFrame:

@@ -55,13 +55,15 @@ ENRICHED_COLUMNS = [
     "alert_reason",
 ]
 
-# Stored layouts: the date columns are the partition directories.
+# Stored layouts. The last columns are the partition directories: the query and
+# the micro-batch that wrote the rows, then the date.
+_WRITTEN_BY = [T.StructField("query_id", T.StringType()), T.StructField("batch_id", T.LongType())]
+
 TRANSACTIONS_TABLE = T.StructType(
     TRANSACTION.fields
-    + [
-        T.StructField("ingested_at", T.TimestampType()),
-        T.StructField("event_date", T.DateType()),
-    ]
+    + [T.StructField("ingested_at", T.TimestampType())]
+    + _WRITTEN_BY
+    + [T.StructField("event_date", T.DateType())]
 )
 ALERTS_LOG = T.StructType(
     [
@@ -73,7 +75,8 @@ ALERTS_LOG = T.StructType(
         T.StructField("is_fraud", T.IntegerType()),
         T.StructField("alert_reason", T.StringType()),
         T.StructField("created_at", T.TimestampType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("alert_date", T.DateType()),
+        T.StructField("updated_at", T.TimestampType()),
     ]
+    + _WRITTEN_BY
+    + [T.StructField("alert_date", T.DateType())]
 )

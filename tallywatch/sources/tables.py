@@ -12,13 +12,13 @@ POSTGRES_DRIVER = "org.postgresql.Driver"
 
 
 def stored_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """The transactions table, partitioned by ``event_date``."""
-    return spark.read.schema(schema.TRANSACTIONS_TABLE).parquet(path)
+    """The transactions table; ``event_date`` is a partition column."""
+    return spark.read.schema(schema.TRANSACTIONS_TABLE).parquet(path).drop("query_id", "batch_id")
 
 
 def alerts_log(spark: SparkSession, path: str) -> DataFrame:
-    """Every version of every alert, partitioned by batch and ``alert_date``."""
-    return spark.read.schema(schema.ALERTS_LOG).parquet(path)
+    """Every version of every alert; ``alert_date`` is a partition column."""
+    return spark.read.schema(schema.ALERTS_LOG).parquet(path).drop("query_id", "batch_id")
 
 
 def stored_alerts(spark: SparkSession, path: str) -> DataFrame:

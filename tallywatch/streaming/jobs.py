@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,18 +11,14 @@ from tallywatch.functions.parse import accepted, counted, decode, quarantined
 from tallywatch.functions.rules import Rule
 from tallywatch.operators.profile import alerts, enrich
 from tallywatch.operators.tables import transactions_rows
-from tallywatch.streaming.sinks import append_batch
+from tallywatch.streaming.sinks import BatchWriter, append_batch
 
 EVERY_MINUTE = {"processingTime": "60 seconds"}
 
-BatchWriter = Callable[[DataFrame, int], None]
-
 
-def _to_files(rows: DataFrame, path: str, checkpoint: str, trigger: dict, *partition_by: str) -> StreamingQuery:
-    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    return writer.trigger(**trigger).start(path)
+def _start(rows: DataFrame, writer: BatchWriter, checkpoint: str, trigger: dict, mode: str = "append") -> StreamingQuery:
+    stream = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    return stream.trigger(**trigger).foreachBatch(writer).start()
 
 
 def _accepted(messages: DataFrame, cfg: RiskConfig) -> DataFrame:
@@ -53,14 +47,12 @@ def start_transactions_query(
     within: str | None = None,
     writer: BatchWriter | None = None,
 ) -> StreamingQuery:
-    """Stores each transaction once, as soon as it is decoded. The file sink
-    commits a micro-batch as a whole; ``writer`` replaces it."""
+    """Stores each transaction once, as soon as it is decoded. ``writer``
+    replaces the table of files as the sink."""
     rows = unique_transactions(_accepted(messages, cfg), within)
-    if writer:
-        stream = rows.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
-        return stream.trigger(**trigger).start()
+    # The time of a micro-batch is logged with its offsets, so a retry repeats it.
     dated = rows.withColumns({"ingested_at": F.current_timestamp(), "event_date": F.to_date("timestamp")})
-    return _to_files(dated, path, checkpoint, trigger, "event_date")
+    return _start(dated, writer or append_batch(path, "event_date"), checkpoint, trigger)
 
 
 def start_alerts_query(
@@ -77,9 +69,14 @@ def start_alerts_query(
     watermark passes its end; ``update`` emits its running values every batch
     for the upserting reader. Rows later than the watermark do not reach
     windows and are counted by ``late_rows``."""
-    stream = alerts(_accepted(messages, cfg), cfg, rules).writeStream.outputMode(mode)
-    stream = stream.foreachBatch(writer or append_batch(path)).option("checkpointLocation", checkpoint)
-    return stream.trigger(**trigger).start()
+    versions = alerts(_accepted(messages, cfg), cfg, rules).withColumns(
+        {
+            "created_at": F.current_timestamp(),
+            "updated_at": F.current_timestamp(),
+            "alert_date": F.to_date("window_end"),
+        }
+    )
+    return _start(versions, writer or append_batch(path, "alert_date"), checkpoint, trigger, mode)
 
 
 def start_enriched_query(
@@ -91,15 +88,15 @@ def start_enriched_query(
     rules: list[Rule] | None = None,
 ) -> StreamingQuery:
     """Emits each transaction with its window's totals when the window closes."""
-    rows = enrich(_accepted(messages, cfg), cfg, rules)
-    return _to_files(rows.withColumn("event_date", F.to_date("timestamp")), path, checkpoint, trigger, "event_date")
+    rows = enrich(_accepted(messages, cfg), cfg, rules).withColumn("event_date", F.to_date("timestamp"))
+    return _start(rows, append_batch(path, "event_date"), checkpoint, trigger)
 
 
 def start_quarantine_query(
     messages: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_MINUTE
 ) -> StreamingQuery:
     """Keeps the messages that could not be decoded."""
-    return _to_files(quarantined(decode(messages)), path, checkpoint, trigger)
+    return _start(quarantined(decode(messages)), append_batch(path), checkpoint, trigger)
 
 
 def late_rows(query: StreamingQuery) -> int:

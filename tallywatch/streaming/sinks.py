@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallywatch import schema
 from tallywatch.config import JobConfig
 from tallywatch.operators.tables import current_alerts
 from tallywatch.sources.tables import alerts_log, jdbc_properties, stored_transactions
 
+BatchWriter = Callable[[DataFrame, int], None]
+
 JDBC_BATCH = {"transactions": 100, "fraud_alerts": 50}
 CONFLICT_KEYS = {"transactions": ["transaction_id"], "fraud_alerts": ["user_id", "window_end"]}
 INSERT_COLUMNS = {"transactions": schema.TRANSACTION_COLUMNS, "fraud_alerts": schema.ALERT_COLUMNS}
@@ -22,47 +23,49 @@ REPLACED = {
 }
 
 
-def append_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink for alerts: each micro-batch owns the directory of its id and
-    replaces it when retried, so a batch is stored once however often it runs."""
+def append_batch(path: str, *partition_by: str) -> BatchWriter:
+    """Sink for a table of files. A micro-batch owns one directory, named after
+    the query (whose id lives in its checkpoint) and the batch, and replaces it
+    when retried: each batch is stored once however often it runs, and a query
+    with a new checkpoint never touches what an older one wrote."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumns(
-            {"created_at": F.current_timestamp(), "alert_date": F.to_date("window_end")}
-        )
-        stamped.write.mode("overwrite").partitionBy("alert_date").parquet(f"{path}/batch_id={batch_id}")
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query_id is None:
+            raise RuntimeError("append_batch must be called by a streaming query")
+        writer = batch.write.mode("overwrite").partitionBy(*partition_by)
+        writer.parquet(f"{path}/query_id={query_id}/batch_id={batch_id}")
 
     return write
 
 
+def _rewrite(rows: DataFrame, target: str, date: str, *order: str) -> None:
+    """Stores ``rows`` in a new folder, in files of even size however many rows
+    one date holds, sorted so that filters skip row groups."""
+    even = rows.hint("rebalance", date).sortWithinPartitions(*order)
+    even.write.partitionBy(date).parquet(f"{target}/query_id=compacted/batch_id=0")
+
+
 def compact_alerts(spark: SparkSession, source: str, target: str) -> None:
     """Folds an alert log into one version per alert under ``target``, a new
-    path, in evenly sized files. Later batches can be appended to it."""
-    folded = current_alerts(alerts_log(spark, source))
-    even = folded.hint("rebalance", "alert_date").sortWithinPartitions("window_end", "user_id")
-    # One directory name for all: per-row ids would scatter the files again.
-    latest = alerts_log(spark, source).agg(F.max("batch_id")).first()[0]
-    if latest is None:
-        return
-    even.drop("batch_id").write.partitionBy("alert_date").parquet(f"{target}/batch_id={latest}")
+    path. A streaming query can go on appending there."""
+    _rewrite(current_alerts(alerts_log(spark, source)), target, "alert_date", "window_end", "user_id")
 
 
 def compact_transactions(spark: SparkSession, source: str, target: str) -> None:
-    """Rewrites the transactions table under ``target``, a new path, in evenly
-    sized files sorted by time so that time filters skip row groups."""
-    rows = stored_transactions(spark, source)
-    even = rows.hint("rebalance", "event_date").sortWithinPartitions("timestamp")
-    even.write.partitionBy("event_date").parquet(target)
+    """Rewrites the transactions table under ``target``, a new path."""
+    _rewrite(stored_transactions(spark, source), target, "event_date", "timestamp")
 
 
 def merge_statement(table: str, staging: str) -> str:
     """One SQL statement that moves staged rows into ``table``: insert-ignore
     for transactions, upsert for alerts."""
     columns = ", ".join(INSERT_COLUMNS[table])
+    values = columns.replace("transaction_id", "CAST(transaction_id AS UUID)")
     keys = ", ".join(CONFLICT_KEYS[table])
     updates = ", ".join(f"{name} = EXCLUDED.{name}" for name in REPLACED[table])
     action = f"DO UPDATE SET {updates}" if updates else "DO NOTHING"
-    return f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging} ON CONFLICT ({keys}) {action}"
+    return f"INSERT INTO {table} ({columns}) SELECT {values} FROM {staging} ON CONFLICT ({keys}) {action}"
 
 
 def _execute(spark: SparkSession, job: JobConfig, statement: str) -> None:
@@ -78,7 +81,7 @@ def _execute(spark: SparkSession, job: JobConfig, statement: str) -> None:
         connection.close()
 
 
-def jdbc_merge(job: JobConfig, table: str) -> Callable[[DataFrame, int], None]:
+def jdbc_merge(job: JobConfig, table: str) -> BatchWriter:
     """Sink for a database table: executors write the batch to a staging table
     with batched inserts, then one statement merges it. Both steps can be
     repeated. Needs the database's JDBC driver, so the tests cover only the
@@ -86,8 +89,8 @@ def jdbc_merge(job: JobConfig, table: str) -> Callable[[DataFrame, int], None]:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         staging = f"{table}_staging"
-        batch.select(*INSERT_COLUMNS[table]).write.mode("overwrite").option(
-            "batchsize", JDBC_BATCH[table]
+        batch.select(*INSERT_COLUMNS[table]).write.mode("overwrite").options(
+            batchsize=JDBC_BATCH[table], truncate=True
         ).jdbc(job.jdbc_url, staging, properties=jdbc_properties(job))
         _execute(batch.sparkSession, job, merge_statement(table, staging))
 

@@ -1,0 +1,132 @@
+"""Every kind of message: accepted, defaulted or quarantined."""
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywatch.functions.parse import counted, decode, parse_transactions
+from tallywatch.operators.tables import transactions_rows
+
+LONG = "x" * 256
+
+REJECTED = {
+    '{"user_id":1,"amount":null}': "null_amount",
+    '{"user_id":1,"amount":"abc"}': "bad_amount",
+    '{"user_id":1,"amount":true}': "bad_amount",
+    '{"user_id":1,"amount":NaN}': "bad_json",
+    '{"user_id":1,"amount":123456789.50}': "bad_amount",
+    '{"user_id":1.7,"amount":1}': "bad_user",
+    '{"user_id":null,"amount":1}': "bad_user",
+    '{"user_id":{"a":1},"amount":5}': "bad_user",
+    '{"amount":3}': "missing_user",
+    "{}": "missing_user",
+    "{bad": "bad_json",
+    "": "bad_json",
+    "   ": "bad_json",
+    '{"user_id":1,"amount":5, bad': "bad_json",
+    '{"user_id":1,"amount":1,}': "bad_json",
+    "{'user_id':1,'amount':2}": "bad_json",
+    '{"user_id":1,"amount":1}x': "bad_json",
+    '{"user_id":1,"amount":1}{"user_id":2}': "bad_json",
+    '{"user_id":1,"amount":1},{"user_id":2}': "bad_json",
+    '{"user_id":1,"amount":1}]': "bad_json",
+    "null": "not_object",
+    "5": "not_object",
+    '"text"': "not_object",
+    "[1]": "not_object",
+    '[{"user_id":3}]': "not_object",
+    '{"user_id":1,"timestamp":null}': "null_timestamp",
+    '{"user_id":1,"timestamp":"noon"}': "bad_timestamp",
+    '{"user_id":1,"timestamp":99999999999999999}': "bad_timestamp",
+    '{"user_id":1,"city":null}': "null_city",
+    '{"user_id":1,"merchant_category":null}': "null_merchant_category",
+    f'{{"user_id":1,"city":"{LONG}"}}': "long_city",
+    f'{{"user_id":1,"merchant_category":"{LONG}"}}': "long_merchant_category",
+}
+
+ACCEPTED = {
+    '{"user_id":1,"amount":2.5,"extra":[1,{"a":2}]}': (1, "2.50"),
+    '{"user_id":1}': (1, "0.00"),
+    '{"user_id":"7","amount":"12.5"}': (7, "12.50"),
+    '{"user_id":1,"amount":1e3}': (1, "1000.00"),
+    '{"user_id":1,"amount":-3}': (1, "-3.00"),
+    '{"user_id":1,"amount":5,"amount":6}': (1, "6.00"),
+    ' {"user_id":1,"amount":2} \r\n': (1, "2.00"),
+    '{"user_id":1,"amount":12.345}': (1, "12.35"),
+    '{"user_id":1,"city":"}","amount":4}': (1, "4.00"),
+    '{"user_id":9007199254740993,"amount":1}': (9007199254740993, "1.00"),
+}
+
+
+@pytest.fixture(scope="module")
+def parsed(spark):
+    messages = spark.createDataFrame([(text,) for text in [*REJECTED, *ACCEPTED, None]], "value string")
+    good, bad = parse_transactions(messages)
+    return good.collect(), bad.collect()
+
+
+def test_quarantine_names_the_reason(parsed):
+    assert {row.value: row.reject_reason for row in parsed[1]} == {**REJECTED, None: "bad_json"}
+
+
+def test_accepted_messages(parsed):
+    assert sorted((row.user_id, row.amount) for row in parsed[0]) == sorted(
+        (user, Decimal(amount)) for user, amount in ACCEPTED.values()
+    )
+
+
+def test_absent_fields_take_defaults(spark):
+    good, _ = parse_transactions(spark.createDataFrame([('{"user_id":1}',)], "value string"))
+    (row,) = good.withColumn("millis", F.unix_millis("timestamp")).collect()
+    assert (row.amount, row.city, row.merchant_category, row.currency) == (Decimal("0.00"), "", "", "USD")
+    assert row.millis == 0 and row.transaction_id is None
+
+
+def test_milliseconds_are_kept(spark):
+    good, _ = parse_transactions(
+        spark.createDataFrame([('{"user_id":1,"timestamp":1700000040123}',)], "value string")
+    )
+    (row,) = good.select(F.unix_millis("timestamp").alias("ms"), F.col("timestamp").cast("string").alias("t")).collect()
+    assert (row.ms, row.t) == (1700000040123, "2023-11-14 22:14:00.123")
+
+
+@pytest.mark.parametrize("keep, expected", [(False, ["USD", "USD"]), (True, ["EUR", "USD"])])
+def test_currency(spark, keep, expected):
+    texts = ['{"user_id":1,"currency":"EUR"}', '{"user_id":2}']
+    good, _ = parse_transactions(spark.createDataFrame([(t,) for t in texts], "value string"), keep)
+    assert [row.currency for row in good.orderBy("user_id").collect()] == expected
+
+
+def test_id_comes_from_the_position_when_absent(spark):
+    rows = [('{"user_id":1}', "t/0/1"), ('{"user_id":1}', "t/0/2"), ('{"user_id":1,"transaction_id":"own"}', "t/0/3")]
+    messages = spark.createDataFrame(rows, "value string, position string")
+    first, again = (
+        [row.transaction_id for row in parse_transactions(messages)[0].orderBy("transaction_id").collect()]
+        for _ in range(2)
+    )
+    assert first == again and len(set(first)) == 3 and "own" in first
+    assert all(len(i) == 36 for i in first if i != "own")
+
+
+def test_id_is_random_where_there_is_no_position(spark):
+    messages = spark.createDataFrame([('{"user_id":1}',)] * 3, "value string")
+    ids = [row.transaction_id for row in transactions_rows(parse_transactions(messages)[0]).collect()]
+    assert len(set(ids)) == 3
+
+
+def test_each_message_is_parsed_once(spark):
+    messages = spark.createDataFrame([("{}",)], "value string")
+    plan = parse_transactions(messages)[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1 and "Generate" in plan
+
+
+def test_counts_are_observed(spark):
+    from pyspark.sql import Observation
+
+    messages = spark.createDataFrame([('{"user_id":1}',), ("{bad",), ("5",)], "value string")
+    seen = Observation("seen")
+    decode(messages).observe(seen, F.count(F.lit(1)).alias("messages"), F.count("reject_reason").alias("rejected")).collect()
+    assert seen.get == {"messages": 3, "rejected": 2}
+    assert counted(decode(messages)).count() == 3

@@ -1,0 +1,176 @@
+"""Views, display projections and the snapshot document."""
+
+import json
+from datetime import timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywatch.config import RiskConfig
+from tallywatch.functions.formatting import clock_time, currency, round_half_up
+from tallywatch.operators.profile import alerts
+from tallywatch.plans import reports, views
+from tallywatch.sources.events import from_events
+
+from .conftest import T0, TESTDATA, rows_of
+
+AS_OF = "2024-01-31 00:00:00"
+DAILY = RiskConfig(window="1 day", amount_threshold=Decimal("300"))
+NOON = str(T0)
+
+
+# Counts that two engines agreed on beforehand, per scale.
+GOLDEN = {
+    "sf0.001": {
+        "stats": (28, 2, "534.88", 15),
+        "by_city": {"1 hour": (2, 13, "534.88"), "24 hours": (2, 13, "534.88"), "30 days": (14, 143, "9414.19")},
+        "minutes": {"1 hour": 1, "24 hours": 40},
+    },
+    "sf0.01": {
+        "stats": (268, 19, "7246.77", 149),
+        "by_city": {"1 hour": (7, 41, "2832.60"), "24 hours": (14, 94, "7246.77"), "30 days": (25, 1552, "113387.25")},
+        "minutes": {"1 hour": 13, "24 hours": 293},
+    },
+}
+
+
+@pytest.mark.parametrize("scale", GOLDEN)
+def test_golden_values(spark, scale):
+    golden = GOLDEN[scale]
+    tx = from_events(spark, f"{TESTDATA}/{scale}")
+    found = alerts(tx, DAILY).cache()
+    total, fraud, amount, users = golden["stats"]
+    assert tuple(views.fraud_stats(found, AS_OF).first()) == (total, fraud, Decimal(amount), users)
+    for span, (cities, count, amount) in golden["by_city"].items():
+        rows = views.fraud_by_city(tx, found, AS_OF, span, bin_width="1 day").collect()
+        assert (len(rows), sum(r.fraud_count for r in rows), sum(r.total_fraud_amount for r in rows)) == (
+            cities,
+            count,
+            Decimal(amount),
+        )
+    for span, count in golden["minutes"].items():
+        assert views.transactions_per_minute(tx, AS_OF, span=span).count() == count
+    found.unpersist()
+
+
+def test_approximate_users_are_close(spark):
+    found = alerts(from_events(spark, f"{TESTDATA}/sf0.01"), DAILY)
+    exact = views.fraud_stats(found, AS_OF).first().unique_users_flagged
+    assert abs(views.fraud_stats(found, AS_OF, approx=True).first().unique_users_flagged - exact) < exact * 0.2
+
+
+def test_per_minute_order_bound_and_future(transactions):
+    tx = transactions([(1, -3600, 1), (1, -3601, 2), (1, 61, 3), (1, 62, 4.5), (1, 10**6, 5)])
+    rows = views.transactions_per_minute(tx, NOON).collect()
+    assert [(r.transaction_count, r.total_volume, r.avg_amount) for r in rows] == [
+        (1, Decimal("5.00"), 5.0),
+        (2, Decimal("7.50"), 3.75),
+        (1, Decimal("1.00"), 1.0),
+    ]
+    assert views.transactions_per_minute(tx, NOON, ascending=True).collect() == rows[::-1]
+
+
+def test_city_counts_transactions_and_breaks_ties_by_name(transactions):
+    tx = transactions(
+        [(1, s, 600, city) for s, city in enumerate(["B", "A", "B", "A", "C", "C"])] + [(2, 0, 1, "A"), (1, 60, 1, "A")]
+    )
+    rows = views.fraud_by_city(tx, alerts(tx, RiskConfig()), NOON).collect()
+    assert [tuple(row) for row in rows] == [(c, 2, Decimal("1200.00")) for c in "ABC"]
+
+
+def test_stats_without_fraud(transactions):
+    found = alerts(transactions([(1, 0, 1), (2, 0, 1), (1, 60, 1)]), RiskConfig())
+    assert tuple(views.fraud_stats(found, NOON).first()) == (3, 0, None, 2)
+    assert tuple(views.fraud_stats(found, NOON, zero_fill=True).first()) == (3, 0, Decimal("0.00"), 2)
+
+
+def test_recent_alerts_ties_and_limit(transactions):
+    tx = transactions([(user, 0, 5000) for user in range(40, 0, -1)] + [(99, 60, 5000), (98, 120, 1)])
+    found = alerts(tx, RiskConfig())
+    assert [r.user_id for r in views.recent_alerts(found).collect()] == [99, *range(1, 20)]
+    assert views.recent_alerts(found, 10, columns=None).columns == found.columns
+    sample = views.sample_alerts(found).collect()
+    assert len(sample) == 10 and {row.is_fraud for row in sample} == {1}
+
+
+def test_table_counts(transactions):
+    tx = transactions([(1, 0, 5000), (2, 0, 1)])
+    assert rows_of(views.table_counts(tx, alerts(tx, RiskConfig())), "*") == [("fraud_alerts", 1), ("transactions", 2)]
+
+
+def test_registered_views(spark, transactions):
+    tx = transactions([(1, 0, 5000, "A"), (2, 0, 1, "B")])
+    views.register_views(spark, tx, alerts(tx, RiskConfig()), NOON)
+    assert spark.sql("select * from fraud_stats_24h").columns == [
+        "total_alerts", "fraud_count", "fraud_total_amount", "unique_users_flagged"]
+    assert [tuple(r) for r in spark.sql("select city, fraud_count from fraud_by_city").collect()] == [("A", 1)]
+    assert spark.sql("select sum(transaction_count) from transactions_per_minute").first()[0] == 2
+    assert spark.sql("select * from fraud_alerts where is_fraud = 1 order by window_end desc limit 10").count() == 1
+    assert spark.sql("select count(*) from transactions").first()[0] == 2
+
+
+def test_now_is_the_default(spark, transactions):
+    recent = transactions([(1, 0, 1)]).withColumn("timestamp", F.current_timestamp() - F.expr("INTERVAL 30 MINUTES"))
+    assert views.transactions_per_minute(recent).count() == 1
+    assert views.transactions_per_minute(transactions([(1, 0, 1)])).count() == 0
+
+
+@pytest.mark.parametrize(
+    "amount, dollars, whole",
+    [("0.00", "$0", 0), ("0.50", "$1", 1), ("2.50", "$3", 3), ("-2.50", "-$3", -2), ("-2.51", "-$3", -3),
+     ("1234.49", "$1,234", 1234), ("1234567.50", "$1,234,568", 1234568), ("-0.40", "-$0", 0)],
+)
+def test_money(spark, amount, dollars, whole):
+    frame = spark.createDataFrame([(Decimal(amount),)], "a decimal(20,2)")
+    assert tuple(frame.select(currency(F.col("a")), round_half_up(F.col("a"))).first()) == (dollars, whole)
+
+
+@pytest.mark.parametrize("clock, shown", [("00:00", "12:00 AM"), ("09:05", "09:05 AM"), ("12:30", "12:30 PM"), ("23:59", "11:59 PM")])
+def test_clock(spark, clock, shown):
+    assert spark.range(1).select(clock_time(F.lit(f"2024-01-01 {clock}:00").cast("timestamp"))).first()[0] == shown
+
+
+def test_display_rows(transactions):
+    tx = transactions([(7, 0, 3000.50), (7, 61, 12.49), (7, 62, 0.01)])
+    found = alerts(tx, RiskConfig())
+    points = reports.chart_series(views.transactions_per_minute(tx, NOON, ascending=True, zero_fill=True)).collect()
+    assert [tuple(p)[1:] for p in points] == [("12:00 PM", 1, 3001), ("12:01 PM", 2, 13)]
+    (row,) = reports.recent_alerts_display(views.recent_alerts(found)).collect()
+    assert tuple(row)[1:] == ("#7", "$3,001", 1, "12:01 PM")
+    (cards,) = reports.kpi_cards(views.fraud_stats(found, NOON, zero_fill=True)).collect()
+    assert tuple(cards) == (1, "$3,001", 2, 1, 1.0)
+
+
+def test_progress_stops_at_100(transactions):
+    found = alerts(transactions([(user, 0, 5000) for user in range(150)]), RiskConfig())
+    assert reports.kpi_cards(views.fraud_stats(found, NOON)).first().progress == 100.0
+
+
+def test_snapshot_document(transactions):
+    tx = transactions([(7, 0, 3000.50), (8, 61, 12.49), (3, 0, 4000)])
+    snapshot = reports.stats_snapshot(tx, alerts(tx, RiskConfig()), NOON).collect()
+    assert len(snapshot) == 1
+    end = (T0 + timedelta(minutes=1)).strftime("%Y-%m-%dT%H:%M:%S.000Z")
+
+    def alert(user, total):
+        return {"user_id": user, "window_end": end, "transaction_count": 1, "total_amount": total,
+                "alert_reason": f"High total amount: ${total:.2f}"}
+
+    def minute(number, count, total):
+        at = (T0 + timedelta(minutes=number)).strftime("%Y-%m-%dT%H:%M:%S.000Z")
+        return {"minute": at, "transaction_count": count, "total_volume": total, "avg_amount": total / count}
+
+    assert json.loads(snapshot[0].document) == {
+        "fraudStats": {"total_alerts": 3, "fraud_count": 2, "fraud_total_amount": 7000.5, "unique_users_flagged": 3},
+        "transactionsPerMinute": [minute(0, 2, 7000.5), minute(1, 1, 12.49)],
+        "recentAlerts": [alert(3, 4000.0), alert(7, 3000.5)],
+        "timestamp": "2024-01-01T12:00:00.000Z",
+    }
+
+
+def test_snapshot_of_nothing(transactions):
+    empty = transactions([(1, 0, 1)]).where("false")
+    document = json.loads(reports.stats_snapshot(empty, alerts(empty, RiskConfig()), NOON).first().document)
+    assert document["transactionsPerMinute"] == [] and document["recentAlerts"] == []
+    assert document["fraudStats"]["total_alerts"] == 0 and document["fraudStats"]["fraud_total_amount"] == 0

@@ -1,0 +1,63 @@
+"""Hand-written windows with their exact flags and reasons."""
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywatch.config import RiskConfig
+from tallywatch.functions.rules import Rule, alert_feed
+from tallywatch.operators.profile import alerts
+
+CASES = {
+    "limit of the amount": ([3000.00], 0, "Normal activity"),
+    "just above the amount": ([3000.01], 1, "High total amount: $3000.01"),
+    "limit of the count": ([20.00] * 5, 0, "Normal activity"),
+    "above the count": ([100.00] * 6, 1, "High transaction count: 6"),
+    "both": ([500.00] * 7, 1, "High total amount: $3500.00; High transaction count: 7"),
+    "no grouping": ([1234567.50], 1, "High total amount: $1234567.50"),
+    "negatives": ([-50.00, 3050.00], 0, "Normal activity"),
+    "cents add up exactly": ([0.1] * 3 + [2999.70], 0, "Normal activity"),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_default_rules(transactions, name):
+    amounts, flag, reason = CASES[name]
+    tx = transactions([(1, second, amount) for second, amount in enumerate(amounts)])
+    (row,) = alerts(tx, RiskConfig()).collect()
+    assert (row.transaction_count, row.total_amount) == (len(amounts), sum(Decimal(str(a)) for a in amounts))
+    assert (row.is_fraud, row.alert_reason) == (flag, reason)
+
+
+def test_burst_across_two_windows_does_not_fire(transactions):
+    tx = transactions([(1, 55.5 + 1.5 * step, 100.00) for step in range(6)])
+    rows = alerts(tx, RiskConfig()).collect()
+    assert [(row.transaction_count, row.is_fraud) for row in rows] == [(3, 0), (3, 0)]
+
+
+def test_users_never_mix(transactions):
+    tx = transactions([(user, second, 900) for user in (1, 2) for second in range(3)])
+    assert {row.is_fraud for row in alerts(tx, RiskConfig()).collect()} == {0}
+
+
+def test_thresholds_are_parameters(transactions):
+    cfg = RiskConfig(window="1 hour", amount_threshold=Decimal("10.50"), count_threshold=1)
+    (row,) = alerts(transactions([(1, 0, 5.25), (1, 1800, 5.25)]), cfg).collect()
+    assert row.alert_reason == "High transaction count: 2"
+
+
+def test_rules_are_data(transactions):
+    own = [
+        Rule("sql", "transaction_count = 1", "'single'"),
+        Rule("column", F.col("total_amount") > 5, F.lit("large")),
+        Rule("unknown is no hit", "CAST(NULL AS BOOLEAN)", "'never'"),
+    ]
+    tx = transactions([(1, 0, 9), (2, 0, 1), (3, 0, 1), (3, 1, 1)])
+    rows = {row.user_id: (row.is_fraud, row.alert_reason) for row in alerts(tx, RiskConfig(), own).collect()}
+    assert rows == {1: (1, "single; large"), 2: (1, "single"), 3: (0, "Normal activity")}
+
+
+def test_feed_names_fraudulent_windows_only(transactions):
+    feed = alert_feed(alerts(transactions([(7, 0, 3000.01), (8, 0, 1)]), RiskConfig()))
+    assert [row.message for row in feed.collect()] == ["🚨 FRAUD ALERT: User 7 - High total amount: $3000.01"]
