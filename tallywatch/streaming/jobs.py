@@ -100,7 +100,8 @@ def start_quarantine_query(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the query's recent batches dropped as later than the watermark."""
+    """What the query's recent batches dropped as later than the watermark.
+    Late rows of one window that a map task had already summed count as one."""
     return sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress
