@@ -40,7 +40,7 @@ class RiskConfig:
 class JobConfig:
     """Where a job reads and writes."""
 
-    brokers: str = "redpanda:9092"
+    brokers: str = "localhost:9092"
     topic: str = "financial_transactions"
     group_id: str = "tallywatch"
     starting_offsets: str = "latest"

@@ -1,0 +1,57 @@
+"""The merge statement, run on staged rows in an in-process database, and the
+job's settings."""
+
+import duckdb
+import pytest
+
+from tallywatch.config import JobConfig
+from tallywatch.sources.tables import jdbc_properties
+from tallywatch.streaming.sinks import merge_statement
+
+TRANSACTIONS = """CREATE TABLE transactions (transaction_id UUID UNIQUE, user_id INTEGER, timestamp TIMESTAMPTZ,
+    amount DECIMAL(10,2), currency VARCHAR, city VARCHAR, merchant_category VARCHAR)"""
+ALERTS = """CREATE TABLE fraud_alerts (user_id INTEGER, window_start TIMESTAMPTZ, window_end TIMESTAMPTZ,
+    transaction_count INTEGER, total_amount DECIMAL(10,2), is_fraud SMALLINT, alert_reason TEXT,
+    UNIQUE (user_id, window_end))"""
+
+
+@pytest.fixture
+def database():
+    connection = duckdb.connect()
+    connection.execute("SET TimeZone = 'UTC'")
+    return connection
+
+
+def test_transactions_are_insert_ignored(database):
+    database.execute(TRANSACTIONS)
+    row = "'6b1f0000-0000-0000-0000-00000000000{}', {}, TIMESTAMP '2024-01-01', 5.00, 'USD', 'Here', 'retail'"
+    staged = "CREATE OR REPLACE TABLE transactions_staging AS SELECT * FROM (VALUES {}) t(transaction_id, user_id, timestamp, amount, currency, city, merchant_category)"
+    for users in ((1, 2), (9, 3)):
+        values = ", ".join(f"({row.format(i if users[0] == 1 else i + 1, user)})" for i, user in enumerate(users))
+        database.execute(staged.format(values))
+        database.execute(merge_statement("transactions", "transactions_staging"))
+    assert database.execute("SELECT user_id FROM transactions ORDER BY transaction_id").fetchall() == [(1,), (2,), (3,)]
+
+
+def test_alerts_are_upserted_and_keep_the_first_start(database):
+    database.execute(ALERTS)
+    staged = """CREATE OR REPLACE TABLE fraud_alerts_staging AS SELECT 1 user_id, TIMESTAMP '2024-01-01 10:0{}:00'
+        window_start, TIMESTAMP '2024-01-01 10:05:00' window_end, {} transaction_count, 7.50 total_amount,
+        0 is_fraud, 'r{}' alert_reason"""
+    for minute, count in ((4, 1), (3, 2)):
+        database.execute(staged.format(minute, count, count))
+        database.execute(merge_statement("fraud_alerts", "fraud_alerts_staging"))
+    rows = database.execute("SELECT minute(window_start), transaction_count, alert_reason FROM fraud_alerts").fetchall()
+    assert rows == [(4, 2, "r2")]
+
+
+def test_settings_come_from_the_environment():
+    assert JobConfig.from_env({}) == JobConfig()
+    job = JobConfig.from_env(
+        {"KAFKA_BOOTSTRAP_SERVERS": "b:1", "INPUT_TOPIC": "t", "JDBC_URL": "jdbc:x", "POSTGRES_USER": "u",
+         "POSTGRES_PASSWORD": "p", "MAX_OFFSETS_PER_TRIGGER": "10", "TABLE_SINK": "jdbc"}
+    )
+    assert (job.brokers, job.topic, job.jdbc_url, job.max_offsets_per_trigger, job.sink) == ("b:1", "t", "jdbc:x", 10, "jdbc")
+    assert jdbc_properties(job)["user"] == "u" and jdbc_properties(job)["password"] == "p"
+    with pytest.raises(ValueError):
+        JobConfig(sink="tape")

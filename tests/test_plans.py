@@ -1,0 +1,179 @@
+"""Physical plans: what is pushed down, pruned, pre-aggregated and split."""
+
+import re
+from datetime import timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as spark_entry
+from tallywatch.config import RiskConfig
+from tallywatch.functions.time import since
+from tallywatch.operators.interval_join import interval_join
+from tallywatch.operators.profile import alerts, enrich, window_profile
+from tallywatch.plans import views
+from tallywatch.sources.events import from_events
+from tallywatch.sources.tables import stored_alerts, stored_transactions
+from tallywatch.streaming import sinks
+
+from .conftest import T0, TESTDATA, rows_of
+
+SF = f"{TESTDATA}/sf0.001"
+AS_OF = "2024-01-31 00:00:00"
+BATCH_QUERIES = [name for name in spark_entry.queries() if not name.startswith("streaming")]
+
+
+def plan(frame, formatted=False):
+    execution = frame._jdf.queryExecution()
+    return execution.executedPlan().toString() if not formatted else execution.toString()
+
+
+@pytest.mark.parametrize("name", BATCH_QUERIES)
+def test_no_python_no_cross_join(spark, name):
+    text = plan(spark_entry.queries()[name](spark, SF))
+    for unwanted in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert unwanted not in text, (name, unwanted)
+
+
+@pytest.mark.parametrize("name", ["window_profile", "alerts", "fraud_stats", "transactions_per_minute", "fraud_by_city"])
+def test_sums_start_before_the_shuffle(spark, name):
+    assert "partial_count" in plan(spark_entry.queries()[name](spark, SF))
+
+
+def test_scan_reads_needed_columns_only(spark):
+    text = plan(window_profile(from_events(spark, SF), RiskConfig()))
+    (schema,) = re.findall(r"ReadSchema: (struct<ts[^>]*>)", text)
+    assert schema == "struct<ts:timestamp_ntz,user_id:bigint,value:double>"
+
+
+def test_time_filter_reaches_the_scan(spark):
+    text = plan(views.transactions_per_minute(from_events(spark, SF), AS_OF))
+    assert "GreaterThanOrEqual(ts,2024-01-30T23:00" in text
+
+
+def test_top_alerts_are_not_fully_sorted(spark):
+    assert "TakeOrderedAndProject" in plan(spark_entry.queries()["recent_alerts"](spark, SF))
+
+
+def test_both_sides_of_the_enrichment_join_are_shuffled_by_salt(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(enrich(from_events(spark, SF), RiskConfig()))
+    assert len(re.findall(r"Exchange hashpartitioning\(user_id#\w+, window#[\w-]+, salt#\w+", text)) == 2
+    assert "SortMergeJoin" in text
+
+
+@pytest.fixture
+def hot_user(spark):
+    """Most of 60,000 transactions belong to one user's single window."""
+    when = F.lit(str(T0)).cast("timestamp") + F.make_dt_interval(secs=F.col("id") % 50)
+    return spark.range(0, 60_000, 1, 16).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id")).cast("bigint").alias("user_id"),
+        when.alias("timestamp"),
+        F.lit(Decimal("1.00")).alias("amount"),
+        F.lit("USD").alias("currency"),
+        F.lit("Here").alias("city"),
+        F.sha2(F.col("id").cast("string"), 512).alias("merchant_category"),
+    )
+
+
+@pytest.fixture
+def small_shuffles(conf):
+    """Makes adaptive execution see skew at test size."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "300KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2.0")
+
+
+def final_plan(frame):
+    frame.collect()
+    return plan(frame)
+
+
+def test_skewed_enrichment_is_split(hot_user, small_shuffles):
+    enriched = enrich(hot_user, RiskConfig(salts=1))
+    assert "skew=true" in final_plan(enriched)
+    assert enriched.where("user_id = 1 and transaction_count = 54000").count() == 54_000
+
+
+def test_skewed_interval_join_is_split(hot_user, small_shuffles):
+    found = alerts(hot_user, RiskConfig()).select("user_id", "window_start", "window_end")
+    joined = interval_join(hot_user, found, "1 minute")
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == 60_000
+
+
+@pytest.fixture
+def stored(spark, tmp_path, transactions):
+    """Thirty days of stored transactions and alerts in their date folders."""
+    days = [(user, day * 86400, 4000) for day in range(30) for user in range(3)]
+    tx = transactions(days)
+    now = F.current_timestamp()
+    tx.withColumns({"ingested_at": now, "event_date": F.to_date("timestamp")}).write.partitionBy("event_date").parquet(
+        str(tmp_path / "tx/query_id=a/batch_id=0")
+    )
+    found = alerts(tx, RiskConfig()).withColumns(
+        {"created_at": now, "updated_at": now, "alert_date": F.to_date("window_end")}
+    )
+    found.write.partitionBy("alert_date").parquet(str(tmp_path / "alerts/query_id=a/batch_id=0"))
+    return stored_transactions(spark, str(tmp_path / "tx")), stored_alerts(spark, str(tmp_path / "alerts"))
+
+
+def files_read(frame):
+    """Files that each scan of the executed plan and its subqueries opened."""
+    frame.collect()
+    counts = []
+
+    def visit(node):
+        name = node.nodeName()
+        if name.startswith("Scan"):
+            counts.append(node.metrics().apply("numFiles").value())
+        if name == "AdaptiveSparkPlan":
+            return visit(node.executedPlan())
+        if "QueryStage" in name:
+            return visit(node.plan())
+        children = node.children()
+        for index in range(children.length()):
+            visit(children.apply(index))
+
+    visit(frame._jdf.queryExecution().executedPlan())
+    return counts
+
+
+def test_old_days_are_not_read(stored):
+    tx, found = stored
+    now = str(T0 + timedelta(days=29, minutes=2))
+    assert files_read(since(tx, "timestamp", now, "1 hour")) == [1]
+    assert files_read(views.fraud_stats(found, now)) == [2]
+    assert files_read(views.recent_alerts(since(found, "window_end", now, "1 hour"))) == [1]
+
+
+def test_transactions_are_read_for_the_alerts_days_only(stored):
+    tx, found = stored
+    now = str(T0 + timedelta(days=29, minutes=2))
+    by_city = views.fraud_by_city(tx, found, now)
+    assert [row.fraud_count for row in by_city.collect()] == [3]
+    assert max(files_read(by_city)) == 1
+
+
+def test_compaction_splits_a_hot_date(spark, stored, tmp_path, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
+    one_day = spark.range(0, 20_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"),
+        F.col("id").alias("user_id"),
+        F.lit(str(T0)).cast("timestamp").alias("timestamp"),
+        F.lit(Decimal("1.00")).alias("amount"),
+        F.lit("USD").alias("currency"),
+        F.lit("Here").alias("city"),
+        F.lit("retail").alias("merchant_category"),
+        F.current_timestamp().alias("ingested_at"),
+        F.lit("2024-01-01").cast("date").alias("event_date"),
+    )
+    one_day.write.partitionBy("event_date").parquet(str(tmp_path / "hot/query_id=a/batch_id=0"))
+    sinks.compact_transactions(spark, str(tmp_path / "hot"), str(tmp_path / "even"))
+    written = stored_transactions(spark, str(tmp_path / "even"))
+    assert len(written.inputFiles()) > 2 and written.count() == 20_000
+    assert rows_of(written.agg(F.countDistinct("transaction_id")), "*") == [(20_000,)]
