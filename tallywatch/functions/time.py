@@ -23,6 +23,11 @@ def as_of_column(as_of: AsOf) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
+def utc_date(instant: Column) -> Column:
+    """Calendar day in UTC, whatever the session time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
+
+
 def since(rows: DataFrame, column: str, as_of: AsOf, span: str) -> DataFrame:
     """Rows no older than ``span`` before ``as_of``. The bound is inclusive and
     there is no upper bound, so future-dated rows stay. On a stored table the
@@ -30,7 +35,7 @@ def since(rows: DataFrame, column: str, as_of: AsOf, span: str) -> DataFrame:
     start = as_of_column(as_of) - F.expr(f"INTERVAL {span}")
     kept = rows.where(F.col(column) >= start)
     if DATE_OF.get(column) in rows.columns:
-        kept = kept.where(F.col(DATE_OF[column]) >= F.to_date(start))
+        kept = kept.where(F.col(DATE_OF[column]) >= utc_date(start))
     return kept
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.time import micros
+from tallywatch.functions.time import micros, utc_date
 
 
 def _bin(instant: Column, width: int) -> Column:
@@ -39,5 +39,5 @@ def flagged_transactions(transactions: DataFrame, alerts: DataFrame, bin_width:
     latest = alerts.select(F.max("window_end")).scalar()
     near = transactions.where((F.col("timestamp") >= earliest) & (F.col("timestamp") < latest))
     if "event_date" in transactions.columns:
-        near = near.where(F.col("event_date").between(F.to_date(earliest), F.to_date(latest)))
+        near = near.where(F.col("event_date").between(utc_date(earliest), utc_date(latest)))
     return interval_join(near, alerts, bin_width)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallywatch.config import RiskConfig
 from tallywatch.functions.parse import accepted, counted, decode, quarantined
 from tallywatch.functions.rules import Rule
+from tallywatch.functions.time import utc_date
 from tallywatch.operators.profile import alerts, enrich
 from tallywatch.operators.tables import transactions_rows
 from tallywatch.streaming.sinks import BatchWriter, append_batch
@@ -51,7 +52,7 @@ def start_transactions_query(
     replaces the table of files as the sink."""
     rows = unique_transactions(_accepted(messages, cfg), within)
     # The time of a micro-batch is logged with its offsets, so a retry repeats it.
-    dated = rows.withColumns({"ingested_at": F.current_timestamp(), "event_date": F.to_date("timestamp")})
+    dated = rows.withColumns({"ingested_at": F.current_timestamp(), "event_date": utc_date(F.col("timestamp"))})
     return _start(dated, writer or append_batch(path, "event_date"), checkpoint, trigger)
 
 
@@ -73,7 +74,7 @@ def start_alerts_query(
         {
             "created_at": F.current_timestamp(),
             "updated_at": F.current_timestamp(),
-            "alert_date": F.to_date("window_end"),
+            "alert_date": utc_date(F.col("window_end")),
         }
     )
     return _start(versions, writer or append_batch(path, "alert_date"), checkpoint, trigger, mode)
@@ -88,7 +89,7 @@ def start_enriched_query(
     rules: list[Rule] | None = None,
 ) -> StreamingQuery:
     """Emits each transaction with its window's totals when the window closes."""
-    rows = enrich(_accepted(messages, cfg), cfg, rules).withColumn("event_date", F.to_date("timestamp"))
+    rows = enrich(_accepted(messages, cfg), cfg, rules).withColumn("event_date", utc_date(F.col("timestamp")))
     return _start(rows, append_batch(path, "event_date"), checkpoint, trigger)
 
 

@@ -151,6 +151,15 @@ def test_old_days_are_not_read(stored):
     assert files_read(views.recent_alerts(since(found, "window_end", now, "1 hour"))) == [1]
 
 
+@pytest.mark.parametrize("zone", ["Pacific/Kiritimati", "Etc/GMT+12"])
+def test_dates_do_not_depend_on_the_session_zone(stored, conf, zone):
+    tx, _ = stored
+    conf("spark.sql.session.timeZone", zone)
+    now = F.timestamp_seconds(F.lit(1704110400 + 29 * 86400 + 120))
+    for hours, days in ((1, 1), (13, 1), (25, 2)):
+        assert since(tx, "timestamp", now, f"{hours} hours").count() == 3 * days
+
+
 def test_transactions_are_read_for_the_alerts_days_only(stored):
     tx, found = stored
     now = str(T0 + timedelta(days=29, minutes=2))

@@ -217,6 +217,17 @@ def test_writer_needs_a_stream(spark, tmp_path):
         sinks.append_batch(str(tmp_path / "t"))(spark.range(1), 0)
 
 
+def test_merge_resolves_against_a_table(spark, transactions, tmp_path):
+    from pyspark.errors import PySparkException
+
+    now = F.current_timestamp()
+    found = alerts(transactions([(1, 0, 1)]), CFG).withColumns({"created_at": now, "updated_at": now})
+    found.write.option("path", str(tmp_path / "merged")).saveAsTable("merged")
+    with pytest.raises(PySparkException, match="does not support MERGE INTO"):
+        sinks.merge_batch("merged")(found, 0)
+    spark.sql("DROP TABLE merged")
+
+
 def test_quarantine_keeps_bad_messages(spark, in_order):
     path, _ = run(jobs.start_quarantine_query, in_order, "quarantine")
     assert rows_of(spark.read.parquet(path), "value", "reject_reason") == [("{bad", "bad_json")] * 4
@@ -260,3 +271,26 @@ def test_compaction(spark, in_order, tmp_path):
     path, _ = run(jobs.start_transactions_query, in_order, "transactions")
     sinks.compact_transactions(spark, path, str(tmp_path / "tx"))
     assert rows_of(stored_transactions(spark, str(tmp_path / "tx")), "*") == rows_of(stored_transactions(spark, path), "*")
+
+
+def test_whole_job(spark, in_order, tmp_path, monkeypatch):
+    """The job's three queries together, with files in place of the topic."""
+    from tallywatch import __main__ as job_main
+    from tallywatch.config import JobConfig
+
+    monkeypatch.setattr(job_main, "kafka_messages", lambda session, job: in_order.stream())
+    job = JobConfig(
+        output_root=str(tmp_path / "tables"), checkpoint_root=str(tmp_path / "checkpoints"), trigger_interval="0 seconds"
+    )
+    job_main.start(spark, job, RiskConfig(watermark="1 hour"))
+    queries = spark.streams.active
+    for query in queries:
+        query.processAllAvailable()
+        query.stop()
+    assert len(queries) == 3
+    tx, bad = parse_transactions(in_order.batch())
+    assert rows_of(stored_transactions(spark, f"{tmp_path}/tables/transactions"), "transaction_id") == rows_of(
+        tx, "transaction_id"
+    )
+    assert rows_of(stored_alerts(spark, f"{tmp_path}/tables/fraud_alerts"), *VALUES) == rows_of(alerts(tx, CFG), *VALUES)
+    assert spark.read.parquet(f"{tmp_path}/tables/quarantine").count() == bad.count()
