@@ -21,6 +21,8 @@ STREAM_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One state store per join partition instead of four.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     # Saves a lookup per write; progress then reports no total of state rows.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
