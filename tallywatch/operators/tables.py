@@ -23,15 +23,18 @@ def insert_ignore(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 
     Among incoming rows with the same id the earliest wins, and on equal times
     the smallest in column order, so that a retry picks the same row. Picking
-    is an aggregate: copies of one id collapse before the shuffle."""
+    is an aggregate: copies of one id collapse before the shuffle. The stored
+    ids are first cut down to those that arrive again; when few rows arrive
+    they are broadcast for that and the stored table is not shuffled."""
     order = ["timestamp", *(name for name in incoming.columns if name not in ("transaction_id", "timestamp"))]
     firsts = (
         incoming.groupBy("transaction_id")
         .agg(F.min(F.struct(*order)).alias("first"))
         .select("transaction_id", "first.*")
-        .select(*incoming.columns)
     )
-    return firsts.join(stored.select("transaction_id"), "transaction_id", "left_anti").select(*incoming.columns)
+    arriving = incoming.select("transaction_id").distinct()
+    known = stored.select("transaction_id").join(arriving, "transaction_id", "left_semi")
+    return firsts.join(known, "transaction_id", "left_anti").select(*incoming.columns)
 
 
 def current_alerts(log: DataFrame) -> DataFrame:
