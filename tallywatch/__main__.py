@@ -18,8 +18,9 @@ from tallywatch.streaming.sinks import jdbc_merge
 def start(spark: SparkSession, job: JobConfig, cfg: RiskConfig) -> None:
     """Starts the job's queries; each reads the topic on its own and keeps its
     own checkpoint, so one can fall behind or restart without the others."""
-    tables = job.output_root or f"{shared_folder(spark)}/tallywatch/tables"
-    checkpoints = job.checkpoint_root or f"{shared_folder(spark)}/tallywatch/checkpoints"
+    home = "" if job.output_root and job.checkpoint_root else f"{shared_folder(spark)}/tallywatch"
+    tables = job.output_root or f"{home}/tables"
+    checkpoints = job.checkpoint_root or f"{home}/checkpoints"
     trigger = {"processingTime": job.trigger_interval}
     messages = kafka_messages(spark, job)
 
