@@ -48,9 +48,11 @@ def start_transactions_query(
     within: str | None = None,
     writer: BatchWriter | None = None,
 ) -> StreamingQuery:
-    """Stores each transaction once, as soon as it is decoded. ``writer``
-    replaces the table of files as the sink."""
-    rows = unique_transactions(_accepted(messages, cfg), within)
+    """Stores each transaction once, as soon as it is decoded. A ``writer``
+    replaces the table of files and has to ignore ids it knows itself, as a
+    database with a unique key does; no ids are then remembered here."""
+    accepted_rows = _accepted(messages, cfg)
+    rows = transactions_rows(accepted_rows) if writer else unique_transactions(accepted_rows, within)
     # The time of a micro-batch is logged with its offsets, so a retry repeats it.
     dated = rows.withColumns({"ingested_at": F.current_timestamp(), "event_date": utc_date(F.col("timestamp"))})
     return _start(dated, writer or append_batch(path, "event_date"), checkpoint, trigger)

@@ -18,7 +18,8 @@ BatchWriter = Callable[[DataFrame, int], None]
 JDBC_BATCH = {"transactions": 100, "fraud_alerts": 50}
 CONFLICT_KEYS = {"transactions": ["transaction_id"], "fraud_alerts": ["user_id", "window_end"]}
 INSERT_COLUMNS = {"transactions": schema.TRANSACTION_COLUMNS, "fraud_alerts": schema.ALERT_COLUMNS}
-# Columns an upsert replaces; the rest keep their first value. None: ignore.
+# Columns a second write of the same key replaces; the others keep their first
+# value. Where there are none, the second write is ignored.
 REPLACED = {
     "transactions": [],
     "fraud_alerts": ["transaction_count", "total_amount", "is_fraud", "alert_reason"],
