@@ -19,11 +19,12 @@ from tallywatch import schema
 from tallywatch.config import RiskConfig
 from tallywatch.functions import rules
 from tallywatch.functions.parse import parse_transactions
+from tallywatch.functions.time import utc_date
 from tallywatch.operators import interval_join, profile, quality, tables
 from tallywatch.plans import reports, views
 from tallywatch.session import configure, shared_folder
 from tallywatch.sources import events, tables as stored
-from tallywatch.streaming import jobs
+from tallywatch.streaming import jobs, sinks
 
 AS_OF = "2024-01-31 00:00:00"
 DAILY = RiskConfig(window="1 day", amount_threshold=Decimal("300"), watermark="0 seconds")
@@ -91,7 +92,7 @@ def _insert_ignore(tx: DataFrame) -> DataFrame:
     return stored_rows.unionByName(tables.insert_ignore(stored_rows, incoming))
 
 
-def _upsert_alerts(tx: DataFrame) -> DataFrame:
+def _alert_versions(tx: DataFrame) -> list[DataFrame]:
     """A first batch sees the windows of the cut-off day half filled; a second
     one replaces those and adds the rest."""
     cut = F.lit(CUT).cast("timestamp")
@@ -99,13 +100,16 @@ def _upsert_alerts(tx: DataFrame) -> DataFrame:
         ("2024-02-01 00:00:00", tx.where(F.col("timestamp") < cut)),
         ("2024-02-02 00:00:00", tx.where(F.col("timestamp") >= F.date_trunc("day", cut))),
     ]
-    versions = [
+    return [
         profile.alerts(seen, DAILY).withColumns(
             {name: F.lit(written).cast("timestamp") for name in ("created_at", "updated_at")}
         )
         for written, seen in batches
     ]
-    return tables.current_alerts(reduce(DataFrame.unionByName, versions))
+
+
+def _upsert_alerts(tx: DataFrame) -> DataFrame:
+    return tables.current_alerts(reduce(DataFrame.unionByName, _alert_versions(tx)))
 
 
 def _constraint_report(tx: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -188,11 +192,27 @@ def _registered_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stream(spark: SparkSession, sf_dir: str, start: Callable, name: str, **options) -> str:
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _compacted_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two batches of the upsert, stored as a log and folded by compaction."""
+    folder = _folder(spark, "compaction")
+    for batch_id, versions in enumerate(_alert_versions(_transactions(spark, sf_dir))):
+        dated = versions.withColumn("alert_date", utc_date(F.col("window_end")))
+        dated.write.partitionBy("alert_date").parquet(f"{folder}/log/query_id=entry/batch_id={batch_id}")
+    sinks.compact_alerts(spark, f"{folder}/log", f"{folder}/compact")
+    return _plain(stored.alerts_log(spark, f"{folder}/compact").select(*schema.ALERT_COLUMNS, "created_at"))
+
+
+def _stream(
+    spark: SparkSession, sf_dir: str, start: Callable, name: str, well_formed: bool = True, **options
+) -> str:
     """Runs a streaming job over all events and returns the table it wrote."""
     configure(spark, streaming=True)
-    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    messages = events.event_stream(spark, sf_dir)
+    folder = _folder(spark, name)
+    messages = events.event_stream(spark, sf_dir, well_formed)
     start(messages, f"{folder}/table", f"{folder}/checkpoint", trigger=ONCE, **options).awaitTermination()
     return f"{folder}/table"
 
@@ -215,6 +235,11 @@ def _streaming_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark.read.parquet(path).select(*schema.ENRICHED_COLUMNS))
 
 
+def _streaming_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _stream(spark, sf_dir, jobs.start_quarantine_query, "quarantine", well_formed=False)
+    return spark.read.parquet(path).select("value", "reject_reason")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Scored windows of every user."""
     return queries()["alerts"](spark, "/root/testdata/sf0.001")
@@ -232,6 +257,7 @@ def queries() -> dict[str, Query]:
         "enriched_transactions": _on_transactions(lambda tx: profile.enrich(tx, DAILY)),
         "insert_ignore": _on_transactions(_insert_ignore),
         "upsert_alerts": _on_transactions(lambda tx: _upsert_alerts(tx).drop("updated_at")),
+        "compacted_alerts": _compacted_alerts,
         "flagged_transactions": _on_both(
             lambda tx, alerts: interval_join.flagged_transactions(
                 tx, alerts.where("is_fraud = 1").select("user_id", "window_start", "window_end"), DAILY.window
@@ -265,6 +291,7 @@ def queries() -> dict[str, Query]:
         "streaming_alerts": _streaming_alerts("append"),
         "streaming_upserts": _streaming_alerts("update"),
         "streaming_enriched": _streaming_enriched,
+        "streaming_quarantine": _streaming_quarantine,
     }
 
 
@@ -419,6 +446,25 @@ def _constraint_sql() -> str:
     {' UNION ALL '.join(parts)}"""
 
 
+_QUARANTINE = f"""{_WITH_TX}
+SELECT CASE n_regionkey WHEN 0 THEN '{{"user_id":' || user_id
+                        WHEN 1 THEN '[' || user_id || ']'
+                        WHEN 2 THEN '{{"amount":' || user_id || '}}'
+                        WHEN 3 THEN '{{"user_id":' || user_id || ',"amount":null}}'
+                        ELSE '{{"user_id":' || user_id || ',"amount":"abc"}}' END AS value,
+       CASE n_regionkey WHEN 0 THEN 'bad_json' WHEN 1 THEN 'not_object' WHEN 2 THEN 'missing_user'
+                        WHEN 3 THEN 'null_amount' ELSE 'bad_amount' END AS reject_reason
+FROM tx WHERE merchant_category = 'error'"""
+
+_UPSERTED = f"""{_WITH_ALERTS},
+early AS (SELECT DISTINCT user_id, date_trunc('day', timestamp) AS window_start
+          FROM tx WHERE timestamp < TIMESTAMP '{CUT}')
+SELECT {_ALERT_COLUMNS},
+       CASE WHEN EXISTS (SELECT 1 FROM early e WHERE e.user_id = al.user_id AND e.window_start = al.window_start)
+            THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END AS created_at
+FROM al"""
+
+
 def oracle_sql() -> dict[str, str]:
     alerts = f"{_WITH_ALERTS} SELECT {_ALERT_COLUMNS} FROM al"
     stats = f"{_WITH_ALERTS}, {_STATS} SELECT total_alerts, fraud_count"
@@ -428,15 +474,7 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN merchant_category = 'view' THEN 0.0 ELSE CAST(amount AS DOUBLE) END AS amount,
                    currency, CASE WHEN merchant_category = 'view' THEN '' ELSE city END AS city, merchant_category
             FROM tx WHERE merchant_category <> 'error'""",
-        "quarantine": f"""{_WITH_TX}
-            SELECT CASE n_regionkey WHEN 0 THEN '{{"user_id":' || user_id
-                                    WHEN 1 THEN '[' || user_id || ']'
-                                    WHEN 2 THEN '{{"amount":' || user_id || '}}'
-                                    WHEN 3 THEN '{{"user_id":' || user_id || ',"amount":null}}'
-                                    ELSE '{{"user_id":' || user_id || ',"amount":"abc"}}' END AS value,
-                   CASE n_regionkey WHEN 0 THEN 'bad_json' WHEN 1 THEN 'not_object' WHEN 2 THEN 'missing_user'
-                                    WHEN 3 THEN 'null_amount' ELSE 'bad_amount' END AS reject_reason
-            FROM tx WHERE merchant_category = 'error'""",
+        "quarantine": _QUARANTINE,
         "transactions_rows": f"{_WITH_TX} SELECT {_TX_COLUMNS} FROM tx",
         "window_profile": f"""{_WITH_TX}
             SELECT user_id, date_trunc('minute', timestamp) AS window_start,
@@ -464,14 +502,8 @@ def oracle_sql() -> dict[str, str]:
                    CAST(CASE WHEN merchant_category = 'purchase' THEN amount ELSE amount * 2 END AS DOUBLE) AS amount,
                    currency, city, merchant_category
             FROM tx""",
-        "upsert_alerts": f"""{_WITH_ALERTS},
-            early AS (SELECT DISTINCT user_id, date_trunc('day', timestamp) AS window_start
-                      FROM tx WHERE timestamp < TIMESTAMP '{CUT}')
-            SELECT {_ALERT_COLUMNS},
-                   CASE WHEN EXISTS (SELECT 1 FROM early e WHERE e.user_id = al.user_id
-                                     AND e.window_start = al.window_start)
-                        THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END AS created_at
-            FROM al""",
+        "upsert_alerts": _UPSERTED,
+        "compacted_alerts": _UPSERTED,
         "flagged_transactions": f"""{_WITH_ALERTS}, {_FLAGGED}
             SELECT transaction_id, user_id, timestamp, CAST(amount AS DOUBLE) AS amount, city, window_start, window_end
             FROM flagged""",
@@ -530,4 +562,5 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_ENRICHED_COLUMNS}
             FROM sent t JOIN al a ON t.user_id = a.user_id AND date_trunc('day', t.timestamp) = a.window_start
             WHERE a.{_CLOSED}""",
+        "streaming_quarantine": _QUARANTINE,
     }

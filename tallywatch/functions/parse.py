@@ -18,13 +18,13 @@ COUNTERS = "message_counts"
 def _payload(messages: DataFrame) -> DataFrame:
     """Adds ``is_object`` and the payload struct ``p``.
 
-    The message is parsed as the only element of an array, which makes text
-    after a complete object an error. It is parsed inside a generator because
-    a filter on plain projected fields would be pushed below the projection
-    and parse every message again."""
+    The message is parsed as an array element with a null after it: text after
+    a complete object is then an error or changes the array's length. It is
+    parsed inside a generator because a filter on plain projected fields would
+    be pushed below the projection and parse every message again."""
     value = F.col("value")
     elements = F.from_json(
-        F.concat(F.lit("["), value, F.lit("]")),
+        F.concat(F.lit("["), value, F.lit(",null]")),
         f"array<{schema.PAYLOAD.simpleString()}>",
         JSON_OPTIONS,
     )
@@ -32,7 +32,7 @@ def _payload(messages: DataFrame) -> DataFrame:
     one = F.transform(
         F.array(elements),
         lambda found: F.struct(
-            (complete & (F.size(found) == 1) & F.get(found, F.lit(0)).isNotNull()).alias("is_object"),
+            (complete & (F.size(found) == 2) & F.get(found, F.lit(0)).isNotNull()).alias("is_object"),
             F.get(found, F.lit(0)).alias("p"),
         ),
     )

@@ -66,14 +66,16 @@ def messages_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _message(_placed_events(*_tables(spark, sf_dir)))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a well-formed message, read as a stream. One trigger
-    takes all files, so the result does not depend on their order."""
+def event_stream(spark: SparkSession, sf_dir: str, well_formed: bool = True) -> DataFrame:
+    """Every event as a message, read as a stream: all well formed, or the same
+    as ``messages_from_events``. One trigger takes all files, so the result
+    does not depend on their order."""
     events, nation = _tables(spark, sf_dir)
     # A pattern, since a stream cannot start from the path of a single file.
     arriving = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/{{events.parquet}}")
-    rows = _transaction(_placed_events(arriving, nation))
+    placed = _placed_events(arriving, nation)
+    if not well_formed:
+        return _message(placed)
+    rows = _transaction(placed)
     fields = [name for name in rows.columns if name != "timestamp"]
-    return rows.select(
-        F.to_json(F.struct(*fields, F.unix_millis("timestamp").alias("timestamp"))).alias("value")
-    )
+    return rows.select(F.to_json(F.struct(*fields, F.unix_millis("timestamp").alias("timestamp"))).alias("value"))

@@ -32,6 +32,8 @@ REJECTED = {
     '{"user_id":1,"amount":1}{"user_id":2}': "bad_json",
     '{"user_id":1,"amount":1},{"user_id":2}': "bad_json",
     '{"user_id":1,"amount":1}]': "bad_json",
+    '{"user_id":1,"amount":1}]{"user_id":2}': "bad_json",
+    '{"user_id":1,"amount":1},null]': "bad_json",
     "null": "not_object",
     "5": "not_object",
     '"text"': "not_object",
