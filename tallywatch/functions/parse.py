@@ -28,15 +28,12 @@ def _payload(messages: DataFrame) -> DataFrame:
         f"array<{schema.PAYLOAD.simpleString()}>",
         JSON_OPTIONS,
     )
+    found = F.col("found")
     complete = F.endswith(F.rtrim(value, F.lit(" \t\r\n")), F.lit("}"))
-    one = F.transform(
-        F.array(elements),
-        lambda found: F.struct(
-            (complete & (F.size(found) == 2) & F.get(found, F.lit(0)).isNotNull()).alias("is_object"),
-            F.get(found, F.lit(0)).alias("p"),
-        ),
+    first = F.get(found, F.lit(0))
+    return messages.select("*", F.explode(F.array(elements)).alias("found")).withColumns(
+        {"is_object": complete & (F.size(found) == 2) & first.isNotNull(), "p": first}
     )
-    return messages.select("*", F.inline(one))
 
 
 def _present(name: str) -> Column:

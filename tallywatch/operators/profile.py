@@ -58,7 +58,8 @@ def enrich(transactions: DataFrame, cfg: RiskConfig, rules: list[Rule] | None =
     of all rows is thus spread over ``cfg.salts`` join tasks (or state
     partitions); in batch, adaptive skew join can split those further because
     both sides end in their own shuffle."""
-    # Only plain data columns feed the salt: both uses must agree on it.
+    # Both uses must agree on the salt, so ids must not be random expressions:
+    # enrich decoded transactions, not the rows made for storing.
     salt = F.pmod(F.xxhash64("transaction_id", "timestamp", "amount", "city"), F.lit(cfg.salts)).cast("int")
     salted = with_clock(transactions, cfg).withColumn("salt", salt)
 
