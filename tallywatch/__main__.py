@@ -1,8 +1,8 @@
 """The streaming job. Reads the topic and keeps the transactions, alerts and
 quarantine tables up to date until stopped.
 
-Start it with ``spark-submit``, with the Kafka connector among the packages
-(and the database's JDBC driver when TABLE_SINK is ``jdbc``)."""
+Start ``job.py`` with ``spark-submit``, with the Kafka connector among the
+packages (and the database's JDBC driver when TABLE_SINK is ``jdbc``)."""
 
 from __future__ import annotations
 
