@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tallywatch import schema
 from tallywatch.config import JobConfig
-from tallywatch.operators.tables import current_alerts
+from tallywatch.functions.time import AsOf
+from tallywatch.operators.tables import current_alerts, retained
 from tallywatch.sources.tables import alerts_log, jdbc_properties, stored_transactions
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -64,15 +65,25 @@ def _rewrite(rows: DataFrame, target: str, date: str, *order: str) -> None:
     even.write.partitionBy(date).parquet(f"{target}/query_id=compacted/batch_id=0")
 
 
-def compact_alerts(spark: SparkSession, source: str, target: str) -> None:
+def compact_alerts(
+    spark: SparkSession, source: str, target: str, keep_days: int | None = None, as_of: AsOf = None
+) -> None:
     """Folds an alert log into one version per alert under ``target``, a new
-    path. A streaming query can go on appending there."""
-    _rewrite(current_alerts(alerts_log(spark, source)), target, "alert_date", "window_end", "user_id")
-
-
-def compact_transactions(spark: SparkSession, source: str, target: str) -> None:
-    """Rewrites the transactions table under ``target``, a new path."""
-    _rewrite(stored_transactions(spark, source), target, "event_date", "timestamp")
+    path, leaving out windows that ended more than ``keep_days`` ago. A
+    streaming query can go on appending there."""
+    rows = current_alerts(alerts_log(spark, source))
+    kept = rows if keep_days is None else retained(rows, "window_end", as_of, keep_days)
+    _rewrite(kept, target, "alert_date", "window_end", "user_id")
+
+
+def compact_transactions(
+    spark: SparkSession, source: str, target: str, keep_days: int | None = None, as_of: AsOf = None
+) -> None:
+    """Rewrites the transactions table under ``target``, a new path, leaving
+    out transactions older than ``keep_days``."""
+    rows = stored_transactions(spark, source)
+    kept = rows if keep_days is None else retained(rows, "timestamp", as_of, keep_days)
+    _rewrite(kept, target, "event_date", "timestamp")
 
 
 def merge_statement(table: str, staging: str) -> str:

@@ -168,6 +168,15 @@ def test_transactions_are_read_for_the_alerts_days_only(stored):
     assert max(files_read(by_city)) == 1
 
 
+def test_compaction_applies_retention(spark, stored, tmp_path):
+    now = str(T0 + timedelta(days=29))
+    sinks.compact_transactions(spark, str(tmp_path / "tx"), str(tmp_path / "tx7"), keep_days=7, as_of=now)
+    sinks.compact_alerts(spark, str(tmp_path / "alerts"), str(tmp_path / "alerts7"), keep_days=7, as_of=now)
+    kept = stored_transactions(spark, str(tmp_path / "tx7"))
+    assert kept.count() == 3 * 8 and kept.agg(F.min("timestamp")).first()[0] == T0 + timedelta(days=22)
+    assert stored_alerts(spark, str(tmp_path / "alerts7")).count() == 3 * 8
+
+
 def test_compaction_splits_a_hot_date(spark, stored, tmp_path, conf):
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
     one_day = spark.range(0, 20_000, 1, 8).select(
