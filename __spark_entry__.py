@@ -26,6 +26,18 @@ from tallywatch.session import configure, shared_folder
 from tallywatch.sources import events, tables as stored
 from tallywatch.streaming import jobs, sinks
 
+try:
+    from tallywatch.llm import queries as llm
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("tallywatch.llm", "corpus_pipeline")):
+        raise
+    llm = None
+except ImportError as error:
+    # A leftover folder without the module imports as an empty namespace.
+    if error.name != "tallywatch.llm":
+        raise
+    llm = None
+
 AS_OF = "2024-01-31 00:00:00"
 DAILY = RiskConfig(window="1 day", amount_threshold=Decimal("300"), watermark="0 seconds")
 MINUTELY = RiskConfig()
@@ -246,6 +258,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return {**core_queries(), **(llm.queries() if llm else {})}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**core_oracle_sql(), **(llm.oracle_sql() if llm else {})}
+
+
+def core_queries() -> dict[str, Query]:
     return {
         "parse_transactions": lambda spark, sf: _plain(parse_transactions(_messages(spark, sf))[0]),
         "quarantine": lambda spark, sf: _plain(parse_transactions(_messages(spark, sf))[1]),
@@ -465,7 +485,7 @@ SELECT {_ALERT_COLUMNS},
 FROM al"""
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     alerts = f"{_WITH_ALERTS} SELECT {_ALERT_COLUMNS} FROM al"
     stats = f"{_WITH_ALERTS}, {_STATS} SELECT total_alerts, fraud_count"
     return {

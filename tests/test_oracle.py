@@ -23,7 +23,7 @@ def plain(rows):
     return sorted((tuple(str(value) for value in row) for row in rows))
 
 
-@pytest.mark.parametrize("name", spark_entry.queries())
+@pytest.mark.parametrize("name", spark_entry.core_queries())
 def test_query_equals_sql(spark, database, name):
     found = spark_entry.queries()[name](spark, SF)
     expected = database.execute(spark_entry.oracle_sql()[name])

@@ -21,7 +21,7 @@ from .conftest import T0, TESTDATA, rows_of
 
 SF = f"{TESTDATA}/sf0.001"
 AS_OF = "2024-01-31 00:00:00"
-BATCH_QUERIES = [name for name in spark_entry.queries() if not name.startswith("streaming")]
+BATCH_QUERIES = [name for name in spark_entry.core_queries() if not name.startswith("streaming")]
 
 
 def plan(frame, formatted=False):
