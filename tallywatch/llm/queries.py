@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from .exact_topk import exact_topk
 from .lsh_forest import nearest
+from .quality import quality_scores
 from .tables import read
+from .toxicity import toxicity_scores
 
 
 def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +21,20 @@ def op2_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op4_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
     return {
         "op1_exact_topk": op1_exact_topk,
         "op2_hash_prefix_forest": op2_hash_prefix_forest,
+        "op4_quality_gam": op4_quality_gam,
+        "op7_toxicity": op7_toxicity,
     }
 
 
