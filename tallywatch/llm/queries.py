@@ -3,13 +3,16 @@ SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_topk import exact_topk
 from .lsh_forest import nearest
+from .packing import pieces, place
 from .quality import quality_scores
 from .tables import read
+from .token_files import read_token_files, write_token_files
 from .toxicity import toxicity_scores
 
 
@@ -29,12 +32,28 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return place(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    files = write_token_files(read(spark, sf_dir, "documents"), path, end_id=2, vocabulary=49408)
+    ids = F.col("ids")
+    return read_token_files(files).select(
+        "doc_id", "start", (F.octet_length(ids) / 4).cast("long").alias("n_tokens"), F.crc32(ids).alias("ids_crc32")
+    )
+
+
 def queries() -> dict:
     return {
         "op1_exact_topk": op1_exact_topk,
         "op2_hash_prefix_forest": op2_hash_prefix_forest,
         "op4_quality_gam": op4_quality_gam,
         "op7_toxicity": op7_toxicity,
+        "op8_best_fit_packing": op8_best_fit_packing,
+        "op9_token_files": op9_token_files,
     }
 
 
