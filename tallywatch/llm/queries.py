@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .exact_topk import exact_topk
 from .lsh_forest import nearest
+from .piece_codec import decode, encode
 from .packing import pieces, place
 from .quality import quality_scores
 from .tables import read
@@ -28,6 +29,17 @@ def op4_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = decode(encode(read(spark, sf_dir, "documents"), model), model)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -51,6 +63,7 @@ def queries() -> dict:
         "op1_exact_topk": op1_exact_topk,
         "op2_hash_prefix_forest": op2_hash_prefix_forest,
         "op4_quality_gam": op4_quality_gam,
+        "op5_piece_codec": op5_piece_codec,
         "op7_toxicity": op7_toxicity,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_token_files": op9_token_files,
