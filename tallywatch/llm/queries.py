@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_topk import exact_topk
+from .license_scan import scan_licenses
 from .lsh_forest import nearest
 from .piece_codec import decode, encode
 from .packing import pieces, place
@@ -25,6 +26,10 @@ def op2_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op4_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -62,6 +67,7 @@ def queries() -> dict:
     return {
         "op1_exact_topk": op1_exact_topk,
         "op2_hash_prefix_forest": op2_hash_prefix_forest,
+        "op3_license_scan": op3_license_scan,
         "op4_quality_gam": op4_quality_gam,
         "op5_piece_codec": op5_piece_codec,
         "op7_toxicity": op7_toxicity,
