@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_topk import exact_topk
+from .jaccard_join import similar_groups
 from .license_scan import scan_licenses
 from .lsh_forest import nearest
 from .piece_codec import decode, encode
@@ -63,6 +64,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_exact_topk": op1_exact_topk,
@@ -73,6 +78,7 @@ def queries() -> dict:
         "op7_toxicity": op7_toxicity,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_token_files": op9_token_files,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
@@ -92,4 +98,28 @@ def oracle_sql() -> dict[str, str]:
                    CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
                    vec_id, score
             FROM s QUALIFY rank <= 20""",
+        "op10_jaccard_join": r"""
+            WITH RECURSIVE w AS (
+                SELECT doc_id, list_filter(
+                    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                    lambda x: x <> '') AS words
+                FROM documents),
+            s AS (
+                SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                    ELSE list_distinct(list_transform(range(1, len(words) - 3),
+                                                      lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+                FROM w),
+            e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+            linked AS (
+                SELECT a.doc_id AS a, b.doc_id AS b
+                FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+                GROUP BY a.doc_id, b.doc_id, a.n, b.n
+                HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+            reached AS (
+                SELECT doc_id, doc_id AS other FROM documents
+                UNION SELECT r.doc_id, l.b FROM reached r JOIN linked l ON r.other = l.a)
+            SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, r.component_id
+            FROM s JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r
+                ON s.doc_id = r.doc_id""",
     }
