@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .exact_topk import exact_topk
 from .jaccard_join import similar_groups
+from .katz import language_scores
 from .license_scan import scan_licenses
 from .lsh_forest import nearest
 from .piece_codec import decode, encode
@@ -46,6 +47,10 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -75,6 +80,7 @@ def queries() -> dict:
         "op3_license_scan": op3_license_scan,
         "op4_quality_gam": op4_quality_gam,
         "op5_piece_codec": op5_piece_codec,
+        "op6_katz": op6_katz,
         "op7_toxicity": op7_toxicity,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_token_files": op9_token_files,
