@@ -322,6 +322,19 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but only the first of each
+    group of near duplicates (as ``similar_groups`` has them). Rows are told
+    apart by their position, so equal and null ids do no harm; ``docs`` has to
+    come straight from a table, whose rows have fixed positions. The rows to
+    drop are broadcast if few; else both sides are shuffled."""
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    groups = similar_groups(rows.select(F.col("_row").alias("doc_id"), "text"))
+    surplus = stored(groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_row")), "surplus")
+    few = surplus.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(surplus) if few else surplus, "_row", "left_anti").select(*docs.columns)
+
+
 def _named(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``cls, doc_id`` of the classes in ``a, b``."""
     classes = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()

@@ -209,6 +209,18 @@ def scored_texts(rows: DataFrame, values_of, model, threshold: float) -> DataFra
     )
 
 
+def passing_texts(docs: DataFrame, values_of, model, condition, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score meets
+    ``condition``; nothing is shuffled."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                yield batch.filter(pa.array(condition(model.score(values_of(batch[text_col]))), pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def train_quality(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0, per_class: int = 8000):
     """A model fitted on at most ``per_class`` labelled texts of either class;
     ids in the held-out part are never used. The sample is joined by broadcast,
@@ -247,3 +259,10 @@ def quality_scores(
     model = train_quality(docs, labels, parts, held_out, per_class)
     scored = scored_texts(texts(docs), features, model, threshold)
     return scored.select("doc_id", (crc_part("doc_id", parts) == held_out).alias("held_out"), "score", "predicted")
+
+
+def good_texts(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **fitting: int) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches
+    ``threshold``; scores and edge cases as for ``quality_scores``."""
+    model = train_quality(docs, labels, **fitting)
+    return passing_texts(docs, features, model, lambda scores: scores >= threshold)

@@ -3,6 +3,7 @@ SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +86,7 @@ def queries() -> dict:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_token_files": op9_token_files,
         "op10_jaccard_join": op10_jaccard_join,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import combine, rows_of_words, word_bounds, word_hashes
-from .quality import scored_texts
+from .quality import passing_texts, scored_texts
 from .tables import crc_part, label_sample, texts
 from .text_features import DIGIT, LETTER, MARK, SYMBOL, UPPER, Texts, in_slices, share
 
@@ -326,3 +326,10 @@ def toxicity_scores(
     model = train_toxicity(docs, labels, parts, held_out, per_class)
     scored = scored_texts(texts(docs), lambda column: features(column, model.lexicon), model, threshold)
     return scored.select("doc_id", (crc_part("doc_id", parts) == held_out).alias("held_out"), "score", "predicted")
+
+
+def civil_texts(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **fitting: int) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score stays below
+    ``threshold``; scores and edge cases as for ``toxicity_scores``."""
+    model = train_toxicity(docs, labels, **fitting)
+    return passing_texts(docs, lambda column: features(column, model.lexicon), model, lambda scores: scores < threshold)
