@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .arrays import LOWER, bytes_of, combine, mix, rows_of_words, word_bounds, word_hashes
 from .components import components
-from .tables import stored, texts
+from .tables import free_name, stored, texts
 from .tokens import slices
 
 WORDS = 5
@@ -328,11 +328,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     apart by their position, so equal and null ids do no harm; ``docs`` has to
     come straight from a table, whose rows have fixed positions. The rows to
     drop are broadcast if few; else both sides are shuffled."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    groups = similar_groups(rows.select(F.col("_row").alias("doc_id"), "text"))
-    surplus = stored(groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_row")), "surplus")
+    row = free_name(docs, "_row")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    groups = similar_groups(rows.select(F.col(row).alias("doc_id"), "text"))
+    surplus = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(row))
+    surplus = stored(surplus, "surplus")
     few = surplus.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(surplus) if few else surplus, "_row", "left_anti").select(*docs.columns)
+    return rows.join(F.broadcast(surplus) if few else surplus, row, "left_anti").select(*docs.columns)
 
 
 def _named(pairs: DataFrame, sets: DataFrame) -> DataFrame:

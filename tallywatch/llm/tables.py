@@ -36,6 +36,14 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``rows`` has it."""
+    taken = {column.lower() for column in rows.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def crc_part(doc_id: str | Column, parts: int) -> Column:
     """crc32 of an id's decimal text, modulo ``parts``; null ids count as empty."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
