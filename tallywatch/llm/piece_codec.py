@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .tables import texts
-from .tokens import slices
+from .tokens import Known, slices
 
 SPACE = "▁"
-CACHE = 500_000
-LONGEST = 64
+CACHE = 300_000
+_NEVER = float("-inf")
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -45,7 +45,6 @@ class PieceCodec:
         # Merges go by score, highest first.
         self.score = {piece: model.get_score(number) for piece, number in self.ids.items()}
         self.bytes = {int(p[3:5], 16): n for n, p in enumerate(self.pieces) if model.is_byte(n)}
-        self.byte_ids = frozenset(self.bytes.values())
         self.unknown = model.unk_id()
         self.characters = frozenset(piece for piece in self.ids if len(piece) == 1)
         self.automaton = ahocorasick.Automaton()
@@ -54,9 +53,17 @@ class PieceCodec:
         self.automaton.make_automaton()
         self.shorter = {n: self._next_shorter(p) for p, n in self.ids.items()}
         self.compatible_pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, bytes] = {}
-        self.surface = [piece.replace(SPACE, " ").encode() for piece in self.pieces]
+        self.neighbours = {piece[at : at + 2] for piece in self.ids for at in range(len(piece) - 1)}
+        self.words, self.runs = Known(self._word, CACHE), Known(self._run, 2 * CACHE, at_once=True)
         self.raw_byte = [int(p[3:5], 16) if model.is_byte(n) else None for n, p in enumerate(self.pieces)]
+        self.surface = [
+            piece.replace(SPACE, " ").encode() if byte is None else bytes([byte])
+            for piece, byte in zip(self.pieces, self.raw_byte)
+        ]
+        self.spaced = np.array([piece.startswith(SPACE) for piece in self.pieces])
+        self.lengths = np.array([len(part) for part in self.surface])
+        self.places = np.cumsum(self.lengths) - self.lengths
+        self.surfaces = np.frombuffer(b"".join(self.surface), np.uint8)
 
     def _next_shorter(self, piece: str) -> int | None:
         """The longest piece that is a proper prefix."""
@@ -68,20 +75,24 @@ class PieceCodec:
     def merged(self, text: str, boundary: int = -1) -> list[str] | None:
         """The merges' result on a short text; None as soon as a merge crosses
         ``boundary``."""
-        parts, score = list(text), self.score
-        while len(parts) > 1:
-            best, at = None, -1
-            for place in range(len(parts) - 1):
-                value = score.get(parts[place] + parts[place + 1])
-                if value is not None and (best is None or value > best):
-                    best, at = value, place
-            if best is None:
+        parts, score = list(text), self.score.get
+        values = [score(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+        while values:
+            best = max(values)
+            if best == _NEVER:
                 break
+            at = values.index(best)  # the leftmost of equal ones
+            whole = parts[at] + parts[at + 1]
             if boundary >= 0:
                 start = sum(map(len, parts[:at]))
-                if start < boundary < start + len(parts[at]) + len(parts[at + 1]):
+                if start < boundary < start + len(whole):
                     return None
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            parts[at : at + 2] = [whole]
+            del values[at]
+            if at < len(values):
+                values[at] = score(whole + parts[at + 1], _NEVER)
+            if at:
+                values[at - 1] = score(parts[at - 1] + whole, _NEVER)
         return parts
 
     def compatible(self, left: int, right: int) -> bool:
@@ -124,6 +135,18 @@ class PieceCodec:
                 position -= len(self.pieces[last])
                 token = self.shorter[last]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word with its space, cut where no piece holds both
+        neighbours: no merge ever crosses there."""
+        run, near = SPACE + word, self.neighbours
+        cuts = [at for at in range(1, len(run)) if run[at - 1 : at + 1] not in near]
+        if not cuts:
+            return self.runs[run]
+        return b"".join([self.runs[run[a:b]] for a, b in zip([0, *cuts], [*cuts, len(run)])])
+
+    def _run(self, run: str) -> bytes:
+        return array("i", self._encode_run(run)).tobytes()
+
     def _encode_run(self, run: str) -> list[int]:
         """Ids of a stretch of text; characters outside the vocabulary never
         merge and become their bytes."""
@@ -151,40 +174,38 @@ class PieceCodec:
             words = [run[1:] for run in _RUNS.findall(marked)]
         else:
             words = text.split(" ")
-        known = self.known
-        fresh = set(words).difference(known)
-        for word in fresh:
-            known[word] = array("i", self._encode_run(SPACE + word)).tobytes()
-        out = b"".join(map(known.__getitem__, words))
-        for word in fresh:
-            if len(word) > LONGEST:
-                del known[word]
-        if len(known) > CACHE:
-            known.clear()
-        return out
-
-    def decode(self, ids: list[int]) -> str:
+        return b"".join(map(self.words.__getitem__, words))
+
+    def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces without the leading space, runs of byte
         pieces read as UTF-8, where a byte that fits nowhere becomes U+FFFD."""
-        if not ids:
+        if not len(ids):
             return ""
-        surface, raw = self.surface, self.raw_byte
-        if not self.byte_ids.isdisjoint(ids):
-            parts, held = [], bytearray()
-            for number in ids:
-                if raw[number] is not None:
-                    held.append(raw[number])
-                    continue
-                if held:
-                    parts.append(bytes(held).decode("utf-8", "replace").encode())
-                    held.clear()
-                parts.append(surface[number])
-            parts.append(bytes(held).decode("utf-8", "replace").encode())
-            data = b"".join(parts)
-        else:
-            data = b"".join(map(surface.__getitem__, ids))
-        text = data.decode("utf-8", "replace")
-        return text[1:] if self.pieces[ids[0]].startswith(SPACE) else text
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(self.places[ids] - ends + lengths, lengths)
+        data = self.surfaces[at].tobytes()
+        try:
+            text = data.decode()
+        except UnicodeDecodeError:
+            text = self._decode_damaged(ids.tolist())
+        return text[1:] if self.spaced[ids[0]] else text
+
+    def _decode_damaged(self, ids: list[int]) -> str:
+        parts, held = [], b""
+        for number in [*ids, None]:
+            if number is not None and self.raw_byte[number] is not None:
+                held += self.surface[number]
+                continue
+            while held:
+                try:
+                    part, held = held.decode(), b""
+                except UnicodeDecodeError as error:
+                    part, held = held[: error.start].decode() + "\ufffd", held[error.start + 1 :]
+                parts.append(part)
+            if number is not None:
+                parts.append(self.surface[number].decode())
+        return "".join(parts)
 
 
 @lru_cache(maxsize=2)
@@ -217,7 +238,10 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
         for batch in batches:
             for first in range(0, len(batch), 256):
                 part = batch.slice(first, 256)
-                decoded = [codec(model).decode(ids or []) for ids in part["ids"].to_pylist()]
+                decoded = [
+                    codec(model).decode(ids.values.to_numpy() if ids.is_valid else np.zeros(0, np.int32))
+                    for ids in part["ids"]
+                ]
                 yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "ids": part["ids"], "decoded": decoded})
 
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")

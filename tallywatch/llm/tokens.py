@@ -5,57 +5,142 @@ stretches of text always give equal ids; each worker keeps those it has met."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
 
-from .tables import texts
-
-CACHE = 800_000
 LONGEST = 64
-# Control characters that count as white space in one library and not in the other, spaces
-# beside other white space, and the mark used for splitting: such texts are encoded whole.
-_WHOLE = re.compile(r"[\x00\x1c-\x1f\x85]|\s | \s")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARKS = r"!-&(-/:-@\[-`{-~"
+
+
+class Known(dict):
+    """Results of a function by text. Keeps what it is asked for a second time
+    (or ``at_once``), up to ``limit`` entries, so that the many words met once
+    take no room."""
+
+    def __init__(self, function: Callable[[str], bytes], limit: int, at_once: bool = False):
+        self.function, self.limit, self.at_once = function, limit, at_once
+        self.met = bytearray(1 << 23)
+
+    def __missing__(self, text: str) -> bytes:
+        value = self.function(text)
+        place = hash(text) & (len(self.met) - 1)
+        if not self.at_once and not self.met[place]:
+            self.met[place] = 1
+        elif len(text) <= LONGEST:
+            if len(self) >= self.limit:
+                self.clear()
+            self[text] = value
+        return value
 
 
 class WordEncoder:
-    """Ids of whole texts, as little-endian 32-bit numbers."""
+    """Ids of whole texts, as little-endian 32-bit numbers.
+
+    A text of plain letters, digits, marks and single spaces is split as the
+    tokenizer file says, and each part goes to the file's merges. Any other text
+    is split at its spaces, each of which belongs to the word after it; words
+    that aren't plain go to the tokenizer as they are. Where a space stands
+    beside other white space, the whole text does, since a split there would
+    change what the file's pattern matches."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = 100_000, parts: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.lower, self.parts_of = _splitter(json.loads(self.tokenizer.to_str()))
+        self.mapped = str.maketrans({byte: symbol for byte, symbol in enumerate(_byte_symbols())})
+        self.words = Known(self._spaced, words)
+        self.starts = Known(self._word, words // 20)
+        self.parts = Known(self._part, parts, at_once=True)
+
+    def _spaced(self, word: str) -> bytes:
+        return self._word(" " + word)
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _plain(self, text: str) -> bytes | None:
+        """Ids by parts, if the parts make up the text."""
+        parts = self.parts_of.findall(text) if self.parts_of else []
+        if len("".join(parts)) == len(text):
+            return b"".join(map(self.parts.__getitem__, parts))
+        return None
+
+    def _word(self, word: str) -> bytes:
+        if word.isspace() or word[-1].isspace() or word[1:2].isspace():
+            raise _Whole
+        ids = self._plain(word)
+        return self._ids(word) if ids is None else ids
+
+    def _part(self, part: str) -> bytes:
+        if self.lower:
+            part = part.strip(" \n").lower()
+            if not part:
+                return b""
+        if part.isascii():
+            symbols = part.replace(" ", self.mapped[0x20]).replace("\n", self.mapped[0x0A])
+        else:
+            symbols = part.encode().decode("latin-1").translate(self.mapped)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(symbols)]).tobytes()
+
+    def _by_words(self, text: str) -> bytes:
+        first, *others = text.split(" ")
+        try:
+            return b"".join([self.starts[first], *map(self.words.__getitem__, others)]) if first else self._ids(text)
+        except _Whole:
+            return self._ids(text)
 
     def encode(self, rows: list[str]) -> list[bytes]:
-        # A space belongs to the word after it.
-        parted = [[row] if _WHOLE.search(row) else row.replace(" ", "\0 ").split("\0") for row in rows]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        fresh = list(set().union(*parted).difference(self.known))
-        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.known.update((part, array("I", one.ids).tobytes()) for part, one in zip(fresh, found))
-        out = [b"".join(map(self.known.__getitem__, parts)) for parts in parted]
-        for part in fresh:
-            if len(part) > LONGEST:
-                del self.known[part]
+        out = []
+        for row in rows:
+            ids = self._plain(row)
+            out.append(self._by_words(row) if ids is None else ids)
         return out
 
 
+class _Whole(Exception):
+    """The text can't be split at its spaces."""
+
+
+def _splitter(layout: dict) -> tuple[bool, re.Pattern | None]:
+    """Whether words are lower-cased, and the pattern of their parts, for the two
+    known kinds of files; no pattern for any other kind, whose words are never
+    split here."""
+    before = layout.get("pre_tokenizer") or {}
+    steps = before.get("pretokenizers", [])
+    if layout.get("normalizer") is None and before.get("type") == "ByteLevel":
+        if before.get("use_regex") and not before.get("add_prefix_space"):
+            return False, re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n(?!\s)")
+    split = [step.get("pattern", {}).get("Regex") for step in steps]
+    if split == [r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", None]:
+        return True, re.compile(rf" ?[{_LETTERS}]+| ?[0-9]| ?[{_MARKS}]+|[ \n]")
+    return False, None
+
+
+def _byte_symbols() -> list[str]:
+    """The printable symbol of each byte in byte-level files: printable bytes
+    stand for themselves, the others for the characters from 256 on, in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(byte) if byte in plain else chr(next(others)) for byte in range(256)]
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The batches in runs of rows of about ``limit`` bytes of text, at least a
     row each, so that what a task holds at once is bounded."""
     for batch in batches:
@@ -65,16 +150,3 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             last = max(first + 1, int(np.searchsorted(sizes, sizes[first] + limit, "right")) - 1)
             yield batch.slice(first, last - first)
             first = last
-
-
-def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``doc_id, ids binary`` for every row: the text's ids and ``end_id``, as
-    little-endian unsigned 32-bit numbers."""
-    end = np.array([end_id], "<u4").tobytes()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            ids = [one + end for one in encoder(path).encode(batch["text"].to_pylist())]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "ids": pa.array(ids, pa.binary())})
-
-    return texts(docs).mapInArrow(run, "doc_id long, ids binary")
