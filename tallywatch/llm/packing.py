@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
-from .tokens import encoded, slices
+from .tables import free_name, stored, texts
+from .tokens import encoder, slices
 
 
 _NAMES = ["doc_id", "piece", "start", "length", "ids"]
@@ -24,24 +24,23 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, limit: int = 1024) -> D
     shorter. A null or empty text is the end id alone; rows with equal or null
     ids are separate documents; an empty table gives no rows; other columns are
     ignored."""
-    schema = "doc_id long, piece int, start long, length long, ids binary"
+    end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ids", 1 << 23):
+        for batch in slices(batches):
             rows = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder(tokenizer).encode(batch["text"].to_pylist())):
+                ids += end
                 count = len(ids) // 4
-                first = count % limit or limit
-                bounds = [0, *range(first, count + 1, limit)]
+                bounds = [0, *range(count % limit or limit, count + 1, limit)]
                 rows += [
-                    (doc_id, piece, start, end - start, ids[4 * start : 4 * end])
-                    for piece, (start, end) in enumerate(zip(bounds, bounds[1:]))
+                    (doc_id, piece, start, stop - start, ids[4 * start : 4 * stop])
+                    for piece, (start, stop) in enumerate(zip(bounds, bounds[1:]))
                 ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(zip(*rows), _TYPES)], names=_NAMES
-            )
+            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), _TYPES)]
+            yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
 
-    return encoded(docs, tokenizer, end_id).mapInArrow(cut, schema)
+    return texts(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary")
 
 
 def place(rows: DataFrame, limit: int = 1024, group_rows: int = 8192) -> DataFrame:
@@ -56,16 +55,17 @@ def place(rows: DataFrame, limit: int = 1024, group_rows: int = 8192) -> DataFra
     empty table gives no rows."""
     rows = stored(rows.drop("sequence_id", "offset"), "pieces")
     groups = max(1, -(-rows.count() // group_rows))
-    dealt = rows.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+    name = free_name(rows, "_group")
+    dealt = rows.withColumn(name, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     schema = rows.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
 
     def packed(group: pa.Table) -> pa.Table:
-        number = group["_group"][0].as_py()
+        number = group[name][0].as_py()
         sequence, offset = pack(group["length"].to_numpy(), limit)
-        group = group.drop_columns(["_group"]).append_column("sequence_id", pa.array(sequence + (number << 32)))
+        group = group.drop_columns([name]).append_column("sequence_id", pa.array(sequence + (number << 32)))
         return group.append_column("offset", pa.array(offset))
 
-    return dealt.groupBy("_group").applyInArrow(packed, schema)
+    return dealt.groupBy(name).applyInArrow(packed, schema)
 
 
 def pack(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +104,7 @@ def best_fit(lengths: np.ndarray, limit: int) -> list[list[int]]:
     return bins
 
 
-def empty_bins(bins: list[list[int]], lengths: np.ndarray, limit: int, patience: int = 24, swaps: int = 200) -> None:
+def empty_bins(bins: list[list[int]], lengths: np.ndarray, limit: int, patience: int = 24) -> None:
     """Local search in place. The emptiest bin gives to fuller ones: it moves a
     document into another's room, or exchanges one or two of its documents for
     one or two smaller ones. Each step makes the fuller bin fuller still, so the
@@ -114,23 +114,29 @@ def empty_bins(bins: list[list[int]], lengths: np.ndarray, limit: int, patience:
     least = -(-int(lengths.sum()) // limit)
     fill = [int(lengths[items].sum()) for items in bins]
     stuck: set[int] = set()
-    while len(bins) > least and len(stuck) < patience:
+    moved = False
+    while len(bins) > least:
         givers = [number for number in range(len(bins)) if number not in stuck and fill[number] < limit]
-        if not givers:
-            break
+        if not givers or len(stuck) >= patience:
+            if not moved:
+                break
+            # What others have exchanged since may have freed those that were stuck.
+            stuck, moved = set(), False
+            continue
         giver = min(givers, key=fill.__getitem__)
         parts = _parts(bins, lengths, fill, limit, giver)
-        for _ in range(swaps):
-            if not bins[giver] or not _step(bins, lengths, fill, limit, giver, parts):
-                break
-        if bins[giver]:
+        steps = 0
+        while bins[giver] and _step(bins, lengths, fill, limit, giver, parts):
+            steps += 1
+        moved = moved or steps > 0
+        if not bins[giver]:
+            last = len(bins) - 1
+            bins[giver], fill[giver] = bins[last], fill[last]
+            bins.pop()
+            fill.pop()
+            stuck = {giver if number == last else number for number in stuck if number != giver}
+        elif not steps:
             stuck.add(giver)
-            continue
-        last = len(bins) - 1
-        bins[giver], fill[giver] = bins[last], fill[last]
-        bins.pop()
-        fill.pop()
-        stuck = {giver if number == last else number for number in stuck if number != giver}
 
 
 class _Parts:
