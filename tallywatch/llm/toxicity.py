@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .arrays import combine, rows_of_words, word_bounds, word_hashes
 from .quality import passing_texts, scored_texts
-from .tables import crc_part, label_sample, texts
+from .tables import crc_part, label_sample, stored, texts
 from .text_features import DIGIT, LETTER, MARK, SYMBOL, UPPER, Texts, in_slices, share
 
 # Insults to start from; the rest of the lexicon is learned from the labels.
@@ -26,6 +26,7 @@ SECOND_PERSON = (
 _BREAK = ~(LETTER | DIGIT)
 KINDS = (4, 5, 1 << 30)
 NEAR = 3
+FOLDS = 4
 
 
 def _hashes_of(words: list[str]) -> np.ndarray:
@@ -70,8 +71,26 @@ class Lexicon:
         return np.where(self.keys[at] == keys, self.weights[at], 0.0)
 
 
+FEATURES = (
+    "insults",
+    "insult_count",
+    *(f"lexicon_{kind}" for kind in ("prefix_4", "prefix_5", "word")),
+    *(f"strongest_{kind}" for kind in ("prefix_4", "prefix_5", "word")),
+    "hit_count",
+    "lexicon_weight",
+    "near_second_person",
+    "second_person",
+    "capitals",
+    "capital_words",
+    "marks",
+    "symbols",
+    "mixed_words",
+    "log_words",
+)
+
+
 def features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
-    """One row per text."""
+    """One row per text, one column per name in ``FEATURES``."""
     return in_slices(column, lambda part: _features(part, lexicon))
 
 
@@ -121,46 +140,56 @@ def _features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
     return np.column_stack(columns)
 
 
-def learn_lexicon(rows: DataFrame, size: int = 4000, least: int = 4, odds: float = 2.0) -> Lexicon:
-    """Keys that far more toxic texts hold than others, from ``text, label``
-    rows. Batches are counted before the shuffle; at most ``size`` keys come to
-    the driver."""
+def learn_lexicons(rows: DataFrame, folds: int, size: int = 6000, least: int = 3, odds: float = 2.0) -> list[Lexicon]:
+    """From ``text, label, fold`` rows: for each fold the lexicon of all other
+    folds, then the lexicon of all. A key belongs to a lexicon if at least
+    ``least`` toxic texts hold it, and far more of them than of the others.
+    Batches are counted before the shuffle; at most ``size`` keys come to the
+    driver."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch["label"].to_numpy(zero_copy_only=False)
+            labels = batch["label"].to_numpy(zero_copy_only=False).astype(np.uint64)
+            fold = batch["fold"].to_numpy(zero_copy_only=False).astype(np.uint64)
+            group = fold * np.uint64(2) + labels
             words = _Words(Texts(batch["text"]))
             pairs = [combine(keys, words.rows.astype(np.uint64)) for keys in words.keys]
             # Each key once per text.
             once = [np.unique(pair, return_index=True)[1] for pair in pairs]
             keys = np.concatenate([k[at] for k, at in zip(words.keys, once)])
-            toxic = np.concatenate([labels[words.rows[at]] for at in once])
+            groups = np.concatenate([group[words.rows[at]] for at in once]).astype(np.int64)
             found, place = np.unique(keys, return_inverse=True)
-            bad = np.bincount(place, toxic, minlength=len(found))
-            good = np.bincount(place, 1 - toxic, minlength=len(found))
-            yield pa.RecordBatch.from_pydict(
-                {"key": found.view(np.int64), "bad": bad.astype(np.int64), "good": good.astype(np.int64)}
-            )
-
-    sizes = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
-    ratio = F.log((F.col("bad") + 0.5) / F.lit(sizes.get(1, 0) + 1.0)) - F.log(
-        (F.col("good") + 0.5) / F.lit(sizes.get(0, 0) + 1.0)
-    )
+            counts = np.bincount(place * 2 * folds + groups, minlength=len(found) * 2 * folds).reshape(len(found), 2 * folds)
+            columns = {"key": found.view(np.int64), **{f"c{n}": counts[:, n] for n in range(2 * folds)}}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    names = [f"c{n}" for n in range(2 * folds)]
+    sizes = np.zeros(2 * folds)
+    for row in rows.groupBy("fold", "label").count().collect():
+        sizes[2 * row["fold"] + row["label"]] = row["count"]
+    good, bad = (sum((F.col(name) for name in names[side::2]), F.lit(0)) for side in (0, 1))
+    ratio = F.log((bad + 0.5) / F.lit(sizes[1::2].sum() + 1)) - F.log((good + 0.5) / F.lit(sizes[0::2].sum() + 1))
     found = (
-        rows.mapInArrow(counted, "key long, bad long, good long")
+        rows.mapInArrow(counted, "key long, " + ", ".join(f"{name} long" for name in names))
         .groupBy("key")
-        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-        .where(F.col("bad") >= least)
-        .withColumn("weight", ratio)
-        .where(F.col("weight") >= odds)
-        .orderBy(F.desc(F.col("weight") * F.col("bad")), "key")
+        .agg(*(F.sum(name).alias(name) for name in names))
+        .where((bad >= least) & (ratio >= odds))
+        .orderBy(F.desc(ratio * bad), "key")
         .limit(size)
-        .select("key", "weight")
         .toPandas()
     )
-    keys = found["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return Lexicon(keys[order], found["weight"].to_numpy(float)[order])
+    found = found.iloc[np.argsort(found["key"].to_numpy(np.int64).view(np.uint64))]
+    keys, counts = found["key"].to_numpy(np.int64).view(np.uint64), found[names].to_numpy(float)
+
+    def lexicon(used: np.ndarray) -> Lexicon:
+        good, bad = (counts[:, side::2][:, used].sum(1) for side in (0, 1))
+        all_good, all_bad = (sizes[side::2][used].sum() for side in (0, 1))
+        weight = np.log((bad + 0.5) / (all_bad + 1)) - np.log((good + 0.5) / (all_good + 1))
+        kept = (bad >= least) & (weight >= odds)
+        return Lexicon(keys[kept], weight[kept])
+
+    every = np.arange(folds)
+    return [lexicon(every != fold) for fold in range(folds)] + [lexicon(every >= 0)]
 
 
 @dataclass
@@ -277,35 +306,32 @@ def train_toxicity(
     docs: DataFrame, labels: DataFrame, parts: int = 3, held_out: int = 1, per_class: int = 12000
 ) -> ToxicityModel:
     """A model fitted on at most ``per_class`` labelled texts of either class;
-    ids in the held-out part are never used. Half of the sample makes the
-    lexicon, three tenths the trees, a fifth the calibration, so that none
-    learns from what the one before has seen."""
+    ids in the held-out part are never used. A training text is measured with
+    the lexicon of the folds it isn't in, and three tenths of the texts are kept
+    from the trees for the calibration, so that nothing is judged by what has
+    learned from it."""
     sample = label_sample(labels, "toxic", parts, held_out, per_class)
-    rows = texts(docs).join(F.broadcast(sample), "doc_id")
-    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(10))
-    lexicon = learn_lexicon(rows.where(fold < 5).select("text", "label"))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int")
+    rows = texts(docs).join(F.broadcast(sample), "doc_id").withColumn("fold", fold)
+    rows = stored(rows.select("doc_id", "label", "fold", "text"), "toxicity-sample")
+    lexicons = learn_lexicons(rows, FOLDS)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = list(features(batch["text"], lexicon)) if len(batch) else []
-            yield pa.RecordBatch.from_pydict(
-                {**{name: batch[name] for name in ("doc_id", "label", "fold")}, "values": pa.array(values, pa.list_(pa.float64()))}
-            )
-
-    found = (
-        rows.withColumn("fold", fold.cast("int"))
-        .where(F.col("fold") >= 5)
-        .select("doc_id", "label", "fold", "text")
-        .mapInArrow(measured, "doc_id long, label int, fold int, values array<double>")
-        .toPandas()
-        .sort_values("doc_id", kind="stable")
-        .drop_duplicates("doc_id")
-    )
-    label, last = found["label"].to_numpy(float), (found["fold"] >= 8).to_numpy()
-    values = np.array(found["values"].tolist(), float).reshape(len(found), -1)
+            folds = batch["fold"].to_numpy(zero_copy_only=False)
+            for number in np.unique(folds):
+                part = batch.filter(pa.array(folds == number))
+                values = pa.array(list(features(part["text"], lexicons[number])), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "label": part["label"], "values": values})
+
+    found = rows.mapInArrow(measured, "doc_id long, label int, values array<double>").toPandas()
+    found = found.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    label = found["label"].to_numpy(float)
+    values = np.array(found["values"].tolist(), float).reshape(len(found), len(FEATURES))
+    last = np.random.default_rng(7).random(len(found)) < 0.3
     trees = boost(values[~last], label[~last])
     x, y = isotonic(trees.raw(values[last]), label[last])
-    return ToxicityModel(lexicon, trees, x, y)
+    return ToxicityModel(lexicons[-1], trees, x, y)
 
 
 def toxicity_scores(
