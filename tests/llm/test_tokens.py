@@ -1,0 +1,194 @@
+"""Codecs against their libraries, packing, and token files."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as spark_entry
+from tallywatch.llm.packing import best_fit, empty_bins, pack, pieces, place
+from tallywatch.llm.piece_codec import PieceCodec, decode, encode
+from tallywatch.llm.token_files import BLOCK, TokenFile, pack_bits, read_token_files, unpack_bits, write_token_files
+from tallywatch.llm.tokens import WordEncoder
+
+from .conftest import SF
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+ODD = [
+    None, "", " ", "  ", " a", "a ", "a  b", "a\n\nb", "\t", "▁", "▁a▁ b", "<s>", "</s>x", "<0x41>", "don't we'll", "x" * 3000,
+    "日本語 テスト", "\x00", "a\x1cb", "\xa0 a", "é é", "ﬁ①", "İ ß Σς", "<|endoftext|>", "a\r\nb", "😀😀 ok", "12345 a1b2", "--- ***",
+]
+ALPHABET = ["a", "b", "the", "ing", " ", "  ", "\n", "'s", "1", "日", "▁", "é", "́", "!", "…", "\x1c", "\xa0", "<s>", "ß"]
+TEXTS = st.lists(st.sampled_from(ALPHABET), max_size=25).map("".join) | st.text(max_size=30)
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return PieceCodec(PIECES)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXTS.filter(lambda t: all(not 0xD800 <= ord(c) < 0xE000 for c in t)))
+def test_codec_equals_library(codec, library, text):
+    ids = np.frombuffer(codec.encode(text), "<i4")
+    assert ids.tolist() == library.encode(text)
+    assert codec.decode(ids) == library.decode(ids.tolist())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(3, 31999) | st.integers(3, 258), max_size=12))
+def test_any_ids_decode_like_the_library(codec, library, ids):
+    assert codec.decode(np.array(ids, np.int32)) == library.decode(ids)
+
+
+def test_backtracking_needs_no_more_than_the_merges(codec):
+    draw = random.Random(3)
+    for _ in range(500):
+        text = "".join(draw.choices("abcdefghinorstu", k=draw.randint(1, 14)))
+        assert [codec.pieces[i] for i in codec._backtrack(text)] == codec.merged(text)
+
+
+def test_codec_on_tables(spark, docs, library, sample):
+    rows = decode(encode(docs(ODD), PIECES), PIECES).orderBy("doc_id").collect()
+    for row, text in zip(rows, ODD):
+        assert list(row.ids) == library.encode(text or "") and row.decoded == library.decode(list(row.ids))
+    assert encode(docs(["a"]).where("false"), PIECES).count() == 0
+    assert encode(docs([(None, "a"), (1, "a"), (1, "a")]), PIECES).count() == 3
+    found = {r.doc_id: r for r in spark_entry.queries()["op5_piece_codec"](spark, SF).collect()}
+    assert len(found) == len(sample) and all(found[i].n_tokens == len(library.encode(t)) for i, t in sample.items())
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_equal_whole_texts(path, sample):
+    encoder, library = WordEncoder(path, words=50, parts=50), Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    draw = random.Random(8)
+    texts = [t or "" for t in ODD] + list(sample.values())[:40]
+    texts += ["".join(draw.choices(ALPHABET, k=draw.randint(0, 30))) for _ in range(500)]
+    for mine, theirs in zip(encoder.encode(texts), library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(mine, "<u4").tolist() == theirs.ids
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_packed_pieces(spark, sample):
+    library = Tokenizer.from_file(BYTES)
+    library.encode_special_tokens = True
+    rows = spark_entry.queries()["op8_best_fit_packing"](spark, SF).collect()
+    by_doc, by_sequence, total = {}, {}, 0
+    for row in rows:
+        by_doc.setdefault(row.doc_id, []).append(row)
+        by_sequence.setdefault(row.sequence_id, []).append(row)
+    for doc_id, text in sample.items():
+        ids, at = library.encode(text or "", add_special_tokens=False).ids + [2], 0
+        total += len(ids)
+        for number, row in enumerate(sorted(by_doc[doc_id], key=lambda r: r.piece)):
+            assert (row.piece, row.start) == (number, at) and row.ids_crc32 == crc(ids[at : at + row.length])
+            assert row.length == 1024 or number == 0
+            at += row.length
+        assert at == len(ids)
+    for held in by_sequence.values():
+        held.sort(key=lambda r: r.offset)
+        assert [r.offset for r in held] == [sum(r.length for r in held[:i]) for i in range(len(held))]
+        assert sum(r.length for r in held) <= 1024
+    assert len(by_sequence) <= 1.01 * total / 1024 + 2
+
+
+def test_pieces_and_places_of_odd_texts(docs):
+    rows = docs([*[(i, t) for i, t in enumerate(ODD)], (None, "a"), (3, "a"), (3, "a")])
+    cut = pieces(rows, BYTES, 2)
+    assert cut.where("length = 1").count() >= 2 and cut.agg(F.max("length")).first()[0] <= 1024
+    extra = cut.withColumns({"_group": F.lit(1), "offset": F.lit("x"), "sequence_id": F.lit(None)})
+    placed = place(extra, group_rows=4)
+    assert placed.count() == cut.count() and "_group" in placed.columns
+    assert dict(placed.dtypes)["offset"] == "bigint"
+    assert place(cut.where("false")).count() == 0 and pieces(rows.where("false"), BYTES, 2).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 100), max_size=60))
+def test_every_length_has_its_place(lengths):
+    lengths = np.array(lengths, np.int64)
+    sequence, offset = pack(lengths, 100)
+    for number in set(sequence.tolist()):
+        held = np.flatnonzero(sequence == number)
+        held = held[np.argsort(offset[held])]
+        assert offset[held].tolist() == (np.cumsum(lengths[held]) - lengths[held]).tolist()
+        assert lengths[held].sum() <= 100
+
+
+def test_search_empties_bins_that_best_fit_leaves():
+    """Two bins of three and one of one where two bins would do."""
+    lengths = np.array([40, 30, 31, 29, 35, 35])
+    bins = [[0, 1], [2, 3, 4], [5]]
+    empty_bins(bins, lengths, 100)
+    assert len(bins) == 2 and sorted(i for b in bins for i in b) == list(range(6))
+    draw = np.random.default_rng(4)
+    for _ in range(100):
+        lengths = draw.integers(5, 60, 24)
+        bins = [[i] for i in range(24)]
+        squares = sum(int(n) ** 2 for n in lengths)
+        empty_bins(bins, lengths, 100)
+        assert sorted(i for b in bins for i in b) == list(range(24)) and all(lengths[b].sum() <= 100 for b in bins)
+        assert sum(int(lengths[b].sum()) ** 2 for b in bins) > squares
+        assert len(bins) <= len(best_fit(lengths, 100)) + 2
+
+
+@pytest.mark.parametrize("width", [1, 7, 16, 17, 31, 32])
+def test_bits_round_trip(width):
+    draw = np.random.default_rng(width)
+    for count in (0, 1, 63, 64, 65, 1000):
+        ids = draw.integers(0, 1 << width, count, dtype=np.uint64).astype(np.uint32)
+        words = pack_bits(ids, width)
+        assert len(words) == -(-count // 64) * width and (unpack_bits(words, width, count) == ids).all()
+
+
+def test_token_files_round_trip(spark, docs, sample, tmp_path):
+    library = Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = True
+    rows = [(i, t) for i, t in sample.items()] + [(None, "none"), (10**12, None), (-5, "x y " * (BLOCK // 2)), (3, "again")]
+    files = write_token_files(docs(rows), WORDS, 2, 49408, str(tmp_path / "ids")).cache()
+    found = read_token_files(files, batch_ids=5000).orderBy("start").collect()
+    ids = [np.frombuffer(row.ids, "<u4").tolist() for row in found]
+    assert [row.start for row in found] == [sum(map(len, ids[:n])) for n in range(len(ids))]
+    names = [row.doc_id for row in found]
+    assert names == sorted(names, key=lambda i: (i is not None, i))
+    expected = sorted((str(i), library.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in rows)
+    assert sorted((str(i), one) for i, one in zip(names, ids)) == expected
+    for row in files.collect():
+        file = TokenFile(row.file)
+        every = [one for i in range(len(file.doc_ids)) for one in file.document(i).tolist()]
+        assert len(every) == row.ids == file.count and file.width == 16
+        assert file.ids(row.ids // 3, row.ids // 2).tolist() == every[row.ids // 3 : row.ids // 2]
+    files.unpersist()
+
+
+def test_no_files_for_no_rows(docs, tmp_path):
+    files = write_token_files(docs(["a"]).where("false"), WORDS, 2, 49408, str(tmp_path / "ids"))
+    assert files.count() == 0 and read_token_files(files).count() == 0
+
+
+def test_token_file_query(spark, sample):
+    library = Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = True
+    at = 0
+    for row in sorted(spark_entry.queries()["op9_token_files"](spark, SF).collect()):
+        ids = library.encode(sample[row.doc_id] or "", add_special_tokens=False).ids + [2]
+        assert (row.start, row.n_tokens, row.ids_crc32) == (at, len(ids), crc(ids))
+        at += len(ids)
