@@ -1,7 +1,7 @@
 """Language-model scores of whole texts: a Katz backoff model of word pairs
 with Good-Turing discounts and exactly normalised backoff weights.
 
-Texts are taken in chunks of some million words. Each chunk asks for the counts
+Texts are taken in chunks of a million words or more. Each chunk asks for the counts
 of the words and pairs it holds, as packed lists of hashes dealt out by key; the
 counts come back in tables partitioned by chunk. With them the chunk evaluates
 its texts word by word: a pair that was seen has its discounted share, any other
@@ -28,14 +28,14 @@ from .tables import crc_part, new_folder, stored, texts
 from .tokens import slices
 
 END = np.uint64(0x45A1D2C37F6B9E85)  # the token after the last word, and the context of the first
-CHUNK = 4_000_000
+CHUNK = 1_500_000
 LARGEST = 5  # counts up to here are discounted by Good-Turing
 
 
 def packed(values: np.ndarray) -> bytes:
     """Numbers as planes of their bytes, which compress well where high bytes
     are mostly zero."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def unpacked(data: bytes, kind: str) -> np.ndarray:
@@ -60,8 +60,9 @@ class Chunk:
         before[1:] = tokens[:-1]
         before[first] = END
         weight = np.repeat(np.concatenate(train), self.sizes)
-        self.words, self.word = np.unique(tokens, return_inverse=True)
-        self.pairs, at, self.pair = np.unique(combine(before, tokens), return_index=True, return_inverse=True)
+        self.words, word = np.unique(tokens, return_inverse=True)
+        self.pairs, at, pair = np.unique(combine(before, tokens), return_index=True, return_inverse=True)
+        self.word, self.pair = word.astype(np.int32), pair.astype(np.int32)
         self.word_counts = np.bincount(self.word, weight, len(self.words)).astype("<u4")
         self.pair_counts = np.bincount(self.pair, weight, len(self.pairs)).astype("<u4")
         # The words of each distinct pair, as places among the distinct words.

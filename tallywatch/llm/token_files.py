@@ -176,7 +176,7 @@ def read_token_files(files: DataFrame, batch_ids: int = 1 << 20) -> DataFrame:
             for path, base in zip(batch["file"].to_pylist(), batch["first_id"].to_pylist()):
                 yield from _documents(TokenFile(path), base, batch_ids)
 
-    spread = files.select("file", "first_id").repartition("file")
+    spread = files.select("file", "first_id").repartition(max(1, files.count()))
     return spread.mapInArrow(run, "doc_id long, start long, ids binary")
 
 
