@@ -31,6 +31,10 @@ def _payload(messages: DataFrame) -> DataFrame:
     found = F.col("found")
     complete = F.endswith(F.rtrim(value, F.lit(" \t\r\n")), F.lit("}"))
     first = F.get(found, F.lit(0))
+    # A value may close the array itself and leave text behind; then a further
+    # element is never reached.
+    again = F.from_json(F.concat(F.lit("["), value, F.lit(",null,null]")), "array<string>", JSON_OPTIONS)
+    complete = complete & (~F.rlike(value, F.lit(r"null\s*\]")) | (F.size(again) == 3))
     return messages.select("*", F.explode(F.array(elements)).alias("found")).withColumns(
         {"is_object": complete & (F.size(found) == 2) & first.isNotNull(), "p": first}
     )
@@ -75,7 +79,8 @@ def decode(messages: DataFrame, keep_currency: bool = False) -> DataFrame:
         "amount": F.col("p.amount").try_cast(schema.AMOUNT),
         "timestamp": instant,
     }
-    transaction_id = F.col("p.transaction_id")
+    # A blank id is no id.
+    transaction_id = F.when(F.trim("p.transaction_id") != "", F.col("p.transaction_id"))
     if "position" in messages.columns:
         digest = F.md5(F.col("position"))
         parts = [F.substring(digest, start, size) for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
@@ -95,9 +100,10 @@ def decode(messages: DataFrame, keep_currency: bool = False) -> DataFrame:
     )
 
 
-def accepted(decoded: DataFrame) -> DataFrame:
-    """The transactions of the messages that decoded."""
-    carried = ["ingest_time"] if "ingest_time" in decoded.columns else []
+def accepted(decoded: DataFrame, *more: str) -> DataFrame:
+    """The transactions of the messages that decoded; ``more`` are further
+    columns to keep."""
+    carried = list(dict.fromkeys([*(["ingest_time"] if "ingest_time" in decoded.columns else []), *more]))
     return decoded.where(F.col("reject_reason").isNull()).select(*schema.TRANSACTION_COLUMNS, *carried)
 
 

@@ -29,6 +29,9 @@ REJECTED = {
     '{"user_id":1,"amount":1,}': "bad_json",
     "{'user_id':1,'amount':2}": "bad_json",
     '{"user_id":1,"amount":1}x': "bad_json",
+    '{"user_id":1},null],{}': "bad_json",
+    '{"user_id":1},null]x}': "bad_json",
+    '{"user_id":1},null ] , {"a":[1,null]}': "bad_json",
     '{"user_id":1,"amount":1}{"user_id":2}': "bad_json",
     '{"user_id":1,"amount":1},{"user_id":2}': "bad_json",
     '{"user_id":1,"amount":1}]': "bad_json",
@@ -121,7 +124,8 @@ def test_id_is_random_where_there_is_no_position(spark):
 def test_each_message_is_parsed_once(spark):
     messages = spark.createDataFrame([("{}",)], "value string")
     plan = parse_transactions(messages)[0]._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json(") == 1 and "Generate" in plan
+    # A second time only where the text holds a null before a closing bracket.
+    assert plan.count("from_json(") == 2 and "null" in plan and "Generate" in plan
 
 
 def test_counts_are_observed(spark):
