@@ -52,7 +52,7 @@ def fraud_by_city(
     alerts: DataFrame,
     as_of: AsOf = None,
     span: str = "1 hour",
-    bin_width: str = "1 minute",
+    bin_width: str | None = None,
 ) -> DataFrame:
     """Transactions inside fraudulent windows that ended in the last hour, per
     city. ``fraud_count`` counts transactions, not windows."""
@@ -110,7 +110,7 @@ def register_views(
     transactions: DataFrame,
     alerts: DataFrame,
     as_of: AsOf = None,
-    bin_width: str = "1 minute",
+    bin_width: str | None = None,
 ) -> None:
     """Temp views of the two tables and of the three reports for ``spark.sql``.
     Without ``as_of`` they follow the clock, like any view on the current time."""
