@@ -24,7 +24,9 @@ from tallywatch.operators import interval_join, profile, quality, tables
 from tallywatch.plans import reports, views
 from tallywatch.session import configure, shared_folder
 from tallywatch.sources import events, tables as stored
-from tallywatch.streaming import jobs, sinks
+from tallywatch.sources.messages import file_messages
+from tallywatch.streaming import sinks
+from tallywatch.streaming.ledger import Tables, start_ledger_query
 
 try:
     from tallywatch.llm import queries as llm
@@ -191,7 +193,7 @@ def _snapshot_rows(tx: DataFrame, alerts: DataFrame) -> DataFrame:
 
 def _registered_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = _transactions(spark, sf_dir)
-    views.register_views(spark, tx, profile.alerts(tx, DAILY), AS_OF, bin_width=DAILY.window)
+    views.register_views(spark, tx, profile.alerts(tx, DAILY), AS_OF)
     return spark.sql(
         """
         SELECT 'transactions_per_minute' AS view_name, count(*) AS n, CAST(sum(total_volume) AS DOUBLE) AS amount
@@ -212,43 +214,60 @@ def _compacted_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two batches of the upsert, stored as a log and folded by compaction."""
     folder = _folder(spark, "compaction")
     for batch_id, versions in enumerate(_alert_versions(_transactions(spark, sf_dir))):
-        dated = versions.withColumn("alert_date", utc_date(F.col("window_end")))
-        dated.write.partitionBy("alert_date").parquet(f"{folder}/log/query_id=entry/batch_id={batch_id}")
+        dated = versions.withColumns(
+            {
+                "alert_date": utc_date(F.col("window_end")),
+                "query_id": F.lit("entry"),
+                "batch_id": F.lit(batch_id).cast("long"),
+            }
+        )
+        dated.write.mode("append").partitionBy("alert_date", "query_id", "batch_id").parquet(f"{folder}/log")
     sinks.compact_alerts(spark, f"{folder}/log", f"{folder}/compact")
     return _plain(stored.alerts_log(spark, f"{folder}/compact").select(*schema.ALERT_COLUMNS, "created_at"))
 
 
-def _stream(
-    spark: SparkSession, sf_dir: str, start: Callable, name: str, well_formed: bool = True, **options
-) -> str:
-    """Runs a streaming job over all events and returns the table it wrote."""
+def _ledger(spark: SparkSession, sf_dir: str, well_formed: bool = True) -> Tables:
+    """Runs the job over all events, which arrive in several batches, some rows
+    late, some twice and one dated far ahead; returns the tables it wrote."""
     configure(spark, streaming=True)
-    folder = _folder(spark, name)
-    messages = events.event_stream(spark, sf_dir, well_formed)
-    start(messages, f"{folder}/table", f"{folder}/checkpoint", trigger=ONCE, **options).awaitTermination()
-    return f"{folder}/table"
+    folder = _folder(spark, "ledger")
+    events.event_files(spark, sf_dir, f"{folder}/messages", well_formed)
+    messages = file_messages(spark, f"{folder}/messages", max_files_per_trigger=4)
+    tables = Tables(f"{folder}/tables")
+    start_ledger_query(messages, tables, f"{folder}/checkpoint", DAILY, ONCE).awaitTermination()
+    return tables
+
+
+def _sent(rows: DataFrame) -> DataFrame:
+    """Without the user of the message that is dated ahead."""
+    return rows.where(F.col("user_id") >= 0)
 
 
 def _streaming_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _stream(spark, sf_dir, jobs.start_transactions_query, "transactions")
-    return _plain(stored.stored_transactions(spark, path).select(*schema.TRANSACTION_COLUMNS))
+    rows = stored.stored_transactions(spark, _ledger(spark, sf_dir).transactions)
+    return _plain(_sent(rows).select(*schema.TRANSACTION_COLUMNS))
+
 
+def _ledger_alerts(spark: SparkSession, sf_dir: str, closed: bool) -> tuple[Tables, DataFrame]:
+    tables = _ledger(spark, sf_dir)
+    found = _sent(stored.ledger_alerts(spark, tables.alert_parts, DAILY))
+    if closed:
+        newest = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.max(F.col("ts").cast("timestamp"))).scalar()
+        found = found.where(F.col("window_end") <= newest)
+    return tables, found
 
-def _streaming_alerts(mode: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = _stream(spark, sf_dir, jobs.start_alerts_query, f"alerts-{mode}", cfg=DAILY, mode=mode)
-        return _plain(stored.stored_alerts(spark, path).select(*schema.ALERT_COLUMNS))
 
-    return run
+def _streaming_alerts(closed: bool) -> Query:
+    return lambda spark, sf_dir: _plain(_ledger_alerts(spark, sf_dir, closed)[1].select(*schema.ALERT_COLUMNS))
 
 
 def _streaming_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _stream(spark, sf_dir, jobs.start_enriched_query, "enriched", cfg=DAILY)
-    return _plain(spark.read.parquet(path).select(*schema.ENRICHED_COLUMNS))
+    tables, found = _ledger_alerts(spark, sf_dir, closed=True)
+    return _plain(profile.enrich_from_alerts(stored.stored_transactions(spark, tables.transactions), found, DAILY))
 
 
 def _streaming_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _stream(spark, sf_dir, jobs.start_quarantine_query, "quarantine", well_formed=False)
+    path = _ledger(spark, sf_dir, well_formed=False).quarantine
     return spark.read.parquet(path).select("value", "reject_reason")
 
 
@@ -280,7 +299,7 @@ def core_queries() -> dict[str, Query]:
         "compacted_alerts": _compacted_alerts,
         "flagged_transactions": _on_both(
             lambda tx, alerts: interval_join.flagged_transactions(
-                tx, alerts.where("is_fraud = 1").select("user_id", "window_start", "window_end"), DAILY.window
+                tx, alerts.where("is_fraud = 1").select("user_id", "window_start", "window_end")
             ).select("transaction_id", "user_id", "timestamp", "amount", "city", "window_start", "window_end")
         ),
         "transactions_per_minute": _on_transactions(lambda tx: views.transactions_per_minute(tx, AS_OF)),
@@ -288,7 +307,7 @@ def core_queries() -> dict[str, Query]:
             lambda tx: views.transactions_per_minute(tx, AS_OF, ascending=True, zero_fill=True)
         ),
         "fraud_by_city": _on_both(
-            lambda tx, alerts: views.fraud_by_city(tx, alerts, AS_OF, bin_width=DAILY.window)
+            lambda tx, alerts: views.fraud_by_city(tx, alerts, AS_OF)
         ),
         "fraud_stats": _on_alerts(lambda alerts: views.fraud_stats(alerts, AS_OF)),
         "fraud_stats_api": _on_alerts(lambda alerts: views.fraud_stats(alerts, AS_OF, zero_fill=True)),
@@ -308,8 +327,8 @@ def core_queries() -> dict[str, Query]:
         "retention": _on_transactions(lambda tx: tables.retained(tx, "timestamp", AS_OF, days=7)),
         "retention_alerts": _on_alerts(lambda alerts: tables.retained(alerts, "window_end", AS_OF, days=7)),
         "streaming_transactions": _streaming_transactions,
-        "streaming_alerts": _streaming_alerts("append"),
-        "streaming_upserts": _streaming_alerts("update"),
+        "streaming_alerts": _streaming_alerts(closed=True),
+        "streaming_upserts": _streaming_alerts(closed=False),
         "streaming_enriched": _streaming_enriched,
         "streaming_quarantine": _streaming_quarantine,
     }

@@ -35,6 +35,17 @@ class RiskConfig:
         if not 1 <= self.salts <= 63:
             raise ValueError(f"salts must be between 1 and 63, got {self.salts}")
 
+    @classmethod
+    def from_env(cls, env: Mapping[str, str] = os.environ) -> RiskConfig:
+        return cls(
+            window=env.get("RISK_WINDOW", cls.window),
+            amount_threshold=Decimal(env.get("RISK_AMOUNT", str(cls.amount_threshold))),
+            count_threshold=int(env.get("RISK_COUNT", cls.count_threshold)),
+            time_basis=env.get("RISK_TIME_BASIS", cls.time_basis),
+            watermark=env.get("RISK_WATERMARK", cls.watermark),
+            keep_currency=env.get("KEEP_CURRENCY", "").lower() in ("1", "true", "yes"),
+        )
+
 
 @dataclass(frozen=True)
 class JobConfig:
@@ -51,7 +62,8 @@ class JobConfig:
     output_root: str | None = None
     checkpoint_root: str | None = None
     trigger_interval: str = "60 seconds"
-    sink: str = "files"  # or "jdbc"
+    sink: str = "files"  # or "jdbc", which gets what the files get as well
+    feed: bool = False
 
     def __post_init__(self):
         if self.sink not in ("files", "jdbc"):
@@ -73,4 +85,5 @@ class JobConfig:
             checkpoint_root=env.get("CHECKPOINT_ROOT"),
             trigger_interval=env.get("TRIGGER_INTERVAL", cls.trigger_interval),
             sink=env.get("TABLE_SINK", cls.sink),
+            feed=env.get("ALERT_FEED", "").lower() in ("1", "true", "yes"),
         )

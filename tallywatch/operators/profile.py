@@ -42,6 +42,13 @@ def window_profile(transactions: DataFrame, cfg: RiskConfig) -> DataFrame:
     return _profile(with_clock(transactions, cfg), cfg).select(*schema.PROFILE_COLUMNS)
 
 
+def window_totals(transactions: DataFrame, cfg: RiskConfig, *more: Column) -> DataFrame:
+    """The same for rows whose clock column is there already, as a part to be
+    added to others; ``more`` are further aggregates."""
+    totals = _profile(transactions, cfg, *more).drop("window")
+    return totals.withColumn("total_amount", F.col("total_amount").cast(schema.TOTAL))
+
+
 def alerts(transactions: DataFrame, cfg: RiskConfig, rules: list[Rule] | None = None) -> DataFrame:
     """One scored row per user and window, fraudulent or not."""
     profiles = window_profile(transactions, cfg)
@@ -83,3 +90,15 @@ def enrich(transactions: DataFrame, cfg: RiskConfig, rules: list[Rule] | None =
         "salt",
     )
     return rows.join(copies, ["user_id", "window", "salt"]).select(*schema.ENRICHED_COLUMNS)
+
+
+def enrich_from_alerts(transactions: DataFrame, alerts: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """Stored transactions with the totals and scores of their windows, from the
+    stored alerts: the batch counterpart of a stream join, without state. Both
+    sides can be cut to the same days first. Windows that ``alerts`` lacks, such
+    as those that are still open, leave their transactions out."""
+    rows = transactions.withColumn("_window", _window(cfg)).withColumns(
+        {"window_start": F.col("_window.start"), "window_end": F.col("_window.end")}
+    )
+    scored = alerts.select(*schema.ALERT_COLUMNS)
+    return rows.join(scored, ["user_id", "window_start", "window_end"]).select(*schema.ENRICHED_COLUMNS)

@@ -65,6 +65,18 @@ TRANSACTIONS_TABLE = T.StructType(
     + _WRITTEN_BY
     + [T.StructField("event_date", T.DateType())]
 )
+ALERT_PARTS = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("transaction_count", T.LongType()),
+        T.StructField("total_amount", TOTAL),
+        T.StructField("written_at", T.TimestampType()),
+    ]
+    + _WRITTEN_BY
+    + [T.StructField("alert_date", T.DateType())]
+)
 ALERTS_LOG = T.StructType(
     [
         T.StructField("user_id", T.LongType()),

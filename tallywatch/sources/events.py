@@ -18,8 +18,9 @@ def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{sf_dir}/events.parquet"), spark.read.parquet(f"{sf_dir}/nation.parquet")
 
 
-def _transaction(placed: DataFrame) -> DataFrame:
+def _transaction(placed: DataFrame, *more: str) -> DataFrame:
     return placed.select(
+        *more,
         F.col("event_id").cast("string").alias("transaction_id"),
         "user_id",
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -35,7 +36,7 @@ def from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _transaction(_placed_events(*_tables(spark, sf_dir)))
 
 
-def _message(placed: DataFrame) -> DataFrame:
+def _message(placed: DataFrame, *more: str) -> DataFrame:
     """Each event as a message text. The kinds of event differ in form: views
     leave out amount and city, signups send numbers as text, and errors are
     broken in a way that depends on the user's region."""
@@ -58,7 +59,8 @@ def _message(placed: DataFrame) -> DataFrame:
         .when(F.col("n_regionkey") == 3, F.concat(F.lit('{"user_id":'), user, F.lit(',"amount":null}')))
         .otherwise(F.concat(F.lit('{"user_id":'), user, F.lit(',"amount":"abc"}')))
     )
-    return placed.select(F.when(kind == "error", broken).when(kind == "signup", texts).otherwise(plain).alias("value"))
+    text = F.when(kind == "error", broken).when(kind == "signup", texts).otherwise(plain)
+    return placed.select(*more, text.alias("value"))
 
 
 def messages_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,16 +68,28 @@ def messages_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _message(_placed_events(*_tables(spark, sf_dir)))
 
 
-def event_stream(spark: SparkSession, sf_dir: str, well_formed: bool = True) -> DataFrame:
-    """Every event as a message, read as a stream: all well formed, or the same
-    as ``messages_from_events``. One trigger takes all files, so the result
-    does not depend on their order."""
+def event_files(spark: SparkSession, sf_dir: str, folder: str, well_formed: bool = True) -> None:
+    """Writes every event as a message, all well formed or the same as
+    ``messages_from_events``, to text files of five arrivals: four in order of
+    time; some rows come in the last one only, some a second time, and one is
+    dated far ahead for a user of its own (-1)."""
     events, nation = _tables(spark, sf_dir)
-    # A pattern, since a stream cannot start from the path of a single file.
-    arriving = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/{{events.parquet}}")
-    placed = _placed_events(arriving, nation)
-    if not well_formed:
-        return _message(placed)
-    rows = _transaction(placed)
-    fields = [name for name in rows.columns if name != "timestamp"]
-    return rows.select(F.to_json(F.struct(*fields, F.unix_millis("timestamp").alias("timestamp"))).alias("value"))
+    number = F.col("event_id")
+    late = number % 97 == 0
+    turn = F.least(F.lit(3), F.floor((F.dayofmonth("ts") - 1) / 8)).cast("int")
+    turns = F.array(F.when(late, 4).otherwise(turn), F.when((number % 10 == 0) & ~late, 4))
+    placed = _placed_events(events.withColumn("arrival", F.explode(F.array_compact(turns))), nation)
+    if well_formed:
+        rows = _transaction(placed)
+        fields = [name for name in rows.columns if name != "timestamp"]
+        text = F.to_json(F.struct(*fields, F.unix_millis("timestamp").alias("timestamp")))
+        sent = _transaction(placed, "arrival").select(text.alias("value"), "arrival")
+        ahead = spark.range(1).select(
+            F.lit('{"transaction_id":"ahead","user_id":-1,"timestamp":4102444800000,"amount":1}').alias("value"),
+            F.lit(1).alias("arrival"),
+        )
+        sent = sent.unionByName(ahead)
+    else:
+        sent = _message(placed.where(F.col("arrival") < 4).unionByName(placed.where(late)), "arrival")
+    spread = sent.repartition(20, "arrival", F.pmod(F.xxhash64("value"), F.lit(4)))
+    spread.write.partitionBy("arrival").text(folder)

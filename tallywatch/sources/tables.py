@@ -2,23 +2,93 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywatch import schema
-from tallywatch.config import JobConfig
+from tallywatch.config import JobConfig, RiskConfig
+from tallywatch.functions.rules import Rule, default_rules, score
 from tallywatch.operators.tables import current_alerts
 
 POSTGRES_DRIVER = "org.postgresql.Driver"
 
 
-def stored_transactions(spark: SparkSession, path: str) -> DataFrame:
+def table_rows(
+    spark: SparkSession, path: str, layout: T.StructType, days: tuple[date, date] | None = None
+) -> DataFrame:
+    """Rows of a table of files, with its partition columns; a table without
+    files yet has none. With ``days`` (first and last) only the folders of those
+    dates are listed, which needs the layout with date folders outermost."""
+    reader = spark.read.schema(layout).option("basePath", path)
+    wanted = path
+    if days:
+        names = ",".join(str(days[0] + timedelta(n)) for n in range((days[1] - days[0]).days + 1))
+        wanted = f"{path}/{layout.fieldNames()[-1]}={{{names}}}"
+    try:
+        return reader.parquet(wanted)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], layout)
+
+
+def stored_transactions(spark: SparkSession, path: str, days: tuple[date, date] | None = None) -> DataFrame:
     """The transactions table; ``event_date`` is a partition column."""
-    return spark.read.schema(schema.TRANSACTIONS_TABLE).parquet(path).drop("query_id", "batch_id")
+    return table_rows(spark, path, schema.TRANSACTIONS_TABLE, days).drop("query_id", "batch_id")
+
+
+def summed_alerts(parts: DataFrame, cfg: RiskConfig, rules: list[Rule] | None = None) -> DataFrame:
+    """Alerts from their parts: counts and sums add up, then are scored."""
+    totals = parts.groupBy("user_id", "window_start", "window_end", "alert_date").agg(
+        F.sum("transaction_count").alias("transaction_count"),
+        F.sum("total_amount").cast(schema.TOTAL).alias("total_amount"),
+        F.min("written_at").alias("created_at"),
+        F.max("written_at").alias("updated_at"),
+    )
+    return score(totals, rules or default_rules(cfg))
+
+
+def ledger_alerts(
+    spark: SparkSession,
+    path: str,
+    cfg: RiskConfig = RiskConfig(),
+    rules: list[Rule] | None = None,
+    days: tuple[date, date] | None = None,
+) -> DataFrame:
+    """The alerts of a table of parts, as the job writes them; ``alert_date``
+    is a partition column."""
+    return summed_alerts(table_rows(spark, path, schema.ALERT_PARTS, days), cfg, rules)
+
+
+def latest_days(
+    spark: SparkSession,
+    path: str,
+    n: int,
+    first: date,
+    last: date,
+    cfg: RiskConfig = RiskConfig(),
+    rules: list[Rule] | None = None,
+) -> tuple[date, date]:
+    """Those of the days from ``first`` to ``last`` that hold the ``n`` latest
+    fraudulent alerts of a table of parts. An alert's parts share their date, so
+    no alert is missed by going back from the last day until the days so far
+    have ``n``; each step doubles their number and opens their folders only."""
+    span = 1
+    while True:
+        start = max(first, last - timedelta(span - 1))
+        found = ledger_alerts(spark, path, cfg, rules, (start, last)).where(F.col("is_fraud") == 1)
+        if start == first or found.limit(n).count() == n:
+            return start, last
+        span *= 2
 
 
 def alerts_log(spark: SparkSession, path: str) -> DataFrame:
     """Every version of every alert; ``alert_date`` is a partition column."""
-    return spark.read.schema(schema.ALERTS_LOG).parquet(path).drop("query_id", "batch_id")
+    return table_rows(spark, path, schema.ALERTS_LOG)
 
 
 def stored_alerts(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,7 +13,7 @@ from tallywatch import schema
 from tallywatch.config import JobConfig
 from tallywatch.functions.time import AsOf
 from tallywatch.operators.tables import current_alerts, retained
-from tallywatch.sources.tables import alerts_log, jdbc_properties, stored_transactions
+from tallywatch.sources.tables import alerts_log, jdbc_properties, table_rows
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -28,17 +29,18 @@ REPLACED = {
 
 
 def append_batch(path: str, *partition_by: str) -> BatchWriter:
-    """Sink for a table of files. A micro-batch owns one directory, named after
-    the query (whose id lives in its checkpoint) and the batch, and replaces it
-    when retried: each batch is stored once however often it runs, and a query
-    with a new checkpoint never touches what an older one wrote."""
+    """Sink for a table of files. A micro-batch owns the folders named after the
+    query (whose id lives in its checkpoint) and the batch, below the date, and
+    replaces them when retried: each batch is stored once however often it runs,
+    and a query with a new checkpoint never touches what an older one wrote."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if query_id is None:
             raise RuntimeError("append_batch must be called by a streaming query")
-        writer = batch.write.mode("overwrite").partitionBy(*partition_by)
-        writer.parquet(f"{path}/query_id={query_id}/batch_id={batch_id}")
+        owned = batch.withColumns({"query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast("long")})
+        writer = owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_by, "query_id", "batch_id").parquet(path)
 
     return write
 
@@ -62,26 +64,72 @@ def _rewrite(rows: DataFrame, target: str, date: str, *order: str) -> None:
     """Stores ``rows`` in a new folder, in files of even size however many rows
     one date holds, sorted so that filters skip row groups."""
     even = rows.hint("rebalance", date).sortWithinPartitions(*order)
-    even.write.partitionBy(date).parquet(f"{target}/query_id=compacted/batch_id=0")
+    owned = even.withColumns({"query_id": F.lit("compacted"), "batch_id": F.lit(0).cast("long")})
+    owned.write.partitionBy(date, "query_id", "batch_id").parquet(target)
+
+
+def _committed(rows: DataFrame, upto: dict[str, int] | None) -> DataFrame:
+    """Rows of finished batches: up to the given batch of each given query."""
+    if upto is None:
+        return rows
+    done = F.lit(False)
+    for query_id, batch_id in upto.items():
+        done = done | ((F.col("query_id") == query_id) & (F.col("batch_id") <= batch_id))
+    return rows.where(done | (F.col("query_id") == "compacted"))
 
 
 def compact_alerts(
-    spark: SparkSession, source: str, target: str, keep_days: int | None = None, as_of: AsOf = None
+    spark: SparkSession,
+    source: str,
+    target: str,
+    keep_days: int | None = None,
+    as_of: AsOf = None,
+    upto: dict[str, int] | None = None,
 ) -> None:
     """Folds an alert log into one version per alert under ``target``, a new
     path, leaving out windows that ended more than ``keep_days`` ago. A
     streaming query can go on appending there."""
-    rows = current_alerts(alerts_log(spark, source))
+    rows = current_alerts(_committed(alerts_log(spark, source), upto))
+    kept = rows if keep_days is None else retained(rows, "window_end", as_of, keep_days)
+    _rewrite(kept, target, "alert_date", "window_end", "user_id")
+
+
+def compact_parts(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    keep_days: int | None = None,
+    as_of: AsOf = None,
+    upto: dict[str, int] | None = None,
+) -> None:
+    """Adds up the alert parts under ``target``, a new path, to one part per
+    alert, leaving out windows that ended more than ``keep_days`` ago."""
+    log = _committed(table_rows(spark, source, schema.ALERT_PARTS), upto)
+    rows = log.groupBy("user_id", "window_start", "window_end", "alert_date").agg(
+        F.sum("transaction_count").alias("transaction_count"),
+        F.sum("total_amount").cast(schema.TOTAL).alias("total_amount"),
+        F.max("written_at").alias("written_at"),
+    )
     kept = rows if keep_days is None else retained(rows, "window_end", as_of, keep_days)
     _rewrite(kept, target, "alert_date", "window_end", "user_id")
 
 
 def compact_transactions(
-    spark: SparkSession, source: str, target: str, keep_days: int | None = None, as_of: AsOf = None
+    spark: SparkSession,
+    source: str,
+    target: str,
+    keep_days: int | None = None,
+    as_of: AsOf = None,
+    upto: dict[str, int] | None = None,
 ) -> None:
     """Rewrites the transactions table under ``target``, a new path, leaving
-    out transactions older than ``keep_days``."""
-    rows = stored_transactions(spark, source)
+    out transactions older than ``keep_days``.
+
+    To compact the tables of a running job: stop it, compact each table with
+    ``upto`` (query id and last committed batch), and start it on the new folder
+    with the same checkpoint. A batch that was written but not committed is left
+    out here and written again by the job."""
+    rows = _committed(table_rows(spark, source, schema.TRANSACTIONS_TABLE), upto).drop("query_id", "batch_id")
     kept = rows if keep_days is None else retained(rows, "timestamp", as_of, keep_days)
     _rewrite(kept, target, "event_date", "timestamp")
 
@@ -97,6 +145,41 @@ def merge_statement(table: str, staging: str) -> str:
     return f"INSERT INTO {table} ({columns}) SELECT {values} FROM {staging} ON CONFLICT ({keys}) {action}"
 
 
+UUID = r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+TRIES = 3
+
+
+def database_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that the database's columns can hold, and the rest with a reason.
+    An id that is no UUID is replaced by one made from it."""
+    reasons = F.when(~F.col("user_id").between(-(2**31), 2**31 - 1), "user_out_of_range")
+    if "transaction_id" in rows.columns:
+        digest = F.md5(F.col("transaction_id"))
+        parts = [F.substring(digest, start, size) for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+        known = F.rlike(F.col("transaction_id"), F.lit(UUID))
+        rows = rows.withColumn("transaction_id", F.when(known, F.col("transaction_id")).otherwise(F.concat_ws("-", *parts)))
+        for name in ("city", "merchant_category", "currency"):
+            reasons = reasons.when(F.contains(F.col(name), F.lit("\0")), f"nul_in_{name}")
+    else:
+        reasons = reasons.when(F.col("total_amount") >= 10**8, "total_out_of_range")
+        reasons = reasons.when(F.col("transaction_count") >= 2**31, "count_out_of_range")
+    judged = rows.withColumn("reject_reason", reasons)
+    fine = judged.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return fine, judged.where(F.col("reject_reason").isNotNull())
+
+
+def retried(action: Callable[[], None], tries: int = TRIES, wait: float = 1.0) -> None:
+    """Runs a repeatable action until it succeeds, ``tries`` times at most, with
+    growing pauses."""
+    for attempt in range(1, tries + 1):
+        try:
+            return action()
+        except Exception:
+            if attempt == tries:
+                raise
+            time.sleep(wait * attempt)
+
+
 def _execute(spark: SparkSession, job: JobConfig, statement: str) -> None:
     properties = jdbc_properties(job)
     jvm = spark.sparkContext._jvm
@@ -110,17 +193,22 @@ def _execute(spark: SparkSession, job: JobConfig, statement: str) -> None:
         connection.close()
 
 
-def jdbc_merge(job: JobConfig, table: str) -> BatchWriter:
+def jdbc_merge(job: JobConfig, table: str, rejects: str | None = None) -> BatchWriter:
     """Sink for a database table: executors write the batch to a staging table
     with batched inserts, then one statement merges it. Both steps can be
-    repeated. Needs the database's JDBC driver, so the tests cover only the
+    repeated, and are tried three times. Rows that the database can't hold go
+    to the folder ``rejects``. Needs the database's JDBC driver, so the tests cover only the
     statement."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         staging = f"{table}_staging"
-        batch.select(*INSERT_COLUMNS[table]).write.mode("overwrite").options(
-            batchsize=JDBC_BATCH[table], truncate=True
-        ).jdbc(job.jdbc_url, staging, properties=jdbc_properties(job))
-        _execute(batch.sparkSession, job, merge_statement(table, staging))
+        fine, odd = database_rows(batch.select(*INSERT_COLUMNS[table]))
+        writer = fine.write.mode("overwrite").options(batchsize=JDBC_BATCH[table], truncate=True)
+        retried(lambda: writer.jdbc(job.jdbc_url, staging, properties=jdbc_properties(job)))
+        retried(lambda: _execute(batch.sparkSession, job, merge_statement(table, staging)))
+        if rejects:
+            owned = odd.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            dynamic = owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            dynamic.partitionBy("batch_id").parquet(rejects)
 
     return write
