@@ -1,7 +1,7 @@
 """Language-model scores of whole texts: a Katz backoff model of word pairs
 with Good-Turing discounts and exactly normalised backoff weights.
 
-Texts are taken in chunks of a million words or more. Each chunk asks for the counts
+Texts are taken in chunks of half a million words or more. Each chunk asks for the counts
 of the words and pairs it holds, as packed lists of hashes dealt out by key; the
 counts come back in tables partitioned by chunk. With them the chunk evaluates
 its texts word by word: a pair that was seen has its discounted share, any other
@@ -11,24 +11,21 @@ that owns it."""
 
 from __future__ import annotations
 
-import posixpath
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, bytes_of, combine, rows_of_words, word_bounds, word_hashes
-from .tables import crc_part, new_folder, stored, texts
+from .tables import crc_part, new_folder, parquet_tables, stored, texts
 from .tokens import slices
 
 END = np.uint64(0x45A1D2C37F6B9E85)  # the token after the last word, and the context of the first
-CHUNK = 1_500_000
+CHUNK = 500_000
 LARGEST = 5  # counts up to here are discounted by Good-Turing
 
 
@@ -284,10 +281,7 @@ def _evaluated(rows: DataFrame, folder: str, model: Model) -> DataFrame:
 
 def _answers(folder: str, number: int, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts of a chunk's words and pairs, and which pairs it owns."""
-    files, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
-    found = files.get_file_info(fs.FileSelector(posixpath.join(root, f"chunk={number}")))
-    tables = [pq.ParquetFile(files.open_input_file(one.path)).read() for one in found if one.path.endswith(".parquet")]
-    table = pa.concat_tables(tables).sort_by("bucket").to_pydict()
+    table = pa.concat_tables(parquet_tables(f"{folder}/chunk={number}")).sort_by("bucket").to_pydict()
     words = np.concatenate([unpacked(data, "<u4") for data in table["words"]]).astype(np.int64)
     parts = [unpacked(data, "<u4") for data in table["pairs"]]
     owned = [np.unpackbits(np.frombuffer(bits, np.uint8), count=len(part)) for bits, part in zip(table["owned"], parts)]

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,13 @@ def stored(rows: DataFrame, kind: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def parquet_tables(folder: str) -> list[pa.Table]:
+    """The files of a Parquet folder, read within a task from shared storage."""
+    files, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+    found = sorted(one.path for one in files.get_file_info(fs.FileSelector(root)) if one.path.endswith(".parquet"))
+    return [pq.ParquetFile(files.open_input_file(path)).read() for path in found]
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
