@@ -232,7 +232,7 @@ def _ledger(spark: SparkSession, sf_dir: str, well_formed: bool = True) -> Table
     configure(spark, streaming=True)
     folder = _folder(spark, "ledger")
     events.event_files(spark, sf_dir, f"{folder}/messages", well_formed)
-    messages = file_messages(spark, f"{folder}/messages", max_files_per_trigger=4)
+    messages = file_messages(spark, f"{folder}/messages", max_files_per_trigger=7)
     tables = Tables(f"{folder}/tables")
     start_ledger_query(messages, tables, f"{folder}/checkpoint", DAILY, ONCE).awaitTermination()
     return tables

@@ -55,7 +55,9 @@ def _owned(rows: DataFrame, query_id: str, batch_id: int) -> DataFrame:
 
 
 def _replace(rows: DataFrame, path: str, *partition_by: str) -> None:
-    """Writes a batch's rows, replacing what the same batch wrote before."""
+    """Writes a batch's rows, replacing what the same batch wrote before, in as
+    few files for each date as its size allows."""
+    rows = rows.hint("rebalance", *partition_by)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by, "query_id", "batch_id").parquet(path)
 
