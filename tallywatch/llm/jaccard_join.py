@@ -8,29 +8,31 @@ tokens within slightly longer prefixes. Small sets list all two-token subsets of
 that longer prefix and meet in equal subsets; a pair with a large set meets in
 the inverted list of one prefix token. Where small ends is chosen by cost.
 
-Lists are not expanded into all pairs. Each member is first compared with one
-member of its list, which joins groups of near copies in linear time; only what
+Lists are not expanded into all pairs. Each member is first compared with a few
+members of its list, which joins groups of near copies in linear time; only what
 then lies in different components is compared pair by pair."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, bytes_of, combine, mix, rows_of_words, word_bounds, word_hashes
 from .components import components
-from .tables import free_name, stored, texts
+from .tables import free_name, new_folder, parquet_tables, stored, texts
 from .tokens import slices
 
 WORDS = 5
-COUNTERS = 1 << 22
 PARTS = 64
+LARGEST_COUNT = 65535
 BITS = 512
 SMALL_LIMIT = 64
+HEADS = 8
 BROADCAST_ROWS = 2_000_000
 SKETCH = [f"s{part}" for part in range(BITS // 64)]
 
@@ -67,61 +69,79 @@ def parity_sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """One row per document with its set's size, fingerprint and sketch; and,
-    per token counter, how many documents hold a token of it."""
+def _counters(rows: DataFrame) -> int:
+    """How many counters there are: about one for eight tokens of a scan's
+    usual partitions, 16 million (64 MB for a task) at most. Fewer make the order
+    of tokens less good, and nothing wrong."""
+    return min(1 << 24, max(1 << 16, 1 << (rows.rdd.getNumPartitions() * (1 << 19) - 1).bit_length()))
+
+
+def _place(tokens: np.ndarray, counters: int) -> np.ndarray:
+    return (tokens >> np.uint64(32)).astype(np.int64) & (counters - 1)
+
+
+def _describe(docs: DataFrame, counters: int) -> tuple[DataFrame, DataFrame]:
+    """One row per document with its set's size, fingerprint and sketch; and
+    counters, in parts, of how many documents hold a token that falls to them."""
     schema = "doc_id long, cls long, n long, " + ", ".join(f"{name} long" for name in SKETCH) + ", part int, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(COUNTERS, np.int32)
+        counted = np.zeros(counters, np.uint32)
         for batch in slices(batches):
             rows = []
             for tokens in shingle_sets(batch["text"]):
-                np.add.at(counters, (tokens >> np.uint64(32)).astype(np.int64) % COUNTERS, 1)
+                np.add.at(counted, _place(tokens, counters), 1)
                 rows.append((fingerprint(tokens), len(tokens), *parity_sketch(tokens).tolist()))
             columns = [pa.array(values, pa.int64()) for values in zip(*rows)]
             none = len(rows)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], *columns, pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names
             )
-        if counters.any():
-            counts = np.minimum(counters, 65535).astype("<u2").reshape(PARTS, -1)
-            empty = [pa.nulls(PARTS, pa.int64()) for _ in range(3 + len(SKETCH))]
-            blobs = pa.array([row.tobytes() for row in counts], pa.binary())
-            yield pa.RecordBatch.from_arrays([*empty, pa.array(range(PARTS), pa.int32()), blobs], names=names)
+        if counted.any():
+            empty = [pa.nulls(1, pa.int64()) for _ in range(3 + len(SKETCH))]
+            for part, values in enumerate(counted.reshape(PARTS, -1)):
+                blob = np.minimum(values, LARGEST_COUNT).astype("<u2").tobytes()
+                columns = [*empty, pa.array([part], pa.int32()), pa.array([blob], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "cls", "n", *SKETCH, "part", "counts"]
     both = stored(texts(docs).mapInArrow(run, schema), "sets")
     return both.where(F.col("part").isNull()).drop("part", "counts"), _summed(both.where(F.col("part").isNotNull()))
 
 
-def _summed(blobs: DataFrame) -> np.ndarray:
-    """The tasks' counters added up in two steps; what reaches the driver has a
-    fixed size."""
+def _summed(blobs: DataFrame) -> DataFrame:
+    """``part, counts, total, squares``: the tasks' counters added up, in two
+    steps so that no group is large."""
 
     def add(group: pa.Table) -> pa.Table:
-        total = np.zeros(COUNTERS // PARTS, np.int64)
+        total = np.zeros(len(group["counts"][0].as_buffer()) // 2, np.uint32)
         for blob in group["counts"]:
             total += np.frombuffer(blob.as_buffer(), "<u2")
-        counts = np.minimum(total, 65535).astype("<u2").tobytes()
-        return pa.table({"part": group["part"].slice(0, 1), "counts": pa.array([counts], pa.binary())})
+        values = np.minimum(total, LARGEST_COUNT).astype("<u2")
+        sums = {"total": [float(values.sum(dtype=np.float64))], "squares": [float(np.square(values, dtype=np.float64).sum())]}
+        return pa.table({"part": group["part"].slice(0, 1), "counts": pa.array([values.tobytes()], pa.binary()), **sums})
 
+    schema = "part int, counts binary, total double, squares double"
     spread = F.pmod(F.monotonically_increasing_id() % 1_000_003, F.lit(32))
-    some = blobs.select("part", "counts").withColumn("share", spread).groupBy("part", "share").applyInArrow(add, "part int, counts binary")
-    total = np.zeros((PARTS, COUNTERS // PARTS), np.uint16)
-    for row in some.groupBy("part").applyInArrow(add, "part int, counts binary").collect():
-        total[row["part"]] = np.frombuffer(row["counts"], "<u2")
-    return total.ravel()
+    some = blobs.select("part", "counts").withColumn("share", spread).groupBy("part", "share").applyInArrow(add, schema)
+    return some.select("part", "counts").groupBy("part").applyInArrow(add, schema)
+
 
+@lru_cache(maxsize=1)
+def _read_counts(folder: str, counters: int) -> np.ndarray:
+    """All counters, read by a task from the shared folder; they never pass
+    through the driver."""
+    counts = np.zeros((PARTS, counters // PARTS), np.uint16)
+    for table in parquet_tables(folder):
+        for part, blob in zip(table["part"].to_pylist(), table["counts"]):
+            counts[part] = np.frombuffer(blob.as_buffer(), "<u2")
+    return counts.ravel()
 
-def small_limit(sizes: dict[int, int], counts: np.ndarray) -> int:
+
+def small_limit(sizes: dict[int, int], scan: float) -> int:
     """The size up to which sets are small, where the rows to enumerate for
-    small sets and the list entries to scan for large ones cost least. An entry
-    costs as much as its list is long on average, as the counters tell."""
-    total = float(counts.sum(dtype=np.float64))
-    if not total:
-        return 0
-    scan = max(1.0, float((counts.astype(np.float64) ** 2).sum()) / total - total / len(counts))
+    small sets and the list entries to scan for large ones cost least; an entry
+    of a list costs ``scan`` rows, its usual length."""
 
     def cost(limit: int) -> float:
         spent = 0.0
@@ -136,14 +156,13 @@ def small_limit(sizes: dict[int, int], counts: np.ndarray) -> int:
     return min(range(SMALL_LIMIT + 1), key=lambda limit: (cost(limit), limit))
 
 
-def _entries(docs: DataFrame, counts: np.ndarray, limit: int) -> DataFrame:
+def _entries(docs: DataFrame, folder: str, counters: int, limit: int) -> DataFrame:
     """``key, cls, n, reach``: the list entries and subsets of every set of two
     tokens or more (smaller ones are similar to equal ones only). ``reach`` bounds
     the overlap with a set whose first common tokens these are."""
-    order = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, seen = order.value, set()
+        rank, seen = _read_counts(folder, counters), set()
         for batch in slices(batches):
             keys, classes, sizes, reach = [], [], [], []
             for tokens in shingle_sets(batch["text"]):
@@ -152,7 +171,7 @@ def _entries(docs: DataFrame, counts: np.ndarray, limit: int) -> DataFrame:
                 if size < 2 or cls in seen:
                     continue
                 seen.add(cls)
-                held = rank[(tokens >> np.uint64(32)).astype(np.int64) % COUNTERS]
+                held = rank[_place(tokens, counters)]
                 longest = tokens[np.lexsort((tokens, held))[: size // 4 + 2]]
                 if size <= limit:
                     i, j = np.triu_indices(len(longest), 1)
@@ -177,18 +196,26 @@ def _entries(docs: DataFrame, counts: np.ndarray, limit: int) -> DataFrame:
     return texts(docs).mapInArrow(run, "key long, cls long, n int, reach int")
 
 
-def _possible(n: str, m: str, reach: str, other: str):
+def _possible(n: str, m: str, reach: str, other: str) -> Column:
     """Whether sizes and bounds allow for similarity of 3/4."""
     n, m = F.col(n), F.col(m)
     return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * F.least(reach, other) >= 3 * (n + m))
 
 
+def _sketches(sets: DataFrame, name: str) -> DataFrame:
+    """``sets`` with their columns named after the side of a pair."""
+    return sets.select(F.col("cls").alias(name), F.col("n").alias(f"n_{name}"), *(F.col(s).alias(f"{s}_{name}") for s in SKETCH))
+
+
+def _near() -> Column:
+    """Whether the sketches of both sides allow for similarity."""
+    differ = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH), F.lit(0))
+    return 7 * differ <= F.col("n_a") + F.col("n_b")
+
+
 def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``a, b`` whose sketches allow for similarity."""
-    a = sets.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), *(F.col(s).alias(f"a_{s}") for s in SKETCH))
-    b = sets.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), *(F.col(s).alias(f"b_{s}") for s in SKETCH))
-    differ = sum((F.bit_count(F.col(f"a_{s}").bitwiseXOR(F.col(f"b_{s}"))) for s in SKETCH), F.lit(0))
-    return pairs.join(a, "a").join(b, "b").where(7 * differ <= F.col("n_a") + F.col("n_b")).select(*pairs.columns)
+    return pairs.join(_sketches(sets, "a"), "a").join(_sketches(sets, "b"), "b").where(_near()).select(*pairs.columns)
 
 
 def _tokens_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -233,15 +260,6 @@ def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Those of ``a, b`` that lie in different components."""
-    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    rooted = pairs.join(a, "a", "left").join(b, "b", "left")
-    root_a, root_b = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
-    return rooted.where(root_a != root_b).select(*pairs.columns)
-
-
 def similar_groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row: the number of
     distinct 5-word shingles, and the smallest id that can be reached over links
@@ -253,7 +271,13 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     to the documents with an equal set, else to none; rows with equal ids are
     separate documents that name the same one. An empty table gives no rows; other columns are
     ignored."""
-    rows, counts = _describe(docs)
+    counters = _counters(docs)
+    rows, counts = _describe(docs, counters)
+    folder = new_folder(docs.sparkSession, "counters")
+    counts.write.option("compression", "zstd").parquet(folder)
+    sums = docs.sparkSession.read.parquet(folder).agg(F.sum("total").alias("total"), F.sum("squares").alias("squares")).first()
+    # Length of the list of a usual token, less what other tokens add to its counter.
+    scan = max(1.0, sums["squares"] / sums["total"] - sums["total"] / counters) if sums["total"] else 1.0
     # Each class once, with the document that stands for it; a document without an id can't.
     sets = stored(
         rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -263,52 +287,61 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     )
     bucket = F.least("n", F.lit(4 * SMALL_LIMIT))
     sizes = {row["size"]: row["count"] for row in sets.groupBy(bucket.alias("size")).count().collect()}
-    entries = _entries(docs, counts, small_limit(sizes, counts))
-
-    along = Window.partitionBy("key").orderBy("n", "cls")
-    lists = entries.withColumns(
-        {
-            "after": F.lead("cls").over(along),
-            "head": F.first("cls").over(along),
-            "head_n": F.first("n").over(along),
-            "head_reach": F.first("reach").over(along),
-        }
-    ).where(
+    entries = _entries(docs, folder, counters, small_limit(sizes, scan))
+
+    # Members in a random order that is the same in all lists, so that the first ones of a group's
+    # lists are mostly the same few.
+    along = Window.partitionBy("key").orderBy("order", "cls")
+    lists = entries.withColumn("order", F.xxhash64("cls")).withColumns(
+        {"after": F.lead("cls").over(along), "head": F.first("cls").over(along)}
+    )
+    lists = lists.where(
         # Once per class, which may come from several tasks, and not if it is alone.
         F.when(F.col("after").isNull(), F.col("head") != F.col("cls")).otherwise(F.col("after") != F.col("cls"))
     )
-    lists = stored(lists.select("key", "cls", "n", "reach", "head", "head_n", "head_reach"), "lists")
-
-    # One comparison per list and member.
-    heads = lists.where((F.col("head") != F.col("cls")) & _possible("n", "head_n", "reach", "head_reach"))
-    ordered = heads.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b"))
-    star = stored(_close(ordered.groupBy("a", "b").agg(F.count("*").alias("lists")), sets), "star")
-    tokens = _tokens_of(docs, _named(star, sets))
-    strongest = Window.partitionBy("b").orderBy(F.desc("lists"), "a")
-    best = star.withColumn("place", F.row_number().over(strongest)).where(F.col("place") == 1)
-    links = stored(_verified(best, tokens), "links")
+    member = F.struct(F.col("cls"), F.col("n"), F.col("reach"))
+    heads = F.array(*(F.nth_value(member, number + 1).over(along) for number in range(HEADS)))
+    lists = lists.withColumns({"heads": heads, "number": F.row_number().over(along)})
+    lists = stored(lists.select("key", "cls", "n", "reach", "heads", "number"), "lists")
+
+    # A few comparisons per list and member, with the list's first members.
+    heads = lists.select("cls", "n", "reach", F.explode("heads").alias("of")).select(
+        "cls", "n", "reach", *(F.col(f"of.{name}").alias(f"head_{name}") for name in ("cls", "n", "reach"))
+    )
+    heads = heads.where((F.col("head_cls") != F.col("cls")) & _possible("n", "head_n", "reach", "head_reach"))
+    ordered = heads.select(F.least("cls", "head_cls").alias("a"), F.greatest("cls", "head_cls").alias("b"))
+    star = stored(_close(ordered.distinct(), sets), "star")
+    links = stored(_verified(star, _tokens_of(docs, _named(star, sets))), "links")
     roots = stored(components(links), "roots")
-    links = links.unionByName(_verified(_across(star, roots), tokens))
-    roots = stored(components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
 
-    # Then every pair of a list that may be similar and isn't in one component yet.
-    rooted = lists.select("key", "cls", "n", "reach").join(
-        roots.select(F.col("node").alias("cls"), "root"), "cls", "left"
-    ).withColumn("root", F.coalesce("root", "cls"))
+    # Then every other pair of a list that may be similar and isn't in one component yet. The first
+    # members have been compared with all.
+    others = lists.where(F.col("number") > HEADS).select("key", "cls", "n", "reach")
+    rooted = others.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "cls"))
     open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     open_keys = open_keys.where(F.col("low") != F.col("high")).select("key")
-    left = stored(rooted.join(open_keys, "key", "left_semi"), "open-lists")
-    right = left.select("key", *(F.col(name).alias(f"{name}_b") for name in ("cls", "n", "reach", "root")))
-    crossing = (
-        left.join(right, "key")
-        .where((F.col("cls") < F.col("cls_b")) & (F.col("root") != F.col("root_b")))
-        .where(_possible("n", "n_b", "reach", "reach_b"))
-        .select(F.col("cls").alias("a"), F.col("cls_b").alias("b"))
-        .distinct()
+    open_lists = stored(
+        rooted.join(open_keys, "key", "left_semi").join(sets.drop("doc_id", "n"), "cls"), "open-lists"
+    )
+    a, b = (
+        open_lists.select("key", *(F.col(name).alias(f"{name}_{side}") for name in open_lists.columns if name != "key"))
+        for side in "ab"
+    )
+    # Sketches are compared within the join, so that only pairs worth verifying come out of it.
+    crossing = a.join(
+        b,
+        (a["key"] == b["key"])
+        & (F.col("cls_a") < F.col("cls_b"))
+        & (F.col("root_a") != F.col("root_b"))
+        & _possible("n_a", "n_b", "reach_a", "reach_b")
+        & _near(),
     )
-    rest = stored(_close(crossing.join(star, ["a", "b"], "left_anti"), sets), "rest")
-    found = _verified(rest, _tokens_of(docs, _named(rest, sets)))
-    roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    crossing = crossing.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+    rest = stored(crossing.join(star, ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        found = _verified(rest, _tokens_of(docs, _named(rest, sets)))
+        roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
     labelled = (
         rows.withColumn("cls", F.when(F.col("n") > 0, F.col("cls")))
