@@ -71,9 +71,10 @@ def parity_sketch(tokens: np.ndarray) -> np.ndarray:
 
 def _counters(rows: DataFrame) -> int:
     """How many counters there are: about one for eight tokens of a scan's
-    usual partitions, 16 million (64 MB for a task) at most. Fewer make the order
-    of tokens less good, and nothing wrong."""
-    return min(1 << 24, max(1 << 16, 1 << (rows.rdd.getNumPartitions() * (1 << 19) - 1).bit_length()))
+    usual partitions, four million (16 MB for a task) at most, so that what the
+    tasks write grows with their number alone. Fewer make the order of tokens less
+    good, and nothing wrong."""
+    return min(1 << 22, max(1 << 16, 1 << (rows.rdd.getNumPartitions() * (1 << 19) - 1).bit_length()))
 
 
 def _place(tokens: np.ndarray, counters: int) -> np.ndarray:
