@@ -139,9 +139,15 @@ def _pair_tree(gradient: np.ndarray, weight: np.ndarray, l2: float) -> tuple[np.
     return out, float(gains[i, j])
 
 
+def even_weights(weights: np.ndarray | None, count: int) -> np.ndarray:
+    """Weights with a mean of one, so that penalties keep their meaning."""
+    return np.ones(count) if weights is None or not count else weights / weights.mean()
+
+
 def fit(
     values: np.ndarray,
     labels: np.ndarray,
+    weights: np.ndarray | None = None,
     rounds: int = 150,
     pair_rounds: int = 50,
     pairs: int = 8,
@@ -151,10 +157,12 @@ def fit(
     l2: float = 2.0,
 ) -> AdditiveModel:
     """Cycles over all features, then over the pairs whose best quadrants
-    explain most of what is left. Without labels every score is one half."""
+    explain most of what is left. ``weights`` tell how many rows each stands
+    for. Without labels every score is one half."""
     if not len(labels):
         return AdditiveModel()
-    mean = np.clip(labels.mean(), 0.01, 0.99)
+    weights = even_weights(weights, len(labels))
+    mean = np.clip(np.average(labels, weights=weights), 0.01, 0.99)
     model = AdditiveModel(float(np.log(mean / (1 - mean))))
     width = values.shape[1]
     model.edges = [_cuts(values[:, f], bins) for f in range(width)]
@@ -165,7 +173,7 @@ def fit(
 
     def residuals() -> tuple[np.ndarray, np.ndarray]:
         chance = 1 / (1 + np.exp(-total))
-        return labels - chance, chance * (1 - chance)
+        return weights * (labels - chance), weights * chance * (1 - chance)
 
     for _ in range(rounds):
         for f in range(width):
@@ -223,8 +231,9 @@ def passing_texts(docs: DataFrame, values_of, model, condition, text_col: str =
 
 def train_quality(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0, per_class: int = 8000):
     """A model fitted on at most ``per_class`` labelled texts of either class;
-    ids in the held-out part are never used. The sample is joined by broadcast,
-    which its bound allows."""
+    ids in the held-out part are never used. Texts are weighted to the shares
+    that the classes have among all labels, so the bound doesn't shift scores.
+    The sample is joined by broadcast, which its bound allows."""
     sample = label_sample(labels, "quality", parts, held_out, per_class)
     rows = texts(docs).join(F.broadcast(sample), "doc_id")
 
@@ -232,13 +241,18 @@ def train_quality(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out:
         for batch in batches:
             values = features(batch["text"]) if len(batch) else np.zeros((0, len(FEATURES)))
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch["doc_id"], "label": batch["label"], "values": pa.array(list(values), pa.list_(pa.float64()))}
+                {
+                    "doc_id": batch["doc_id"],
+                    "label": batch["label"],
+                    "weight": batch["weight"],
+                    "values": pa.array(list(values), pa.list_(pa.float64())),
+                }
             )
 
-    found = rows.mapInArrow(measured, "doc_id long, label int, values array<double>").toPandas()
+    found = rows.mapInArrow(measured, "doc_id long, label int, weight double, values array<double>").toPandas()
     found = found.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
     values = np.array(found["values"].tolist(), float).reshape(len(found), len(FEATURES))
-    return fit(values, found["label"].to_numpy(float))
+    return fit(values, found["label"].to_numpy(float), found["weight"].to_numpy(float))
 
 
 def quality_scores(

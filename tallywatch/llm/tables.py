@@ -62,7 +62,8 @@ def crc_part(doc_id: str | Column, parts: int) -> Column:
 
 def label_sample(labels: DataFrame, name: str, parts: int, held_out: int, per_class: int) -> DataFrame:
     """At most ``per_class`` labelled training rows of each class, drawn by a hash
-    of the id: ``doc_id, label``. Rows whose label is null or whose id falls
+    of the id: ``doc_id, label, weight``, the weight being how many rows of its
+    class a drawn row stands for. Rows whose label is null or whose id falls
     into the held-out part are left out; an id labelled twice keeps its larger
     label."""
     known = (
@@ -74,4 +75,7 @@ def label_sample(labels: DataFrame, name: str, parts: int, held_out: int, per_cl
         known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         for label in (0, 1)
     ]
-    return drawn[0].unionByName(drawn[1])
+    count = F.count("*")
+    weights = known.groupBy("label").agg((count / F.least(count, F.lit(per_class))).alias("weight"))
+    sample = drawn[0].unionByName(drawn[1]).join(F.broadcast(weights), "label")
+    return sample.select("doc_id", "label", "weight")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import combine, rows_of_words, word_bounds, word_hashes
-from .quality import passing_texts, scored_texts
+from .quality import even_weights, passing_texts, scored_texts
 from .tables import crc_part, label_sample, stored, texts
 from .text_features import DIGIT, LETTER, MARK, SYMBOL, UPPER, Texts, in_slices, share
 
@@ -143,7 +143,8 @@ def _features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
 def learn_lexicons(rows: DataFrame, folds: int, size: int = 6000, least: int = 3, odds: float = 2.0) -> list[Lexicon]:
     """From ``text, label, fold`` rows: for each fold the lexicon of all other
     folds, then the lexicon of all. A key belongs to a lexicon if at least
-    ``least`` toxic texts hold it, and far more of them than of the others.
+    ``least`` toxic texts hold it, and far more of them than of the others;
+    that compares shares within the classes, whatever the classes' sizes.
     Batches are counted before the shuffle; at most ``size`` keys come to the
     driver."""
 
@@ -224,16 +225,19 @@ def _leaf_values(tree: tuple[np.ndarray, np.ndarray, np.ndarray], bins: np.ndarr
 def boost(
     values: np.ndarray,
     labels: np.ndarray,
+    weights: np.ndarray | None = None,
     rounds: int = 80,
     depth: int = 3,
     bins: int = 32,
     rate: float = 0.2,
     l2: float = 2.0,
 ) -> BoostedTrees:
-    """Trees fitted to the log-loss by second-order steps."""
+    """Trees fitted to the log-loss by second-order steps; ``weights`` tell how
+    many rows each stands for."""
     if not len(labels):
         return BoostedTrees()
-    mean = np.clip(labels.mean(), 0.01, 0.99)
+    weights = even_weights(weights, len(labels))
+    mean = np.clip(np.average(labels, weights=weights), 0.01, 0.99)
     model = BoostedTrees(float(np.log(mean / (1 - mean))))
     model.edges = [np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1])) for column in values.T]
     # Rare nonzero values lie beyond every quantile; zero gets a bin of its own.
@@ -244,7 +248,7 @@ def boost(
     inner = 2**depth - 1
     for _ in range(rounds):
         chance = 1 / (1 + np.exp(-total))
-        left, curve = labels - chance, chance * (1 - chance)
+        left, curve = weights * (labels - chance), weights * chance * (1 - chance)
         feature, bound = np.zeros(inner, np.int64), np.full(inner, width)
         node = np.zeros(len(labels), np.int64)
         for level in range(depth):
@@ -269,13 +273,16 @@ def boost(
     return model
 
 
-def isotonic(scores: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool-adjacent-violators: rising score bounds and the shares of label 1
-    between which calibrated values are interpolated."""
+def isotonic(
+    scores: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pool-adjacent-violators: rising score bounds and the weighted shares of
+    label 1 between which calibrated values are interpolated."""
+    weights = even_weights(weights, len(labels))
     order = np.argsort(scores, kind="stable")
     blocks: list[list[float]] = []
-    for score, label in zip(scores[order], labels[order]):
-        blocks.append([label, 1, score, score])
+    for score, label, weight in zip(scores[order], labels[order], weights[order]):
+        blocks.append([weight * label, weight, score, score])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             value, count, _, end = blocks.pop()
             blocks[-1][0] += value
@@ -309,11 +316,12 @@ def train_toxicity(
     ids in the held-out part are never used. A training text is measured with
     the lexicon of the folds it isn't in, and three tenths of the texts are kept
     from the trees for the calibration, so that nothing is judged by what has
-    learned from it."""
+    learned from it. Trees and calibration weight the texts to the shares that
+    the classes have among all labels, so the bound doesn't shift scores."""
     sample = label_sample(labels, "toxic", parts, held_out, per_class)
     fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int")
     rows = texts(docs).join(F.broadcast(sample), "doc_id").withColumn("fold", fold)
-    rows = stored(rows.select("doc_id", "label", "fold", "text"), "toxicity-sample")
+    rows = stored(rows.select("doc_id", "label", "weight", "fold", "text"), "toxicity-sample")
     lexicons = learn_lexicons(rows, FOLDS)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,15 +330,17 @@ def train_toxicity(
             for number in np.unique(folds):
                 part = batch.filter(pa.array(folds == number))
                 values = pa.array(list(features(part["text"], lexicons[number])), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "label": part["label"], "values": values})
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": part["doc_id"], "label": part["label"], "weight": part["weight"], "values": values}
+                )
 
-    found = rows.mapInArrow(measured, "doc_id long, label int, values array<double>").toPandas()
+    found = rows.mapInArrow(measured, "doc_id long, label int, weight double, values array<double>").toPandas()
     found = found.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
-    label = found["label"].to_numpy(float)
+    label, weight = found["label"].to_numpy(float), found["weight"].to_numpy(float)
     values = np.array(found["values"].tolist(), float).reshape(len(found), len(FEATURES))
     last = np.random.default_rng(7).random(len(found)) < 0.3
-    trees = boost(values[~last], label[~last])
-    x, y = isotonic(trees.raw(values[last]), label[last])
+    trees = boost(values[~last], label[~last], weight[~last])
+    x, y = isotonic(trees.raw(values[last]), label[last], weight[last])
     return ToxicityModel(lexicons[-1], trees, x, y)
 
 

@@ -120,3 +120,27 @@ def test_lexicon_is_learned_from_labels(spark):
     column = pa.array(["such a grumbleflop", "such a person", None, ""])
     hits = toxicity.features(column, lexicon)
     assert hits[0].sum() > hits[1].sum() and np.isfinite(hits).all()
+
+
+@pytest.mark.parametrize("name", ["quality", "toxic"])
+def test_a_smaller_sample_keeps_the_decisions(spark, docs, name):
+    """Four in ten borderline texts are of the rare class, and no other text but
+    a few plain cases is: thinning the common class must not turn them."""
+    rows, labels = [], []
+    for i in range(2400):
+        kind = 0 if i % 40 == 0 else 1 if i % 4 == 0 else 2
+        text = ["you idiot moron scum $$$ ### ", "WHAT IS THIS!!! ", "a calm and plain remark about rivers "][kind]
+        rare = [1, int(i // 4 % 10 < 4), 0][kind]
+        rows.append((i, text * (2 + i % 3)))
+        labels.append((i, 1 - rare, rare))
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    score_of = quality_scores if name == "quality" else toxicity_scores
+    found = []
+    for per_class in (8000, 150):
+        scored = score_of(docs(rows), labels, per_class=per_class).select("doc_id", "predicted", "score").collect()
+        found.append({row.doc_id: row for row in scored})
+    every, few = found
+    assert np.mean([every[i].predicted == few[i].predicted for i in every]) > 0.98
+    border = [i for i in every if i % 40 and i % 4 == 0]
+    means = [np.mean([one[i].score for i in border]) for one in found]
+    assert abs(means[0] - means[1]) < 0.12 and abs(means[0] - (0.4 if name == "toxic" else 0.6)) < 0.1
