@@ -49,14 +49,22 @@ class WordEncoder:
     is split at its spaces, each of which belongs to the word after it; words
     that aren't plain go to the tokenizer as they are. Where a space stands
     beside other white space, the whole text does, since a split there would
-    change what the file's pattern matches."""
+    change what the file's pattern matches.
 
-    def __init__(self, path: str, words: int = 100_000, parts: int = 1_000_000):
+    With ``added``, the file's added tokens are found in texts as the library
+    finds them by default, and texts that hold any go to it whole; otherwise
+    they are taken for ordinary text."""
+
+    def __init__(self, path: str, words: int = 100_000, parts: int = 1_000_000, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
+        self.added = [token.content for token in tokens]
+        if self.tokenizer.normalizer is not None and any(token.normalized for token in tokens):
+            self.added = [""]  # they may show only in the normalised text
         self.lower, self.parts_of = _splitter(json.loads(self.tokenizer.to_str()))
         self.mapped = str.maketrans({byte: symbol for byte, symbol in enumerate(_byte_symbols())})
         self.words = Known(self._spaced, words)
@@ -103,6 +111,9 @@ class WordEncoder:
     def encode(self, rows: list[str]) -> list[bytes]:
         out = []
         for row in rows:
+            if any(token in row for token in self.added):
+                out.append(self._ids(row))
+                continue
             ids = self._plain(row)
             out.append(self._by_words(row) if ids is None else ids)
         return out
@@ -137,7 +148,7 @@ def _byte_symbols() -> list[str]:
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return WordEncoder(path, added=True)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ import __spark_entry__ as spark_entry
 from tallywatch.llm.packing import best_fit, empty_bins, pack, pieces, place
 from tallywatch.llm.piece_codec import PieceCodec, decode, encode
 from tallywatch.llm.token_files import BLOCK, TokenFile, pack_bits, read_token_files, unpack_bits, write_token_files
-from tallywatch.llm.tokens import WordEncoder
+from tallywatch.llm.tokens import WordEncoder, encoder
 
 from .conftest import SF
 
@@ -192,3 +192,30 @@ def test_token_file_query(spark, sample):
         ids = library.encode(sample[row.doc_id] or "", add_special_tokens=False).ids + [2]
         assert (row.start, row.n_tokens, row.ids_crc32) == (at, len(ids), crc(ids))
         at += len(ids)
+
+
+MARKED = [
+    "hello <|endoftext|> you", "<|endoftext|>", "a<|endoftext|>b c", "x  <|endoftext|>\n\ny", "<|ENDOFTEXT|> a", "<|startoftext|> you",
+    "one<|startoftext|><|endoftext|>two", "<|endoftext|", "<|endoftext|>" * 3, "日本語<|endoftext|> é", "a <|endoftext|> b " * 300,
+]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_added_tokens_are_found_like_the_library_does(path, sample):
+    library = Tokenizer.from_file(path)
+    texts = [t or "" for t in ODD] + MARKED + list(sample.values())[:40]
+    for mine, theirs in zip(encoder(path).encode(texts), library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(mine, "<u4").tolist() == theirs.ids
+
+
+def test_added_tokens_in_pieces_and_files(docs, tmp_path):
+    cut = {row.doc_id: bytes(row.ids) for row in pieces(docs(MARKED[:5]), BYTES, 2).collect()}
+    library = Tokenizer.from_file(BYTES)
+    for number, text in enumerate(MARKED[:5]):
+        assert np.frombuffer(cut[number], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids + [2]
+    library, start = Tokenizer.from_file(WORDS), 0
+    files = write_token_files(docs(MARKED), WORDS, 2, 49408, str(tmp_path / "ids"))
+    for row in read_token_files(files).orderBy("start").collect():
+        ids = library.encode(MARKED[row.doc_id], add_special_tokens=False).ids + [2]
+        assert row.start == start and np.frombuffer(row.ids, "<u4").tolist() == ids
+        start += len(ids)
