@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from .exact_topk import exact_topk
 from .jaccard_join import similar_groups
 from .katz import language_scores
+from .lexical_search import ranked_documents
 from .license_scan import scan_licenses
 from .lsh_forest import nearest
 from .piece_codec import decode, encode
 from .packing import pieces, place
+from .periodic_runs import periodic_runs, strongest
 from .quality import quality_scores
 from .tables import read
 from .token_files import read_token_files, write_token_files
 from .toxicity import toxicity_scores
+from .url_filter import Listed, judged_urls
 
 
 def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +77,54 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+URL_RULES = [
+    Listed("allow", "com", "/"),
+    Listed("block", "example.com", "/en/"),
+    Listed("allow", "www.example.com", "/en/"),
+    Listed("block", "net", "/es/"),
+    Listed("block", "net", "/fr/"),
+]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_urls(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, those whose id's crc32 is a multiple of ten with a periodic
+    end in place of their own: from word ``a`` on, the ``p`` words there repeat."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    a, n, p = F.col("a"), F.col("n"), F.col("p")
+    chosen = (
+        docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+        .withColumn("words", F.when(F.col("h") % 10 == 0, words))
+        .withColumns({"n": F.size("words"), "g": F.floor(F.col("h") / 10)})
+        .withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+        .withColumn("p", (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int"))
+    )
+    repeated = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    ended = F.concat(F.slice("words", F.lit(1), a), F.slice(repeated, F.lit(1), n - a))
+    return chosen.select("doc_id", F.when(n > 0, F.array_join(ended, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_with_repeats(read(spark, sf_dir, "documents")))
+    fields, best = ("start", "length", "period"), F.col("best")
+    line = lambda run: F.concat(F.concat_ws(",", *(run[name].cast("string") for name in fields)), F.lit("\n"))
+    return found.withColumn("best", strongest()).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(best[name].alias(name) for name in fields),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_exact_topk": op1_exact_topk,
@@ -86,6 +137,9 @@ def queries() -> dict:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_token_files": op9_token_files,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_ranked_search": op11_ranked_search,
+        "op12_url_filter": op12_url_filter,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -130,4 +184,30 @@ def oracle_sql() -> dict[str, str]:
             SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, r.component_id
             FROM s JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r
                 ON s.doc_id = r.doc_id""",
+        "op11_ranked_search": r"""
+            WITH d AS (
+                SELECT doc_id, row_number() OVER () AS place, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+                FROM documents),
+            c AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n, sum(len(terms)) AS l FROM d),
+            tf AS (
+                SELECT place, doc_id, size, term, count(*) AS tf
+                FROM (SELECT place, doc_id, len(terms) AS size, unnest(terms) AS term FROM d) GROUP BY ALL),
+            q AS (
+                SELECT item_id, term, count(*) AS times FROM (
+                    SELECT item_id, unnest(regexp_extract_all(
+                        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                    FROM benchmark) GROUP BY ALL),
+            w AS (
+                SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) AS w
+                FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c),
+            s AS (
+                SELECT item_id, doc_id, place, CAST(sum(times * w * ((1000000000 * tf)
+                    // (1000 * tf + 12 * (100 - 25 + (25 * size * n) // l)))) AS BIGINT) AS score
+                FROM q JOIN tf USING (term) JOIN w USING (term), c GROUP BY item_id, doc_id, place)
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER)
+                AS rank, doc_id, score
+            FROM s WHERE score > 0 QUALIFY rank <= 20""",
     }

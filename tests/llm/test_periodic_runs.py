@@ -1,0 +1,121 @@
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import pytest
+
+from tallywatch.llm import queries
+from tallywatch.llm.periodic_runs import _nodes, _repair, find_runs, periodic_runs, strongest
+
+from .conftest import SF
+
+
+def plain_runs(words, least=6, times=4):
+    """Every period in turn; a run is kept if no smaller period fits it."""
+    found = set()
+    for period in range(1, len(words) // times + 1):
+        first = 0
+        while first + period < len(words):
+            last = first
+            while last + period < len(words) and words[last] == words[last + period]:
+                last += 1
+            run = words[first : last + period]
+            if last > first and len(run) >= max(least, times * period):
+                if not any(run[d:] == run[:-d] for d in range(1, period)):
+                    found.add((first, len(run), period))
+            first = max(first + 1, last)
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def some_words(rng):
+    kinds, size = rng.choice([1, 2, 3, 4, 8]), rng.randint(0, 90)
+    if rng.random() < 0.4:
+        return [rng.randrange(kinds) for _ in range(size)]
+    words = []
+    while len(words) < size:
+        part = [rng.randrange(kinds) for _ in range(rng.randint(1, 6))]
+        words += (part * rng.randint(1, 9))[: rng.randint(1, 60)]
+    return words * rng.choice([1, 1, 4, 5])
+
+
+@pytest.mark.parametrize("least, times", [(6, 4), (1, 4), (9, 5)])
+def test_runs_equal_brute_force(least, times):
+    rng = random.Random(7)
+    for _ in range(1500):
+        words = some_words(rng)
+        assert find_runs(words, least, times) == plain_runs(words, least, times), words
+
+
+def test_grammar_leaves_no_pair_twice_and_nodes_are_equal_texts():
+    rng = random.Random(3)
+    for _ in range(200):
+        text = [*some_words(rng), -1]
+        rules, symbols = _repair(text)
+        left = [symbol for symbol in symbols[: len(text)] if symbol >= 0]
+        seen = {}
+        for place, pair in enumerate(zip(left, left[1:])):
+            # Only a pair of equal symbols may overlap itself.
+            assert pair not in seen or (pair[0] == pair[1] and seen[pair] == place - 1)
+            seen.setdefault(pair, place)
+        for (start, middle, end), places in rules:
+            assert start < middle < end and len(places) > 1
+            assert all(text[at : at + end - start] == text[start:end] for at in places)
+        assert all(start < middle < end for (start, middle, end), _ in _nodes(text, 1))
+
+
+def test_long_repetitive_texts_stay_fast():
+    assert find_runs(["a"] * 200_000) == [(0, 200_000, 1)]
+    block = ["a"] * 3000 + ["b"]
+    assert find_runs(block * 8) == sorted(
+        [(0, 24008, 3001), *((3001 * n, 3000, 1) for n in range(8))], key=lambda run: (run[0], run[2])
+    )
+
+
+def test_edge_cases(docs, table):
+    texts = [None, "", " \t\n", "a a a a a", "a a a a a a", "x " + "b c " * 4 + "y", "a\x0ba\x0ca\ra\ta\na\xa0a a a a a a"]
+    texts += [(None, "q q q q q q q"), (4, "a a a a a a"), (4, "a a a a a a"), (50, "w v u t " * 30_000)]
+    found = {}
+    for row in periodic_runs(table(docs(texts))).collect():
+        found.setdefault(row.doc_id, []).append((row.n_words, [tuple(run) for run in row.runs], row.collapsed))
+    assert found[0] == found[1] == found[2] == [(0, [], "")]
+    assert found[3] == [(5, [], "a a a a a")]
+    assert found[4] == [(6, [(0, 6, 1)], "a")] * 3
+    assert found[5] == [(10, [(1, 8, 2)], "x b c y")]
+    assert found[6] == [(11, [], "a a a a a a\xa0a a a a a a")]
+    assert found[None] == [(7, [(0, 7, 1)], "q")]
+    assert found[50] == [(120_000, [(0, 120_000, 4)], "w v u t")]
+    assert periodic_runs(docs([(1, "a")]).limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        periodic_runs(docs(["a"]), times=3)
+
+
+def test_strongest_run_and_ties(docs):
+    texts = ["a a a a a a x b b b b b b", "a b a b a b a b c c c c c c c", "a b a b a b a b a c c c c c d d d d d d d d"]
+    rows = periodic_runs(docs(texts)).withColumn("best", strongest()).collect()
+    assert {row.doc_id: tuple(row.best) for row in rows} == {0: (0, 6, 1), 1: (8, 7, 1), 2: (14, 8, 1)}
+
+
+def test_query_equals_plain_code(spark, sample):
+    def expected(doc_id, text):
+        words = [word for word in re.split(r"[\x20\x09-\x0D]+", text or "") if word]
+        h, n = zlib.crc32(str(doc_id).encode()), len(words)
+        if h % 10 == 0 and n:
+            a = h // 10 % n
+            p = 1 + (n - a) // (3 + h // 10 % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs = plain_runs(words)
+        best = min(runs, key=lambda run: (-Fraction(run[1], run[2]), run[0], run[2]), default=(None,) * 3)
+        dropped = {i for start, length, period in runs for i in range(start + period, start + length)}
+        kept = " ".join(word for i, word in enumerate(words) if i not in dropped)
+        lines = "".join(f"{start},{length},{period}\n" for start, length, period in runs)
+        digests = [hashlib.sha256(value.encode()).hexdigest() for value in (lines, kept)]
+        return (doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None, *digests)
+
+    rows = queries.op13_periodic_runs(spark, SF).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
+    )
+    found = {row.doc_id: tuple(row) for row in rows.collect()}
+    assert found == {doc_id: expected(doc_id, text) for doc_id, text in sample.items()}
+    assert any(row[1] for row in found.values())

@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, name):
 
 def test_one_query_per_operator():
     names = spark_entry.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert len([name for name in names if name.startswith(f"op{number}_")]) == 1
     assert "pipeline" in names
 
