@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,40 +33,63 @@ def interval_join(transactions: DataFrame, alerts: DataFrame, bin_width: str) ->
 
 
 def flagged_transactions(transactions: DataFrame, alerts: DataFrame, bin_width: str | None = None) -> DataFrame:
-    """Transactions inside the given alerts' windows. The earliest start and
-    the latest end are looked up first and bound the transaction scan.
-
-    Without ``bin_width`` alerts are joined in classes of like width, each with
-    bins as wide as its widest window, so that an alert has two bins at most
-    (one, where windows start at multiples of their width) and a few very long
-    windows don't multiply the others."""
+    """Transactions inside the given alerts' windows: with ``bin_width`` joined on
+    bins of that width, without it on dyadic cells. What bounds the transaction
+    scan is looked up when the query runs, so a view keeps up with its tables."""
+    bounds = _bounds(alerts)
+    near = _near(transactions, bounds)
     if bin_width is None:
-        return _joined_by_width(transactions, alerts)
-    return interval_join(_near(transactions, alerts), alerts, bin_width)
+        return _dyadic_join(near, alerts, bounds["levels"])
+    return interval_join(near, alerts, bin_width)
+
+
+def dyadic_join(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
+    """The same pairs as ``interval_join``, for windows of any widths.
+
+    A cell of level ``n`` is a stretch of 4**n microseconds that starts at a
+    multiple of its length. Each window goes to the finest level whose cells are
+    no shorter than it, where it touches two cells at most. A transaction looks
+    into the one cell that holds it at each level in use (one level, where all
+    windows are of like width), in a single join on (user, level, cell). A very
+    long window thus never multiplies the others, and a busy user's transactions
+    meet only the windows near them. The levels in use are looked up when the
+    query runs, from at most 32 possible ones."""
+    return _dyadic_join(transactions, alerts, _bounds(alerts)["levels"])
+
+
+def _dyadic_join(transactions: DataFrame, alerts: DataFrame, levels: Column) -> DataFrame:
+    first = F.expr("shiftright(unix_micros(window_start), 2 * _level)")
+    last = F.expr("shiftright(unix_micros(window_end) - 1, 2 * _level)")
+    celled = _with_level(alerts).withColumn("_cell", F.explode(F.array_distinct(F.array(first, last))))
+    rows = transactions.withColumn("_level", F.explode(levels)).withColumn(
+        "_cell", F.expr("shiftright(unix_micros(timestamp), 2 * _level)")
+    )
+    inside = (F.col("timestamp") >= F.col("window_start")) & (F.col("timestamp") < F.col("window_end"))
+    return rows.join(celled, ["user_id", "_level", "_cell"]).where(inside).drop("_level", "_cell")
 
 
-def _joined_by_width(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
+def _with_level(alerts: DataFrame) -> DataFrame:
+    """Windows that hold any instant, with the level of their width."""
     length = F.unix_micros("window_end") - F.unix_micros("window_start")
-    # Widths up to the next power of four share bins; there are about thirty such classes at most.
-    grade = F.ceil(F.log(4.0, length.cast("double")) - 1e-9).cast("int")
-    graded = alerts.where(length > 0).withColumn("_grade", grade)
-    widths = graded.groupBy("_grade").agg(F.max(length).alias("width")).collect()
-    empty = interval_join(transactions.limit(0), alerts.limit(0), "1 minute")
-    parts = [
-        interval_join(
-            _near(transactions, some := graded.where(F.col("_grade") == row["_grade"]).drop("_grade")),
-            some,
-            f"{row['width']} microseconds",
-        )
-        for row in sorted(widths, key=lambda row: row["_grade"])
-    ]
-    return reduce(DataFrame.unionByName, parts, empty) if len(parts) != 1 else parts[0]
-
-
-def _near(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
+    level = F.ceil(F.length(F.bin(length - 1)) / 2).cast("int")
+    return alerts.where(F.col("window_start") < F.col("window_end")).withColumn("_level", level)
+
+
+def _bounds(alerts: DataFrame) -> Column:
+    """The alerts' time range and the set of their levels, as one subquery."""
+    found = _with_level(alerts).agg(
+        F.struct(
+            F.min("window_start").alias("earliest"),
+            F.max("window_end").alias("latest"),
+            F.collect_set("_level").alias("levels"),
+        ).alias("bounds")
+    )
+    return found.scalar()
+
+
+def _near(transactions: DataFrame, bounds: Column) -> DataFrame:
     """Transactions in the time range of the alerts."""
-    earliest = alerts.select(F.min("window_start")).scalar()
-    latest = alerts.select(F.max("window_end")).scalar()
+    earliest, latest = bounds["earliest"], bounds["latest"]
     near = transactions.where((F.col("timestamp") >= earliest) & (F.col("timestamp") < latest))
     if "event_date" in transactions.columns:
         near = near.where(F.col("event_date").between(utc_date(earliest), utc_date(latest)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,13 +109,23 @@ def table_counts(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
 
 def register_views(
     spark: SparkSession,
-    transactions: DataFrame,
-    alerts: DataFrame,
+    transactions: DataFrame | str,
+    alerts: DataFrame | str,
     as_of: AsOf = None,
     bin_width: str | None = None,
 ) -> None:
     """Temp views of the two tables and of the three reports for ``spark.sql``.
-    Without ``as_of`` they follow the clock, like any view on the current time."""
+    Without ``as_of`` they follow the clock, like any view on the current time.
+
+    Given two tables of the catalog by name, the views are kept as SQL text, so
+    that each query on them sees what the tables hold by then, however often they
+    have been written to. Views of DataFrames keep the files that those list."""
+    if isinstance(transactions, str) and isinstance(alerts, str):
+        if isinstance(as_of, Column) or bin_width is not None:
+            raise ValueError("views of named tables take as_of as a time or its text, and no bin_width")
+        for name, query in _named_views(transactions, alerts, as_of).items():
+            spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {query}")
+        return
     views = {
         "transactions": transactions,
         "fraud_alerts": alerts,
@@ -123,3 +135,42 @@ def register_views(
     }
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
+
+
+def _named_views(transactions: str, alerts: str, as_of: str | datetime | None) -> dict[str, str]:
+    """The same views as SQL; the join is that of ``dyadic_join``."""
+    now = "current_timestamp()" if as_of is None else f"TIMESTAMP'{as_of}'"
+    level = "CAST(ceil(length(bin(unix_micros(window_end) - unix_micros(window_start) - 1)) / 2) AS INT)"
+    return {
+        "transactions": f"SELECT * FROM {transactions}",
+        "fraud_alerts": f"SELECT * FROM {alerts}",
+        "transactions_per_minute": f"""
+            SELECT date_trunc('MINUTE', timestamp) AS minute, count(*) AS transaction_count,
+                   sum(amount) AS total_volume, CAST(sum(amount) AS DOUBLE) / count(*) AS avg_amount
+            FROM {transactions} WHERE timestamp >= {now} - INTERVAL 1 HOUR GROUP BY 1 ORDER BY minute DESC""",
+        "fraud_by_city": f"""
+            WITH recent AS (
+                SELECT user_id, window_start, window_end, {level} AS level FROM {alerts}
+                WHERE is_fraud = 1 AND window_end >= {now} - INTERVAL 1 HOUR AND window_start < window_end),
+            bounds AS (
+                SELECT min(window_start) AS earliest, max(window_end) AS latest, collect_set(level) AS levels
+                FROM recent),
+            cells AS (
+                SELECT *, explode(array_distinct(array(shiftright(unix_micros(window_start), 2 * level),
+                                                       shiftright(unix_micros(window_end) - 1, 2 * level)))) AS cell
+                FROM recent),
+            probes AS (
+                SELECT user_id, timestamp, amount, city, explode((SELECT levels FROM bounds)) AS level
+                FROM {transactions}
+                WHERE timestamp >= (SELECT earliest FROM bounds) AND timestamp < (SELECT latest FROM bounds))
+            SELECT city, count(*) AS fraud_count, sum(amount) AS total_fraud_amount
+            FROM (SELECT *, shiftright(unix_micros(timestamp), 2 * level) AS cell FROM probes)
+            JOIN cells USING (user_id, level, cell)
+            WHERE timestamp >= window_start AND timestamp < window_end
+            GROUP BY city ORDER BY fraud_count DESC, city""",
+        "fraud_stats_24h": f"""
+            SELECT count(*) AS total_alerts, count_if(is_fraud = 1) AS fraud_count,
+                   sum(CASE WHEN is_fraud = 1 THEN total_amount END) AS fraud_total_amount,
+                   count(DISTINCT user_id) AS unique_users_flagged
+            FROM {alerts} WHERE window_end >= {now} - INTERVAL 24 HOURS""",
+    }
