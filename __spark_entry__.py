@@ -267,8 +267,7 @@ def _streaming_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streaming_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _ledger(spark, sf_dir, well_formed=False).quarantine
-    return spark.read.parquet(path).select("value", "reject_reason")
+    return stored.stored_quarantine(spark, _ledger(spark, sf_dir, well_formed=False).quarantine)
 
 
 def entry(spark: SparkSession) -> DataFrame:

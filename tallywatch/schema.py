@@ -77,6 +77,18 @@ ALERT_PARTS = T.StructType(
     + _WRITTEN_BY
     + [T.StructField("alert_date", T.DateType())]
 )
+QUARANTINE = T.StructType(
+    [T.StructField("value", T.StringType()), T.StructField("reject_reason", T.StringType())] + _WRITTEN_BY
+)
+FEED = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("message", T.StringType()),
+    ]
+    + _WRITTEN_BY
+    + [T.StructField("alert_date", T.DateType())]
+)
 ALERTS_LOG = T.StructType(
     [
         T.StructField("user_id", T.LongType()),
@@ -92,3 +104,10 @@ ALERTS_LOG = T.StructType(
     + _WRITTEN_BY
     + [T.StructField("alert_date", T.DateType())]
 )
+
+# One row for each batch of the job that reached every table. ``stream`` is the
+# id in the query's checkpoint, ``query_id`` names the stream and its run and is
+# what the rows of the tables carry.
+BATCH_MARKS = T.StructType(
+    [T.StructField("stream", T.StringType())] + _WRITTEN_BY + [T.StructField("marked_at", T.TimestampType())]
+)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -17,23 +18,55 @@ from tallywatch.operators.tables import current_alerts
 POSTGRES_DRIVER = "org.postgresql.Driver"
 
 
+COMPACTED = "compacted"  # stands for the query where compaction wrote rows
+
+
+def _read(spark: SparkSession, path: str, layout: T.StructType, wanted: str | None = None) -> DataFrame | None:
+    try:
+        return spark.read.schema(layout).option("basePath", path).parquet(wanted or path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def batch_marks(spark: SparkSession, path: str) -> DataFrame | None:
+    """The marks of whole batches beside a table of files; None where the table's
+    writer sets none. A mark is set after everything else of its batch, so files
+    have to be listed after the marks."""
+    return _read(spark, f"{posixpath.dirname(path)}/batches", schema.BATCH_MARKS)
+
+
+def marked(rows: DataFrame, marks: DataFrame | None) -> DataFrame:
+    """Rows of batches that reached every table, and those that compaction wrote.
+    The rows of a batch that was cut short stay unseen."""
+    if marks is None:
+        return rows
+    compacted = rows.sparkSession.range(1).select(F.lit(COMPACTED).alias("query_id"), F.col("id").alias("batch_id"))
+    whole = marks.select("query_id", "batch_id").unionByName(compacted)
+    return rows.join(whole, ["query_id", "batch_id"], "left_semi").select(*rows.columns)
+
+
 def table_rows(
     spark: SparkSession, path: str, layout: T.StructType, days: tuple[date, date] | None = None
 ) -> DataFrame:
     """Rows of a table of files, with its partition columns; a table without
     files yet has none. With ``days`` (first and last) only the folders of those
-    dates are listed, which needs the layout with date folders outermost."""
-    reader = spark.read.schema(layout).option("basePath", path)
-    wanted = path
+    dates are listed, which needs the layout with date folders outermost. Where
+    batches are marked, only whole ones are seen."""
+    wanted = None
     if days:
         names = ",".join(str(days[0] + timedelta(n)) for n in range((days[1] - days[0]).days + 1))
         wanted = f"{path}/{layout.fieldNames()[-1]}={{{names}}}"
-    try:
-        return reader.parquet(wanted)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], layout)
+    marks = batch_marks(spark, path)
+    rows = _read(spark, path, layout, wanted)
+    return spark.createDataFrame([], layout) if rows is None else marked(rows, marks)
+
+
+def unmarked_rows(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
+    """All rows of a table of files, those of unfinished batches too."""
+    rows = _read(spark, path, layout)
+    return spark.createDataFrame([], layout) if rows is None else rows
 
 
 def stored_transactions(spark: SparkSession, path: str, days: tuple[date, date] | None = None) -> DataFrame:
@@ -41,6 +74,16 @@ def stored_transactions(spark: SparkSession, path: str, days: tuple[date, date]
     return table_rows(spark, path, schema.TRANSACTIONS_TABLE, days).drop("query_id", "batch_id")
 
 
+def stored_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The messages that the job could not decode."""
+    return table_rows(spark, path, schema.QUARANTINE).select("value", "reject_reason")
+
+
+def stored_feed(spark: SparkSession, path: str, days: tuple[date, date] | None = None) -> DataFrame:
+    """The feed lines that the job wrote; ``alert_date`` is a partition column."""
+    return table_rows(spark, path, schema.FEED, days).drop("query_id", "batch_id")
+
+
 def summed_alerts(parts: DataFrame, cfg: RiskConfig, rules: list[Rule] | None = None) -> DataFrame:
     """Alerts from their parts: counts and sums add up, then are scored."""
     totals = parts.groupBy("user_id", "window_start", "window_end", "alert_date").agg(

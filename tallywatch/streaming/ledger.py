@@ -3,16 +3,23 @@ to the quarantine, the transactions and the alert tables together.
 
 No watermark and no state: a batch stores the transactions that no other batch
 has stored, and for each user and window their count and sum. An alert is the
-sum of its parts, so late rows count, wrong clocks harm nobody else, and a
-batch that runs again replaces what it wrote."""
+sum of its parts, so late rows count and wrong clocks harm nobody else.
+
+A batch reaches all tables or none. It writes into folders of its own, named
+after the stream and its run, and sets a mark when all is written; readers see
+the rows of marked batches only. What a run that was cut short left behind is
+never seen and its transactions don't count as stored, so the next run stores
+them, with the same checkpoint or with a new one."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallywatch import schema
@@ -22,7 +29,7 @@ from tallywatch.functions.rules import Rule, alert_feed
 from tallywatch.functions.time import utc_date
 from tallywatch.operators.profile import TIME_COLUMN, window_totals
 from tallywatch.operators.tables import insert_ignore, with_defaults
-from tallywatch.sources.tables import summed_alerts, table_rows
+from tallywatch.sources.tables import batch_marks, summed_alerts, table_rows, unmarked_rows
 
 Follower = Callable[[DataFrame, DataFrame, int], None]
 
@@ -45,6 +52,10 @@ class Tables:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def batches(self) -> str:
+        return f"{self.root}/batches"
+
     @property
     def feed(self) -> str:
         return f"{self.root}/alert_feed"
@@ -54,20 +65,27 @@ def _owned(rows: DataFrame, query_id: str, batch_id: int) -> DataFrame:
     return rows.withColumns({"query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast("long")})
 
 
-def _replace(rows: DataFrame, path: str, *partition_by: str) -> None:
-    """Writes a batch's rows, replacing what the same batch wrote before, in as
-    few files for each date as its size allows."""
+def _append(rows: DataFrame, path: str, *partition_by: str) -> None:
+    """Writes a batch's rows to folders of its own, in as few files for each date
+    as its size allows."""
     rows = rows.hint("rebalance", *partition_by)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by, "query_id", "batch_id").parquet(path)
+    rows.write.mode("append").partitionBy(*partition_by, "query_id", "batch_id").parquet(path)
+
 
+def _mark(spark: SparkSession, tables: Tables, stream: str, query_id: str, batch_id: int) -> None:
+    row = spark.range(1).select(
+        F.lit(stream).alias("stream"),
+        F.lit(query_id).alias("query_id"),
+        F.lit(batch_id).cast("long").alias("batch_id"),
+        F.current_timestamp().alias("marked_at"),
+    )
+    row.coalesce(1).write.mode("append").parquet(tables.batches)
 
-def _new_rows(arriving: DataFrame, path: str, query_id: str, batch_id: int) -> DataFrame:
-    """Arriving rows whose id no other batch has stored. What this batch itself
-    stored in an earlier run is left out of account, so that it repeats itself."""
+
+def _new_rows(arriving: DataFrame, path: str) -> DataFrame:
+    """Arriving rows whose id no whole batch has stored."""
     stored = table_rows(arriving.sparkSession, path, schema.TRANSACTIONS_TABLE)
-    others = stored.where((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
-    return insert_ignore(others.select("transaction_id"), arriving)
+    return insert_ignore(stored.select("transaction_id"), arriving)
 
 
 def start_ledger_query(
@@ -84,47 +102,78 @@ def start_ledger_query(
 
     ``feed`` also stores the feed line of every alert that a batch touches and
     leaves fraudulent. ``follower`` is called with the batch's new transactions
-    and the alerts they touch, for instance to send them to a database; it may
-    be called again for the same batch."""
+    and the alerts they touch, once these are stored, for instance to send them
+    to a database; it may be called again for the same batch."""
     clocked = messages.withColumn("processing_time", F.current_timestamp())
+    spark = messages.sparkSession
+    run = uuid.uuid4().hex[:8]
+    if batch_marks(spark, tables.transactions) is None:
+        # From now on nothing counts without a mark.
+        _mark(spark, tables, "", run, -1)
+    started = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        query_id = f"{stream}-{run}"
+        if not started:
+            started.append(batch_id)
+            # The last run may have ended between its mark and the checkpoint's own.
+            whole = batch_marks(spark, tables.transactions)
+            whole = whole.where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).first()
+            if whole:
+                _follow(spark, whole["query_id"], batch_id)
+                return
         decoded = counted(decode(batch, cfg.keep_currency)).persist()
         try:
-            _replace(_owned(quarantined(decoded), query_id, batch_id), tables.quarantine)
+            _append(_owned(quarantined(decoded), query_id, batch_id), tables.quarantine)
             carried = [name for name in TIME_COLUMN.values() if name in decoded.columns and name != "timestamp"]
             arriving = with_defaults(accepted(decoded, *carried))
-            fresh = _new_rows(arriving, tables.transactions, query_id, batch_id).persist()
+            fresh = _new_rows(arriving, tables.transactions).persist()
             try:
-                _store(spark, fresh, query_id, batch_id)
+                _store(fresh, query_id, batch_id)
             finally:
                 fresh.unpersist()
         finally:
             decoded.unpersist()
+        if feed:
+            _feed(spark, query_id, batch_id)
+        _mark(spark, tables, stream, query_id, batch_id)
+        _follow(spark, query_id, batch_id)
 
-    def _store(spark: SparkSession, fresh: DataFrame, query_id: str, batch_id: int) -> None:
+    def _store(fresh: DataFrame, query_id: str, batch_id: int) -> None:
         now = F.col("processing_time")
         dated = fresh.select(
             *schema.TRANSACTION_COLUMNS, now.alias("ingested_at"), utc_date(F.col("timestamp")).alias("event_date")
         )
-        _replace(_owned(dated, query_id, batch_id), tables.transactions, "event_date")
+        _append(_owned(dated, query_id, batch_id), tables.transactions, "event_date")
         parts = window_totals(fresh, cfg, F.max(now).alias("written_at"))
         parts = parts.withColumn("alert_date", utc_date(F.col("window_end")))
-        _replace(_owned(parts, query_id, batch_id), tables.alert_parts, "alert_date")
-        if not feed and not follower:
-            return
-        # Only the alerts that this batch touches, each with all its parts.
-        log = table_rows(spark, tables.alert_parts, schema.ALERT_PARTS)
-        keys = log.where((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
-        keys = keys.select("user_id", "window_end", "alert_date").distinct()
-        touched = summed_alerts(log.join(keys, ["user_id", "window_end", "alert_date"], "left_semi"), cfg, rules)
-        if feed:
-            lines = alert_feed(touched).withColumn("alert_date", utc_date(F.col("window_end")))
-            _replace(_owned(lines, query_id, batch_id), tables.feed, "alert_date")
+        _append(_owned(parts, query_id, batch_id), tables.alert_parts, "alert_date")
+
+    def _of_batch(spark: SparkSession, path: str, layout: T.StructType, query_id: str, batch_id: int) -> DataFrame:
+        """What this batch itself wrote, marked or not."""
+        mine = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
+        return unmarked_rows(spark, path, layout).where(mine)
+
+    def _touched(spark: SparkSession, query_id: str, batch_id: int) -> DataFrame:
+        """The alerts that this batch touches, each with all its parts."""
+        mine = _of_batch(spark, tables.alert_parts, schema.ALERT_PARTS, query_id, batch_id)
+        others = table_rows(spark, tables.alert_parts, schema.ALERT_PARTS)
+        others = others.where((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
+        keys = mine.select("user_id", "window_end", "alert_date").distinct()
+        known = others.join(keys, ["user_id", "window_end", "alert_date"], "left_semi").select(*others.columns)
+        return summed_alerts(mine.unionByName(known), cfg, rules)
+
+    def _feed(spark: SparkSession, query_id: str, batch_id: int) -> None:
+        lines = alert_feed(_touched(spark, query_id, batch_id))
+        lines = lines.withColumn("alert_date", utc_date(F.col("window_end")))
+        _append(_owned(lines, query_id, batch_id), tables.feed, "alert_date")
+
+    def _follow(spark: SparkSession, query_id: str, batch_id: int) -> None:
         if follower:
-            follower(fresh.select(*schema.TRANSACTION_COLUMNS), touched, batch_id)
+            fresh = _of_batch(spark, tables.transactions, schema.TRANSACTIONS_TABLE, query_id, batch_id)
+            follower(fresh.select(*schema.TRANSACTION_COLUMNS), _touched(spark, query_id, batch_id), batch_id)
 
     stream = clocked.writeStream.option("checkpointLocation", checkpoint)
     if trigger:

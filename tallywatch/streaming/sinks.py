@@ -13,7 +13,7 @@ from tallywatch import schema
 from tallywatch.config import JobConfig
 from tallywatch.functions.time import AsOf
 from tallywatch.operators.tables import current_alerts, retained
-from tallywatch.sources.tables import alerts_log, jdbc_properties, table_rows
+from tallywatch.sources.tables import COMPACTED, alerts_log, jdbc_properties, table_rows
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -64,7 +64,7 @@ def _rewrite(rows: DataFrame, target: str, date: str, *order: str) -> None:
     """Stores ``rows`` in a new folder, in files of even size however many rows
     one date holds, sorted so that filters skip row groups."""
     even = rows.hint("rebalance", date).sortWithinPartitions(*order)
-    owned = even.withColumns({"query_id": F.lit("compacted"), "batch_id": F.lit(0).cast("long")})
+    owned = even.withColumns({"query_id": F.lit(COMPACTED), "batch_id": F.lit(0).cast("long")})
     owned.write.partitionBy(date, "query_id", "batch_id").parquet(target)
 
 
@@ -75,7 +75,7 @@ def _committed(rows: DataFrame, upto: dict[str, int] | None) -> DataFrame:
     done = F.lit(False)
     for query_id, batch_id in upto.items():
         done = done | ((F.col("query_id") == query_id) & (F.col("batch_id") <= batch_id))
-    return rows.where(done | (F.col("query_id") == "compacted"))
+    return rows.where(done | (F.col("query_id") == COMPACTED))
 
 
 def compact_alerts(

@@ -12,7 +12,15 @@ from tallywatch.config import JobConfig, RiskConfig
 from tallywatch.functions.parse import parse_transactions
 from tallywatch.operators.profile import alerts, enrich, enrich_from_alerts
 from tallywatch.operators.tables import current_alerts, insert_ignore
-from tallywatch.sources.tables import latest_days, ledger_alerts, stored_transactions, table_rows
+from tallywatch.sources.tables import (
+    latest_days,
+    ledger_alerts,
+    stored_feed,
+    stored_quarantine,
+    stored_transactions,
+    table_rows,
+    unmarked_rows,
+)
 from tallywatch.streaming import sinks
 from tallywatch.streaming.ledger import Tables, committed_batches, start_ledger_query
 
@@ -117,16 +125,77 @@ def test_feed_and_follower_see_whole_alerts(spark, topic, run):  # noqa: F811
     assert line.message.endswith("User 7 - High total amount: $4000.00")
 
 
-def test_retry_of_a_batch_repeats_itself(spark, topic, run, monkeypatch):  # noqa: F811
-    """The first run fails after the transactions are stored."""
+WRITES = ["quarantine", "transactions", "alert_parts", "alert_feed", "batches"]
+
+
+@pytest.fixture
+def killed(monkeypatch):
+    """Makes the job fail for once, before or after it writes one of its tables."""
     from tallywatch.streaming import ledger
 
+    def at(table, after):
+        append, mark = ledger._append, ledger._mark
+
+        def fails(write, path_of):
+            def writes(*args):
+                meant = path_of(args).endswith(table) and args[-1] != -1
+                if meant and not after:
+                    raise OSError("lost")
+                write(*args)
+                if meant:
+                    raise OSError("lost")
+
+            return writes
+
+        monkeypatch.setattr(ledger, "_append", fails(append, lambda args: args[1]))
+        monkeypatch.setattr(ledger, "_mark", fails(mark, lambda args: args[1].batches))
+        return monkeypatch.undo
+
+    return at
+
+
+@pytest.mark.parametrize("checkpoint", ["checkpoint", "other"])
+@pytest.mark.parametrize("table, after", [*((table, False) for table in WRITES), ("batches", True)])
+def test_a_killed_batch_reaches_all_tables_or_none(spark, topic, run, killed, table, after, checkpoint):  # noqa: F811
+    lines = [message(n, n % 4, T0 + timedelta(days=n % 2), 1700) for n in range(30)]
+    topic.send(lines[:9] + ["{bad"])
+    run(feed=True)
+    topic.send(lines[6:] + ["{worse"])
+    undo = killed(table, after)
+    with pytest.raises(Exception, match="lost"):
+        run(feed=True)
+    undo()
+    # What the batch that was cut short left behind is not seen ...
+    tables = Tables(str(topic.place("tables")[0]))
+    whole = 30 if (table, after) == ("batches", True) else 9
+    assert stored_transactions(spark, tables.transactions).count() == whole
+    assert ledger_alerts(spark, tables.alert_parts).agg(F.sum("transaction_count")).first()[0] == whole
+    # ... and comes whole with the next run, with the old checkpoint or a new one.
+    sent = []
+    run(checkpoint=checkpoint, feed=True, follower=lambda fresh, touched, batch: sent.append((batch, fresh.count())))
+    assert stored_transactions(spark, tables.transactions).count() == 30
+    assert found(spark, tables) == expected(topic)
+    bad = stored_quarantine(spark, tables.quarantine).groupBy("value").count().collect()
+    assert {row.value for row in bad} == {"{bad", "{worse"}
+    if checkpoint == "checkpoint":
+        assert all(row["count"] == 1 for row in bad)
+        assert sent == [(1, 21)]
+    fraud = ledger_alerts(spark, tables.alert_parts, CFG).where("is_fraud = 1")
+    fed = stored_feed(spark, tables.feed)
+    assert set(rows_of(fraud, "user_id", "window_end")) == set(rows_of(fed, "user_id", "window_end")) != set()
+
+
+def test_a_table_without_any_mark_shows_nothing(spark, topic, run, killed):  # noqa: F811
+    """The very first batch is cut short as well."""
     topic.send([message(n, n % 3, T0, 700) for n in range(9)])
-    monkeypatch.setattr(ledger, "window_totals", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    undo = killed("alert_parts", False)
     with pytest.raises(Exception, match="lost"):
         run()
-    monkeypatch.undo()
-    tables = run()
+    undo()
+    tables = Tables(str(topic.place("tables")[0]))
+    assert unmarked_rows(spark, tables.transactions, schema.TRANSACTIONS_TABLE).count() == 9
+    assert stored_transactions(spark, tables.transactions).count() == 0
+    run(checkpoint="other")
     assert stored_transactions(spark, tables.transactions).count() == 9
     assert found(spark, tables) == expected(topic)
 
