@@ -21,20 +21,41 @@ POSTGRES_DRIVER = "org.postgresql.Driver"
 COMPACTED = "compacted"  # stands for the query where compaction wrote rows
 
 
-def _read(spark: SparkSession, path: str, layout: T.StructType, wanted: str | None = None) -> DataFrame | None:
+def optional_rows(
+    spark: SparkSession, path: str, layout: T.StructType, wanted: str | list[str] | None = None
+) -> DataFrame | None:
+    """Rows of the files below ``path``, or of those ``wanted`` among them; None
+    if there are no such folders."""
+    places = [wanted] if isinstance(wanted, str) else wanted or [path]
     try:
-        return spark.read.schema(layout).option("basePath", path).parquet(wanted or path)
+        return spark.read.schema(layout).option("basePath", path).parquet(*places)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, wherever Spark can reach it."""
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
 def batch_marks(spark: SparkSession, path: str) -> DataFrame | None:
     """The marks of whole batches beside a table of files; None where the table's
     writer sets none. A mark is set after everything else of its batch, so files
     have to be listed after the marks."""
-    return _read(spark, f"{posixpath.dirname(path)}/batches", schema.BATCH_MARKS)
+    return optional_rows(spark, f"{posixpath.dirname(path)}/batches", schema.BATCH_MARKS)
 
 
 def marked(rows: DataFrame, marks: DataFrame | None) -> DataFrame:
@@ -59,13 +80,13 @@ def table_rows(
         names = ",".join(str(days[0] + timedelta(n)) for n in range((days[1] - days[0]).days + 1))
         wanted = f"{path}/{layout.fieldNames()[-1]}={{{names}}}"
     marks = batch_marks(spark, path)
-    rows = _read(spark, path, layout, wanted)
+    rows = optional_rows(spark, path, layout, wanted)
     return spark.createDataFrame([], layout) if rows is None else marked(rows, marks)
 
 
 def unmarked_rows(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
     """All rows of a table of files, those of unfinished batches too."""
-    rows = _read(spark, path, layout)
+    rows = optional_rows(spark, path, layout)
     return spark.createDataFrame([], layout) if rows is None else rows
 
 

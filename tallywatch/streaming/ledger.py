@@ -30,6 +30,7 @@ from tallywatch.functions.time import utc_date
 from tallywatch.operators.profile import TIME_COLUMN, window_totals
 from tallywatch.operators.tables import insert_ignore, with_defaults
 from tallywatch.sources.tables import batch_marks, summed_alerts, table_rows, unmarked_rows
+from tallywatch.streaming.ids import IdIndex
 
 Follower = Callable[[DataFrame, DataFrame, int], None]
 
@@ -52,6 +53,10 @@ class Tables:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def ids(self) -> str:
+        return f"{self.root}/ids"
+
     @property
     def batches(self) -> str:
         return f"{self.root}/batches"
@@ -82,12 +87,6 @@ def _mark(spark: SparkSession, tables: Tables, stream: str, query_id: str, batch
     row.coalesce(1).write.mode("append").parquet(tables.batches)
 
 
-def _new_rows(arriving: DataFrame, path: str) -> DataFrame:
-    """Arriving rows whose id no whole batch has stored."""
-    stored = table_rows(arriving.sparkSession, path, schema.TRANSACTIONS_TABLE)
-    return insert_ignore(stored.select("transaction_id"), arriving)
-
-
 def start_ledger_query(
     messages: DataFrame,
     tables: Tables,
@@ -110,6 +109,8 @@ def start_ledger_query(
     if batch_marks(spark, tables.transactions) is None:
         # From now on nothing counts without a mark.
         _mark(spark, tables, "", run, -1)
+    index = IdIndex(spark, tables.ids, tables.transactions)
+    index.catch_up()
     started = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -129,7 +130,8 @@ def start_ledger_query(
             _append(_owned(quarantined(decoded), query_id, batch_id), tables.quarantine)
             carried = [name for name in TIME_COLUMN.values() if name in decoded.columns and name != "timestamp"]
             arriving = with_defaults(accepted(decoded, *carried))
-            fresh = _new_rows(arriving, tables.transactions).persist()
+            # Arriving rows whose id no whole batch has stored.
+            fresh = insert_ignore(index.known(arriving), arriving).persist()
             try:
                 _store(fresh, query_id, batch_id)
             finally:
@@ -139,10 +141,12 @@ def start_ledger_query(
         if feed:
             _feed(spark, query_id, batch_id)
         _mark(spark, tables, stream, query_id, batch_id)
+        index.marked(query_id, batch_id)
         _follow(spark, query_id, batch_id)
 
     def _store(fresh: DataFrame, query_id: str, batch_id: int) -> None:
         now = F.col("processing_time")
+        _append(_owned(fresh.select("transaction_id"), query_id, batch_id), f"{tables.ids}/new")
         dated = fresh.select(
             *schema.TRANSACTION_COLUMNS, now.alias("ingested_at"), utc_date(F.col("timestamp")).alias("event_date")
         )

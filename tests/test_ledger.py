@@ -125,7 +125,7 @@ def test_feed_and_follower_see_whole_alerts(spark, topic, run):  # noqa: F811
     assert line.message.endswith("User 7 - High total amount: $4000.00")
 
 
-WRITES = ["quarantine", "transactions", "alert_parts", "alert_feed", "batches"]
+WRITES = ["quarantine", "ids/new", "transactions", "alert_parts", "alert_feed", "batches"]
 
 
 @pytest.fixture
