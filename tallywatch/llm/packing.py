@@ -4,6 +4,7 @@ local search that exchanges documents between underfull sequences."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -104,87 +105,107 @@ def best_fit(lengths: np.ndarray, limit: int) -> list[list[int]]:
     return bins
 
 
-def empty_bins(bins: list[list[int]], lengths: np.ndarray, limit: int, patience: int = 24) -> None:
-    """Local search in place. The emptiest bin gives to fuller ones: it moves a
-    document into another's room, or exchanges one or two of its documents for
-    one or two smaller ones. Each step makes the fuller bin fuller still, so the
-    sum of squared fills rises, until the giving bin is empty and goes. Ends when
-    the bins are as few as their sum allows, or ``patience`` bins in turn can't
-    be emptied."""
+def empty_bins(bins: list[list[int]], lengths: np.ndarray, limit: int) -> None:
+    """Local search in place. The emptiest bin gives to fuller ones: it moves one
+    or two documents into another's room, or exchanges one or two for one, or one
+    for two, that are smaller together. Each step makes the fuller bin fuller
+    still, so the sum of squared fills rises, until the giving bin is empty and
+    goes. Ends when the bins are as few as their sum allows, or no step is left."""
     least = -(-int(lengths.sum()) // limit)
-    fill = [int(lengths[items].sum()) for items in bins]
-    stuck: set[int] = set()
-    moved = False
-    while len(bins) > least:
-        givers = [number for number in range(len(bins)) if number not in stuck and fill[number] < limit]
-        if not givers or len(stuck) >= patience:
-            if not moved:
-                break
-            # What others have exchanged since may have freed those that were stuck.
-            stuck, moved = set(), False
-            continue
-        giver = min(givers, key=fill.__getitem__)
-        parts = _parts(bins, lengths, fill, limit, giver)
-        steps = 0
-        while bins[giver] and _step(bins, lengths, fill, limit, giver, parts):
-            steps += 1
-        moved = moved or steps > 0
-        if not bins[giver]:
-            last = len(bins) - 1
-            bins[giver], fill[giver] = bins[last], fill[last]
-            bins.pop()
-            fill.pop()
-            stuck = {giver if number == last else number for number in stuck if number != giver}
-        elif not steps:
-            stuck.add(giver)
-
-
-class _Parts:
-    """What underfull bins could hand over: nothing, one or two documents."""
-
-    def __init__(self, size: np.ndarray, room: np.ndarray, bin_: np.ndarray, items: list[tuple[int, ...]]):
-        self.size, self.bin, self.items = size, bin_, items
-        self.reach = size + room  # the largest size that fits in their stead
-
-
-def _parts(bins: list[list[int]], lengths: np.ndarray, fill: list[int], limit: int, giver: int) -> _Parts:
-    sizes, rooms, numbers, items = [], [], [], []
-    for number, held in enumerate(bins):
-        if number == giver or not fill[giver] <= fill[number] < limit:
-            continue
-        one = [((), 0)] + [((a,), int(lengths[a])) for a in held]
-        two = [((a, b), int(lengths[a] + lengths[b])) for i, a in enumerate(held[:8]) for b in held[:i]]
-        for part, size in one + two:
-            sizes.append(size)
-            rooms.append(limit - fill[number])
-            numbers.append(number)
-            items.append(part)
-    return _Parts(np.array(sizes, int), np.array(rooms, int), np.array(numbers, int), items)
-
-
-def _step(bins: list[list[int]], lengths: np.ndarray, fill: list[int], limit: int, giver: int, parts: _Parts) -> bool:
-    """The exchange that takes most out of the giving bin; False if none is left."""
-    held = bins[giver]
-    single = [(a,) for a in held]
-    double = [(a, b) for i, a in enumerate(held[:8]) for b in held[:i]]
-    best, chosen = 0, None
-    for given in single + double:
-        size = int(sum(lengths[a] for a in given))
-        # Two for two is left out: it can be had in smaller steps.
-        fits = np.flatnonzero((parts.reach >= size) & (parts.size < size) & (parts.bin != giver))
-        if len(fits):
-            at = fits[np.argmin(parts.size[fits])]
-            gain = size - int(parts.size[at])
-            if gain > best:
-                best, chosen = gain, (given, int(at))
-    if chosen is None:
-        return False
-    given, at = chosen
-    taken, taker = parts.items[at], int(parts.bin[at])
-    bins[giver] = [a for a in held if a not in given] + list(taken)
-    bins[taker] = [a for a in bins[taker] if a not in taken] + list(given)
-    fill[giver] -= best
-    fill[taker] += best
-    # The taker's parts have changed; they are out of play until the next giver.
-    parts.reach[parts.bin == taker] = -1
-    return True
+    left = len(bins)
+    search = _Exchanges(bins, lengths, limit)
+    moved = True
+    while moved and left > least:
+        moved = False
+        givers = {number for number, held in enumerate(bins) if held and search.fill[number] < limit}
+        while givers and left > least:
+            giver = min(givers, key=lambda number: (search.fill[number], number))
+            givers.remove(giver)
+            while bins[giver] and search.step(giver):
+                moved = True
+            left -= not bins[giver]
+    bins[:] = [held for held in bins if held]
+
+
+def _parts(held: list[int], lengths: np.ndarray) -> dict[int, tuple[int, ...]]:
+    """No, one or two of a bin's documents for every size they can have together,
+    one rather than two. A bin of ``n`` tokens has at most ``n`` such sizes, and
+    equal documents are interchangeable, so nothing is left out."""
+    alike: dict[int, list[int]] = {}
+    for item in held:
+        alike.setdefault(int(lengths[item]), []).append(item)
+    parts = {0: (), **{size: (items[0],) for size, items in alike.items()}}
+    for (size, items), (other, others) in combinations(alike.items(), 2):
+        parts.setdefault(size + other, (items[0], others[0]))
+    for size, items in alike.items():
+        if len(items) > 1:
+            parts.setdefault(2 * size, (items[0], items[1]))
+    return parts
+
+
+class _Exchanges:
+    """What underfull bins could hand over, in arrays that grow as bins change."""
+
+    def __init__(self, bins: list[list[int]], lengths: np.ndarray, limit: int):
+        self.bins, self.lengths, self.limit = bins, lengths, limit
+        self.fill = [int(lengths[items].sum()) for items in bins]
+        self._build()
+
+    def _build(self) -> None:
+        self.items: list[tuple[int, ...]] = []
+        self.where: dict[int, range] = {}
+        # Size of a part, its number of documents, the largest size that fits in its stead, and its bin.
+        self.table, self.used, self.dead = np.zeros((4, 1024), np.int64), 0, 0
+        for number, held in enumerate(self.bins):
+            if held:
+                self._add(number)
+
+    def _add(self, number: int) -> None:
+        if self.fill[number] == self.limit:
+            return
+        parts = _parts(self.bins[number], self.lengths)
+        while self.used + len(parts) > self.table.shape[1]:
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)], axis=1)
+        self.where[number] = range(self.used, self.used + len(parts))
+        sizes = np.fromiter(parts, np.int64, len(parts))
+        self.table[0, self.used : self.used + len(parts)] = sizes
+        self.table[1, self.used : self.used + len(parts)] = [len(items) for items in parts.values()]
+        self.table[2, self.used : self.used + len(parts)] = sizes + self.limit - self.fill[number]
+        self.table[3, self.used : self.used + len(parts)] = number
+        self.items += parts.values()
+        self.used += len(parts)
+
+    def _renew(self, number: int) -> None:
+        gone = self.where.pop(number, range(0))
+        self.table[2, gone.start : gone.stop] = -1
+        self.dead += len(gone)
+        if self.bins[number]:
+            self._add(number)
+        if 2 * self.dead > max(1024, self.used):
+            self._build()
+
+    def step(self, giver: int) -> bool:
+        """The exchange that takes most out of the giving bin; False if none is left."""
+        size, count, reach, bin_ = self.table[:, : self.used]
+        fuller = np.array(self.fill)[bin_] >= self.fill[giver]
+        at = np.flatnonzero(fuller & (reach > size) & (bin_ != giver))
+        size, count, reach = size[at], count[at], reach[at]
+        best, chosen = 0, None
+        for given, items in _parts(self.bins[giver], self.lengths).items():
+            # Two for two is left out: that is for smaller steps.
+            fits = np.flatnonzero((reach >= given) & (size < given) & (count + len(items) < 4))
+            if len(fits):
+                place = fits[np.argmin(size[fits])]
+                if (gain := given - int(size[place])) > best:
+                    best, chosen = gain, (items, int(at[place]))
+        if chosen is None:
+            return False
+        items, place = chosen
+        taken, taker = self.items[place], int(self.table[3, place])
+        self.bins[giver] = [item for item in self.bins[giver] if item not in items] + list(taken)
+        self.bins[taker] = [item for item in self.bins[taker] if item not in taken] + list(items)
+        self.fill[giver] -= best
+        self.fill[taker] += best
+        self._renew(giver)
+        self._renew(taker)
+        return True
