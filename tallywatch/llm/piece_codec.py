@@ -21,6 +21,7 @@ from .tokens import Known, slices
 
 SPACE = "▁"
 CACHE = 300_000
+ROOM = 160_000_000
 _NEVER = float("-inf")
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -54,7 +55,7 @@ class PieceCodec:
         self.shorter = {n: self._next_shorter(p) for p, n in self.ids.items()}
         self.compatible_pairs: dict[tuple[int, int], bool] = {}
         self.neighbours = {piece[at : at + 2] for piece in self.ids for at in range(len(piece) - 1)}
-        self.words, self.runs = Known(self._word, CACHE), Known(self._run, 2 * CACHE, at_once=True)
+        self.words, self.runs = Known(self._word, ROOM // 3), Known(self._run, ROOM * 2 // 3, at_once=True)
         self.raw_byte = [int(p[3:5], 16) if model.is_byte(n) else None for n, p in enumerate(self.pieces)]
         self.surface = [
             piece.replace(SPACE, " ").encode() if byte is None else bytes([byte])

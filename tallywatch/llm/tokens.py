@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from tokenizers import Tokenizer
 
 LONGEST = 64
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -21,25 +22,46 @@ _MARKS = r"!-&(-/:-@\[-`{-~"
 
 
 class Known(dict):
-    """Results of a function by text. Keeps what it is asked for a second time
-    (or ``at_once``), up to ``limit`` entries, so that the many words met once
-    take no room."""
+    """Results of a function by text, in about ``room`` bytes.
 
-    def __init__(self, function: Callable[[str], bytes], limit: int, at_once: bool = False):
-        self.function, self.limit, self.at_once = function, limit, at_once
-        self.met = bytearray(1 << 23)
+    A result is kept when its text is met again, so that the many words met once
+    take no room (texts share marks, so some are kept at once), or ``at_once``,
+    where working it out is dear. Once half the room is taken, results not asked
+    for since the last time go."""
+
+    ENTRY = 200  # bytes that an entry takes beside its text and its value
+    MARKS = bytearray(1 << 22)  # shared by all of a worker's
+
+    def __init__(self, function: Callable[[str], bytes], room: int, at_once: bool = False):
+        self.function, self.room, self.at_once = function, room, at_once
+        self.older: dict[str, bytes] = {}
+        self.used = self.marked = 0
 
     def __missing__(self, text: str) -> bytes:
-        value = self.function(text)
-        place = hash(text) & (len(self.met) - 1)
-        if not self.at_once and not self.met[place]:
-            self.met[place] = 1
-        elif len(text) <= LONGEST:
-            if len(self) >= self.limit:
-                self.clear()
-            self[text] = value
+        value = self.older.get(text)
+        if value is None:
+            value = self.function(text)
+            if len(text) > LONGEST or not (self.at_once or self._met(text)):
+                return value
+        self.used += self.ENTRY + len(text) + len(value)
+        if 2 * self.used > self.room:
+            self.older = dict(self)
+            self.clear()
+            self.used = 0
+        self[text] = value
         return value
 
+    def _met(self, text: str) -> bool:
+        place = hash(text) & (len(self.MARKS) - 1)
+        if self.MARKS[place]:
+            return True
+        self.MARKS[place] = 1
+        self.marked += 1
+        if 2 * self.marked > len(self.MARKS):
+            self.MARKS[:] = bytes(len(self.MARKS))
+            self.marked = 0
+        return False
+
 
 class WordEncoder:
     """Ids of whole texts, as little-endian 32-bit numbers.
@@ -55,21 +77,19 @@ class WordEncoder:
     finds them by default, and texts that hold any go to it whole; otherwise
     they are taken for ordinary text."""
 
-    def __init__(self, path: str, words: int = 100_000, parts: int = 1_000_000, added: bool = False):
+    def __init__(self, path: str, room: int = 128_000_000, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
         tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
         self.added = [token.content for token in tokens]
         if self.tokenizer.normalizer is not None and any(token.normalized for token in tokens):
             self.added = [""]  # they may show only in the normalised text
-        self.lower, self.parts_of = _splitter(json.loads(self.tokenizer.to_str()))
+        self.lower, self.parts_of = _splitter(self.tokenizer)
         self.mapped = str.maketrans({byte: symbol for byte, symbol in enumerate(_byte_symbols())})
-        self.words = Known(self._spaced, words)
-        self.starts = Known(self._word, words // 20)
-        self.parts = Known(self._part, parts, at_once=True)
+        self.words = Known(self._spaced, room * 3 // 10)
+        self.starts = Known(self._word, room // 10)
+        self.parts = Known(self._part, room * 6 // 10, at_once=True)
 
     def _spaced(self, word: str) -> bytes:
         return self._word(" " + word)
@@ -123,13 +143,13 @@ class _Whole(Exception):
     """The text can't be split at its spaces."""
 
 
-def _splitter(layout: dict) -> tuple[bool, re.Pattern | None]:
+def _splitter(tokenizer: Tokenizer) -> tuple[bool, re.Pattern | None]:
     """Whether words are lower-cased, and the pattern of their parts, for the two
     known kinds of files; no pattern for any other kind, whose words are never
     split here."""
-    before = layout.get("pre_tokenizer") or {}
+    before = json.loads(tokenizer.pre_tokenizer.__getstate__()) if tokenizer.pre_tokenizer else {}
     steps = before.get("pretokenizers", [])
-    if layout.get("normalizer") is None and before.get("type") == "ByteLevel":
+    if tokenizer.normalizer is None and before.get("type") == "ByteLevel":
         if before.get("use_regex") and not before.get("add_prefix_space"):
             return False, re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n(?!\s)")
     split = [step.get("pattern", {}).get("Regex") for step in steps]

@@ -16,7 +16,7 @@ import __spark_entry__ as spark_entry
 from tallywatch.llm.packing import best_fit, empty_bins, pack, pieces, place
 from tallywatch.llm.piece_codec import PieceCodec, decode, encode
 from tallywatch.llm.token_files import BLOCK, TokenFile, pack_bits, read_token_files, unpack_bits, write_token_files
-from tallywatch.llm.tokens import WordEncoder, encoder
+from tallywatch.llm.tokens import Known, WordEncoder, encoder
 
 from .conftest import SF
 
@@ -74,8 +74,7 @@ def test_codec_on_tables(spark, docs, library, sample):
 
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_words_equal_whole_texts(path, sample):
-    encoder, library = WordEncoder(path, words=50, parts=50), Tokenizer.from_file(path)
-    library.encode_special_tokens = True
+    encoder, library = WordEncoder(path, room=4000, added=True), Tokenizer.from_file(path)
     draw = random.Random(8)
     texts = [t or "" for t in ODD] + list(sample.values())[:40]
     texts += ["".join(draw.choices(ALPHABET, k=draw.randint(0, 30))) for _ in range(500)]
@@ -83,13 +82,24 @@ def test_words_equal_whole_texts(path, sample):
         assert np.frombuffer(mine, "<u4").tolist() == theirs.ids
 
 
+def test_known_results_stay_within_their_room():
+    calls = []
+    known = Known(lambda text: calls.append(text) or text.encode() * 3, room=20_000)
+    draw = random.Random(5)
+    words = [str(draw.randrange(50)) if draw.random() < 0.7 else str(draw.random()) for _ in range(20_000)]
+    assert all(known[word] == word.encode() * 3 for word in words)
+    held = [*known.items(), *known.older.items()]
+    assert sum(Known.ENTRY + len(text) + len(value) for text, value in held) <= 20_000
+    # Words that come again and again are seldom worked out anew.
+    assert sum(len(word) < 3 for word in calls) < 1500
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
 def test_packed_pieces(spark, sample):
     library = Tokenizer.from_file(BYTES)
-    library.encode_special_tokens = True
     rows = spark_entry.queries()["op8_best_fit_packing"](spark, SF).collect()
     by_doc, by_sequence, total = {}, {}, 0
     for row in rows:
@@ -150,6 +160,40 @@ def test_search_empties_bins_that_best_fit_leaves():
         assert len(bins) <= len(best_fit(lengths, 100)) + 2
 
 
+def fewest_bins(lengths, limit):
+    """The optimum, by dynamic programming over subsets."""
+    best = {0: (0, limit)}  # bins in use, fill of the last
+    for chosen in range(1, 1 << len(lengths)):
+        options = []
+        for item, size in enumerate(lengths):
+            if chosen >> item & 1:
+                count, fill = best[chosen ^ 1 << item]
+                options.append((count, fill + size) if fill + size <= limit else (count + 1, size))
+        best[chosen] = min(options)
+    return best[(1 << len(lengths)) - 1][0]
+
+
+def test_packing_against_the_optimum():
+    draw = np.random.default_rng(11)
+    more = 0
+    for _ in range(60):
+        lengths = draw.integers(15, 60, draw.integers(1, 11))
+        extra = len(set(pack(lengths, 100)[0].tolist())) - fewest_bins(lengths.tolist(), 100)
+        assert 0 <= extra <= 1
+        more += extra
+    assert more <= 3
+
+
+def test_exchanges_see_every_document_of_a_bin():
+    """Only the two last of a bin's many documents can make way for the giver's."""
+    lengths = np.array([*range(2, 22, 2), 51, 53, 95, 3])
+    bins = [list(range(12)), [12], [13]]
+    lengths = np.append(lengths, 1000 - lengths[:12].sum() - 95)
+    bins[0].append(14)
+    empty_bins(bins, lengths, 1000)
+    assert len(bins) == 2 and sorted(sum(bins, [])) == list(range(15))
+
+
 @pytest.mark.parametrize("width", [1, 7, 16, 17, 31, 32])
 def test_bits_round_trip(width):
     draw = np.random.default_rng(width)
@@ -161,7 +205,6 @@ def test_bits_round_trip(width):
 
 def test_token_files_round_trip(spark, docs, sample, tmp_path):
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     rows = [(i, t) for i, t in sample.items()] + [(None, "none"), (10**12, None), (-5, "x y " * (BLOCK // 2)), (3, "again")]
     files = write_token_files(docs(rows), WORDS, 2, 49408, str(tmp_path / "ids")).cache()
     found = read_token_files(files, batch_ids=5000).orderBy("start").collect()
@@ -186,7 +229,6 @@ def test_no_files_for_no_rows(docs, tmp_path):
 
 def test_token_file_query(spark, sample):
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     at = 0
     for row in sorted(spark_entry.queries()["op9_token_files"](spark, SF).collect()):
         ids = library.encode(sample[row.doc_id] or "", add_special_tokens=False).ids + [2]
