@@ -248,22 +248,20 @@ def _streaming_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_sent(rows).select(*schema.TRANSACTION_COLUMNS))
 
 
-def _ledger_alerts(spark: SparkSession, sf_dir: str, closed: bool) -> tuple[Tables, DataFrame]:
-    tables = _ledger(spark, sf_dir)
-    found = _sent(stored.ledger_alerts(spark, tables.alert_parts, DAILY))
-    if closed:
-        newest = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.max(F.col("ts").cast("timestamp"))).scalar()
-        found = found.where(F.col("window_end") <= newest)
-    return tables, found
+def _streaming_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored.ledger_alerts(spark, _ledger(spark, sf_dir).alert_parts, DAILY)
+    return _plain(_sent(found).select(*schema.ALERT_COLUMNS))
 
 
-def _streaming_alerts(closed: bool) -> Query:
-    return lambda spark, sf_dir: _plain(_ledger_alerts(spark, sf_dir, closed)[1].select(*schema.ALERT_COLUMNS))
+def _streaming_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job emitted as final."""
+    return _plain(stored.closed_alerts(spark, _ledger(spark, sf_dir).closed_alerts).select(*schema.ALERT_COLUMNS))
 
 
 def _streaming_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, found = _ledger_alerts(spark, sf_dir, closed=True)
-    return _plain(profile.enrich_from_alerts(stored.stored_transactions(spark, tables.transactions), found, DAILY))
+    tables = _ledger(spark, sf_dir)
+    rows = stored.stored_transactions(spark, tables.transactions)
+    return _plain(profile.enrich_from_alerts(rows, stored.closed_alerts(spark, tables.closed_alerts), DAILY))
 
 
 def _streaming_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,8 +324,8 @@ def core_queries() -> dict[str, Query]:
         "retention": _on_transactions(lambda tx: tables.retained(tx, "timestamp", AS_OF, days=7)),
         "retention_alerts": _on_alerts(lambda alerts: tables.retained(alerts, "window_end", AS_OF, days=7)),
         "streaming_transactions": _streaming_transactions,
-        "streaming_alerts": _streaming_alerts(closed=True),
-        "streaming_upserts": _streaming_alerts(closed=False),
+        "streaming_alerts": _streaming_alerts,
+        "streaming_upserts": _streaming_upserts,
         "streaming_enriched": _streaming_enriched,
         "streaming_quarantine": _streaming_quarantine,
     }

@@ -17,6 +17,8 @@ class RiskConfig:
     ``time_basis`` picks the clock that assigns a transaction to its window:
     ``event`` (the transaction's own timestamp), ``ingest`` (the broker's
     record time) or ``processing`` (the wall clock of the micro-batch).
+    Windows close ``watermark`` after the slowest source's clock; a source that
+    has been silent for ``idle`` no longer holds the others back.
     ``salts`` is how many ways the rows of one window are spread when each row
     is joined with its window's totals; it is carried as a bit mask, so <= 63.
     """
@@ -26,6 +28,7 @@ class RiskConfig:
     count_threshold: int = 5
     time_basis: str = "event"
     watermark: str = "10 seconds"
+    idle: str = "10 minutes"
     salts: int = 32
     keep_currency: bool = False
 
@@ -43,6 +46,7 @@ class RiskConfig:
             count_threshold=int(env.get("RISK_COUNT", cls.count_threshold)),
             time_basis=env.get("RISK_TIME_BASIS", cls.time_basis),
             watermark=env.get("RISK_WATERMARK", cls.watermark),
+            idle=env.get("RISK_IDLE", cls.idle),
             keep_currency=env.get("KEEP_CURRENCY", "").lower() in ("1", "true", "yes"),
         )
 

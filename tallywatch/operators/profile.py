@@ -23,13 +23,13 @@ def with_clock(transactions: DataFrame, cfg: RiskConfig) -> DataFrame:
     return transactions
 
 
-def _window(cfg: RiskConfig) -> Column:
+def window_column(cfg: RiskConfig) -> Column:
     return F.window(TIME_COLUMN[cfg.time_basis], cfg.window)
 
 
 def _profile(clocked: DataFrame, cfg: RiskConfig, *more: Column) -> DataFrame:
     return (
-        clocked.groupBy("user_id", _window(cfg).alias("window"))
+        clocked.groupBy("user_id", window_column(cfg).alias("window"))
         .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("amount").alias("total_amount"), *more)
         .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
     )
@@ -86,7 +86,7 @@ def enrich(transactions: DataFrame, cfg: RiskConfig, rules: list[Rule] | None =
         "city",
         "merchant_category",
         instant.alias("timestamp"),
-        _window(cfg).alias("window"),
+        window_column(cfg).alias("window"),
         "salt",
     )
     return rows.join(copies, ["user_id", "window", "salt"]).select(*schema.ENRICHED_COLUMNS)
@@ -97,7 +97,7 @@ def enrich_from_alerts(transactions: DataFrame, alerts: DataFrame, cfg: RiskConf
     stored alerts: the batch counterpart of a stream join, without state. Both
     sides can be cut to the same days first. Windows that ``alerts`` lacks, such
     as those that are still open, leave their transactions out."""
-    rows = transactions.withColumn("_window", _window(cfg)).withColumns(
+    rows = transactions.withColumn("_window", window_column(cfg)).withColumns(
         {"window_start": F.col("_window.start"), "window_end": F.col("_window.end")}
     )
     scored = alerts.select(*schema.ALERT_COLUMNS)

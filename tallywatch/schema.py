@@ -77,6 +77,32 @@ ALERT_PARTS = T.StructType(
     + _WRITTEN_BY
     + [T.StructField("alert_date", T.DateType())]
 )
+CLOSED_ALERTS = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("transaction_count", T.LongType()),
+        T.StructField("total_amount", TOTAL),
+        T.StructField("is_fraud", T.IntegerType()),
+        T.StructField("alert_reason", T.StringType()),
+        T.StructField("correction", T.BooleanType()),
+        T.StructField("version", T.LongType()),
+    ]
+    + _WRITTEN_BY
+    + [T.StructField("alert_date", T.DateType())]
+)
+PROGRESS = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("high", T.TimestampType()),
+        T.StructField("seen", T.TimestampType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("late", T.LongType()),
+        T.StructField("behind", T.BinaryType()),
+    ]
+    + _WRITTEN_BY
+)
 QUARANTINE = T.StructType(
     [T.StructField("value", T.StringType()), T.StructField("reject_reason", T.StringType())] + _WRITTEN_BY
 )
@@ -107,7 +133,13 @@ ALERTS_LOG = T.StructType(
 
 # One row for each batch of the job that reached every table. ``stream`` is the
 # id in the query's checkpoint, ``query_id`` names the stream and its run and is
-# what the rows of the tables carry.
+# what the rows of the tables carry. Windows that end up to ``low`` are closed.
 BATCH_MARKS = T.StructType(
-    [T.StructField("stream", T.StringType())] + _WRITTEN_BY + [T.StructField("marked_at", T.TimestampType())]
+    [T.StructField("stream", T.StringType())]
+    + _WRITTEN_BY
+    + [
+        T.StructField("marked_at", T.TimestampType()),
+        T.StructField("low", T.TimestampType()),
+        T.StructField("version", T.LongType()),
+    ]
 )

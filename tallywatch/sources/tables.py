@@ -128,6 +128,17 @@ def ledger_alerts(
     return summed_alerts(table_rows(spark, path, schema.ALERT_PARTS, days), cfg, rules)
 
 
+def closed_alerts(spark: SparkSession, path: str, days: tuple[date, date] | None = None) -> DataFrame:
+    """The alerts of closed windows as the job emitted them: each once, or as its
+    last correction has it; ``alert_date`` is a partition column."""
+    emitted = table_rows(spark, path, schema.CLOSED_ALERTS, days)
+    values = F.struct("transaction_count", "total_amount", "is_fraud", "alert_reason", "correction")
+    last = emitted.groupBy("user_id", "window_start", "window_end", "alert_date").agg(
+        F.max_by(values, "version").alias("last")
+    )
+    return last.select("user_id", "window_start", "window_end", "last.*", "alert_date")
+
+
 def latest_days(
     spark: SparkSession,
     path: str,

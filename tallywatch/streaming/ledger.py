@@ -9,7 +9,11 @@ A batch reaches all tables or none. It writes into folders of its own, named
 after the stream and its run, and sets a mark when all is written; readers see
 the rows of marked batches only. What a run that was cut short left behind is
 never seen and its transactions don't count as stored, so the next run stores
-them, with the same checkpoint or with a new one."""
+them, with the same checkpoint or with a new one.
+
+When all sources have passed the end of a window, its alert is emitted as final
+to a table of its own, once; what rows that come later add to it is emitted as a
+correction."""
 
 from __future__ import annotations
 
@@ -31,6 +35,7 @@ from tallywatch.operators.profile import TIME_COLUMN, window_totals
 from tallywatch.operators.tables import insert_ignore, with_defaults
 from tallywatch.sources.tables import batch_marks, summed_alerts, table_rows, unmarked_rows
 from tallywatch.streaming.ids import IdIndex
+from tallywatch.streaming.progress import Progress, source_progress
 
 Follower = Callable[[DataFrame, DataFrame, int], None]
 
@@ -49,6 +54,14 @@ class Tables:
     def alert_parts(self) -> str:
         return f"{self.root}/alert_parts"
 
+    @property
+    def closed_alerts(self) -> str:
+        return f"{self.root}/closed_alerts"
+
+    @property
+    def progress(self) -> str:
+        return f"{self.root}/progress"
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
@@ -77,12 +90,16 @@ def _append(rows: DataFrame, path: str, *partition_by: str) -> None:
     rows.write.mode("append").partitionBy(*partition_by, "query_id", "batch_id").parquet(path)
 
 
-def _mark(spark: SparkSession, tables: Tables, stream: str, query_id: str, batch_id: int) -> None:
+def _mark(
+    spark: SparkSession, tables: Tables, stream: str, query_id: str, batch_id: int, progress: Progress = Progress()
+) -> None:
     row = spark.range(1).select(
         F.lit(stream).alias("stream"),
         F.lit(query_id).alias("query_id"),
         F.lit(batch_id).cast("long").alias("batch_id"),
         F.current_timestamp().alias("marked_at"),
+        F.lit(progress.low).cast("timestamp").alias("low"),
+        F.lit(progress.version).cast("long").alias("version"),
     )
     row.coalesce(1).write.mode("append").parquet(tables.batches)
 
@@ -111,9 +128,11 @@ def start_ledger_query(
         _mark(spark, tables, "", run, -1)
     index = IdIndex(spark, tables.ids, tables.transactions)
     index.catch_up()
+    progress = Progress.stored(spark, tables.progress)
     started = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal progress
         spark = batch.sparkSession
         stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         query_id = f"{stream}-{run}"
@@ -128,19 +147,22 @@ def start_ledger_query(
         decoded = counted(decode(batch, cfg.keep_currency)).persist()
         try:
             _append(_owned(quarantined(decoded), query_id, batch_id), tables.quarantine)
-            carried = [name for name in TIME_COLUMN.values() if name in decoded.columns and name != "timestamp"]
+            carried = [*(set(TIME_COLUMN.values()) - {"timestamp"}), "position"]
+            carried = sorted(name for name in carried if name in decoded.columns)
             arriving = with_defaults(accepted(decoded, *carried))
             # Arriving rows whose id no whole batch has stored.
             fresh = insert_ignore(index.known(arriving), arriving).persist()
             try:
                 _store(fresh, query_id, batch_id)
+                after = _close(fresh, query_id, batch_id)
             finally:
                 fresh.unpersist()
         finally:
             decoded.unpersist()
         if feed:
             _feed(spark, query_id, batch_id)
-        _mark(spark, tables, stream, query_id, batch_id)
+        _mark(spark, tables, stream, query_id, batch_id, after)
+        progress = after
         index.marked(query_id, batch_id)
         _follow(spark, query_id, batch_id)
 
@@ -155,6 +177,45 @@ def start_ledger_query(
         parts = parts.withColumn("alert_date", utc_date(F.col("window_end")))
         _append(_owned(parts, query_id, batch_id), tables.alert_parts, "alert_date")
 
+    def _close(fresh: DataFrame, query_id: str, batch_id: int) -> Progress:
+        """Emits the windows that are final now, and corrects those that were."""
+        spark = fresh.sparkSession
+        clocks = source_progress(fresh, progress, cfg).coalesce(1)
+        _append(_owned(clocks, query_id, batch_id), tables.progress)
+        rows = _of_batch(spark, tables.progress, schema.PROGRESS, query_id, batch_id).collect()
+        after = progress.after(rows, cfg)
+        if after.low is None:
+            return after
+        end = F.col("window_end")
+        mine = _of_batch(spark, tables.alert_parts, schema.ALERT_PARTS, query_id, batch_id)
+        found = None
+        if progress.low != after.low:
+            # Only the days that have passed since the last time are looked at.
+            passed = table_rows(spark, tables.alert_parts, schema.ALERT_PARTS, progress.days_until(after))
+            passed = passed.unionByName(mine)
+            passed = passed.where(end <= F.lit(after.low))
+            if progress.low is not None:
+                passed = passed.where(end > F.lit(progress.low))
+            found = summed_alerts(passed, cfg, rules).withColumn("correction", F.lit(False))
+        if sum(row["late"] for row in rows):
+            late = _whole(spark, mine.where(end <= F.lit(progress.low)), query_id, batch_id)
+            late = summed_alerts(late, cfg, rules).withColumn("correction", F.lit(True))
+            found = late if found is None else found.unionByName(late)
+        if found is not None:
+            closed = found.select(
+                *schema.ALERT_COLUMNS, "correction", F.lit(after.version).cast("long").alias("version"), "alert_date"
+            )
+            _append(_owned(closed, query_id, batch_id), tables.closed_alerts, "alert_date")
+        return after
+
+    def _whole(spark: SparkSession, mine: DataFrame, query_id: str, batch_id: int) -> DataFrame:
+        """A batch's own parts and all others of the same alerts."""
+        others = table_rows(spark, tables.alert_parts, schema.ALERT_PARTS)
+        others = others.where((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
+        keys = mine.select("user_id", "window_end", "alert_date").distinct()
+        known = others.join(keys, ["user_id", "window_end", "alert_date"], "left_semi").select(*others.columns)
+        return mine.unionByName(known)
+
     def _of_batch(spark: SparkSession, path: str, layout: T.StructType, query_id: str, batch_id: int) -> DataFrame:
         """What this batch itself wrote, marked or not."""
         mine = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
@@ -163,11 +224,7 @@ def start_ledger_query(
     def _touched(spark: SparkSession, query_id: str, batch_id: int) -> DataFrame:
         """The alerts that this batch touches, each with all its parts."""
         mine = _of_batch(spark, tables.alert_parts, schema.ALERT_PARTS, query_id, batch_id)
-        others = table_rows(spark, tables.alert_parts, schema.ALERT_PARTS)
-        others = others.where((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
-        keys = mine.select("user_id", "window_end", "alert_date").distinct()
-        known = others.join(keys, ["user_id", "window_end", "alert_date"], "left_semi").select(*others.columns)
-        return summed_alerts(mine.unionByName(known), cfg, rules)
+        return summed_alerts(_whole(spark, mine, query_id, batch_id), cfg, rules)
 
     def _feed(spark: SparkSession, query_id: str, batch_id: int) -> None:
         lines = alert_feed(_touched(spark, query_id, batch_id))
