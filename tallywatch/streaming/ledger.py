@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +92,13 @@ def _append(rows: DataFrame, path: str, *partition_by: str) -> None:
     rows.write.mode("append").partitionBy(*partition_by, "query_id", "batch_id").parquet(path)
 
 
+def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Runs independent writes side by side, as jobs of the calling batch."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for started in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+            started.result()
+
+
 def _mark(
     spark: SparkSession, tables: Tables, stream: str, query_id: str, batch_id: int, progress: Progress = Progress()
 ) -> None:
@@ -146,15 +155,20 @@ def start_ledger_query(
                 return
         decoded = counted(decode(batch, cfg.keep_currency)).persist()
         try:
-            _append(_owned(quarantined(decoded), query_id, batch_id), tables.quarantine)
             carried = [*(set(TIME_COLUMN.values()) - {"timestamp"}), "position"]
             carried = sorted(name for name in carried if name in decoded.columns)
             arriving = with_defaults(accepted(decoded, *carried))
             # Arriving rows whose id no whole batch has stored.
             fresh = insert_ignore(index.known(arriving), arriving).persist()
             try:
+                _together(
+                    spark,
+                    lambda: _append(_owned(quarantined(decoded), query_id, batch_id), tables.quarantine),
+                    # Works the new rows out, once for all.
+                    lambda: _append(_owned(fresh.select("transaction_id"), query_id, batch_id), f"{tables.ids}/new"),
+                )
                 _store(fresh, query_id, batch_id)
-                after = _close(fresh, query_id, batch_id)
+                after = _close(spark, query_id, batch_id)
             finally:
                 fresh.unpersist()
         finally:
@@ -168,20 +182,21 @@ def start_ledger_query(
 
     def _store(fresh: DataFrame, query_id: str, batch_id: int) -> None:
         now = F.col("processing_time")
-        _append(_owned(fresh.select("transaction_id"), query_id, batch_id), f"{tables.ids}/new")
         dated = fresh.select(
             *schema.TRANSACTION_COLUMNS, now.alias("ingested_at"), utc_date(F.col("timestamp")).alias("event_date")
         )
-        _append(_owned(dated, query_id, batch_id), tables.transactions, "event_date")
         parts = window_totals(fresh, cfg, F.max(now).alias("written_at"))
         parts = parts.withColumn("alert_date", utc_date(F.col("window_end")))
-        _append(_owned(parts, query_id, batch_id), tables.alert_parts, "alert_date")
+        clocks = source_progress(fresh, progress, cfg).coalesce(1)
+        _together(
+            fresh.sparkSession,
+            lambda: _append(_owned(dated, query_id, batch_id), tables.transactions, "event_date"),
+            lambda: _append(_owned(parts, query_id, batch_id), tables.alert_parts, "alert_date"),
+            lambda: _append(_owned(clocks, query_id, batch_id), tables.progress),
+        )
 
-    def _close(fresh: DataFrame, query_id: str, batch_id: int) -> Progress:
+    def _close(spark: SparkSession, query_id: str, batch_id: int) -> Progress:
         """Emits the windows that are final now, and corrects those that were."""
-        spark = fresh.sparkSession
-        clocks = source_progress(fresh, progress, cfg).coalesce(1)
-        _append(_owned(clocks, query_id, batch_id), tables.progress)
         rows = _of_batch(spark, tables.progress, schema.PROGRESS, query_id, batch_id).collect()
         after = progress.after(rows, cfg)
         if after.low is None:
