@@ -25,7 +25,7 @@ from tallywatch.plans import reports, views
 from tallywatch.session import configure, shared_folder
 from tallywatch.sources import events, tables as stored
 from tallywatch.sources.messages import file_messages
-from tallywatch.streaming import sinks
+from tallywatch.streaming import rollups, sinks
 from tallywatch.streaming.ledger import Tables, start_ledger_query
 
 try:
@@ -264,6 +264,27 @@ def _streaming_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(profile.enrich_from_alerts(rows, stored.closed_alerts(spark, tables.closed_alerts), DAILY))
 
 
+def _rollup_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports as read from the job's rollups, one row for each figure."""
+    tables = _ledger(spark, sf_dir)
+
+    def row(report: str, label, n, amount) -> list:
+        return [F.lit(report).alias("report"), label.alias("label"), n.alias("n"), amount.cast("double").alias("amount")]
+
+    minutes = rollups.per_minute(spark, tables.minutes, AS_OF)
+    cities = rollups.fraud_by_city(spark, tables.alert_parts, DAILY, AS_OF)
+    stats = rollups.fraud_stats(spark, tables.stats, tables.users, tables.alert_parts, AS_OF)
+    counts = rollups.table_counts(spark, tables.minutes, tables.stats)
+    col, none = F.col, F.lit(None)
+    return (
+        minutes.select(*row("minute", F.date_format("minute", "yyyy-MM-dd HH:mm"), col("transaction_count"), col("total_volume")))
+        .unionByName(cities.select(*row("city", col("city"), col("fraud_count"), col("total_fraud_amount"))))
+        .unionByName(stats.select(*row("stats", F.lit("fraud"), col("fraud_count"), col("fraud_total_amount"))))
+        .unionByName(stats.select(*row("stats", F.lit("all"), col("total_alerts"), col("unique_users_flagged"))))
+        .unionByName(counts.select(*row("count", col("table_name"), col("row_count"), none)))
+    )
+
+
 def _streaming_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.stored_quarantine(spark, _ledger(spark, sf_dir, well_formed=False).quarantine)
 
@@ -328,6 +349,7 @@ def core_queries() -> dict[str, Query]:
         "streaming_upserts": _streaming_upserts,
         "streaming_enriched": _streaming_enriched,
         "streaming_quarantine": _streaming_quarantine,
+        "rollup_reports": _rollup_reports,
     }
 
 
@@ -599,4 +621,14 @@ def core_oracle_sql() -> dict[str, str]:
             FROM sent t JOIN al a ON t.user_id = a.user_id AND date_trunc('day', t.timestamp) = a.window_start
             WHERE a.{_CLOSED}""",
         "streaming_quarantine": _QUARANTINE,
+        # The message that is dated ahead is one more transaction, minute, alert and user.
+        "rollup_reports": f"""{_WITH_ALERTS}, {_STATS}, {_FLAGGED}, {_BY_CITY}, {_MINUTES}
+            SELECT 'minute' AS report, strftime(minute, '%Y-%m-%d %H:%M') AS label, transaction_count AS n,
+                   CAST(total AS DOUBLE) AS amount FROM minutes
+            UNION ALL SELECT 'minute', '2100-01-01 00:00', 1, 1.0
+            UNION ALL SELECT 'city', city, fraud_count, CAST(total AS DOUBLE) FROM by_city
+            UNION ALL SELECT 'stats', 'fraud', fraud_count, CAST(coalesce(fraud_total, 0) AS DOUBLE) FROM stats
+            UNION ALL SELECT 'stats', 'all', total_alerts + 1, CAST(unique_users_flagged + 1 AS DOUBLE) FROM stats
+            UNION ALL SELECT 'count', 'transactions', count(*) + 1, NULL FROM tx
+            UNION ALL SELECT 'count', 'fraud_alerts', count(*) FILTER (WHERE is_fraud = 1), NULL FROM al""",
     }

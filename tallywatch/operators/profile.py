@@ -27,9 +27,9 @@ def window_column(cfg: RiskConfig) -> Column:
     return F.window(TIME_COLUMN[cfg.time_basis], cfg.window)
 
 
-def _profile(clocked: DataFrame, cfg: RiskConfig, *more: Column) -> DataFrame:
+def _profile(clocked: DataFrame, cfg: RiskConfig, *more: Column, by: tuple[str, ...] = ()) -> DataFrame:
     return (
-        clocked.groupBy("user_id", window_column(cfg).alias("window"))
+        clocked.groupBy("user_id", window_column(cfg).alias("window"), *by)
         .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("amount").alias("total_amount"), *more)
         .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
     )
@@ -42,10 +42,11 @@ def window_profile(transactions: DataFrame, cfg: RiskConfig) -> DataFrame:
     return _profile(with_clock(transactions, cfg), cfg).select(*schema.PROFILE_COLUMNS)
 
 
-def window_totals(transactions: DataFrame, cfg: RiskConfig, *more: Column) -> DataFrame:
+def window_totals(transactions: DataFrame, cfg: RiskConfig, *more: Column, by: tuple[str, ...] = ()) -> DataFrame:
     """The same for rows whose clock column is there already, as a part to be
-    added to others; ``more`` are further aggregates."""
-    totals = _profile(transactions, cfg, *more).drop("window")
+    added to others, also apart ``by`` further columns; ``more`` are further
+    aggregates."""
+    totals = _profile(transactions, cfg, *more, by=by).drop("window")
     return totals.withColumn("total_amount", F.col("total_amount").cast(schema.TOTAL))
 
 

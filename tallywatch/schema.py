@@ -70,6 +70,7 @@ ALERT_PARTS = T.StructType(
         T.StructField("user_id", T.LongType()),
         T.StructField("window_start", T.TimestampType()),
         T.StructField("window_end", T.TimestampType()),
+        T.StructField("city", T.StringType()),
         T.StructField("transaction_count", T.LongType()),
         T.StructField("total_amount", TOTAL),
         T.StructField("written_at", T.TimestampType()),
@@ -77,6 +78,34 @@ ALERT_PARTS = T.StructType(
     + _WRITTEN_BY
     + [T.StructField("alert_date", T.DateType())]
 )
+MINUTE_PARTS = T.StructType(
+    [
+        T.StructField("minute", T.TimestampType()),
+        T.StructField("transaction_count", T.LongType()),
+        T.StructField("total_volume", TOTAL),
+    ]
+    + _WRITTEN_BY
+    + [T.StructField("event_date", T.DateType())]
+)
+STATS_PARTS = T.StructType(
+    [
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("alerts", T.LongType()),
+        T.StructField("fraud", T.LongType()),
+        T.StructField("fraud_amount", TOTAL),
+    ]
+    + _WRITTEN_BY
+    + [T.StructField("alert_date", T.DateType())]
+)
+USER_PARTS = T.StructType(
+    [
+        T.StructField("hour", T.TimestampType()),
+        T.StructField("bucket", T.LongType()),
+        T.StructField("users", T.BinaryType()),
+    ]
+    + _WRITTEN_BY
+    + [T.StructField("alert_date", T.DateType())]
+)
 CLOSED_ALERTS = T.StructType(
     [
         T.StructField("user_id", T.LongType()),

@@ -35,9 +35,18 @@ from tallywatch.functions.rules import Rule, alert_feed
 from tallywatch.functions.time import utc_date
 from tallywatch.operators.profile import TIME_COLUMN, window_totals
 from tallywatch.operators.tables import insert_ignore, with_defaults
-from tallywatch.sources.tables import batch_marks, summed_alerts, table_rows, unmarked_rows
+from tallywatch.sources.tables import (
+    COMPACTED,
+    batch_marks,
+    optional_rows,
+    remove,
+    summed_alerts,
+    table_rows,
+    unmarked_rows,
+)
 from tallywatch.streaming.ids import IdIndex
 from tallywatch.streaming.progress import Progress, source_progress
+from tallywatch.streaming.rollups import minute_parts, stats_parts, user_parts
 
 Follower = Callable[[DataFrame, DataFrame, int], None]
 
@@ -56,6 +65,18 @@ class Tables:
     def alert_parts(self) -> str:
         return f"{self.root}/alert_parts"
 
+    @property
+    def minutes(self) -> str:
+        return f"{self.root}/minutes"
+
+    @property
+    def stats(self) -> str:
+        return f"{self.root}/stats"
+
+    @property
+    def users(self) -> str:
+        return f"{self.root}/users"
+
     @property
     def closed_alerts(self) -> str:
         return f"{self.root}/closed_alerts"
@@ -113,6 +134,21 @@ def _mark(
     row.coalesce(1).write.mode("append").parquet(tables.batches)
 
 
+def _catch_up(spark: SparkSession, tables: Tables, cfg: RiskConfig, rules: list[Rule] | None) -> None:
+    """Rollups of tables that were written without, by compaction for instance."""
+    parts = table_rows(spark, tables.alert_parts, schema.ALERT_PARTS)
+    if optional_rows(spark, tables.users, schema.USER_PARTS) is not None or parts.isEmpty():
+        return
+    transactions = table_rows(spark, tables.transactions, schema.TRANSACTIONS_TABLE)
+    for rows, path, date in (
+        (minute_parts(transactions), tables.minutes, "event_date"),
+        (stats_parts(parts, None, cfg, rules), tables.stats, "alert_date"),
+        (user_parts(parts), tables.users, "alert_date"),
+    ):
+        remove(spark, path)
+        _append(_owned(rows, COMPACTED, 0), path, date)
+
+
 def start_ledger_query(
     messages: DataFrame,
     tables: Tables,
@@ -137,6 +173,7 @@ def start_ledger_query(
         _mark(spark, tables, "", run, -1)
     index = IdIndex(spark, tables.ids, tables.transactions)
     index.catch_up()
+    _catch_up(spark, tables, cfg, rules)
     progress = Progress.stored(spark, tables.progress)
     started = []
 
@@ -168,7 +205,17 @@ def start_ledger_query(
                     lambda: _append(_owned(fresh.select("transaction_id"), query_id, batch_id), f"{tables.ids}/new"),
                 )
                 _store(fresh, query_id, batch_id)
-                after = _close(spark, query_id, batch_id)
+                mine = _of_batch(spark, tables.alert_parts, schema.ALERT_PARTS, query_id, batch_id)
+                stats = stats_parts(mine, _others(spark, query_id, batch_id), cfg, rules)
+                after = progress.after(
+                    _of_batch(spark, tables.progress, schema.PROGRESS, query_id, batch_id).collect(), cfg
+                )
+                _together(
+                    spark,
+                    lambda: _append(_owned(stats, query_id, batch_id), tables.stats, "alert_date"),
+                    lambda: _append(_owned(user_parts(mine), query_id, batch_id), tables.users, "alert_date"),
+                    lambda: _close(spark, after, query_id, batch_id),
+                )
             finally:
                 fresh.unpersist()
         finally:
@@ -185,7 +232,7 @@ def start_ledger_query(
         dated = fresh.select(
             *schema.TRANSACTION_COLUMNS, now.alias("ingested_at"), utc_date(F.col("timestamp")).alias("event_date")
         )
-        parts = window_totals(fresh, cfg, F.max(now).alias("written_at"))
+        parts = window_totals(fresh, cfg, F.max(now).alias("written_at"), by=("city",))
         parts = parts.withColumn("alert_date", utc_date(F.col("window_end")))
         clocks = source_progress(fresh, progress, cfg).coalesce(1)
         _together(
@@ -193,14 +240,13 @@ def start_ledger_query(
             lambda: _append(_owned(dated, query_id, batch_id), tables.transactions, "event_date"),
             lambda: _append(_owned(parts, query_id, batch_id), tables.alert_parts, "alert_date"),
             lambda: _append(_owned(clocks, query_id, batch_id), tables.progress),
+            lambda: _append(_owned(minute_parts(fresh), query_id, batch_id), tables.minutes, "event_date"),
         )
 
-    def _close(spark: SparkSession, query_id: str, batch_id: int) -> Progress:
+    def _close(spark: SparkSession, after: Progress, query_id: str, batch_id: int) -> None:
         """Emits the windows that are final now, and corrects those that were."""
-        rows = _of_batch(spark, tables.progress, schema.PROGRESS, query_id, batch_id).collect()
-        after = progress.after(rows, cfg)
         if after.low is None:
-            return after
+            return
         end = F.col("window_end")
         mine = _of_batch(spark, tables.alert_parts, schema.ALERT_PARTS, query_id, batch_id)
         found = None
@@ -212,7 +258,7 @@ def start_ledger_query(
             if progress.low is not None:
                 passed = passed.where(end > F.lit(progress.low))
             found = summed_alerts(passed, cfg, rules).withColumn("correction", F.lit(False))
-        if sum(row["late"] for row in rows):
+        if after.late:
             late = _whole(spark, mine.where(end <= F.lit(progress.low)), query_id, batch_id)
             late = summed_alerts(late, cfg, rules).withColumn("correction", F.lit(True))
             found = late if found is None else found.unionByName(late)
@@ -221,12 +267,15 @@ def start_ledger_query(
                 *schema.ALERT_COLUMNS, "correction", F.lit(after.version).cast("long").alias("version"), "alert_date"
             )
             _append(_owned(closed, query_id, batch_id), tables.closed_alerts, "alert_date")
-        return after
+
+    def _others(spark: SparkSession, query_id: str, batch_id: int) -> DataFrame:
+        """The alert parts of other whole batches."""
+        parts = table_rows(spark, tables.alert_parts, schema.ALERT_PARTS)
+        return parts.where((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
 
     def _whole(spark: SparkSession, mine: DataFrame, query_id: str, batch_id: int) -> DataFrame:
         """A batch's own parts and all others of the same alerts."""
-        others = table_rows(spark, tables.alert_parts, schema.ALERT_PARTS)
-        others = others.where((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
+        others = _others(spark, query_id, batch_id)
         keys = mine.select("user_id", "window_end", "alert_date").distinct()
         known = others.join(keys, ["user_id", "window_end", "alert_date"], "left_semi").select(*others.columns)
         return mine.unionByName(known)

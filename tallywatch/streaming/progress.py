@@ -25,12 +25,14 @@ SKEW = "1 second"  # how far a sender's clock may run ahead of the broker's
 @dataclass
 class Progress:
     """The clocks at a batch's start. ``low`` is the time up to which windows have
-    been closed; ``version`` counts batches."""
+    been closed; ``version`` counts batches; ``late`` is how many rows of the last
+    batch fell into closed windows."""
 
     high: dict[str, datetime] = field(default_factory=dict)
     seen: dict[str, datetime] = field(default_factory=dict)
     low: datetime | None = None
     version: int = 0
+    late: int = 0
 
     @classmethod
     def stored(cls, spark: SparkSession, progress: str) -> Progress:
@@ -53,7 +55,7 @@ class Progress:
 
     def after(self, rows: list, cfg: RiskConfig) -> Progress:
         """The clocks after a batch with these rows of ``source_progress``."""
-        state = Progress(dict(self.high), dict(self.seen), self.low, self.version + 1)
+        state = Progress(dict(self.high), dict(self.seen), self.low, self.version + 1, sum(row["late"] for row in rows))
         state._take(rows)
         idle = timedelta(microseconds=micros(cfg.idle))
         newest = max(state.seen.values(), default=None)

@@ -103,9 +103,9 @@ def compact_parts(
     upto: dict[str, int] | None = None,
 ) -> None:
     """Adds up the alert parts under ``target``, a new path, to one part per
-    alert, leaving out windows that ended more than ``keep_days`` ago."""
+    alert and city, leaving out windows that ended more than ``keep_days`` ago."""
     log = _committed(table_rows(spark, source, schema.ALERT_PARTS), upto)
-    rows = log.groupBy("user_id", "window_start", "window_end", "alert_date").agg(
+    rows = log.groupBy("user_id", "window_start", "window_end", "city", "alert_date").agg(
         F.sum("transaction_count").alias("transaction_count"),
         F.sum("total_amount").cast(schema.TOTAL).alias("total_amount"),
         F.max("written_at").alias("written_at"),
