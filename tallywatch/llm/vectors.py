@@ -69,17 +69,21 @@ def searched(
         block("vec_id", blocks).alias("block"), every(query_blocks).alias("query_block"), size, "vec_id", "vector"
     )
 
+    types = pa.schema(
+        [("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64() if score_type == "long" else pa.float64())]
+    )
+
     def pair(queries: pa.Table, found: pa.Table) -> pa.Table:
         if not len(queries) or not len(found):
-            return pa.table({"query": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": []})
+            return types.empty_table()
         ids = found["vec_id"].to_numpy()
         order = np.argsort(ids, kind="stable")
         at, ids, scores = search(_matrix(queries["vector"]), _matrix(found["vector"])[order], ids[order], k + 1)
-        return pa.table({"query": queries["query"].to_numpy()[at], "vec_id": ids, "score": scores.astype(np.float64)})
+        return pa.table({"query": queries["query"].to_numpy()[at], "vec_id": ids, "score": scores}).cast(types)
 
     keys = ["block", "query_block", "size"]
     hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        lambda queries, found: _aligned(pair(queries, found)), "query long, vec_id long, score double"
+        pair, f"query long, vec_id long, score {score_type}"
     )
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     hits = hits.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1).drop("place")
@@ -92,7 +96,7 @@ def searched(
         .where(F.col("query_id") != F.col("vec_id"))
         .withColumn("rank", F.row_number().over(answer).cast("int"))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", F.col("score").cast(score_type).alias("score"))
+        .select("query_id", "rank", "vec_id", "score")
     )
 
 
@@ -101,10 +105,6 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
-def _aligned(table: pa.Table) -> pa.Table:
-    return table.cast(pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
-
-
 def best_first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the ``k`` highest scores, ties by smaller id."""
     return np.lexsort((ids, -scores))[:k]

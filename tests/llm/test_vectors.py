@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
-from tallywatch.llm.exact_topk import exact_topk, nra
+from tallywatch.llm.exact_topk import SortedLists, exact_topk, nra
 from tallywatch.llm.lsh_forest import forest_search, nearest
 
 from .conftest import SF
@@ -71,16 +71,47 @@ def test_empty_tables(spark):
     assert nearest(nothing, F.expr(EVERY)).count() == 0
 
 
-def test_nra_reads_whole_lists_only_when_it_must():
+def best_of(query, candidates, k):
+    every = candidates @ query
+    best = np.lexsort((np.arange(len(candidates)), -every))[:k]
+    return best.tolist(), every[best].tolist()
+
+
+def test_nra_equals_all_products():
+    draw = np.random.default_rng(1)
+    for case in range(40):
+        count, width, k = int(draw.integers(1, 400)), int(draw.integers(1, 12)), int(draw.integers(1, 9))
+        candidates = np.floor(draw.normal(0, 8 if case % 2 else 1, (count, width)))
+        queries = np.floor(draw.normal(0, 5, (3, width)) * draw.integers(0, 2, (3, width)))
+        at, ids, scores = nra(queries, candidates, np.arange(count), k)
+        for number, query in enumerate(queries):
+            assert (ids[at == number].tolist(), scores[at == number].tolist()) == best_of(query, candidates, k)
+
+
+def test_nra_stops_when_outsiders_cannot_qualify():
+    """With a few weights that count most, or best rows far ahead, a small part
+    of the lists is read; with equal weights and no lead most of it."""
     draw = np.random.default_rng(1)
-    candidates = np.floor(draw.normal(0, 8, (500, 6)))
-    candidates[:5] = 60
-    queries = np.array([[9.0, 9, 9, 9, 9, 9], [0, 0, 0, 0, 0, 0], [-5, 3, 0, 2, -1, 9]])
-    at, ids, scores = nra(queries, candidates, np.arange(500), 5)
-    for number, query in enumerate(queries):
-        every = candidates @ query
-        best = np.lexsort((np.arange(500), -every))[:5]
-        assert ids[at == number].tolist() == best.tolist() and scores[at == number].tolist() == every[best].tolist()
+    candidates = np.floor(draw.normal(0, 64, (2000, 16)))
+    lists = SortedLists(candidates)
+    uneven = np.floor(draw.normal(0, 1, 16) * 4000.0 ** np.linspace(1, 0, 16))
+    survivors, read = lists.survivors(uneven, 5)
+    assert len(survivors) <= 62 and read < 0.5 and set(best_of(uneven, candidates, 5)[0]) <= set(survivors.tolist())
+    ahead = candidates.copy()
+    ahead[100:105] = 400 * np.sign(uneven + 0.5)
+    survivors, read = SortedLists(ahead).survivors(np.sign(uneven + 0.5) * 9, 5)
+    assert read < 0.7 and set(range(100, 105)) <= set(survivors.tolist())
+
+
+def test_large_components_are_summed_exactly(spark):
+    big = [2**22 + 0.25, -(2.0**22), 2.0**22 - 0.5]
+    rows = [(1, big), (2, [*big[:2], big[2] + 0.25]), (3, [1.0, 2.0, 3.0]), (4, [-x for x in big]), (5, [x / 3 for x in big])]
+    rows = [(i, np.array(v, np.float32).astype(float).tolist()) for i, v in rows]
+    assert answers(exact_topk(vectors(spark, rows), F.expr(EVERY), 5)) == brute(rows, {1, 2, 3, 4, 5}, 5, inner)
+    huge = [(1, [1e30, 1.0]), (2, [1e30, 2.0]), (3, [-1e30, 5.0]), (4, [1.0, 1.0]), (5, [1e8, 0.0])]
+    found = answers(exact_topk(vectors(spark, huge), F.expr(EVERY), 5))
+    assert found[1][0] == (2, 2**63 - 1) and found[1][-1] == (3, -(2**63))
+    assert found[4][-1][0] == 3 and found[5][0] == (1, 2**63 - 1)
 
 
 def cosine(a, b):
