@@ -8,6 +8,8 @@ template that they cover."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,7 +22,7 @@ PHRASES = {
     "apache license": "apache",
     "general public license": "gpl",
 }
-# Opening or telling words of public license notices. At most 64 words each.
+# Opening or telling words of public license notices.
 NOTICES = [
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("licensed under cc by sa 4 0", "cc-by-sa"),
@@ -61,6 +63,7 @@ NOTICES = [
     ),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 ]
+MOST_PAIRS = 64  # of a template: its pairs are bits of a long
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -78,7 +81,8 @@ def pairs_of(words: Column) -> Column:
 
 
 def templates(spark: SparkSession, phrases: dict[str, str], notices: list[tuple[str, str]]) -> DataFrame:
-    """One row per word pair of each template. Its size is that of the lists given."""
+    """One row per word pair of each template, or its word, if it has only one.
+    Its size is that of the lists given."""
     rows = [(text, label, True) for text, label in phrases.items()] + [(text, label, False) for text, label in notices]
     listed = F.array(
         *(
@@ -88,13 +92,22 @@ def templates(spark: SparkSession, phrases: dict[str, str], notices: list[tuple[
     )
     words = spark.range(1).select(F.inline(listed)).withColumn("words", words_of(F.col("text")))
     return (
-        words.withColumn("pairs", F.size("words") - 1)
+        words.withColumn("pairs", F.greatest(F.size("words") - 1, F.lit(1)))
         .select("template", "label", "base", "pairs", F.posexplode(F.slice(pairs_of(F.col("words")), F.lit(1), F.col("pairs"))))
         .select("template", "label", "base", "pairs", F.col("pos").alias("at"), F.col("col").alias("pair"))
         .withColumn("hash", F.xxhash64("pair"))
     )
 
 
+def _checked(phrases: dict[str, str], notices: list[tuple[str, str]]) -> bool:
+    """Whether some template has one word only; those without words or with too
+    many are refused."""
+    sizes = [sum(bool(part) for part in re.split(BREAK, text)) for text in [*phrases, *(text for text, _ in notices)]]
+    if any(not 1 <= size <= MOST_PAIRS + 1 for size in sizes):
+        raise ValueError(f"templates must have 1 to {MOST_PAIRS + 1} words")
+    return 1 in sizes
+
+
 def scan_licenses(
     docs: DataFrame,
     phrases: dict[str, str] | None = None,
@@ -111,9 +124,11 @@ def scan_licenses(
     must lie on diagonals at most ``shift`` apart. The score is 1 with a phrase,
     else the largest share of a template found. A null or empty text has no
     words; rows with equal or null ids are scanned one by one; an empty table
-    gives no rows; other columns are ignored. Templates have at most 64 words."""
+    gives no rows; other columns are ignored; texts are read whole. Templates
+    without words and those of more than 65 raise ``ValueError``."""
     phrases = PHRASES if phrases is None else phrases
     notices = NOTICES if notices is None else notices
+    single = _checked(phrases, notices)
     known = F.broadcast(templates(docs.sparkSession, phrases, notices))
     # Every text leads with a row of its own, so that one without a match is kept.
     lead = F.array(F.lit(""))
@@ -126,6 +141,11 @@ def scan_licenses(
         )
         .select("row", "doc_id", "n_words", (F.col("pos") - 1).alias("place"), F.col("col").alias("text_pair"))
     )
+    if single:
+        # A template of one word is met by the first word of a pair.
+        word = F.substring_index("text_pair", " ", 1)
+        keys = F.array_distinct(F.array("text_pair", word))
+        pairs = pairs.select("row", "doc_id", "n_words", "place", F.explode(keys).alias("text_pair"))
     met = (F.xxhash64("text_pair") == F.col("hash")) & (F.col("text_pair") == F.col("pair"))
     found = pairs.join(known, met, "left").where(F.col("template").isNotNull() | (F.col("place") < 0))
     text_keys, template_keys = ["row", "doc_id", "n_words"], ["template", "label", "base", "pairs"]
