@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import crc_part, label_sample, texts
+from .tables import crc_part, label_sample, sampled_texts, texts
 from .text_features import DIGIT, LETTER, MARK, NEWLINE, STOP, SYMBOL, UPPER, WIDE, Texts, in_slices, share
 
 FEATURES = (
@@ -235,7 +235,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out:
     that the classes have among all labels, so the bound doesn't shift scores.
     The sample is joined by broadcast, which its bound allows."""
     sample = label_sample(labels, "quality", parts, held_out, per_class)
-    rows = texts(docs).join(F.broadcast(sample), "doc_id")
+    rows = sampled_texts(docs, sample)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,7 +250,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out:
             )
 
     found = rows.mapInArrow(measured, "doc_id long, label int, weight double, values array<double>").toPandas()
-    found = found.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    found = found.sort_values("doc_id", kind="stable")
     values = np.array(found["values"].tolist(), float).reshape(len(found), len(FEATURES))
     return fit(values, found["label"].to_numpy(float), found["weight"].to_numpy(float))
 
@@ -266,7 +266,8 @@ def quality_scores(
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
     Scores see the text alone. A null text counts as empty and is scored like
-    any other; rows with equal or null ids are all scored; an empty table gives
+    any other; rows with equal or null ids are all scored, and of equal ids one
+    row, whichever order they are read in, is learned from; an empty table gives
     no rows; without labelled training rows every score is 0.5. Other columns
     of ``docs`` and ``labels`` are ignored. Model fitting uses a sample of at
     most ``2 * per_class`` texts, which passes through the driver as numbers."""

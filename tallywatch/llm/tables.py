@@ -79,3 +79,12 @@ def label_sample(labels: DataFrame, name: str, parts: int, held_out: int, per_cl
     weights = known.groupBy("label").agg((count / F.least(count, F.lit(per_class))).alias("weight"))
     sample = drawn[0].unionByName(drawn[1]).join(F.broadcast(weights), "label")
     return sample.select("doc_id", "label", "weight")
+
+
+def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """The texts of a sample, one for each id however many rows have it: the
+    first by a hash of the text. The sample is joined by broadcast, which its
+    bound allows."""
+    rows = texts(docs).join(F.broadcast(sample), "doc_id")
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    return rows.groupBy("doc_id", "label", "weight").agg(first).select("doc_id", "label", "weight", "first.text")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .arrays import combine, rows_of_words, word_bounds, word_hashes
 from .quality import even_weights, passing_texts, scored_texts
-from .tables import crc_part, label_sample, stored, texts
+from .tables import crc_part, label_sample, sampled_texts, stored, texts
 from .text_features import DIGIT, LETTER, MARK, SYMBOL, UPPER, Texts, in_slices, share
 
 # Insults to start from; the rest of the lexicon is learned from the labels.
@@ -320,7 +320,7 @@ def train_toxicity(
     the classes have among all labels, so the bound doesn't shift scores."""
     sample = label_sample(labels, "toxic", parts, held_out, per_class)
     fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int")
-    rows = texts(docs).join(F.broadcast(sample), "doc_id").withColumn("fold", fold)
+    rows = sampled_texts(docs, sample).withColumn("fold", fold)
     rows = stored(rows.select("doc_id", "label", "weight", "fold", "text"), "toxicity-sample")
     lexicons = learn_lexicons(rows, FOLDS)
 
@@ -335,7 +335,7 @@ def train_toxicity(
                 )
 
     found = rows.mapInArrow(measured, "doc_id long, label int, weight double, values array<double>").toPandas()
-    found = found.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    found = found.sort_values("doc_id", kind="stable")
     label, weight = found["label"].to_numpy(float), found["weight"].to_numpy(float)
     values = np.array(found["values"].tolist(), float).reshape(len(found), len(FEATURES))
     last = np.random.default_rng(7).random(len(found)) < 0.3
@@ -355,7 +355,8 @@ def toxicity_scores(
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
     Scores see the text alone. A null text counts as empty and is scored like
-    any other; rows with equal or null ids are all scored; an empty table gives
+    any other; rows with equal or null ids are all scored, and of equal ids one
+    row, whichever order they are read in, is learned from; an empty table gives
     no rows; without labelled training rows every score is 0.5. Other columns
     of ``docs`` and ``labels`` are ignored. Model fitting uses a sample of at
     most ``2 * per_class`` texts, which passes through the driver as numbers."""

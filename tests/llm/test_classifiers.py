@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as spark_entry
 from tallywatch.llm import toxicity
 from tallywatch.llm.quality import FEATURES, features, fit, good_texts, quality_scores
+from tallywatch.llm.tables import sampled_texts
 from tallywatch.llm.toxicity import boost, civil_texts, isotonic, toxicity_scores
 
 from ..conftest import TESTDATA
@@ -144,3 +145,40 @@ def test_a_smaller_sample_keeps_the_decisions(spark, docs, name):
     border = [i for i in every if i % 40 and i % 4 == 0]
     means = [np.mean([one[i].score for i in border]) for one in found]
     assert abs(means[0] - means[1]) < 0.12 and abs(means[0] - (0.4 if name == "toxic" else 0.6)) < 0.1
+
+
+@pytest.mark.parametrize("score_of", [quality_scores, toxicity_scores])
+def test_of_repeated_ids_one_row_is_learned_from(spark, docs, score_of):
+    """Whatever the order the rows are read in, and however many there are."""
+    texts = [(n % 40, f"{'good plain words' if n % 40 % 2 else 'you IDIOT !!! $$$'} {n} and more of it") for n in range(400)]
+    labels = spark.createDataFrame([(n, n % 2, 1 - n % 2) for n in range(40)], "doc_id long, quality int, toxic int")
+    first = sampled_texts(docs(texts), labels.selectExpr("doc_id", "quality label", "1.0D weight"))
+    assert first.count() == 40 == first.select("doc_id").distinct().count()
+    asked = docs([(900, "good plain words"), (901, "you IDIOT")])
+
+    def scores(rows):
+        frame = docs(rows).repartition(5).unionByName(asked)
+        return sorted((row.doc_id, row.score) for row in score_of(frame, labels).collect() if row.doc_id >= 900)
+
+    assert scores(texts) == scores(texts[::-1]) == scores(texts + texts)
+
+
+def test_isotonic_blocks_equal_the_best_monotone_fit():
+    """Pooling gives the rising steps with the least squared error (min-max formula)."""
+    draw = np.random.default_rng(6)
+    for _ in range(30):
+        raw = np.sort(draw.normal(size=draw.integers(1, 25)))
+        label, weight = draw.integers(0, 2, len(raw)).astype(float), draw.uniform(0.5, 3, len(raw))
+        weight /= weight.mean()
+        x, y = isotonic(raw, label, weight)
+        expected = [
+            max(
+                min((label[i : j + 1] * weight[i : j + 1]).sum() / weight[i : j + 1].sum() for j in range(at, len(raw)))
+                for i in range(at + 1)
+            )
+            for at in range(len(raw))
+        ]
+        blocks = np.concatenate([[0], np.cumsum(np.abs(np.diff(expected)) > 1e-12)])
+        ones, all_ = np.bincount(blocks, weight * label), np.bincount(blocks, weight)
+        smoothed = np.maximum.accumulate((ones + 0.5) / (all_ + 1))
+        assert np.interp(raw, x, y) == pytest.approx(smoothed[blocks])
