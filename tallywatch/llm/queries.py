@@ -3,7 +3,6 @@ SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,7 +139,6 @@ def queries() -> dict:
         "op11_ranked_search": op11_ranked_search,
         "op12_url_filter": op12_url_filter,
         "op13_periodic_runs": op13_periodic_runs,
-        "pipeline": corpus_pipeline.run,
     }
 
 
