@@ -29,16 +29,13 @@ from tallywatch.streaming import rollups, sinks
 from tallywatch.streaming.ledger import Tables, start_ledger_query
 
 try:
+    # The optional subpackage, with the packages that it needs, and the pipeline built on it.
+    import corpus_pipeline
     from tallywatch.llm import queries as llm
-except ModuleNotFoundError as error:
-    if not (error.name or "").startswith(("tallywatch.llm", "corpus_pipeline")):
-        raise
-    llm = None
 except ImportError as error:
-    # A leftover folder without the module imports as an empty namespace.
-    if error.name != "tallywatch.llm":
+    if (error.name or "").startswith("tallywatch.") and not (error.name or "").startswith("tallywatch.llm"):
         raise
-    llm = None
+    corpus_pipeline = llm = None
 
 AS_OF = "2024-01-31 00:00:00"
 DAILY = RiskConfig(window="1 day", amount_threshold=Decimal("300"), watermark="0 seconds")
@@ -295,11 +292,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {**core_queries(), **(llm.queries() if llm else {})}
+    optional = {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
+    return {**core_queries(), **optional}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**core_oracle_sql(), **(llm.oracle_sql() if llm else {})}
+    optional = dict(llm.oracle_sql()) if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        optional["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**core_oracle_sql(), **optional}
 
 
 def core_queries() -> dict[str, Query]:
