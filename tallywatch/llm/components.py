@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import joined_evenly, stored
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -18,11 +18,12 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     component. Each turn aggregates before the shuffle and is written to the
     shared folder; the number of turns grows with the logarithm of the size."""
     known = stored(_canonical(links), "links")
-    before = None
+    before, count = None, known.count()
     for _ in range(rounds):
         both = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-        large = both.join(least, "a").where(F.col("b") > F.col("a")).select("b", F.col("least").alias("a"))
+        least = both.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("members"))
+        least = stored(least.withColumn("least", F.least("a", "least")), "least")
+        large = joined_evenly(both, least, "a", 2 * count, "inner").where(F.col("b") > F.col("a")).select("b", F.col("least").alias("a"))
         small = _canonical(large)
         least = small.groupBy("b").agg(F.min("a").alias("least"))
         moved = small.join(least, "b")
@@ -38,7 +39,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         state = known.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
+        before, count = state, state[0]
     else:
         raise RuntimeError("components did not settle")
     root = known.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))

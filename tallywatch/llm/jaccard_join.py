@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .arrays import LOWER, bytes_of, combine, mix, rows_of_words, word_bounds, word_hashes
 from .components import components
-from .tables import free_name, new_folder, parquet_tables, stored, texts
+from .tables import free_name, joined_evenly, new_folder, parquet_tables, stored, texts
 from .tokens import slices
 
 WORDS = 5
@@ -279,11 +279,16 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     sums = docs.sparkSession.read.parquet(folder).agg(F.sum("total").alias("total"), F.sum("squares").alias("squares")).first()
     # Length of the list of a usual token, less what other tokens add to its counter.
     scan = max(1.0, sums["squares"] / sums["total"] - sums["total"] / counters) if sums["total"] else 1.0
-    # Each class once, with the document that stands for it; a document without an id can't.
+    # Each class once, with the document that stands for it (one without an id can't) and its number of rows.
     sets = stored(
-        rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+        rows.where(F.col("n") > 0)
         .groupBy("cls")
-        .agg(F.min("doc_id").alias("doc_id"), *(F.first(name).alias(name) for name in ("n", *SKETCH))),
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.count(F.lit(1)).alias("members"),
+            *(F.first(name).alias(name) for name in ("n", *SKETCH)),
+        )
+        .where(F.col("doc_id").isNotNull()),
         "classes",
     )
     bucket = F.least("n", F.lit(4 * SMALL_LIMIT))
@@ -323,7 +328,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     open_keys = open_keys.where(F.col("low") != F.col("high")).select("key")
     open_lists = stored(
-        rooted.join(open_keys, "key", "left_semi").join(sets.drop("doc_id", "n"), "cls"), "open-lists"
+        rooted.join(open_keys, "key", "left_semi").join(sets.drop("doc_id", "n", "members"), "cls"), "open-lists"
     )
     a, b = (
         open_lists.select("key", *(F.col(name).alias(f"{name}_{side}") for name in open_lists.columns if name != "key"))
@@ -344,16 +349,16 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         found = _verified(rest, _tokens_of(docs, _named(rest, sets)))
         roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
-    labelled = (
-        rows.withColumn("cls", F.when(F.col("n") > 0, F.col("cls")))
-        .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "cls").alias("root"))
-    )
-    labelled = stored(labelled, "labelled")
-    least = labelled.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(least, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    # Components are named class by class, then each class's rows after it.
+    rooted = sets.select("cls", "doc_id", "members").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    rooted = stored(rooted.withColumn("root", F.coalesce("root", "cls")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    classes = rooted.agg(F.count(F.lit(1)).alias("classes"), F.coalesce(F.sum("members"), F.lit(0)).alias("rows")).first()
+    named = joined_evenly(rooted, stored(least, "least"), "root", classes["classes"])
+    named = stored(named.select("cls", "component_id", "members"), "named")
+    labelled = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("cls")).alias("cls"))
+    labelled = joined_evenly(labelled, named, "cls", classes["rows"])
+    return labelled.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -46,6 +46,26 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def joined_evenly(rows: DataFrame, found: DataFrame, key: str, total: int, how: str = "left") -> DataFrame:
+    """``rows`` joined with ``found``, which has each ``key`` once and says in
+    ``members`` how many rows hold it (that column is dropped). Keys with more
+    than a ten-thousandth of the ``total`` rows, and more than two hundred, are
+    broadcast: there are at most ten thousand of them. Only the others are
+    shuffled, so that no task gets a large share; rows without a key pass by.
+    ``rows`` is read three times and should come from a table."""
+    hot = F.col("members") > max(200, total // 10_000)
+    values = [name for name in found.columns if name not in (key, "members")]
+    heavy = found.where(hot).select(key, *values, F.lit(True).alias("_met"))
+    met = rows.join(F.broadcast(heavy), key, "left")
+    rest = met.where(F.col("_met").isNull()).drop("_met", *values)
+    cold = rest.where(F.col(key).isNotNull()).join(found.where(~hot).drop("members"), key, how)
+    parts = met.where("_met").drop("_met").unionByName(cold)
+    if how == "left":
+        none = [F.lit(None).cast(found.schema[name].dataType).alias(name) for name in values]
+        parts = parts.unionByName(rest.where(F.col(key).isNull()).select("*", *none))
+    return parts
+
+
 def free_name(rows: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``rows`` has it."""
     taken = {column.lower() for column in rows.columns}

@@ -9,6 +9,7 @@ import pytest
 from tallywatch.llm import jaccard_join
 from tallywatch.llm.components import components
 from tallywatch.llm.jaccard_join import fingerprint, one_of_each, parity_sketch, shingle_sets, similar_groups, small_limit
+from tallywatch.llm.tables import joined_evenly
 
 from .conftest import WORDS
 
@@ -158,3 +159,17 @@ def test_no_list_is_expanded_into_all_pairs(spark, docs, monkeypatch):
     monkeypatch.setattr(jaccard_join, "_close", lambda pairs, sets: compared.append(pairs.count()) or real(pairs, sets))
     assert {row.component_id for row in similar_groups(docs(texts)).collect()} == {0}
     assert 0 < sum(compared) < 150 * 40
+
+
+def test_even_join_equals_a_plain_one(spark, table):
+    """Hot keys, cold keys, keys that aren't found, rows without a key."""
+    keys = [7] * 900 + [8] * 250 + list(range(100, 300)) + [None] * 300
+    rows = table(spark.createDataFrame(list(enumerate(keys)), "row long, key long"))
+    found = spark.createDataFrame(
+        [(7, "hot", 900), (8, "warm", 250), *((key, f"v{key}", 1) for key in range(100, 250))], "key long, value string, members long"
+    )
+    plain = rows.join(found.drop("members"), "key", "left").select("row", "key", "value").collect()
+    even = joined_evenly(rows, found, "key", len(keys)).select("row", "key", "value").collect()
+    assert sorted(plain) == sorted(even)
+    inner = joined_evenly(rows, found, "key", len(keys), "inner").select("row", "key", "value").collect()
+    assert sorted(inner) == sorted(row for row in plain if row.value)
