@@ -172,3 +172,6 @@ BATCH_MARKS = T.StructType(
         T.StructField("version", T.LongType()),
     ]
 )
+
+# The job's tables show nothing before the latest of these times.
+RETIRED = T.StructType([T.StructField("before", T.TimestampType()), T.StructField("retired_at", T.TimestampType())])

@@ -6,13 +6,14 @@ import posixpath
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywatch import schema
 from tallywatch.config import JobConfig, RiskConfig
 from tallywatch.functions.rules import Rule, default_rules, score
+from tallywatch.functions.time import utc_date
 from tallywatch.operators.tables import current_alerts
 
 POSTGRES_DRIVER = "org.postgresql.Driver"
@@ -51,6 +52,11 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    files, place = _place(spark, path)
+    return [one.getPath().getName() for one in files.listStatus(place)] if files.exists(place) else []
+
+
 def batch_marks(spark: SparkSession, path: str) -> DataFrame | None:
     """The marks of whole batches beside a table of files; None where the table's
     writer sets none. A mark is set after everything else of its batch, so files
@@ -68,20 +74,45 @@ def marked(rows: DataFrame, marks: DataFrame | None) -> DataFrame:
     return rows.join(whole, ["query_id", "batch_id"], "left_semi").select(*rows.columns)
 
 
+def _time_of(layout: T.StructType) -> Column | None:
+    """The time by which rows of a table of the job grow old."""
+    names = layout.fieldNames()
+    if "hour" in names:
+        return F.col("hour") + F.expr("INTERVAL 1 HOUR")
+    for name in ("timestamp", "window_end", "minute"):
+        if name in names:
+            return F.col(name)
+    return None
+
+
+def unretired(rows: DataFrame, path: str, layout: T.StructType) -> DataFrame:
+    """Rows that ``retire`` has left: the latest line is looked up when the query
+    runs, and days before it are not read."""
+    retired = optional_rows(rows.sparkSession, f"{posixpath.dirname(path)}/retired", schema.RETIRED)
+    time = _time_of(layout)
+    if retired is None or time is None:
+        return rows
+    before = retired.agg(F.coalesce(F.max("before"), F.lit("0001-01-01").cast("timestamp")).alias("before")).scalar()
+    return rows.where((F.col(layout.fieldNames()[-1]) >= utc_date(before)) & (time >= before))
+
+
 def table_rows(
     spark: SparkSession, path: str, layout: T.StructType, days: tuple[date, date] | None = None
 ) -> DataFrame:
     """Rows of a table of files, with its partition columns; a table without
     files yet has none. With ``days`` (first and last) only the folders of those
     dates are listed, which needs the layout with date folders outermost. Where
-    batches are marked, only whole ones are seen."""
+    batches are marked, only whole ones are seen, and where rows have been
+    retired, only later ones."""
     wanted = None
     if days:
         names = ",".join(str(days[0] + timedelta(n)) for n in range((days[1] - days[0]).days + 1))
         wanted = f"{path}/{layout.fieldNames()[-1]}={{{names}}}"
     marks = batch_marks(spark, path)
     rows = optional_rows(spark, path, layout, wanted)
-    return spark.createDataFrame([], layout) if rows is None else marked(rows, marks)
+    if rows is None:
+        return spark.createDataFrame([], layout)
+    return marked(unretired(rows, path, layout), marks)
 
 
 def unmarked_rows(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:

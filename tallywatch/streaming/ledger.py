@@ -97,6 +97,15 @@ class Tables:
     def batches(self) -> str:
         return f"{self.root}/batches"
 
+    @property
+    def retired(self) -> str:
+        return f"{self.root}/retired"
+
+    @property
+    def dated(self) -> list[str]:
+        """The tables with date folders outermost."""
+        return [self.transactions, self.alert_parts, self.closed_alerts, self.feed, self.minutes, self.stats, self.users]
+
     @property
     def feed(self) -> str:
         return f"{self.root}/alert_feed"
