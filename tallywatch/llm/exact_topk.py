@@ -1,12 +1,15 @@
 """Exact top-k by integer inner product, with no-random-access aggregation.
 
 Every block of candidates keeps one list per component, sorted by value. A
-query reads the lists in small steps from the end that helps its score, always
-those that leave most open: weight times the distance between the value read
-last and the list's far end. What has been read of a candidate, plus what its
-unread lists still allow at worst and at best, bounds its score from below and
-above. Reading stops as soon as nobody outside a small set of survivors can
-reach the k-th best lower bound; the survivors' scores are then resolved."""
+query reads all lists step by step from the end that helps its score. What has
+been read of a candidate, plus the worst or best that its unread lists still
+allow, bounds its score from below and above. Reading stops as soon as nobody
+outside a small set of survivors can reach the k-th best lower bound; the
+survivors' scores are then resolved.
+
+Many queries read together, in few large steps: for 64 components of either sign
+the bounds are too wide to stop much earlier even if each query reads by itself,
+in small steps, the list that leaves most open (see the README)."""
 
 from __future__ import annotations
 
@@ -49,70 +52,72 @@ def exact_topk(
 
 
 def nra(
-    queries: np.ndarray, candidates: np.ndarray, ids: np.ndarray, k: int
+    queries: np.ndarray,
+    candidates: np.ndarray,
+    ids: np.ndarray,
+    k: int,
+    steps: int = 4,
+    batch: int = 256,
+    depths: list[float] | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions of queries, ids and scores of the ``k`` best candidates of one
-    block for each query. ``ids`` ascend."""
-    largest = float(np.abs(candidates).max()) * float(np.abs(queries).max()) * candidates.shape[1]
-    # Doubles hold all sums below 2**53 exactly; beyond, Python's own numbers do.
-    if largest >= 2**53:
+    block for each query. ``ids`` ascend.
+
+    ``batch`` queries at a time read the block's lists together: for a positive
+    component from the largest value down, for a negative one from the smallest
+    value up. ``depths`` receives the share of the lists that each query read."""
+    count, width = candidates.shape
+    largest = float(np.abs(candidates).max()) * float(np.abs(queries).max()) * width
+    # Floating sums of whole numbers are exact below these bounds; beyond, Python's own numbers are.
+    exact = np.float32 if largest < 2**23 else np.float64 if largest < 2**52 else object
+    if exact is object:
         candidates, queries = (np.frompyfunc(int, 1, 1)(part) for part in (candidates, queries))
-    lists = SortedLists(candidates)
+    candidates, queries = candidates.astype(exact), queries.astype(exact)
+    order = np.argsort(candidates, axis=0, kind="stable")
+    values = np.take_along_axis(candidates, order, axis=0)
+    columns = np.arange(width)
+    weights = np.stack([np.maximum(queries, 0), np.minimum(queries, 0)])
+    worst = np.stack([values[0], values[-1]])
+    step = -(-count // steps)
     at, found, scores = [], [], []
-    for number, query in enumerate(queries):
-        survivors, _ = lists.survivors(query, k)
-        score = candidates[survivors] @ query
-        if largest >= 2**53:
+
+    def resolve(number: int, alive: np.ndarray) -> None:
+        score = candidates[alive] @ queries[number]
+        if exact is object:
             score = np.clip(score, -LONGEST - 1, LONGEST)
         score = score.astype(np.int64)
-        best = best_first(score, ids[survivors], k)
+        if depths is not None:
+            depths.append(depth / count)
+        best = best_first(score, ids[alive], k)
         at.append(np.full(len(best), number))
-        found.append(ids[survivors][best])
+        found.append(ids[alive][best])
         scores.append(score[best])
-    return np.concatenate(at), np.concatenate(found), np.concatenate(scores)
 
-
-class SortedLists:
-    """The lists of one block, by component, read in steps of an eighth."""
-
-    def __init__(self, candidates: np.ndarray, at_once: int = 16):
-        self.count, self.width = candidates.shape
-        self.step, self.at_once = max(16, -(-self.count // 8)), at_once
-        lists = np.ascontiguousarray(candidates.T)
-        self.order = np.argsort(lists, axis=1, kind="stable")
-        self.values = np.take_along_axis(lists, self.order, axis=1)
-
-    def survivors(self, query: np.ndarray, k: int) -> tuple[np.ndarray, float]:
-        """Candidates that may be among the ``k`` best, few enough to resolve if
-        the bounds allow, and the share of all entries that was read."""
-        count, values = self.count, self.values
-        rising = query < 0  # read from the smallest value up
-        far = np.where(rising, values[:, -1], values[:, 0])
-        last = np.where(rising, values[:, 0], values[:, -1])
-        open_ = query * (last - far)  # what an unread entry may still add, by list
-        depth = np.zeros(self.width, np.int64)
-        low = np.full(count, (query * far).sum(), _type(query))
-        unread = np.ones((self.width, count), low.dtype)
-        alive = np.arange(count)
-        few = max(2 * k, count // 32)
-        while len(alive) > few and open_.any():
-            for one in np.argsort(-open_, kind="stable")[: self.at_once]:
-                if not open_[one]:
-                    break
-                first, upto = depth[one], min(count, depth[one] + self.step)
-                part = slice(first, upto) if rising[one] else slice(count - upto, count - first)
-                rows = self.order[one, part]
-                low[rows] += query[one] * (values[one, part] - far[one])
-                unread[one, rows] = 0
-                depth[one] = upto
-                edge = values[one, upto - 1 if rising[one] else count - upto]
-                open_[one] = query[one] * (edge - far[one]) if upto < count else 0
-            known = low[alive]
-            high = known + (open_ @ unread)[alive]
-            least = np.partition(known, len(known) - k)[len(known) - k]
-            alive = alive[high >= least]
-        return alive, depth.sum() / (count * self.width)
-
-
-def _type(query: np.ndarray) -> type:
-    return object if query.dtype == object else np.float64
+    for first in range(0, len(queries), batch):
+        active, depth = np.arange(first, min(first + batch, len(queries))), 0
+        # Values and marks of the entries read so far, of lists read downwards and upwards.
+        read, seen = np.zeros((2, count, width), exact), np.zeros((2, count, width), exact)
+        while len(active):
+            upto = min(count, depth + step)
+            for side, rows in enumerate((slice(count - upto, count - depth), slice(depth, upto))):
+                read[side, order[rows], columns] = values[rows]
+                seen[side, order[rows], columns] = 1
+            depth = upto
+            # An unread entry is worth at least its list's far end and at most the last one read.
+            last = np.stack([values[count - depth], values[depth - 1]])
+            known, low, high = 0, 0, 0
+            for side in (0, 1):
+                weight = weights[side, active].T
+                known += read[side] @ weight
+                for_worst, for_last = weight * worst[side][:, None], weight * last[side][:, None]
+                low += for_worst.sum(0) - seen[side] @ for_worst
+                high += for_last.sum(0) - seen[side] @ for_last
+            low, high = known + low, known + high
+            place = max(0, count - k)
+            alive = high >= np.partition(low, place, axis=0)[place]
+            survivors = alive.sum(0)
+            done = (survivors <= max(4 * k, min(step, count - depth))) | (depth == count)
+            for column in np.flatnonzero(done):
+                resolve(active[column], np.flatnonzero(alive[:, column]))
+            active = active[~done]
+    return np.concatenate(at), np.concatenate(found), np.concatenate(scores)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
-from tallywatch.llm.exact_topk import SortedLists, exact_topk, nra
+from tallywatch.llm.exact_topk import exact_topk, nra
 from tallywatch.llm.lsh_forest import forest_search, nearest
 
 from .conftest import SF
@@ -89,18 +89,18 @@ def test_nra_equals_all_products():
 
 
 def test_nra_stops_when_outsiders_cannot_qualify():
-    """With a few weights that count most, or best rows far ahead, a small part
-    of the lists is read; with equal weights and no lead most of it."""
+    """Best rows far ahead: a quarter of the lists is enough. Without a lead the
+    lists are read further."""
     draw = np.random.default_rng(1)
     candidates = np.floor(draw.normal(0, 64, (2000, 16)))
-    lists = SortedLists(candidates)
-    uneven = np.floor(draw.normal(0, 1, 16) * 4000.0 ** np.linspace(1, 0, 16))
-    survivors, read = lists.survivors(uneven, 5)
-    assert len(survivors) <= 62 and read < 0.5 and set(best_of(uneven, candidates, 5)[0]) <= set(survivors.tolist())
+    signs = draw.choice([-1.0, 1.0], 16)
     ahead = candidates.copy()
-    ahead[100:105] = 400 * np.sign(uneven + 0.5)
-    survivors, read = SortedLists(ahead).survivors(np.sign(uneven + 0.5) * 9, 5)
-    assert read < 0.7 and set(range(100, 105)) <= set(survivors.tolist())
+    ahead[100:105] = 400 * signs
+    for rows, read in ((ahead, 0.25), (candidates, None)):
+        depths = []
+        _, ids, _ = nra(9 * signs[None, :], rows, np.arange(2000), 5, depths=depths)
+        assert ids.tolist() == best_of(9 * signs, rows, 5)[0]
+        assert depths == [read] if read else depths[0] > 0.25
 
 
 def test_large_components_are_summed_exactly(spark):
@@ -131,11 +131,28 @@ def test_forest_takes_longest_prefixes_first():
     draw = np.random.default_rng(2)
     centres = draw.normal(size=(20, 16))
     rows = np.repeat(centres, 30, 0) + draw.normal(size=(600, 16)) * 0.05
-    at, ids, _ = forest_search(rows[::30], rows, np.arange(600), 5, trees=8, gather=60)
+    at, ids, _ = forest_search(rows[::30], rows, np.arange(600), 5, trees=8, gather=0.1, scored=0.05)
     for number in range(20):
         assert (ids[at == number] // 30 == number).all()
 
 
+@pytest.mark.parametrize("noise", [None, 0.3])
+def test_forest_finds_nine_of_ten_by_scoring_a_fifth(noise):
+    """Of vectors without any order, and of noisy copies."""
+    draw = np.random.default_rng(5)
+    rows = draw.normal(size=(2000, 64))
+    if noise:
+        rows = np.repeat(rows[:100], 20, 0) + noise * draw.normal(size=rows.shape)
+    shares = []
+    at, ids, _ = forest_search(rows[::40], rows, np.arange(2000), 6, shares=shares)
+    unit = rows / np.sqrt((rows * rows).sum(1))[:, None]
+    hits = 0
+    for number in range(50):
+        best = np.argsort(-(unit @ unit[40 * number]))[:6]
+        hits += len(set(best.tolist()) & set(ids[at == number].tolist())) - 1
+    assert hits >= 0.9 * 250 and np.mean(shares) <= 0.2
+
+
 def test_forest_recall_on_the_table(spark):
     found = spark_entry.queries()["op2_hash_prefix_forest"](spark, SF).collect()
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()
