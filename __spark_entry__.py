@@ -25,7 +25,7 @@ from tallywatch.plans import reports, views
 from tallywatch.session import configure, shared_folder
 from tallywatch.sources import events, tables as stored
 from tallywatch.sources.messages import file_messages
-from tallywatch.streaming import rollups, sinks
+from tallywatch.streaming import jobs, rollups, sinks
 from tallywatch.streaming.ledger import Tables, start_ledger_query
 
 try:
@@ -261,6 +261,17 @@ def _streaming_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(profile.enrich_from_alerts(rows, stored.closed_alerts(spark, tables.closed_alerts), DAILY))
 
 
+def _stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions joined with their windows within the stream, emitted when
+    their window closes."""
+    configure(spark, streaming=True)
+    folder = _folder(spark, "stream-join")
+    events.message_files(spark, sf_dir, f"{folder}/messages")
+    messages = file_messages(spark, f"{folder}/messages")
+    jobs.start_enriched_query(messages, f"{folder}/table", f"{folder}/checkpoint", DAILY, ONCE).awaitTermination()
+    return _plain(spark.read.parquet(f"{folder}/table").select(*schema.ENRICHED_COLUMNS))
+
+
 def _rollup_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports as read from the job's rollups, one row for each figure."""
     tables = _ledger(spark, sf_dir)
@@ -350,6 +361,7 @@ def core_queries() -> dict[str, Query]:
         "streaming_upserts": _streaming_upserts,
         "streaming_enriched": _streaming_enriched,
         "streaming_quarantine": _streaming_quarantine,
+        "streaming_join": _stream_join,
         "rollup_reports": _rollup_reports,
     }
 
@@ -622,6 +634,10 @@ def core_oracle_sql() -> dict[str, str]:
             FROM sent t JOIN al a ON t.user_id = a.user_id AND date_trunc('day', t.timestamp) = a.window_start
             WHERE a.{_CLOSED}""",
         "streaming_quarantine": _QUARANTINE,
+        "streaming_join": f"""{_WITH_ALERTS}, {_SENT}
+            SELECT {_ENRICHED_COLUMNS}
+            FROM sent t JOIN al a ON t.user_id = a.user_id AND date_trunc('day', t.timestamp) = a.window_start
+            WHERE a.{_CLOSED}""",
         # The message that is dated ahead is one more transaction, minute, alert and user.
         "rollup_reports": f"""{_WITH_ALERTS}, {_STATS}, {_FLAGGED}, {_BY_CITY}, {_MINUTES}
             SELECT 'minute' AS report, strftime(minute, '%Y-%m-%d %H:%M') AS label, transaction_count AS n,

@@ -93,3 +93,10 @@ def event_files(spark: SparkSession, sf_dir: str, folder: str, well_formed: bool
         sent = _message(placed.where(F.col("arrival") < 4).unionByName(placed.where(late)), "arrival")
     spread = sent.repartition(20, "arrival", F.pmod(F.xxhash64("value"), F.lit(4)))
     spread.write.partitionBy("arrival").text(folder)
+
+
+def message_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Writes every event once as a well-formed message."""
+    rows = _transaction(_placed_events(*_tables(spark, sf_dir)))
+    fields = [name for name in rows.columns if name != "timestamp"]
+    rows.select(F.to_json(F.struct(*fields, F.unix_millis("timestamp").alias("timestamp")))).write.text(folder)

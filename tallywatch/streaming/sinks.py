@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -134,6 +135,11 @@ def compact_transactions(
     _rewrite(kept, target, "event_date", "timestamp")
 
 
+def staging_table(table: str, run: str, batch_id: int) -> str:
+    """A name that no other job, run or batch uses."""
+    return f"{table}_staging_{run[:12]}_{batch_id}"
+
+
 def merge_statement(table: str, staging: str) -> str:
     """One SQL statement that moves staged rows into ``table``: insert-ignore
     for transactions, upsert for alerts."""
@@ -168,14 +174,38 @@ def database_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return fine, judged.where(F.col("reject_reason").isNotNull())
 
 
+# Classes of SQL states that may pass: connection, rolled back, out of resources, operator's doing.
+PASSING_STATES = ("08", "40", "53", "57")
+
+
+def may_pass(error: BaseException) -> bool:
+    """Whether an action that failed so is worth another try: lost connections
+    and the like, but no statement that the database refuses."""
+    if isinstance(error, OSError):
+        return True
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        kind = cause.getClass()
+        names = []
+        while kind is not None:
+            names.append(kind.getName())
+            kind = kind.getSuperclass()
+        if {"java.sql.SQLTransientException", "java.sql.SQLRecoverableException", "java.io.IOException"} & set(names):
+            return True
+        if "java.sql.SQLException" in names:
+            return (cause.getSQLState() or "").startswith(PASSING_STATES)
+        cause = cause.getCause()
+    return False
+
+
 def retried(action: Callable[[], None], tries: int = TRIES, wait: float = 1.0) -> None:
     """Runs a repeatable action until it succeeds, ``tries`` times at most, with
-    growing pauses."""
+    growing pauses. Errors that another try can't mend are raised at once."""
     for attempt in range(1, tries + 1):
         try:
             return action()
-        except Exception:
-            if attempt == tries:
+        except Exception as error:
+            if attempt == tries or not may_pass(error):
                 raise
             time.sleep(wait * attempt)
 
@@ -194,18 +224,19 @@ def _execute(spark: SparkSession, job: JobConfig, statement: str) -> None:
 
 
 def jdbc_merge(job: JobConfig, table: str, rejects: str | None = None) -> BatchWriter:
-    """Sink for a database table: executors write the batch to a staging table
-    with batched inserts, then one statement merges it. Both steps can be
-    repeated, and are tried three times. Rows that the database can't hold go
+    """Sink for a database table: executors write the batch to a staging table of
+    its own with batched inserts, then one statement merges it and the staging
+    table goes. The steps can be repeated, and are tried three times. Rows that the database can't hold go
     to the folder ``rejects``. Needs the database's JDBC driver, so the tests cover only the
     statement."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        staging = f"{table}_staging"
+        staging = staging_table(table, uuid.uuid4().hex, batch_id)
         fine, odd = database_rows(batch.select(*INSERT_COLUMNS[table]))
         writer = fine.write.mode("overwrite").options(batchsize=JDBC_BATCH[table], truncate=True)
         retried(lambda: writer.jdbc(job.jdbc_url, staging, properties=jdbc_properties(job)))
         retried(lambda: _execute(batch.sparkSession, job, merge_statement(table, staging)))
+        retried(lambda: _execute(batch.sparkSession, job, f"DROP TABLE IF EXISTS {staging}"))
         if rejects:
             owned = odd.withColumn("batch_id", F.lit(batch_id).cast("long"))
             dynamic = owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -316,6 +316,37 @@ def test_the_merge_is_tried_three_times():
         sinks.retried(fails(4), wait=0)
 
 
+def test_only_errors_that_may_pass_are_tried_again(spark):
+    sql, tried = spark._jvm.java.sql, []
+
+    class Failed(Exception):
+        def __init__(self, cause):
+            self.java_exception = spark._jvm.java.lang.RuntimeException("job", cause)
+
+    def fails(cause):
+        tried.clear()
+
+        def action():
+            tried.append(1)
+            raise Failed(cause)
+
+        with pytest.raises(Failed):
+            sinks.retried(action, wait=0)
+        return len(tried)
+
+    assert fails(sql.SQLException("connection lost", "08006")) == 3
+    assert fails(sql.SQLException("deadlock", "40P01")) == 3
+    assert fails(sql.SQLTransientConnectionException("again")) == 3
+    assert fails(sql.SQLException("syntax", "42601")) == 1
+    assert fails(sql.SQLException("no state")) == 1
+    assert fails(spark._jvm.java.lang.IllegalStateException("bug")) == 1
+
+
+def test_staging_tables_are_never_shared():
+    names = {sinks.staging_table("transactions", run, batch) for run in ("a" * 32, "b" * 32) for batch in (1, 2)}
+    assert len(names) == 4 and all(len(name) <= 63 for name in names)
+
+
 def test_settings_of_the_rules():
     assert RiskConfig.from_env({}) == RiskConfig()
     cfg = RiskConfig.from_env({"RISK_WINDOW": "5 minutes", "RISK_AMOUNT": "10.5", "RISK_COUNT": "2", "RISK_TIME_BASIS": "processing"})
