@@ -1,12 +1,12 @@
-"""Language-model scores of whole texts: a Katz backoff model of word pairs
+"""Language-model scores of whole texts: a Katz backoff model of runs of words
 with Good-Turing discounts and exactly normalised backoff weights.
 
 Texts are taken in chunks of half a million words or more. Each chunk asks for the counts
-of the words and pairs it holds, as packed lists of hashes dealt out by key; the
-counts come back in tables partitioned by chunk. With them the chunk evaluates
-its texts word by word: a pair that was seen has its discounted share, any other
-the backoff weight of its first word times the share of its second. Weights come
-from sums per first word to which each pair contributes once, through the chunk
+of the words, pairs and longer runs it holds, as packed lists of hashes dealt out by key; the
+counts come back in tables partitioned by the part of the input. With them the chunk evaluates
+its texts word by word: a run that was seen has its discounted share, any other
+the backoff weight of its context times what the run without its first word has. Weights come
+from sums per context to which each run contributes once, through the chunk
 that owns it."""
 
 from __future__ import annotations
@@ -45,34 +45,44 @@ def _steps(keys: np.ndarray) -> np.ndarray:
 
 
 class Chunk:
-    """Tokens of consecutive texts: their distinct words and pairs, ascending,
-    with counts in training texts."""
+    """Tokens of consecutive texts: their distinct runs of 1 to ``order`` tokens
+    (levels 0 to ``order - 1``), ascending, with counts in training texts. The
+    first token of a text has the end token as its context; longer runs begin
+    there at the earliest."""
 
-    def __init__(self, ids: list, hashes: list[np.ndarray], sizes: list[np.ndarray], train: list[np.ndarray]):
+    def __init__(self, order: int, ids: list, hashes: list[np.ndarray], sizes: list[np.ndarray], train: list[np.ndarray]):
         self.ids = pa.concat_arrays(ids)
         self.sizes = np.concatenate(sizes)
         tokens = np.concatenate(hashes)
         first = np.cumsum(self.sizes) - self.sizes
-        before = np.empty_like(tokens)
-        before[1:] = tokens[:-1]
-        before[first] = END
+        place = np.arange(len(tokens)) - np.repeat(first, self.sizes)
         weight = np.repeat(np.concatenate(train), self.sizes)
-        self.words, word = np.unique(tokens, return_inverse=True)
-        self.pairs, at, pair = np.unique(combine(before, tokens), return_index=True, return_inverse=True)
-        self.word, self.pair = word.astype(np.int32), pair.astype(np.int32)
-        self.word_counts = np.bincount(self.word, weight, len(self.words)).astype("<u4")
-        self.pair_counts = np.bincount(self.pair, weight, len(self.pairs)).astype("<u4")
-        # The words of each distinct pair, as places among the distinct words.
-        self.second = self.word[at]
-        self.first = np.minimum(np.searchsorted(self.words, before[at]), len(self.words) - 1)
-        self.known_first = self.words[self.first] == before[at]
+        # By level: distinct keys, their training counts, each token's run among them (-1: none), and
+        # each run's context and its rest without the first token, both among the level below.
+        self.keys, self.counts, self.of, self.context, self.rest = [], [], [], [], []
+        for level in range(order):
+            at = np.flatnonzero(place >= level - 1)
+            before = [np.where(place[at] >= back, tokens[at - back], END) for back in range(level, 0, -1)]
+            runs = combine(*before, tokens[at]) if level else tokens
+            keys, one, of = np.unique(runs, return_index=True, return_inverse=True)
+            self.keys.append(keys)
+            self.counts.append(np.bincount(of, weight[at], len(keys)).astype("<u4"))
+            every = np.full(len(tokens), -1, np.int32)
+            every[at] = of
+            self.of.append(every)
+            if level:
+                one = at[one]
+                end = np.searchsorted(self.keys[0], END)
+                known = self.of[level - 1]
+                self.context.append(np.where(place[one] > 0, known[one - 1], end) if level == 1 else known[one - 1])
+                self.rest.append(known[one])
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
         """Sums of the tokens' values for each text, each of one token at least."""
         return np.add.reduceat(values, np.cumsum(self.sizes) - self.sizes)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[tuple[int, Chunk]]:
+def chunks(batches: Iterator[pa.RecordBatch], order: int, limit: int = CHUNK) -> Iterator[tuple[int, Chunk]]:
     """The chunks of a partition with numbers that repeat when it is read again."""
     partition, number = TaskContext.get().partitionId(), 0
     parts: tuple[list, ...] = ([], [], [], [])
@@ -89,40 +99,49 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[tu
             part.append(value)
         held += len(tokens)
         if held >= limit:
-            yield (partition << 20) + number, Chunk(*parts)
+            yield (partition << PART) + number, Chunk(order, *parts)
             parts, held, number = ([], [], [], []), 0, number + 1
     if held:
-        yield (partition << 20) + number, Chunk(*parts)
+        yield (partition << PART) + number, Chunk(order, *parts)
 
 
-ASK = "bucket int, chunk long, words binary, word_counts binary, pairs binary, pair_counts binary"
-REPLY = "chunk long, bucket int, words binary, pairs binary, owned binary, stats array<long>"
+PART = 20  # a chunk's number has its partition before these bits
+ASK = "bucket int, chunk long, keys array<binary>, counts array<binary>"
+REPLY = "part int, chunk long, bucket int, check long, counts array<binary>, owned array<binary>, stats array<long>"
 
 
-def _asked(rows: DataFrame, bits: int) -> DataFrame:
+def _check(keys: list[np.ndarray]) -> int:
+    """A number that other keys would hardly give."""
+    total = np.zeros(1, np.uint64)
+    for part in keys:
+        total += part.sum(dtype=np.uint64) ^ np.uint64(len(part))
+    return int(total.view(np.int64)[0])
+
+
+def _cuts(keys: np.ndarray, bits: int) -> list[int]:
+    bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    return [0, *np.searchsorted(keys, bounds), len(keys)]
+
+
+def _asked(rows: DataFrame, bits: int, order: int) -> DataFrame:
     """What every chunk asks for, cut by the keys' first bits."""
-    names = [field.split()[0] for field in ASK.split(", ")]
+    kind = pa.list_(pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, chunk in chunks(batches):
-            bounds = (np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-            words = [0, *np.searchsorted(chunk.words, bounds), len(chunk.words)]
-            pairs = [0, *np.searchsorted(chunk.pairs, bounds), len(chunk.pairs)]
-            rows = []
-            for bucket in range(1 << bits):
-                w, p = slice(*words[bucket : bucket + 2]), slice(*pairs[bucket : bucket + 2])
-                rows.append(
-                    (
-                        packed(_steps(chunk.words[w])),
-                        packed(chunk.word_counts[w]),
-                        packed(_steps(chunk.pairs[p])),
-                        packed(chunk.pair_counts[p]),
-                    )
-                )
-            blobs = [pa.array(column, pa.binary()) for column in zip(*rows)]
-            buckets = pa.array(range(1 << bits), pa.int32())
-            numbers = pa.array([number] * (1 << bits), pa.int64())
-            yield pa.RecordBatch.from_arrays([buckets, numbers, *blobs], names=names)
+        for number, chunk in chunks(batches, order):
+            cuts = [_cuts(keys, bits) for keys in chunk.keys]
+            parts = [[slice(*cut[bucket : bucket + 2]) for cut in cuts] for bucket in range(1 << bits)]
+            keys = [[packed(_steps(held[at])) for held, at in zip(chunk.keys, part)] for part in parts]
+            counts = [[packed(held[at]) for held, at in zip(chunk.counts, part)] for part in parts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(1 << bits), pa.int32()),
+                    pa.array([number] * (1 << bits), pa.int64()),
+                    pa.array(keys, kind),
+                    pa.array(counts, kind),
+                ],
+                names=["bucket", "chunk", "keys", "counts"],
+            )
 
     return rows.mapInArrow(run, ASK)
 
@@ -143,28 +162,33 @@ def _counted(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 def _replied(group: pa.Table) -> pa.Table:
     """Answers one bucket; the last row has its statistics: tokens, distinct
-    words, and how many words and pairs were met 1, 2, ... times."""
+    words, and by level how many runs were met 1, 2, ... times."""
     group = group.sort_by("chunk")
-    columns = {name: group[name].to_pylist() for name in group.column_names}
-    replies, stats = {}, []
-    for name in ("words", "pairs"):
-        keys = [np.cumsum(unpacked(data, "<u8"), dtype=np.uint64) for data in columns[name]]
-        counts = [unpacked(data, "<u4") for data in columns[f"{name[:-1]}_counts"]]
-        total, owned, distinct = _counted(keys, counts)
+    numbers, bucket = group["chunk"].to_pylist(), group["bucket"][0].as_py()
+    asked, told = group["keys"].to_pylist(), group["counts"].to_pylist()
+    checks = [0] * len(numbers)
+    counts, owned, stats = [[] for _ in numbers], [[] for _ in numbers], []
+    for level in range(len(asked[0])):
+        keys = [np.cumsum(unpacked(row[level], "<u8"), dtype=np.uint64) for row in asked]
+        total, mine, distinct = _counted(keys, [unpacked(row[level], "<u4") for row in told])
         cuts = np.cumsum([len(part) for part in keys])[:-1]
-        replies[name] = [packed(part.astype("<u4")) for part in np.split(total, cuts)]
-        replies["owned"] = [np.packbits(part).tobytes() for part in np.split(owned, cuts)]
-        if name == "words":
+        for place, (part, own) in enumerate(zip(np.split(total, cuts), np.split(mine, cuts))):
+            counts[place].append(packed(part.astype("<u4")))
+            owned[place].append(np.packbits(own).tobytes())
+            checks[place] = _check([np.array([checks[place]], np.int64).view(np.uint64), keys[place]])
+        if level == 0:
             stats += [int(distinct.sum()), int((distinct > 0).sum())]
         stats += np.bincount(np.minimum(distinct, LARGEST + 2), minlength=LARGEST + 3)[1 : LARGEST + 2].tolist()
+    kind = pa.list_(pa.binary())
     return pa.table(
         {
-            "chunk": pa.array([*columns["chunk"], None], pa.int64()),
-            "bucket": pa.array([*columns["bucket"], columns["bucket"][0]], pa.int32()),
-            "words": pa.array([*replies["words"], None], pa.binary()),
-            "pairs": pa.array([*replies["pairs"], None], pa.binary()),
-            "owned": pa.array([*replies["owned"], None], pa.binary()),
-            "stats": pa.array([None] * len(columns["chunk"]) + [stats], pa.list_(pa.int64())),
+            "part": pa.array([*(number >> PART for number in numbers), None], pa.int32()),
+            "chunk": pa.array([*numbers, None], pa.int64()),
+            "bucket": pa.array([bucket] * (len(numbers) + 1), pa.int32()),
+            "check": pa.array([*checks, None], pa.int64()),
+            "counts": pa.array([*counts, None], kind),
+            "owned": pa.array([*owned, None], kind),
+            "stats": pa.array([None] * len(numbers) + [stats], pa.list_(pa.int64())),
         }
     )
 
@@ -188,36 +212,38 @@ def discounts(met: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """What every chunk needs besides the counts of its own words and pairs."""
+    """What every chunk needs besides the counts of its own runs."""
 
     tokens: int
     vocabulary: int
-    word_kept: np.ndarray
-    pair_kept: np.ndarray
+    kept: list[np.ndarray]  # by level
     unseen: float  # share of all words that were never met
 
     @classmethod
-    def of(cls, stats: np.ndarray) -> Model:
+    def of(cls, stats: np.ndarray, order: int) -> Model:
         tokens, vocabulary = int(stats[0]), int(stats[1])
-        words, pairs = np.split(stats[2:].astype(float), 2)
-        model = cls(tokens, vocabulary, discounts(words), discounts(pairs), 1.0)
+        met = np.split(stats[2:].astype(float), order)
+        model = cls(tokens, vocabulary, [discounts(level) for level in met], 1.0)
         if tokens:
-            r = np.arange(1, LARGEST + 1)
-            lost = (words[:LARGEST] * r * (1 - model.word_kept[1:])).sum() + (vocabulary - words[:LARGEST].sum()) / 2
+            r, words = np.arange(1, LARGEST + 1), met[0]
+            lost = (words[:LARGEST] * r * (1 - model.kept[0][1:])).sum() + (vocabulary - words[:LARGEST].sum()) / 2
             model.unseen = float(lost / tokens)
         return model
 
-    @staticmethod
-    def _left(counts: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    def left(self, level: int, counts: np.ndarray) -> np.ndarray:
+        """Discounted counts."""
         small = counts <= LARGEST
-        return np.where(small, counts * kept[np.where(small, counts, 0)], counts - 0.5)
+        return np.where(small, counts * self.kept[level][np.where(small, counts, 0)], counts - 0.5)
 
-    def word_share(self, counts: np.ndarray) -> np.ndarray:
-        return np.where(counts > 0, self._left(counts, self.word_kept) / max(self.tokens, 1), self.unseen)
-
-    def pair_left(self, counts: np.ndarray) -> np.ndarray:
-        """Discounted counts."""
-        return self._left(counts, self.pair_kept)
+    def shares(self, chunk: Chunk, counts: list[np.ndarray]) -> list[np.ndarray]:
+        """By level the share of each seen run among those of its context (0:
+        unseen); every word has one."""
+        words = np.where(counts[0] > 0, self.left(0, counts[0]) / max(self.tokens, 1), self.unseen)
+        found = [words]
+        for level in range(1, len(counts)):
+            context = counts[level - 1][chunk.context[level - 1]]
+            found.append(self.left(level, counts[level]) / np.maximum(context, 1))
+        return found
 
 
 OUT = (
@@ -226,11 +252,16 @@ OUT = (
 )
 
 
-def _evaluated(rows: DataFrame, folder: str, model: Model) -> DataFrame:
-    """Per chunk: a row per text with what is certain of its score; a row per
-    text and first word of unseen pairs (``times``); and a row per first word of
-    owned pairs (``kept``, their discounted counts, and ``shares``, their second
-    words' shares)."""
+def _named(chunk: Chunk, level: int, places: np.ndarray) -> np.ndarray:
+    """Contexts of runs of a level, as numbers that differ between levels."""
+    return (chunk.keys[level - 1][places] + np.uint64(level)).view(np.int64)
+
+
+def _evaluated(rows: DataFrame, folder: str, model: Model, order: int) -> DataFrame:
+    """Per chunk: a row per text with what is certain of its score; for each
+    level a row per text and context of unseen runs (``times``); and a row per
+    context of owned runs (``kept``, their discounted counts, and ``shares``,
+    what the same tokens have one level below)."""
     kinds = {name: pa.float64() if kind == "double" else pa.int64() for name, kind in (x.split() for x in OUT.split(", "))}
 
     def batch(**columns: np.ndarray) -> pa.RecordBatch:
@@ -239,59 +270,72 @@ def _evaluated(rows: DataFrame, folder: str, model: Model) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, names=list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, chunk in chunks(batches):
-            counts, pair_counts, owned = _answers(folder, number, chunk)
-            share = model.word_share(counts)
-            seen = pair_counts > 0
-            context = np.where(chunk.known_first, counts[chunk.first], 0)
-            left = model.pair_left(pair_counts)
-            with np.errstate(divide="ignore"):
-                found = np.log10(np.where(seen, left / np.maximum(context, 1), share[chunk.second]))
-            base = np.log10((counts + 1) / (model.tokens + model.vocabulary + 1))
+        for number, chunk in chunks(batches, order):
+            counts, owned = _answers(folder, number, chunk)
+            shares = model.shares(chunk, counts)
+            word = chunk.of[0]
+            found = np.log10(shares[0])[word]
+            for level in range(1, order):
+                held = np.flatnonzero(chunk.of[level] >= 0)
+                held = held[counts[level][chunk.of[level][held]] > 0]
+                found[held] = np.log10(shares[level][chunk.of[level][held]])
+            base = np.log10((counts[0] + 1) / (model.tokens + model.vocabulary + 1))
             row = (number << 22) + np.arange(len(chunk.sizes))
             yield batch(
                 row=row,
                 doc_id=chunk.ids,
                 n_tokens=chunk.sizes,
-                n_known=chunk.per_text((counts > 0).astype(np.int64)[chunk.word]),
-                base_score=chunk.per_text(base[chunk.word]),
-                score=chunk.per_text(found[chunk.pair]),
-            )
-            missing = np.flatnonzero((~seen & (context > 0))[chunk.pair])
-            texts_of = np.repeat(np.arange(len(chunk.sizes)), chunk.sizes)[missing]
-            key = texts_of * len(chunk.words) + chunk.first[chunk.pair[missing]]
-            key, times = np.unique(key, return_counts=True)
-            yield batch(
-                row=row[key // len(chunk.words)],
-                context=chunk.words[key % len(chunk.words)].view(np.int64),
-                times=times,
-            )
-            mine = np.flatnonzero(owned)
-            first = chunk.first[mine]
-            held = np.unique(first)
-            yield batch(
-                context=chunk.words[held].view(np.int64),
-                context_count=counts[held],
-                kept=np.bincount(first, left[mine], len(chunk.words))[held],
-                shares=np.bincount(first, share[chunk.second[mine]], len(chunk.words))[held],
+                n_known=chunk.per_text((counts[0] > 0).astype(np.int64)[word]),
+                base_score=chunk.per_text(base[word]),
+                score=chunk.per_text(found),
             )
+            text_of = np.repeat(np.arange(len(chunk.sizes)), chunk.sizes)
+            for level in range(1, order):
+                of, context = chunk.of[level], chunk.context[level - 1]
+                known = counts[level - 1][context] > 0
+                size = len(chunk.keys[level - 1])
+                missing = np.flatnonzero(of >= 0)
+                missing = missing[((counts[level] == 0) & known)[of[missing]]]
+                key, times = np.unique(text_of[missing] * size + context[of[missing]], return_counts=True)
+                yield batch(row=row[key // size], context=_named(chunk, level, key % size), times=times)
+                mine = np.flatnonzero(owned[level])
+                held, at = np.unique(context[mine], return_inverse=True)
+                yield batch(
+                    context=_named(chunk, level, held),
+                    context_count=counts[level - 1][held],
+                    kept=np.bincount(at, model.left(level, counts[level][mine]), len(held)),
+                    shares=np.bincount(at, shares[level - 1][chunk.rest[level - 1][mine]], len(held)),
+                )
 
     return rows.mapInArrow(run, OUT)
 
 
-def _answers(folder: str, number: int, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of a chunk's words and pairs, and which pairs it owns."""
-    table = pa.concat_tables(parquet_tables(f"{folder}/chunk={number}")).sort_by("bucket").to_pydict()
-    words = np.concatenate([unpacked(data, "<u4") for data in table["words"]]).astype(np.int64)
-    parts = [unpacked(data, "<u4") for data in table["pairs"]]
-    owned = [np.unpackbits(np.frombuffer(bits, np.uint8), count=len(part)) for bits, part in zip(table["owned"], parts)]
-    pairs = np.concatenate(parts).astype(np.int64)
-    if len(words) != len(chunk.words) or len(pairs) != len(chunk.pairs):
-        raise RuntimeError("the texts were read in other partitions than before")
-    return words, pairs, np.concatenate(owned).astype(bool)
-
-
-def language_scores(docs: DataFrame, parts: int = 7, held_out: int = 2) -> DataFrame:
+def _answers(folder: str, number: int, chunk: Chunk) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """By level the counts of a chunk's runs, and which of them it owns."""
+    found = parquet_tables(f"{folder}/part={number >> PART}", [("chunk", "=", number)])
+    table = pa.concat_tables(found).sort_by("bucket").to_pydict()
+    counts, owned, levels = [], [], len(chunk.keys)
+    parts = [[unpacked(row[level], "<u4") for row in table["counts"]] for level in range(levels)]
+    bits = max(0, len(table["bucket"]) - 1).bit_length()
+    for bucket, check in enumerate(table["check"]):
+        expected = 0
+        for keys in chunk.keys:
+            cut = _cuts(keys, bits)
+            held = keys[cut[bucket] : cut[bucket + 1]]
+            expected = _check([np.array([expected], np.int64).view(np.uint64), held])
+        if expected != check:
+            raise RuntimeError("the texts were read in other partitions than before")
+    for level in range(levels):
+        flags = [
+            np.unpackbits(np.frombuffer(row[level], np.uint8), count=len(part))
+            for row, part in zip(table["owned"], parts[level])
+        ]
+        counts.append(np.concatenate(parts[level]).astype(np.int64))
+        owned.append(np.concatenate(flags).astype(bool))
+    return counts, owned
+
+
+def language_scores(docs: DataFrame, parts: int = 7, held_out: int = 2, order: int = 3) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     for every row of ``docs``, a table as read, since its partitions are read
     twice.
@@ -299,21 +343,26 @@ def language_scores(docs: DataFrame, parts: int = 7, held_out: int = 2) -> DataF
     Tokens are the words that ASCII white space leaves, A-Z lower-cased, and one
     end. Counts come from all rows outside the held-out part. ``base_score`` is
     the add-one unigram score, ``score`` the backoff model's, both log10 of the
-    text's probability. Words never met share one class. A null or empty text is
+    text's probability. ``order`` is the length of the longest runs of words, two
+    at least. Words never met share one class. A null or empty text is
     an end alone; rows with equal or null ids are scored one by one; without
     training rows every score is 0; an empty table gives no rows; other columns
     are ignored."""
+    if order < 2:
+        raise ValueError("order must be 2 at least")
     rows = texts(docs).withColumn("train", crc_part("doc_id", parts) != held_out)
-    bits = max(6, (2 * rows.rdd.getNumPartitions() - 1).bit_length())
-    replies = _asked(rows, bits).groupBy("bucket").applyInArrow(_replied, REPLY)
+    bits = max(7, (2 * order * rows.rdd.getNumPartitions() - 1).bit_length())
+    replies = _asked(rows, bits, order).groupBy("bucket").applyInArrow(_replied, REPLY)
     folder = new_folder(docs.sparkSession, "counts")
-    # One file per chunk, statistics apart (chunk is null there).
-    replies.repartition("chunk").write.option("compression", "zstd").partitionBy("chunk").parquet(folder)
-    told = docs.sparkSession.read.schema(REPLY).parquet(folder).where(F.col("chunk").isNull())
+    # A folder per part of the input, its chunks in row groups of their own, statistics apart (part is null there).
+    dealt = replies.repartition("part", "chunk").sortWithinPartitions("part", "chunk", "bucket")
+    options = {"compression": "zstd", "parquet.block.size": 1 << 22}
+    dealt.write.options(**options).partitionBy("part").parquet(folder)
+    told = docs.sparkSession.read.schema(REPLY).parquet(folder).where(F.col("part").isNull())
     sums = told.select(F.posexplode("stats")).groupBy("pos").agg(F.sum("col").alias("n")).orderBy("pos").collect()
-    model = Model.of(np.array([row["n"] for row in sums] or [0] * (2 + 2 * (LARGEST + 1))))
+    model = Model.of(np.array([row["n"] for row in sums] or [0] * (2 + order * (LARGEST + 1))), order)
 
-    found = stored(_evaluated(rows, folder, model), "scores")
+    found = stored(_evaluated(rows, folder, model, order), "scores")
     weights = (
         found.where(F.col("kept").isNotNull())
         .groupBy("context")

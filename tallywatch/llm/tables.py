@@ -27,10 +27,13 @@ def stored(rows: DataFrame, kind: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def parquet_tables(folder: str) -> list[pa.Table]:
-    """The files of a Parquet folder, read within a task from shared storage."""
+def parquet_tables(folder: str, filters: list | None = None) -> list[pa.Table]:
+    """The files of a Parquet folder, read within a task from shared storage;
+    with ``filters`` only the row groups that may hold such rows."""
     files, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
     found = sorted(one.path for one in files.get_file_info(fs.FileSelector(root)) if one.path.endswith(".parquet"))
+    if filters:
+        return [pq.read_table(path, filesystem=files, filters=filters, partitioning=None) for path in found]
     return [pq.ParquetFile(files.open_input_file(path)).read() for path in found]
 
 

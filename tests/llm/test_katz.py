@@ -17,38 +17,48 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 class Plain:
-    def __init__(self, texts):
+    def __init__(self, texts, order=3):
+        self.order = order
         self.tokens = {i: [w for w in split(t) if w] + ["</s>"] for i, t in texts.items()}
         train = [t for i, t in self.tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
-        self.c, self.b = Counter(), Counter()
+        self.c = [Counter() for _ in range(order)]
         for t in train:
-            self.c.update(t)
-            self.b.update(zip(["</s>"] + t[:-1], t))
-        self.n = sum(self.c.values())
-        self.dw, self.dp = (discounts(np.array([Counter(x.values())[r] for r in range(1, LARGEST + 2)], float)) for x in (self.c, self.b))
-        self.p1 = {w: self.left(n, self.dw) / self.n for w, n in self.c.items()}
-        self.unseen = 1 - sum(self.p1.values()) if self.n else 1.0
+            for h, w in self.runs(t):
+                for level in range(min(len(h), order - 1) + 1):
+                    self.c[level][(*h[len(h) - level :], w)] += 1
+        self.n = sum(self.c[0].values())
+        self.d = [discounts(np.array([Counter(x.values())[r] for r in range(1, LARGEST + 2)], float)) for x in self.c]
+        self.p0 = {run: self.left(0, n) / self.n for run, n in self.c[0].items()}
+        self.unseen = 1 - sum(self.p0.values()) if self.n else 1.0
         kept, shares = defaultdict(float), defaultdict(float)
-        for (h, w), n in self.b.items():
-            kept[h] += self.left(n, self.dp) / self.c[h]
-            shares[h] += self.p1[w]
+        for level in range(1, order):
+            for run, n in self.c[level].items():
+                kept[run[:-1]] += self.left(level, n) / self.c[level - 1][run[:-1]]
+                shares[run[:-1]] += self.p(run[1:-1], run[-1])
         self.weight = {h: (1 - kept[h]) / (1 - shares[h]) for h in kept}
 
-    @staticmethod
-    def left(n, kept):
-        return n * kept[n] if n <= LARGEST else n - 0.5
+    def runs(self, t):
+        """Each token with its context, which begins with the end token at the earliest."""
+        for at, w in enumerate(t):
+            yield (["</s>"] + t[:at])[-(self.order - 1) :], w
+
+    def left(self, level, n):
+        return n * self.d[level][n] if n <= LARGEST else n - 0.5
 
     def p(self, h, w):
-        if self.b[h, w]:
-            return self.left(self.b[h, w], self.dp) / self.c[h]
-        return self.weight.get(h, 1.0) * self.p1.get(w, self.unseen)
+        h = tuple(h)
+        if not h:
+            return self.p0.get((w,), self.unseen)
+        if n := self.c[len(h)][(*h, w)]:
+            return self.left(len(h), n) / self.c[len(h) - 1][h]
+        return self.weight.get(h, 1.0) * self.p(h[1:], w)
 
     def row(self, i):
         t = self.tokens[i]
-        base = sum(math.log10((self.c[w] + 1) / (self.n + len(self.c) + 1)) for w in t)
-        score = sum(math.log10(self.p(h, w)) for h, w in zip(["</s>"] + t[:-1], t))
+        base = sum(math.log10((self.c[0][(w,)] + 1) / (self.n + len(self.c[0]) + 1)) for w in t)
+        score = sum(math.log10(self.p(h, w)) for h, w in self.runs(t))
         held = zlib.crc32(str(i).encode()) % 7 == 2
-        return (i, held, len(t), sum(self.c[w] > 0 for w in t), self.n), base, score
+        return (i, held, len(t), sum(self.c[0][(w,)] > 0 for w in t), self.n), base, score
 
 
 def split(text):
@@ -57,8 +67,8 @@ def split(text):
     return text.translate(LOWER).split(" ")
 
 
-def check(rows, texts):
-    plain = Plain(texts)
+def check(rows, texts, order=3):
+    plain = Plain(texts, order)
     assert len(rows) == len(texts)
     for row in rows:
         whole, base, score = plain.row(row.doc_id)
@@ -70,8 +80,19 @@ def check(rows, texts):
 
 def test_scores_of_the_table(spark, sample):
     plain = check(spark_entry.queries()["op6_katz"](spark, SF).collect(), sample)
-    for context in ["</s>", "the", "never met", *list(plain.c)[:20]]:
-        assert sum(plain.p(context, w) for w in plain.c) + plain.p(context, "never") == pytest.approx(1)
+    contexts = [("</s>",), ("the",), ("never met",), ("never", "met"), *list(plain.c[1])[:20]]
+    for context in contexts:
+        if context[-1] != "</s>" or len(context) == 1:
+            words = [w for (w,) in plain.c[0]]
+            assert sum(plain.p(context, w) for w in words) + plain.p(context, "never") == pytest.approx(1)
+
+
+@pytest.mark.parametrize("order", [2, 4])
+def test_other_orders(docs, table, sample, order):
+    texts = dict(list(sample.items())[:50])
+    check(language_scores(table(docs(list(texts.items()))), order=order).collect(), texts, order)
+    with pytest.raises(ValueError):
+        language_scores(docs(["a"]), order=1)
 
 
 def test_small_chunks_give_the_same(spark, docs, table, sample, monkeypatch):
