@@ -20,7 +20,8 @@ class RiskConfig:
     Windows close ``watermark`` after the slowest source's clock; a source that
     has been silent for ``idle`` no longer holds the others back.
     ``salts`` is how many ways the rows of one window are spread when each row
-    is joined with its window's totals; it is carried as a bit mask, so <= 63.
+    is joined with its window's totals (in batch only windows of more than
+    ``hot_rows`` rows); a stream carries it as a bit mask, so <= 63.
     """
 
     window: str = "1 minute"
@@ -30,6 +31,7 @@ class RiskConfig:
     watermark: str = "10 seconds"
     idle: str = "10 minutes"
     salts: int = 32
+    hot_rows: int = 100_000
     keep_currency: bool = False
 
     def __post_init__(self):

@@ -59,38 +59,59 @@ def alerts(transactions: DataFrame, cfg: RiskConfig, rules: list[Rule] | None =
 def enrich(transactions: DataFrame, cfg: RiskConfig, rules: list[Rule] | None = None) -> DataFrame:
     """Every transaction with the totals and the score of its window.
 
-    Transactions join their window's totals on (user, window, salt). The
+    Transactions join their window's totals on (user, window, salt). In batch
+    the windows that are hot, by their counts, are copied ``cfg.salts`` times and
+    their transactions spread over the copies; all others have one copy, and
+    salt 0. Adaptive skew join can split further, because both sides end in their
+    own shuffle. A stream can't know what will be hot: see ``_stream_salted``."""
+    rules = rules or default_rules(cfg)
+    clocked = with_clock(transactions, cfg)
+    salted, copies = (_stream_salted if transactions.isStreaming else _salted)(clocked, cfg, rules)
+
+    # A stream may carry one watermarked column into the join: the window.
+    instant = F.timestamp_micros(F.unix_micros("timestamp")) if transactions.isStreaming else F.col("timestamp")
+    rows = salted.select(
+        "transaction_id", "user_id", "amount", "city", "merchant_category", instant.alias("timestamp"), "window", "salt"
+    )
+    return rows.join(copies, ["user_id", "window", "salt"]).select(*schema.ENRICHED_COLUMNS)
+
+
+def _salt(cfg: RiskConfig) -> Column:
+    return F.pmod(F.xxhash64("transaction_id", "timestamp", "amount", "city"), F.lit(cfg.salts)).cast("int")
+
+
+def _salted(clocked: DataFrame, cfg: RiskConfig, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
+    """Rows with their window and salt, and the copies of the scored windows.
+
+    A window is hot with more than ``cfg.hot_rows`` transactions and more than a
+    ten-thousandth of all, so the hot ones that are broadcast to the rows are ten
+    thousand at most. Both limits are looked up when the query runs."""
+    scored = score(_profile(clocked, cfg), rules)
+    every = scored.agg(F.coalesce(F.sum("transaction_count"), F.lit(0))).scalar()
+    limit = F.greatest(F.lit(cfg.hot_rows).cast("double"), every / 10_000)
+    hot = scored.where(F.col("transaction_count") > limit).select("user_id", "window", F.lit(True).alias("hot"))
+    windowed = clocked.withColumn("window", window_column(cfg)).join(F.broadcast(hot), ["user_id", "window"], "left")
+    salted = windowed.withColumn("salt", F.when(F.col("hot"), _salt(cfg)).otherwise(0))
+    salts = F.when(F.col("transaction_count") > limit, F.sequence(F.lit(0), F.lit(cfg.salts - 1)))
+    return salted, scored.withColumn("salt", F.explode(F.coalesce(salts, F.array(F.lit(0)))))
+
+
+def _stream_salted(clocked: DataFrame, cfg: RiskConfig, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
+    """The same where counts aren't known beforehand: every row has a salt. The
     profile keeps a bit mask of the salts its own transactions fell on and is
     copied once per set bit, so there are never more copies than transactions
     and each transaction meets exactly one. A window that holds a large share
-    of all rows is thus spread over ``cfg.salts`` join tasks (or state
-    partitions); in batch, adaptive skew join can split those further because
-    both sides end in their own shuffle."""
+    of all rows is thus spread over ``cfg.salts`` state partitions."""
     # Both uses must agree on the salt, so ids must not be random expressions:
     # enrich decoded transactions, not the rows made for storing.
-    salt = F.pmod(F.xxhash64("transaction_id", "timestamp", "amount", "city"), F.lit(cfg.salts)).cast("int")
-    salted = with_clock(transactions, cfg).withColumn("salt", salt)
-
+    salted = clocked.withColumn("salt", _salt(cfg))
     mask = F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salt_mask")
-    scored = score(_profile(salted, cfg, mask), rules or default_rules(cfg))
+    scored = score(_profile(salted, cfg, mask), rules)
     set_bits = F.filter(
         F.sequence(F.lit(0), F.lit(cfg.salts - 1)), lambda bit: F.getbit("salt_mask", bit) == 1
     )
     copies = scored.withColumn("salt", F.explode(set_bits)).drop("salt_mask")
-
-    # A stream may carry one watermarked column into the join: the window.
-    instant = F.timestamp_micros(F.unix_micros("timestamp")) if transactions.isStreaming else F.col("timestamp")
-    rows = salted.select(
-        "transaction_id",
-        "user_id",
-        "amount",
-        "city",
-        "merchant_category",
-        instant.alias("timestamp"),
-        window_column(cfg).alias("window"),
-        "salt",
-    )
-    return rows.join(copies, ["user_id", "window", "salt"]).select(*schema.ENRICHED_COLUMNS)
+    return salted.withColumn("window", window_column(cfg)), copies
 
 
 def enrich_from_alerts(transactions: DataFrame, alerts: DataFrame, cfg: RiskConfig) -> DataFrame:

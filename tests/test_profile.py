@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywatch.config import RiskConfig
-from tallywatch.operators.profile import alerts, enrich, window_profile
+from tallywatch.functions.rules import default_rules
+from tallywatch.operators.profile import _salted, alerts, enrich, window_profile
 
 from .conftest import T0, rows_of
 
@@ -50,10 +51,10 @@ def test_order_of_events_does_not_matter(transactions, skewed):
     assert rows_of(alerts(transactions(skewed), CFG), "*") == rows_of(alerts(transactions(shuffled), CFG), "*")
 
 
-@pytest.mark.parametrize("salts", [1, 7, 63])
-def test_each_transaction_is_enriched_once(transactions, skewed, salts):
+@pytest.mark.parametrize("salts, hot_rows", [(1, 3), (7, 0), (63, 3), (32, 100_000)])
+def test_each_transaction_is_enriched_once(transactions, skewed, salts, hot_rows):
     tx = transactions(skewed)
-    enriched = enrich(tx, RiskConfig(salts=salts))
+    enriched = enrich(tx, RiskConfig(salts=salts, hot_rows=hot_rows))
     totals = {row[:3]: row[3:] for row in expected_profiles(skewed)}
     seen = enriched.collect()
     assert sorted(int(row.transaction_id) for row in seen) == list(range(len(skewed)))
@@ -77,6 +78,17 @@ def test_a_hot_window_is_spread_over_join_keys(transactions):
     assert len(per_salt) == CFG.salts and max(per_salt) < 3 * 2000 / CFG.salts
 
 
+def test_only_hot_windows_are_copied(transactions):
+    """Measured when the query runs: 300 rows in one window, one in each of 40."""
+    rows = [(1, number / 10, 1) for number in range(300)] + [(2, 60 * number, 1) for number in range(40)]
+    cfg = RiskConfig(salts=8, hot_rows=100)
+    salted, copies = _salted(transactions(rows), cfg, default_rules(cfg))
+    found = {row.user_id: row["count"] for row in copies.groupBy("user_id").count().collect()}
+    assert found == {1: 8, 2: 40}
+    assert salted.where("user_id = 1").select("salt").distinct().count() == 8
+    assert salted.where("user_id = 2").agg(F.max("salt")).first()[0] == 0
+
+
 def test_ingest_time_windows(transactions):
     tx = transactions([(1, 0, 1), (1, 3600, 2)]).withColumn("ingest_time", F.lit(T0.isoformat()).cast("timestamp"))
     rows = rows_of(window_profile(tx, RiskConfig(time_basis="ingest")), "window_start", "transaction_count")
