@@ -61,12 +61,42 @@ def merge_batch(table: str) -> BatchWriter:
     return write
 
 
-def _rewrite(rows: DataFrame, target: str, date: str, *order: str) -> None:
+ROW_GROUP = 32 << 20  # bytes
+RANKS = 8  # bits for each side of the curve
+
+
+def _rewrite(
+    rows: DataFrame, target: str, date: str, *order: str, curve: Column | None = None, **options: object
+) -> None:
     """Stores ``rows`` in a new folder, in files of even size however many rows
-    one date holds, sorted so that filters skip row groups."""
-    even = rows.hint("rebalance", date).sortWithinPartitions(*order)
+    one date holds, sorted so that filters skip row groups. With a ``curve`` rows
+    are dealt by its stretches and sorted along it first."""
+    place, stretch = "_place", "_stretch"
+    keyed = rows if curve is None else rows.withColumn(place, curve).withColumn(stretch, F.shiftright(place, 2 * RANKS - 6))
+    dealt = [date] if curve is None else [date, stretch]
+    along = list(order) if curve is None else [date, place, *order]
+    even = keyed.hint("rebalance", *dealt).sortWithinPartitions(*along).drop(place, stretch)
     owned = even.withColumns({"query_id": F.lit(COMPACTED), "batch_id": F.lit(0).cast("long")})
-    owned.write.partitionBy(date, "query_id", "batch_id").parquet(target)
+    writer = owned.write.options(**{"parquet.block.size": ROW_GROUP, **options})
+    writer.partitionBy(date, "query_id", "batch_id").parquet(target)
+
+
+def user_time_curve(rows: DataFrame, user: str = "user_id", instant: str = "timestamp") -> Column:
+    """A place on a curve through users and times of day: the bits of the user's
+    rank and of the time, taken in turns, so that rows that are near in both lie
+    together. Ranks come from 255 quantiles of the users, looked up first."""
+    shares = [(n + 1) / (1 << RANKS) for n in range((1 << RANKS) - 1)]
+    cuts = rows.agg(F.percentile_approx(user, shares, 10_000).alias("cuts")).first()["cuts"] or []
+    bounds = F.array(*(F.lit(cut) for cut in sorted(set(cuts)))) if cuts else F.array(F.lit(0))
+    rank = F.size(F.filter(bounds, lambda bound: bound < F.col(user)))
+    second = F.pmod(F.unix_seconds(instant), F.lit(86400))
+    time = F.floor(second * (1 << RANKS) / 86400).cast("int")
+    place = F.lit(0)
+    for bit in range(RANKS):
+        for side, value in ((1, rank), (0, time)):
+            taken = F.shiftright(value, bit).bitwiseAND(F.lit(1))
+            place = place.bitwiseOR(F.shiftleft(taken, 2 * bit + side))
+    return place
 
 
 def _committed(rows: DataFrame, upto: dict[str, int] | None) -> DataFrame:
@@ -122,9 +152,12 @@ def compact_transactions(
     keep_days: int | None = None,
     as_of: AsOf = None,
     upto: dict[str, int] | None = None,
+    row_group: int = ROW_GROUP,
 ) -> None:
     """Rewrites the transactions table under ``target``, a new path, leaving
-    out transactions older than ``keep_days``.
+    out transactions older than ``keep_days``. Rows of a date follow a curve
+    through users and times, in row groups of ``row_group`` bytes, and ids have
+    Bloom filters: look-ups of a user, an hour or an id skip most row groups.
 
     To compact the tables of a running job: stop it, compact each table with
     ``upto`` (query id and last committed batch), and start it on the new folder
@@ -132,7 +165,8 @@ def compact_transactions(
     out here and written again by the job."""
     rows = _committed(table_rows(spark, source, schema.TRANSACTIONS_TABLE), upto).drop("query_id", "batch_id")
     kept = rows if keep_days is None else retained(rows, "timestamp", as_of, keep_days)
-    _rewrite(kept, target, "event_date", "timestamp")
+    blooms = {"parquet.bloom.filter.enabled#transaction_id": "true", "parquet.block.size": row_group}
+    _rewrite(kept, target, "event_date", "user_id", "timestamp", curve=user_time_curve(kept), **blooms)
 
 
 def staging_table(table: str, run: str, batch_id: int) -> str:

@@ -1,9 +1,10 @@
 """Physical plans: what is pushed down, pruned, pre-aggregated and split."""
 
 import re
-from datetime import timedelta
+from datetime import timedelta, timezone
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tallywatch.functions.time import since
 from tallywatch.operators.interval_join import interval_join
 from tallywatch.operators.profile import alerts, enrich, window_profile
 from tallywatch.plans import views
+from tallywatch.session import configure
 from tallywatch.sources.events import from_events
 from tallywatch.sources.tables import stored_alerts, stored_transactions
 from tallywatch.streaming import sinks
@@ -195,3 +197,50 @@ def test_compaction_splits_a_hot_date(spark, stored, tmp_path, conf):
     written = stored_transactions(spark, str(tmp_path / "even"))
     assert len(written.inputFiles()) > 2 and written.count() == 20_000
     assert rows_of(written.agg(F.countDistinct("transaction_id")), "*") == [(20_000,)]
+
+
+def test_compacted_transactions_skip_row_groups(spark, tmp_path):
+    """A user and an hour, a user, an hour, and an id: the share of row groups
+    that statistics or Bloom filters leave."""
+    configure(spark)
+    number = F.col("id")
+    rows = spark.range(200_000).select(
+        F.md5(number.cast("string")).alias("transaction_id"),
+        # A few users hold many rows; ids are spread over a wide range.
+        F.when(number % 3 == 0, number % 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(10**9))).alias("user_id"),
+        F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(86400))).alias("timestamp"),
+        F.lit(Decimal("1.00")).alias("amount"),
+        F.lit("USD").alias("currency"),
+        F.lit("Here").alias("city"),
+        F.lit("retail").alias("merchant_category"),
+        F.lit(T0).alias("ingested_at"),
+        F.lit("q").alias("query_id"),
+        F.lit(0).cast("long").alias("batch_id"),
+        F.lit("2024-01-01").cast("date").alias("event_date"),
+    )
+    rows.write.partitionBy("event_date", "query_id", "batch_id").parquet(str(tmp_path / "tx"))
+    sinks.compact_transactions(spark, str(tmp_path / "tx"), str(tmp_path / "curve"), row_group=1 << 17)
+    assert stored_transactions(spark, str(tmp_path / "curve")).count() == 200_000
+
+    groups, blooms = [], 0
+    for file in (tmp_path / "curve").rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for at in range(meta.num_row_groups):
+            columns = [meta.row_group(at).column(n) for n in range(meta.num_columns)]
+            stats = {column.path_in_schema: column.statistics for column in columns}
+            groups.append([(stats[name].min, stats[name].max) for name in ("user_id", "timestamp")])
+        blooms += b"transaction_id" in file.read_bytes()
+    assert len(groups) >= 50 and blooms
+
+    def left(users=range(10**9), first=T0.replace(hour=0), last=T0.replace(hour=23, minute=59)):
+        """The mean share of row groups that may hold one of the users in the time."""
+        first, last = (instant.replace(tzinfo=timezone.utc) for instant in (first, last))
+        near = [bounds for bounds in groups if bounds[1][0] <= last and bounds[1][1] >= first]
+        if isinstance(users, range):
+            return len(near) / len(groups)
+        return sum(low <= user <= high for user in users for (low, high), _ in near) / len(groups) / len(users)
+
+    several = [row.user_id for row in rows.where("user_id > 10").limit(20).collect()]
+    noon = {"first": T0, "last": T0 + timedelta(hours=1)}
+    assert left(several, **noon) < 0.1
+    assert left(several) < 0.2 and left(**noon) < 0.3
