@@ -11,11 +11,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.session import shared_folder
+from tallywatch.sources.tables import remove
+
+
+_made: list[str] = []
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
     """A fresh folder that the driver and all executors can reach."""
-    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the folders that this process has made so far. For the caller, once
+    the results that read them are written."""
+    while _made:
+        remove(spark, _made.pop())
 
 
 def stored(rows: DataFrame, kind: str, *partition_by: str) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as spark_entry
 import corpus_pipeline
 from tallywatch.llm import queries
+from tallywatch.llm.tables import clear, stored
 
 from .conftest import SF
 from .test_jaccard_join import plain as plain_groups
@@ -58,3 +59,11 @@ def test_pipeline_stages(spark, docs, table):
     packed = corpus_pipeline.STAGES[3][1](spark, at, SF).collect()
     assert {row.doc_id for row in packed} == left
     assert corpus_pipeline.run(spark, SF).count() == len(packed)
+
+
+def test_intermediate_folders_can_be_cleared(spark):
+    rows = stored(spark.range(3), "kind")
+    (folder,) = {os.path.dirname(file.removeprefix("file://")) for file in rows.inputFiles()}
+    assert os.path.isdir(folder)
+    clear(spark)
+    assert not os.path.exists(folder)
