@@ -97,16 +97,18 @@ def unretired(rows: DataFrame, path: str, layout: T.StructType) -> DataFrame:
 
 
 def table_rows(
-    spark: SparkSession, path: str, layout: T.StructType, days: tuple[date, date] | None = None
+    spark: SparkSession, path: str, layout: T.StructType, days: tuple[date, date] | list[date] | None = None
 ) -> DataFrame:
     """Rows of a table of files, with its partition columns; a table without
-    files yet has none. With ``days`` (first and last) only the folders of those
+    files yet has none. With ``days`` (first and last, or a list) only the folders of those
     dates are listed, which needs the layout with date folders outermost. Where
     batches are marked, only whole ones are seen, and where rows have been
     retired, only later ones."""
     wanted = None
-    if days:
-        names = ",".join(str(days[0] + timedelta(n)) for n in range((days[1] - days[0]).days + 1))
+    if days is not None:
+        if isinstance(days, tuple):
+            days = [days[0] + timedelta(n) for n in range((days[1] - days[0]).days + 1)]
+        names = ",".join(map(str, days)) or "none"
         wanted = f"{path}/{layout.fieldNames()[-1]}={{{names}}}"
     marks = batch_marks(spark, path)
     rows = optional_rows(spark, path, layout, wanted)

@@ -48,6 +48,8 @@ from tallywatch.streaming.ids import IdIndex
 from tallywatch.streaming.progress import Progress, source_progress
 from tallywatch.streaming.rollups import minute_parts, stats_parts, user_parts
 
+MOST_DAYS = 400  # that are named one by one when their folders are listed
+
 Follower = Callable[[DataFrame, DataFrame, int], None]
 
 
@@ -215,7 +217,7 @@ def start_ledger_query(
                 )
                 _store(fresh, query_id, batch_id)
                 mine = _of_batch(spark, tables.alert_parts, schema.ALERT_PARTS, query_id, batch_id)
-                stats = stats_parts(mine, _others(spark, query_id, batch_id), cfg, rules)
+                stats = stats_parts(mine, _others(mine, query_id, batch_id), cfg, rules)
                 after = progress.after(
                     _of_batch(spark, tables.progress, schema.PROGRESS, query_id, batch_id).collect(), cfg
                 )
@@ -268,7 +270,7 @@ def start_ledger_query(
                 passed = passed.where(end > F.lit(progress.low))
             found = summed_alerts(passed, cfg, rules).withColumn("correction", F.lit(False))
         if after.late:
-            late = _whole(spark, mine.where(end <= F.lit(progress.low)), query_id, batch_id)
+            late = _whole(mine.where(end <= F.lit(progress.low)), query_id, batch_id)
             late = summed_alerts(late, cfg, rules).withColumn("correction", F.lit(True))
             found = late if found is None else found.unionByName(late)
         if found is not None:
@@ -277,14 +279,16 @@ def start_ledger_query(
             )
             _append(_owned(closed, query_id, batch_id), tables.closed_alerts, "alert_date")
 
-    def _others(spark: SparkSession, query_id: str, batch_id: int) -> DataFrame:
-        """The alert parts of other whole batches."""
-        parts = table_rows(spark, tables.alert_parts, schema.ALERT_PARTS)
+    def _others(mine: DataFrame, query_id: str, batch_id: int) -> DataFrame:
+        """The alert parts of other whole batches, of the days that this one touches."""
+        days = [row["alert_date"] for row in mine.select("alert_date").distinct().limit(MOST_DAYS + 1).collect()]
+        few = days if len(days) <= MOST_DAYS else None
+        parts = table_rows(mine.sparkSession, tables.alert_parts, schema.ALERT_PARTS, few)
         return parts.where((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
 
-    def _whole(spark: SparkSession, mine: DataFrame, query_id: str, batch_id: int) -> DataFrame:
+    def _whole(mine: DataFrame, query_id: str, batch_id: int) -> DataFrame:
         """A batch's own parts and all others of the same alerts."""
-        others = _others(spark, query_id, batch_id)
+        others = _others(mine, query_id, batch_id)
         keys = mine.select("user_id", "window_end", "alert_date").distinct()
         known = others.join(keys, ["user_id", "window_end", "alert_date"], "left_semi").select(*others.columns)
         return mine.unionByName(known)
@@ -297,7 +301,7 @@ def start_ledger_query(
     def _touched(spark: SparkSession, query_id: str, batch_id: int) -> DataFrame:
         """The alerts that this batch touches, each with all its parts."""
         mine = _of_batch(spark, tables.alert_parts, schema.ALERT_PARTS, query_id, batch_id)
-        return summed_alerts(_whole(spark, mine, query_id, batch_id), cfg, rules)
+        return summed_alerts(_whole(mine, query_id, batch_id), cfg, rules)
 
     def _feed(spark: SparkSession, query_id: str, batch_id: int) -> None:
         lines = alert_feed(_touched(spark, query_id, batch_id))
