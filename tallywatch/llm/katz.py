@@ -335,7 +335,7 @@ def _answers(folder: str, number: int, chunk: Chunk) -> tuple[list[np.ndarray],
     return counts, owned
 
 
-def language_scores(docs: DataFrame, parts: int = 7, held_out: int = 2, order: int = 3) -> DataFrame:
+def language_scores(docs: DataFrame, parts: int = 7, held_out: int = 2, order: int = 2) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     for every row of ``docs``, a table as read, since its partitions are read
     twice.
@@ -344,7 +344,7 @@ def language_scores(docs: DataFrame, parts: int = 7, held_out: int = 2, order: i
     end. Counts come from all rows outside the held-out part. ``base_score`` is
     the add-one unigram score, ``score`` the backoff model's, both log10 of the
     text's probability. ``order`` is the length of the longest runs of words, two
-    at least. Words never met share one class. A null or empty text is
+    at least; three take some three times the disk (figures in the README). Words never met share one class. A null or empty text is
     an end alone; rows with equal or null ids are scored one by one; without
     training rows every score is 0; an empty table gives no rows; other columns
     are ignored."""
