@@ -34,7 +34,9 @@ def _payload(messages: DataFrame) -> DataFrame:
     # A value may close the array itself and leave text behind; then a further
     # element is never reached.
     again = F.from_json(F.concat(F.lit("["), value, F.lit(",null,null]")), "array<string>", JSON_OPTIONS)
-    complete = complete & (~F.rlike(value, F.lit(r"null\s*\]")) | (F.size(again) == 3))
+    # Most messages have no bracket at all, which is found sooner than the pattern.
+    closing = F.contains(value, F.lit("]")) & F.rlike(value, F.lit(r"null\s*\]"))
+    complete = complete & (~closing | (F.size(again) == 3))
     return messages.select("*", F.explode(F.array(elements)).alias("found")).withColumns(
         {"is_object": complete & (F.size(found) == 2) & first.isNotNull(), "p": first}
     )

@@ -25,6 +25,8 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # One state store per join partition instead of four.
     "spark.sql.streaming.join.stateFormatVersion": "3",
+    # A batch's rows are kept for a few reads only: packing them costs more than those.
+    "spark.sql.inMemoryColumnarStorage.compressed": "false",
     # Saves a lookup per write; progress then reports no total of state rows.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }

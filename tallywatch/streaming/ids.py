@@ -132,10 +132,15 @@ class IdIndex:
     def known(self, arriving: DataFrame) -> DataFrame:
         """Those of the arriving ids (``transaction_id``) that are stored."""
         ids = arriving.select("transaction_id").distinct()
+        return self.candidates(ids).join(ids, "transaction_id", "left_semi")
+
+    def candidates(self, arriving: DataFrame) -> DataFrame:
+        """Stored ids, all of the arriving ones that are stored among them: those of
+        the latest batches and of the buckets that the filters name."""
         stored = self._ids_of(self.pending)
-        if folders := self.folders(ids):
+        if folders := self.folders(arriving.select("transaction_id").distinct()):
             stored = stored.unionByName(self._read(folders))
-        return stored.join(ids, "transaction_id", "left_semi")
+        return stored
 
     def _hits(self, ids: DataFrame) -> DataFrame:
         """``transaction_id, segment, bucket`` of the ids that some segment's

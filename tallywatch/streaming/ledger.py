@@ -201,13 +201,16 @@ def start_ledger_query(
             if whole:
                 _follow(spark, whole["query_id"], batch_id)
                 return
-        decoded = counted(decode(batch, cfg.keep_currency)).persist()
+        decoded = counted(decode(batch, cfg.keep_currency))
+        # Only the texts of rejected messages are needed again.
+        rejected = F.when(F.col("reject_reason").isNotNull(), F.col("value"))
+        decoded = decoded.withColumn("value", rejected).persist()
         try:
             carried = [*(set(TIME_COLUMN.values()) - {"timestamp"}), "position"]
             carried = sorted(name for name in carried if name in decoded.columns)
             arriving = with_defaults(accepted(decoded, *carried))
             # Arriving rows whose id no whole batch has stored.
-            fresh = insert_ignore(index.known(arriving), arriving).persist()
+            fresh = insert_ignore(index.candidates(arriving), arriving).persist()
             try:
                 _together(
                     spark,

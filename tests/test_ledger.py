@@ -21,7 +21,7 @@ from tallywatch.sources.tables import (
     table_rows,
     unmarked_rows,
 )
-from tallywatch.streaming import sinks
+from tallywatch.streaming import ledger, sinks
 from tallywatch.streaming.ledger import Tables, committed_batches, start_ledger_query
 
 from .conftest import T0, message, rows_of
@@ -359,3 +359,25 @@ def test_the_job_needs_its_folders(spark):
 
     with pytest.raises(ValueError, match="OUTPUT_ROOT"):
         job_main.start(spark, JobConfig(), CFG)
+
+
+def test_only_rejected_texts_are_cached(spark, topic, run, monkeypatch):  # noqa: F811
+    seen, quarantined = [], ledger.quarantined
+
+    def noted(decoded):
+        seen.append([tuple(row) for row in decoded.select("value", "reject_reason").collect()])
+        return quarantined(decoded)
+
+    monkeypatch.setattr(ledger, "quarantined", noted)
+    topic.send([message(1, 1, T0, 700), message(2, 1, T0, 5), "nonsense"])
+    tables = run()
+    assert sorted(seen[0], key=str) == [("nonsense", "bad_json"), (None, None), (None, None)]
+    assert [row.value for row in stored_quarantine(spark, tables.quarantine).collect()] == ["nonsense"]
+
+
+def test_stored_ids_are_cut_to_arriving_ones_once(spark, topic, run, monkeypatch):  # noqa: F811
+    """``insert_ignore`` does it; the index names candidates only."""
+    monkeypatch.setattr(ledger.IdIndex, "known", None)
+    for _ in range(2):
+        topic.send([message(n, 1, T0, 700) for n in range(12)])
+    assert stored_transactions(spark, run().transactions).count() == 12

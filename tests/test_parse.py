@@ -136,3 +136,11 @@ def test_counts_are_observed(spark):
     decode(messages).observe(seen, F.count(F.lit(1)).alias("messages"), F.count("reject_reason").alias("rejected")).collect()
     assert seen.get == {"messages": 3, "rejected": 2}
     assert counted(decode(messages)).count() == 3
+
+
+def test_brackets_that_close_the_array_are_still_refused(spark):
+    """The quick look for a bracket must let the pattern see every such message."""
+    user = '{"user_id":1}'
+    lines = [user, user + ",null]x", user + ', null ] {"a":1}', '{"user_id":1,"city":"]"}', '{"user_id":1,"city":"null]"}']
+    rows = decode(spark.createDataFrame([(line,) for line in lines], "value string")).collect()
+    assert {row.value: row.reject_reason for row in rows} == dict(zip(lines, [None, "bad_json", "bad_json", None, None]))
