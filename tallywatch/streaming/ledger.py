@@ -216,7 +216,7 @@ def start_ledger_query(
                     spark,
                     lambda: _append(_owned(quarantined(decoded), query_id, batch_id), tables.quarantine),
                     # Works the new rows out, once for all.
-                    lambda: _append(_owned(fresh.select("transaction_id"), query_id, batch_id), f"{tables.ids}/new"),
+                    lambda: _append(_owned(_dated(fresh), query_id, batch_id), tables.transactions, "event_date"),
                 )
                 _store(fresh, query_id, batch_id)
                 mine = _of_batch(spark, tables.alert_parts, schema.ALERT_PARTS, query_id, batch_id)
@@ -224,8 +224,11 @@ def start_ledger_query(
                 after = progress.after(
                     _of_batch(spark, tables.progress, schema.PROGRESS, query_id, batch_id).collect(), cfg
                 )
+                ids = _owned(fresh.select("transaction_id"), query_id, batch_id)
                 _together(
                     spark,
+                    # Not before: Spark drops cached rows that were made from a folder that is written to.
+                    lambda: _append(ids, f"{tables.ids}/new"),
                     lambda: _append(_owned(stats, query_id, batch_id), tables.stats, "alert_date"),
                     lambda: _append(_owned(user_parts(mine), query_id, batch_id), tables.users, "alert_date"),
                     lambda: _close(spark, after, query_id, batch_id),
@@ -241,17 +244,17 @@ def start_ledger_query(
         index.marked(query_id, batch_id)
         _follow(spark, query_id, batch_id)
 
+    def _dated(fresh: DataFrame) -> DataFrame:
+        now = F.col("processing_time").alias("ingested_at")
+        return fresh.select(*schema.TRANSACTION_COLUMNS, now, utc_date(F.col("timestamp")).alias("event_date"))
+
     def _store(fresh: DataFrame, query_id: str, batch_id: int) -> None:
         now = F.col("processing_time")
-        dated = fresh.select(
-            *schema.TRANSACTION_COLUMNS, now.alias("ingested_at"), utc_date(F.col("timestamp")).alias("event_date")
-        )
         parts = window_totals(fresh, cfg, F.max(now).alias("written_at"), by=("city",))
         parts = parts.withColumn("alert_date", utc_date(F.col("window_end")))
         clocks = source_progress(fresh, progress, cfg).coalesce(1)
         _together(
             fresh.sparkSession,
-            lambda: _append(_owned(dated, query_id, batch_id), tables.transactions, "event_date"),
             lambda: _append(_owned(parts, query_id, batch_id), tables.alert_parts, "alert_date"),
             lambda: _append(_owned(clocks, query_id, batch_id), tables.progress),
             lambda: _append(_owned(minute_parts(fresh), query_id, batch_id), tables.minutes, "event_date"),

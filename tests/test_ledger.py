@@ -361,6 +361,27 @@ def test_the_job_needs_its_folders(spark):
         job_main.start(spark, JobConfig(), CFG)
 
 
+def test_stored_ids_are_written_when_a_batch_needs_its_cached_rows_no_more(spark, topic, run, monkeypatch):  # noqa: F811
+    """Writing them drops the cached new rows, which were looked up among them."""
+    written, append = [], ledger._append
+
+    def noted(rows, path, *partition_by):
+        written.append(path.rsplit("/", 1)[1])
+        append(rows, path, *partition_by)
+
+    monkeypatch.setattr(ledger, "_append", noted)
+    for part in range(3):
+        topic.send([message(10 * part + n, 1, T0 + timedelta(minutes=part), 700) for n in range(12)])
+    tables = run()
+    assert stored_transactions(spark, tables.transactions).count() == 32
+    batches = written.count("new")
+    assert batches == written.count("transactions") == 3
+    for batch in range(batches):
+        ids = [place for place, name in enumerate(written) if name == "new"][batch]
+        for name in ("transactions", "alert_parts", "minutes", "progress"):
+            assert [place for place, other in enumerate(written) if other == name][batch] < ids
+
+
 def test_only_rejected_texts_are_cached(spark, topic, run, monkeypatch):  # noqa: F811
     seen, quarantined = [], ledger.quarantined
 
