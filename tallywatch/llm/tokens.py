@@ -10,10 +10,12 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 LONGEST = 64
@@ -66,12 +68,13 @@ class Known(dict):
 class WordEncoder:
     """Ids of whole texts, as little-endian 32-bit numbers.
 
-    A text of plain letters, digits, marks and single spaces is split as the
-    tokenizer file says, and each part goes to the file's merges. Any other text
-    is split at its spaces, each of which belongs to the word after it; words
-    that aren't plain go to the tokenizer as they are. Where a space stands
-    beside other white space, the whole text does, since a split there would
-    change what the file's pattern matches.
+    Rows are split at their spaces, each of which belongs to the word after it,
+    and equal words are worked out together. Words of plain letters, digits and
+    marks are split as the tokenizer file says, and each part goes to the file's
+    merges; words that aren't plain go to the tokenizer as they are. Where a
+    space stands beside other white space, the whole text does, since a split
+    there would change what the file's pattern matches, unless its parts make it
+    up all the same.
 
     With ``added``, the file's added tokens are found in texts as the library
     finds them by default, and texts that hold any go to it whole; otherwise
@@ -85,11 +88,11 @@ class WordEncoder:
         self.added = [token.content for token in tokens]
         if self.tokenizer.normalizer is not None and any(token.normalized for token in tokens):
             self.added = [""]  # they may show only in the normalised text
-        self.lower, self.parts_of = _splitter(self.tokenizer)
+        self.lower, self.parts_of, self.plain = _splitter(self.tokenizer)
         self.mapped = str.maketrans({byte: symbol for byte, symbol in enumerate(_byte_symbols())})
-        self.words = Known(self._spaced, room * 3 // 10)
+        self.words = Known(self._spaced, room // 10)
         self.starts = Known(self._word, room // 10)
-        self.parts = Known(self._part, room * 6 // 10, at_once=True)
+        self.parts = Known(self._part, room * 8 // 10, at_once=True)
 
     def _spaced(self, word: str) -> bytes:
         return self._word(" " + word)
@@ -121,21 +124,62 @@ class WordEncoder:
             symbols = part.encode().decode("latin-1").translate(self.mapped)
         return array("I", [token.id for token in self.tokenizer.model.tokenize(symbols)]).tobytes()
 
-    def _by_words(self, text: str) -> bytes:
-        first, *others = text.split(" ")
-        try:
-            return b"".join([self.starts[first], *map(self.words.__getitem__, others)]) if first else self._ids(text)
-        except _Whole:
-            return self._ids(text)
+    def _start(self, word: str) -> bytes:
+        """Ids of a row's first word, which has no space before it."""
+        return self._plain(word) if self.plain and self.plain.fullmatch(word) else self.starts[word]
+
+    def _different(self, words: pa.StringArray) -> tuple[pa.LargeListArray, np.ndarray, np.ndarray]:
+        """Ids of different words, each with a space before it; which of them
+        aren't plain; and which stand in texts that can't be split there."""
+        if self.plain:
+            plain = pc.match_substring_regex(words, f"^(?:{self.plain.pattern})$").to_numpy(zero_copy_only=False)
+        else:
+            plain = np.zeros(len(words), bool)
+        at = np.flatnonzero(plain)
+        parts = []
+        if len(at):
+            every = pa.ListArray.from_arrays([0, len(at)], words.filter(pa.array(plain)))
+            parts = self.parts_of.findall(" " + pc.binary_join(every, " ")[0].as_py())
+        found = list(map(self.parts.__getitem__, parts))
+        begins = np.flatnonzero(np.fromiter((part[0] == " " for part in parts), bool, len(parts)))
+        sizes = np.zeros(len(words) + 1, np.int64)  # of the plain words first, then of the others
+        if len(at):
+            sizes[1 : len(at) + 1] = np.add.reduceat(np.fromiter(map(len, found), np.int64, len(found)), begins)
+        others, whole = np.flatnonzero(~plain), np.zeros(len(words), bool)
+        for place, word in enumerate(words.take(pa.array(others)).to_pylist()):
+            try:
+                found.append(self.words[word])
+                sizes[len(at) + place + 1] = len(found[-1])
+            except _Whole:
+                whole[others[place]] = True
+        lists = pa.LargeListArray.from_arrays(np.cumsum(sizes) // 4, np.frombuffer(b"".join(found), "<u4"))
+        return lists.take(pa.array(np.argsort(np.concatenate([at, others])))), ~plain, whole
 
     def encode(self, rows: list[str]) -> list[bytes]:
+        words = pc.split_pattern(pa.array(rows, pa.string()), " ")
+        first = np.zeros(len(words.values), bool)
+        first[words.offsets.to_numpy()[:-1]] = True
+        starts = words.values.filter(pa.array(first)).to_pylist()
+        coded = words.values.filter(pa.array(~first)).dictionary_encode()
+        lists, odd, whole = self._different(coded.dictionary)
+        places = coded.indices.to_numpy()
+        lists = lists.take(coded.indices)
+        flat, offsets = memoryview(lists.flatten().to_numpy()).cast("B"), 4 * lists.offsets.to_numpy()
+        bounds = words.offsets.to_numpy() - np.arange(len(rows) + 1)
+        odds, wholes = (np.append(0, np.cumsum(found[places]))[bounds] for found in (odd, whole))
+
         out = []
-        for row in rows:
+        for n, (row, start) in enumerate(zip(rows, starts)):
             if any(token in row for token in self.added):
                 out.append(self._ids(row))
                 continue
-            ids = self._plain(row)
-            out.append(self._by_words(row) if ids is None else ids)
+            ids = None
+            if wholes[n] == wholes[n + 1] and (start or odds[n] == odds[n + 1]):
+                with suppress(_Whole):
+                    ids = (self._start(start) if start else b"") + flat[offsets[bounds[n]] : offsets[bounds[n + 1]]]
+            if ids is None:
+                ids = self._plain(row)
+            out.append(self._ids(row) if ids is None else ids)
         return out
 
 
@@ -143,19 +187,22 @@ class _Whole(Exception):
     """The text can't be split at its spaces."""
 
 
-def _splitter(tokenizer: Tokenizer) -> tuple[bool, re.Pattern | None]:
-    """Whether words are lower-cased, and the pattern of their parts, for the two
-    known kinds of files; no pattern for any other kind, whose words are never
-    split here."""
+def _splitter(tokenizer: Tokenizer) -> tuple[bool, re.Pattern | None, re.Pattern | None]:
+    """Whether words are lower-cased, the pattern of their parts, and that of the
+    words that such parts make up wherever they stand, for the two known kinds
+    of files; no patterns for any other kind, whose words are never split here."""
     before = json.loads(tokenizer.pre_tokenizer.__getstate__()) if tokenizer.pre_tokenizer else {}
     steps = before.get("pretokenizers", [])
+    known = f"{_LETTERS}0-9{_MARKS}"
     if tokenizer.normalizer is None and before.get("type") == "ByteLevel":
         if before.get("use_regex") and not before.get("add_prefix_space"):
-            return False, re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n(?!\s)")
+            parts = rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n(?!\s)"
+            return False, re.compile(parts), re.compile(rf"[{known}]+(?:\n[{known}]+)*")
     split = [step.get("pattern", {}).get("Regex") for step in steps]
     if split == [r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", None]:
-        return True, re.compile(rf" ?[{_LETTERS}]+| ?[0-9]| ?[{_MARKS}]+|[ \n]")
-    return False, None
+        parts = rf" ?[{_LETTERS}]+| ?[0-9]| ?[{_MARKS}]+|[ \n]"
+        return True, re.compile(parts), re.compile(rf"[{known}\n]*")
+    return False, None, None
 
 
 def _byte_symbols() -> list[str]:

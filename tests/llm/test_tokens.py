@@ -82,6 +82,18 @@ def test_words_equal_whole_texts(path, sample):
         assert np.frombuffer(mine, "<u4").tolist() == theirs.ids
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_equal_words_are_looked_up_together(path):
+    encoder, library, asked = WordEncoder(path), Tokenizer.from_file(path), []
+    known = encoder.parts
+    encoder.parts = type("Counting", (), {"__getitem__": lambda self, part: asked.append(part) or known[part]})()
+    texts = ["First" + " some words, again" * 300, "odd 日本 words" + " 日本語" * 50, "two  spaces", "", " a", "line\n"] * 10
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == [
+        one.ids for one in library.encode_batch(texts, add_special_tokens=False)
+    ]
+    assert len(asked) < 150
+
+
 def test_known_results_stay_within_their_room():
     calls = []
     known = Known(lambda text: calls.append(text) or text.encode() * 3, room=20_000)
