@@ -12,6 +12,7 @@ from array import array
 from collections.abc import Callable, Iterator
 from contextlib import suppress
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 LONGEST = 64
+_token_id = attrgetter("id")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARKS = r"!-&(-/:-@\[-`{-~"
 
@@ -80,7 +82,7 @@ class WordEncoder:
     finds them by default, and texts that hold any go to it whole; otherwise
     they are taken for ordinary text."""
 
-    def __init__(self, path: str, room: int = 128_000_000, added: bool = False):
+    def __init__(self, path: str, room: int = 80_000_000, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
@@ -89,6 +91,7 @@ class WordEncoder:
         if self.tokenizer.normalizer is not None and any(token.normalized for token in tokens):
             self.added = [""]  # they may show only in the normalised text
         self.lower, self.parts_of, self.plain = _splitter(self.tokenizer)
+        self.merged = self.tokenizer.model.tokenize
         self.mapped = str.maketrans({byte: symbol for byte, symbol in enumerate(_byte_symbols())})
         self.words = Known(self._spaced, room // 10)
         self.starts = Known(self._word, room // 10)
@@ -122,7 +125,7 @@ class WordEncoder:
             symbols = part.replace(" ", self.mapped[0x20]).replace("\n", self.mapped[0x0A])
         else:
             symbols = part.encode().decode("latin-1").translate(self.mapped)
-        return array("I", [token.id for token in self.tokenizer.model.tokenize(symbols)]).tobytes()
+        return array("I", map(_token_id, self.merged(symbols))).tobytes()
 
     def _start(self, word: str) -> bytes:
         """Ids of a row's first word, which has no space before it."""
