@@ -29,7 +29,8 @@ def _payload(messages: DataFrame) -> DataFrame:
         JSON_OPTIONS,
     )
     found = F.col("found")
-    complete = F.endswith(F.rtrim(value, F.lit(" \t\r\n")), F.lit("}"))
+    # Trimming looks for each character in a list, so it is left to the messages that need it.
+    complete = F.endswith(value, F.lit("}")) | F.endswith(F.rtrim(value, F.lit(" \t\r\n")), F.lit("}"))
     first = F.get(found, F.lit(0))
     # A value may close the array itself and leave text behind; then a further
     # element is never reached.

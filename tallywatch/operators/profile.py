@@ -64,12 +64,42 @@ def enrich(transactions: DataFrame, cfg: RiskConfig, rules: list[Rule] | None =
     their transactions spread over the copies; all others have one copy, and
     salt 0. Adaptive skew join can split further, because both sides end in their
     own shuffle. A stream can't know what will be hot: see ``_stream_salted``."""
-    rules = rules or default_rules(cfg)
-    clocked = with_clock(transactions, cfg)
-    salted, copies = (_stream_salted if transactions.isStreaming else _salted)(clocked, cfg, rules)
+    return _enriched(with_clock(transactions, cfg), cfg, rules)
+
+
+def closed_rows(transactions: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """The transactions of a stream, each when its window closes, with the clock
+    column; all of a window's come in one micro-batch, for ``enrich_closed``.
+
+    They wait in the state of an aggregation whose key is the whole row and that
+    counts equal ones. A row is thus one entry, written once and read in order
+    when windows close, and rows of a hot window lie in all partitions."""
+    times = dict.fromkeys(["timestamp", TIME_COLUMN[cfg.time_basis]])
+    columns = ["transaction_id", "user_id", "amount", "city", "merchant_category"]
+    # Of the keys only the window may be watermarked: it says when rows leave.
+    instants = [_unmarked(name).alias(name) for name in times]
+    held = with_clock(transactions, cfg).groupBy(window_column(cfg).alias("window"), *columns, *instants)
+    counted = held.agg(F.count(F.lit(1)).alias("copies"))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return counted.select(*columns, *times, each.alias("copy")).drop("copy")
+
+
+def enrich_closed(closed: DataFrame, cfg: RiskConfig, rules: list[Rule] | None = None) -> DataFrame:
+    """A micro-batch of ``closed_rows`` with the totals and the score of each
+    row's window: what ``enrich`` yields for them in batch, by the same join."""
+    return _enriched(closed, cfg, rules)
+
+
+def _unmarked(name: str) -> Column:
+    """An instant without the mark of a watermarked column."""
+    return F.timestamp_micros(F.unix_micros(name))
+
+
+def _enriched(clocked: DataFrame, cfg: RiskConfig, rules: list[Rule] | None) -> DataFrame:
+    salted, copies = (_stream_salted if clocked.isStreaming else _salted)(clocked, cfg, rules or default_rules(cfg))
 
     # A stream may carry one watermarked column into the join: the window.
-    instant = F.timestamp_micros(F.unix_micros("timestamp")) if transactions.isStreaming else F.col("timestamp")
+    instant = _unmarked("timestamp") if clocked.isStreaming else F.col("timestamp")
     rows = salted.select(
         "transaction_id", "user_id", "amount", "city", "merchant_category", instant.alias("timestamp"), "window", "salt"
     )

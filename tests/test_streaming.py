@@ -156,6 +156,53 @@ def test_enriched_equals_batch(spark, in_order):
     assert stored.select("transaction_id").distinct().count() == stored.count()
 
 
+def test_enriched_rows_cost_few_state_calls(in_order):
+    """Each row is looked up, put and removed at most once until its window closes."""
+    _, query = run(jobs.start_enriched_query, in_order, "enriched", cfg=CFG)
+    states = [state for progress in query.recentProgress for state in progress.stateOperators]
+    calls = sum(state.customMetrics[f"rocksdb{kind}Count"] for state in states for kind in ("Get", "Put"))
+    assert 0 < calls <= 3 * in_order.batch().where("value != '{bad'").count()
+
+
+def test_enriched_keeps_equal_rows(spark, topic):
+    """Messages that are equal, in one batch or in two, and such without an id."""
+    twice = [message(1, 1, T0, 10), message(1, 1, T0, 10), message(2, 2, T0, 10, transaction_id=None)]
+    topic.send([*twice, *twice[2:]])
+    topic.send(twice[:1])
+    topic.send([message(3, 1, T0 + timedelta(minutes=2), 10)])
+    path, _ = run(jobs.start_enriched_query, topic, "enriched", cfg=RiskConfig(watermark="30 seconds"))
+    tx, _ = parse_transactions(topic.batch())
+    expected = enrich(tx, CFG).where(F.col("window_end") <= T0 + timedelta(minutes=1))
+    found = rows_of(spark.read.parquet(path), *schema.ENRICHED_COLUMNS)
+    assert found == rows_of(expected, *schema.ENRICHED_COLUMNS) and len(found) == 5
+
+
+@pytest.mark.parametrize("basis", ["ingest", "processing"])
+def test_enriched_by_other_clocks(spark, topic, basis):
+    """A file is a window of the arrival clock, closed by the next file."""
+    topic.send([message(n, 1, T0 + timedelta(days=n), 10) for n in range(3)])
+    topic.send([message(3, 1, T0, 10)])
+    cfg = RiskConfig(window="1 millisecond", time_basis=basis, watermark="0 seconds")
+    path, _ = run(jobs.start_enriched_query, topic, "enriched", cfg=cfg)
+    found = rows_of(spark.read.parquet(path), "transaction_id", "timestamp", "transaction_count")
+    assert found[:3] == [(f"id-{n}", T0 + timedelta(days=n), 3) for n in range(3)]
+    assert {row[2] for row in found[3:]} <= {1}
+
+
+def test_join_of_streams_equals_batch(spark, in_order):
+    """``enrich`` of a stream, which the job for enriched rows does not use."""
+    cfg = RiskConfig(watermark="2 minutes")
+
+    def start(messages, path, checkpoint, trigger):
+        rows = enrich(jobs._accepted(messages, cfg), cfg).withColumn("event_date", F.to_date("timestamp"))
+        return jobs._start(rows, sinks.append_batch(path, "event_date"), checkpoint, trigger)
+
+    path, _ = run(start, in_order, "joined")
+    again, _ = run(jobs.start_enriched_query, in_order, "enriched", cfg=cfg)
+    columns = schema.ENRICHED_COLUMNS
+    assert rows_of(spark.read.parquet(path), *columns) == rows_of(spark.read.parquet(again), *columns) != []
+
+
 def test_redelivered_messages_are_stored_once(spark, in_order):
     lines = [row.value for row in in_order.batch().collect()]
     in_order.send(lines[:100] + lines[:50])
